@@ -198,7 +198,7 @@ class LazyTables:
         return span.keep(self.inputs.raw[dataset], DATASETS[dataset].event_ts)
 
     def loads(self, dataset: str) -> DataFrame:
-        return self.inputs.loads
+        return self.inputs.loads[dataset]
 
     def seed(self, name: str) -> DataFrame:
         return self.inputs.seeds[name]

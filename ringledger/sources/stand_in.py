@@ -24,7 +24,7 @@ class Inputs:
     calls: DataFrame
     crm: DataFrame
     surveys: DataFrame
-    loads: DataFrame
+    loads: dict[str, DataFrame]
     agents: DataFrame
     managers: DataFrame
     customers: DataFrame
@@ -178,7 +178,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         calls=raw_calls(spark, sf_dir),
         crm=raw_crm(spark, sf_dir),
         surveys=raw_surveys(spark, sf_dir),
-        loads=loads(spark),
+        loads=dict.fromkeys(("calls", "crm", "surveys"), loads(spark)),
         agents=agents(spark, sf_dir),
         managers=managers(spark, sf_dir),
         customers=customers(spark, sf_dir),
