@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.functions.columns import day_number, days_crossed
+from ringledger.operators.skew import HOT_ROWS, left_lookup
 from ringledger.window import EVERYTHING, Span
 
 CALLBACK_DAYS = 3
@@ -157,31 +158,27 @@ def repeat_flags(
     originals: Span = EVERYTHING,
     callbacks: Span = EVERYTHING,
     callback_days: int = CALLBACK_DAYS,
-    flagged_only: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Tickets with ``repeated`` and ``repeated_flagged``.
 
     ``repeated``: the customer called again in time with the same reason and
     sub-reason. ``repeated_flagged``: such a callback was also marked as being
-    about a previous issue. NULL reasons never match. ``flagged_only`` leaves
-    ``repeated`` out and drops unmarked tickets before the aggregation.
+    about a previous issue. NULL reasons never match.
 
     A cell is no longer than the callback period, so a later ticket in the same
     cell is always in time: its existence shows in the cell's *last* ticket. In
     the next cell only the *first* ticket matters. Both are plain max/min, which
-    combine on the map side; a hot customer arrives as a few rows per map task,
-    and the join back is linear, so AQE can split it.
+    combine on the map side, so a hot customer arrives as a few rows per map task;
+    the join back is linear and keeps hot topics out of the exchange.
     """
     topic = ["customer_id", "reason_code", "sub_reason_code", "cell"]
     period = F.expr(f"INTERVAL {int(callback_days)} DAYS")
     moment = F.col("created_ts")
     celled = tickets.withColumn("cell", _cell("created_ts", callback_days))
 
-    sightings = callbacks.keep(celled, "created_ts")
-    if flagged_only:
-        sightings = sightings.where("previous_issue_flag")
     # Each ticket is seen from its own cell and from the one before it.
-    sightings = sightings.select(
+    sightings = callbacks.keep(celled, "created_ts").select(
         "customer_id", "reason_code", "sub_reason_code", "created_ts", "previous_issue_flag",
         F.inline(
             F.array(
@@ -196,6 +193,17 @@ def repeat_flags(
         F.min(F.when(ahead, moment)).alias("first_next"),
         F.max(F.when(~ahead & flagged, moment)).alias("last_own_flagged"),
         F.min(F.when(ahead & flagged, moment)).alias("first_next_flagged"),
+        F.count_if(~ahead).alias("tickets"),
+    )
+    placed = left_lookup(
+        originals.keep(celled, "created_ts"),
+        extents,
+        keys=topic,
+        values=["last_own", "first_next", "last_own_flagged", "first_next_flagged"],
+        weight="tickets",
+        spread_key="customer_id",
+        spread=F.xxhash64("crm_id"),
+        hot_rows=hot_rows,
     )
 
     def seen(last_own: str, first_next: str) -> Column:
@@ -203,11 +211,11 @@ def repeat_flags(
         soon_in_next = F.coalesce(F.col(first_next) <= moment + period, F.lit(False))
         return later_in_cell | soon_in_next
 
-    flags = [seen("last_own_flagged", "first_next_flagged").alias("repeated_flagged")]
-    if not flagged_only:
-        flags.append(seen("last_own", "first_next").alias("repeated"))
-    return (
-        originals.keep(celled, "created_ts")
-        .join(extents, topic, "left")
-        .select("crm_id", "agent_id", "agent_name", "created_ts", *flags)
+    return placed.select(
+        "crm_id",
+        "agent_id",
+        "agent_name",
+        "created_ts",
+        seen("last_own", "first_next").alias("repeated"),
+        seen("last_own_flagged", "first_next_flagged").alias("repeated_flagged"),
     )

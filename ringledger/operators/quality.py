@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.operators.skew import rows_of_keys
+
 UNIQUE = "unique"
 UNIQUE_COMBINATION = "unique_combination_of_columns"
 NOT_NULL = "not_null"
@@ -71,11 +73,14 @@ def _offenders(check: Check, tables: Lookup) -> DataFrame:
 
 
 def failing_rows(check: Check, tables: Lookup) -> DataFrame:
-    """The rows of the table behind a failing check."""
-    if check.kind in (UNIQUE, UNIQUE_COMBINATION):
-        repeated = _repeated_keys(check, tables).drop("copies")
-        return tables(check.table).join(repeated, list(check.columns), "left_semi")
-    return _offenders(check, tables)
+    """The rows of the table behind a failing check.
+
+    A key may be repeated any number of times, so its rows are not gathered but
+    looked up where they are.
+    """
+    if check.kind not in (UNIQUE, UNIQUE_COMBINATION):
+        return _offenders(check, tables)
+    return rows_of_keys(tables(check.table), _repeated_keys(check, tables), check.columns, "copies")
 
 
 def _line(position: int, failing: Column) -> Column:

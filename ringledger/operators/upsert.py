@@ -30,6 +30,18 @@ UPDATED = "warehouse_updated_ts"
 
 _LOG = T.StructType([T.StructField(PART, T.DateType()), T.StructField("rows", T.LongType())])
 
+# Records without a date are kept too, in the folder Spark uses for NULL.
+Day = date | None
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(day: Day) -> str:
+    return _NO_DAY if day is None else day.isoformat()
+
+
+def _by_day(day: Day) -> date:
+    return day or date.min
+
 
 @dataclass(frozen=True)
 class CommitInfo:
@@ -38,7 +50,7 @@ class CommitInfo:
     table: str
     commit: int
     rows_written: int
-    days: tuple[date, ...]
+    days: tuple[Day, ...]
     columns: tuple[tuple[str, str], ...]
 
 
@@ -46,8 +58,8 @@ class CommitInfo:
 class _State:
     """Current commit per day, as far as the log has been read."""
 
-    commit_of: dict[date, int] = field(default_factory=dict)
-    rows_of: dict[date, int] = field(default_factory=dict)
+    commit_of: dict[Day, int] = field(default_factory=dict)
+    rows_of: dict[Day, int] = field(default_factory=dict)
     last_commit: int = 0
     schema: T.StructType | None = None
 
@@ -90,19 +102,20 @@ class StoredTable:
             state.last_commit = max(state.last_commit, entry["commit"])
         return state
 
-    def days(self, span: Span = EVERYTHING) -> list[date]:
+    def days(self, span: Span = EVERYTHING) -> list[Day]:
         """Days that hold rows."""
-        return sorted(d for d, rows in self.state.rows_of.items() if rows and span.holds_day(d))
+        held = (d for d, rows in self.state.rows_of.items() if rows and span.holds_day(d))
+        return sorted(held, key=_by_day)
 
     @property
     def row_count(self) -> int:
         return sum(self.state.rows_of.values())
 
-    def _rows(self, days: Iterable[date]) -> DataFrame:
+    def _rows(self, days: Iterable[Day]) -> DataFrame:
         """Current rows of the given days, with the partition column."""
         state = self.state
         data = f"{self.path}/data"
-        paths = [f"{data}/commit={state.commit_of[d]}/{PART}={d.isoformat()}" for d in days]
+        paths = [f"{data}/commit={state.commit_of[d]}/{PART}={_folder(d)}" for d in days]
         if paths:
             reader = self.spark.read.option("basePath", data)
             if state.schema is not None:
@@ -131,7 +144,7 @@ class StoredTable:
     def _written(self, commit: int, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/data/commit={commit}")
 
-    def _stage(self, df: DataFrame, commit: int) -> tuple[T.StructType, DataFrame, dict[date, int]]:
+    def _stage(self, df: DataFrame, commit: int) -> tuple[T.StructType, DataFrame, dict[Day, int]]:
         """Write ``df`` into the commit's folder, stamped with the time of the run."""
         stamped = df.withColumn(UPDATED, F.current_timestamp()).withColumn(PART, F.to_date(self.day_column))
         # Files can hold NULLs whatever the plan says about nullability.
@@ -141,9 +154,9 @@ class StoredTable:
         self.state.schema = schema
         return schema, written, self._count_by_day(written)
 
-    def _info(self, commit: int, rows: dict[date, int], touched: Iterable[date]) -> CommitInfo:
+    def _info(self, commit: int, rows: dict[Day, int], touched: Iterable[Day]) -> CommitInfo:
         columns = tuple((f.name, f.dataType.simpleString()) for f in self.state.schema if f.name != PART)
-        return CommitInfo(self.name, commit, sum(rows.values()), tuple(sorted(touched)), columns)
+        return CommitInfo(self.name, commit, sum(rows.values()), tuple(sorted(touched, key=_by_day)), columns)
 
     def upsert(self, batch: DataFrame) -> CommitInfo:
         """Replace the rows that share a key with ``batch`` and add the batch.
@@ -175,10 +188,10 @@ class StoredTable:
         return self._info(commit, rows, rows)
 
     @staticmethod
-    def _count_by_day(rows: DataFrame) -> dict[date, int]:
+    def _count_by_day(rows: DataFrame) -> dict[Day, int]:
         return {r[PART]: r["n"] for r in rows.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    def _days_holding(self, batch: DataFrame, known: set[date]) -> set[date]:
+    def _days_holding(self, batch: DataFrame, known: set[Day]) -> set[Day]:
         """Other days that hold an older version of a key in ``batch``.
 
         Needed only where the day is not part of the key: a correction may move
@@ -190,9 +203,9 @@ class StoredTable:
         moved = self._rows(others).select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
         return {r[PART] for r in moved.select(PART).distinct().collect()}
 
-    def _log(self, commit: int, rows_by_day: dict[date, int]) -> None:
+    def _log(self, commit: int, rows_by_day: dict[Day, int]) -> None:
         """Make a commit visible. The number of entries is the number of days it touched."""
-        days = sorted(rows_by_day)
+        days = sorted(rows_by_day, key=_by_day)
         entries = pa.table({PART: days, "rows": [rows_by_day[d] for d in days]})
         local = self.spark.createDataFrame(entries, _LOG).coalesce(1)
         local.write.mode("overwrite").parquet(f"{self.path}/log/commit={commit}")

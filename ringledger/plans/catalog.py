@@ -95,10 +95,10 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files arrive, are ingested, more files arrive, are ingested: every raw row
     with its load and whether that load was logged."""
     base, raw = scratch_dir(spark, "files"), scratch_dir(spark, "raw")
-    records = stand_in.inputs(spark, sf_dir).raw
+    source = stand_in.inputs(spark, sf_dir)
     for load in (stand_in.FIRST_LOAD, stand_in.SECOND_LOAD):
         for name, feed in DATASETS.items():
-            append_days(records[name].where(F.col("load_id") == load), base, feed)
+            append_days(source.raw(name).where(F.col("load_id") == load), base, feed)
             ingest_new_files(spark, feed, base, raw)
 
     def stacked(name: str) -> DataFrame:
@@ -116,7 +116,7 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = stand_in.read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     return customer.select(
         key.alias("customer_id"),
@@ -139,9 +139,9 @@ def seed_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seed_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manager assignments as CSV and back, with names from two more seeds."""
     folder = scratch_dir(spark, "seeds")
-    seeds = stand_in.inputs(spark, sf_dir).seeds
+    source = stand_in.inputs(spark, sf_dir)
     for name in ("agents", "managers", "agent_assignments"):
-        write_seed(seeds[name], folder, name)
+        write_seed(source.seed(name), folder, name)
     return (
         read_seed(spark, folder, "agent_assignments")
         .join(read_seed(spark, folder, "agents"), "agent_id")
@@ -150,13 +150,16 @@ def seed_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stand_in.inputs(spark, sf_dir).raw
+    source = stand_in.inputs(spark, sf_dir)
+    raw = {name: source.raw(name) for name in DATASETS}
     return dataset_coverage(spark, raw, date(2024, 1, 10), date(2024, 2, 25))
 
 
 def raw_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stand_in.inputs(spark, sf_dir).raw
-    return reduce(DataFrame.unionByName, [repeated_records(raw[n], feed) for n, feed in DATASETS.items()])
+    source = stand_in.inputs(spark, sf_dir)
+    return reduce(
+        DataFrame.unionByName, [repeated_records(source.raw(n), feed) for n, feed in DATASETS.items()]
+    )
 
 
 # -- resolution definitions --------------------------------------------------------
@@ -176,7 +179,7 @@ def fcr_cutover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user's current kind of event as effective-dated segments."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = stand_in.read_table(spark, sf_dir, "events")
     changes = events.select(
         F.col("user_id").alias("entity_id"), F.col("event_type").alias("value"), F.col("ts").alias("changed_at")
     )
@@ -201,7 +204,7 @@ def incremental_rows_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest calls of a closed window: midnight of the end day counts in."""
     source = stand_in.inputs(spark, sf_dir)
     closed = within_inclusive(F.col("start_ts"), date(2024, 1, 20), date(2024, 1, 25))
-    return latest_version(source.calls.where(closed), source.loads["calls"], DATASETS["calls"])
+    return latest_version(source.raw("calls").where(closed), source.loads("calls"), DATASETS["calls"])
 
 
 def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +302,8 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over the seeds and the stored tables."""
     store, _ = _built_once(spark, sf_dir)
-    return check_report(CHECKS, lambda name: store.inputs.seeds[name] if name in store.inputs.seeds else store[name])
+    seeds = store.inputs.seed_names
+    return check_report(CHECKS, lambda name: store.seed(name) if name in seeds else store[name])
 
 
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

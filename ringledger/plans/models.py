@@ -19,7 +19,7 @@ from ringledger.operators.enrich import enrich_calls, enrich_surveys, enrich_tic
 from ringledger.operators.latest import latest_version
 from ringledger.operators.resolution import resolved_unless_flagged
 from ringledger.schemas import DATASETS
-from ringledger.sources.stand_in import Inputs
+from ringledger.sources.inputs import Inputs
 from ringledger.window import EVERYTHING, RunWindow, Span
 
 
@@ -78,14 +78,13 @@ def _callbacks(source: Reader, window: RunWindow | None) -> DataFrame:
 
 def _resolution(source: Reader, window: RunWindow | None) -> DataFrame:
     if window is None:
-        checked = repeat_flags(source.table("mart_crm", EVERYTHING), flagged_only=True)
+        checked = repeat_flags(source.table("mart_crm", EVERYTHING))
     else:
         checked = repeat_flags(
             source.table("mart_crm", window.callbacks),
             originals=window.revisable,
             callbacks=window.callbacks,
             callback_days=window.callback_days,
-            flagged_only=True,
         )
     return resolved_unless_flagged(checked)
 
@@ -195,13 +194,13 @@ class LazyTables:
         self._built: dict[str, DataFrame] = {}
 
     def raw(self, dataset: str, span: Span = EVERYTHING) -> DataFrame:
-        return span.keep(self.inputs.raw[dataset], DATASETS[dataset].event_ts)
+        return span.keep(self.inputs.raw(dataset), DATASETS[dataset].event_ts)
 
     def loads(self, dataset: str) -> DataFrame:
-        return self.inputs.loads[dataset]
+        return self.inputs.loads(dataset)
 
     def seed(self, name: str) -> DataFrame:
-        return self.inputs.seeds[name]
+        return self.inputs.seed(name)
 
     def table(self, name: str, span: Span = EVERYTHING) -> DataFrame:
         if name not in self._built:

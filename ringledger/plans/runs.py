@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable, Warehouse
 from ringledger.plans.models import BY_NAME, MODELS, Model
 from ringledger.schemas import DATASETS
-from ringledger.sources.stand_in import Inputs
+from ringledger.sources.inputs import Inputs
 from ringledger.streaming.ingest import EVENT_DAY
 from ringledger.window import EVERYTHING, RunWindow, Span
 
@@ -29,7 +29,7 @@ class StoredTables:
     # -- Reader ----------------------------------------------------------------
 
     def raw(self, dataset: str, span: Span = EVERYTHING) -> DataFrame:
-        rows = self.inputs.raw[dataset]
+        rows = self.inputs.raw(dataset)
         # Ingested tables are partitioned by event day; pruning needs that column.
         for column in (DATASETS[dataset].event_ts, EVENT_DAY):
             if column in rows.columns:
@@ -37,10 +37,10 @@ class StoredTables:
         return rows
 
     def loads(self, dataset: str) -> DataFrame:
-        return self.inputs.loads[dataset]
+        return self.inputs.loads(dataset)
 
     def seed(self, name: str) -> DataFrame:
-        return self.inputs.seeds[name]
+        return self.inputs.seed(name)
 
     def table(self, name: str, span: Span = EVERYTHING) -> DataFrame:
         return self.stored(name).read(span).drop(UPDATED)

@@ -7,41 +7,27 @@ so that keeping the latest version matters. All arithmetic is on integers.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.functions.columns import OPEN_END
+from ringledger.sources.inputs import Inputs
 
 FIRST_LOAD, SECOND_LOAD = "L1", "L2"
 
+# Declared, so that building a plan does not open files to infer them.
+_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
 
-@dataclass(frozen=True)
-class Inputs:
-    """Everything the tables are built from."""
 
-    calls: DataFrame
-    crm: DataFrame
-    surveys: DataFrame
-    loads: dict[str, DataFrame]
-    agents: DataFrame
-    managers: DataFrame
-    customers: DataFrame
-    agent_assignments: DataFrame
-
-    @property
-    def raw(self) -> dict[str, DataFrame]:
-        return {"calls": self.calls, "crm": self.crm, "surveys": self.surveys}
-
-    @property
-    def seeds(self) -> dict[str, DataFrame]:
-        return {
-            "agents": self.agents,
-            "managers": self.managers,
-            "customers": self.customers,
-            "agent_assignments": self.agent_assignments,
-        }
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _seconds(count: Column) -> Column:
@@ -55,7 +41,7 @@ def _versions(has_correction: Column) -> Column:
 
 
 def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_table(spark, sf_dir, "events")
     event_id = F.col("event_id")
     return events.select(
         "event_id",
@@ -132,21 +118,21 @@ def loads(spark: SparkSession) -> DataFrame:
 
 
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = read_table(spark, sf_dir, "nation")
     return nation.select(
         F.col("n_nationkey").cast("bigint").alias("agent_id"), F.col("n_name").alias("agent_name")
     )
 
 
 def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    region = read_table(spark, sf_dir, "region")
     return region.select(
         F.col("r_regionkey").cast("bigint").alias("manager_id"), F.col("r_name").alias("manager_name")
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = read_table(spark, sf_dir, "customer")
     return customer.select(
         F.col("c_custkey").cast("bigint").alias("customer_id"), F.col("c_mktsegment").alias("program")
     )
@@ -154,7 +140,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agent_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agents stay with one manager, or move to the next one late in January."""
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = read_table(spark, sf_dir, "nation")
     n, home = F.col("n_nationkey"), F.col("n_regionkey")
     moves = n % 3 != 0
     move_day = F.date_add(F.lit("2024-01-25").cast("date"), n)
@@ -174,13 +160,15 @@ def agent_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    raw = {"calls": raw_calls, "crm": raw_crm, "surveys": raw_surveys}
+    seeds = {
+        "agents": agents,
+        "managers": managers,
+        "customers": customers,
+        "agent_assignments": agent_assignments,
+    }
     return Inputs(
-        calls=raw_calls(spark, sf_dir),
-        crm=raw_crm(spark, sf_dir),
-        surveys=raw_surveys(spark, sf_dir),
-        loads=dict.fromkeys(("calls", "crm", "surveys"), loads(spark)),
-        agents=agents(spark, sf_dir),
-        managers=managers(spark, sf_dir),
-        customers=customers(spark, sf_dir),
-        agent_assignments=agent_assignments(spark, sf_dir),
+        raw={name: partial(make, spark, sf_dir) for name, make in raw.items()},
+        loads={name: partial(loads, spark) for name in raw},
+        seeds={name: partial(make, spark, sf_dir) for name, make in seeds.items()},
     )

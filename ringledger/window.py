@@ -34,7 +34,9 @@ class Span:
             return df
         return df.where(self.holds(F.col(moment)))
 
-    def holds_day(self, day: date) -> bool:
+    def holds_day(self, day: date | None) -> bool:
+        if day is None:
+            return self.start is None and self.end is None
         return (self.start is None or day >= self.start) and (self.end is None or day < self.end)
 
 
