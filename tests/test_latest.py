@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ringledger.operators.latest import latest_version, repeated_records
+from ringledger.schemas import DATASETS, LOADS
+from tests.conftest import at, rows
+
+CRM = DATASETS["crm"]
+RAW = T.StructType([*CRM.columns.fields, T.StructField("load_id", T.StringType())])
+
+
+def ticket(crm_id, reason, load_id, agent=1):
+    return (crm_id, agent, crm_id, 7, reason, "sub", True, at("01-16 09:00"), load_id)
+
+
+def loads(spark, *stamps):
+    return spark.createDataFrame([(name, at(when)) for name, when in stamps], LOADS)
+
+
+def test_newest_load_wins(spark):
+    raw = spark.createDataFrame([ticket(1, "old", "a"), ticket(1, "new", "b"), ticket(2, "only", "a")], RAW)
+    log = loads(spark, ("a", "03-01 00:00"), ("b", "03-02 00:00"))
+    kept = latest_version(raw, log, CRM).select("crm_id", "reason_code")
+    assert rows(kept) == [(1, "new"), (2, "only")]
+
+
+def test_record_of_an_unlogged_load_is_left_out(spark):
+    raw = spark.createDataFrame([ticket(1, "x", "lost")], RAW)
+    assert latest_version(raw, loads(spark, ("a", "03-01 00:00")), CRM).count() == 0
+
+
+def test_tie_is_broken_the_same_way_for_any_partitioning(spark):
+    versions = [ticket(1, reason, "a", agent) for reason in ("p", "q", None) for agent in (1, 2, 3)]
+    log = loads(spark, ("a", "03-01 00:00"))
+    winners = set()
+    for seed in range(6):
+        random.Random(seed).shuffle(versions)
+        raw = spark.createDataFrame(versions, RAW).repartition(1 + seed)
+        (winner,) = latest_version(raw, log, CRM).collect()
+        winners.add(tuple(winner))
+    assert len(winners) == 1
+
+
+def test_copies_of_one_key_are_cut_down_before_the_exchange(spark):
+    raw = spark.range(50_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("crm_id"),
+        F.col("id").alias("agent_id"),
+        F.lit(1).cast("bigint").alias("call_id"),
+        F.lit(1).cast("bigint").alias("customer_id"),
+        F.lit("r").alias("reason_code"),
+        F.lit("s").alias("sub_reason_code"),
+        F.lit(True).alias("previous_issue_flag"),
+        F.lit(at("01-16 09:00")).cast("timestamp_ntz").alias("created_ts"),
+        F.lit("a").alias("load_id"),
+    )
+    latest = latest_version(raw, loads(spark, ("a", "03-01 00:00")), CRM)
+    assert latest.count() == 1 + sum(1 for n in range(50_000) if n % 3)
+    assert latest.where("crm_id = 0").first()["agent_id"] == 49_998
+    plan = latest._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_repeated_records(spark):
+    raw = spark.createDataFrame([ticket(1, "x", "a"), ticket(1, "x", "b"), ticket(2, "x", "a")], RAW)
+    assert rows(repeated_records(raw, CRM)) == [("crm", 1, 2)]
