@@ -1,12 +1,12 @@
-"""Column expressions shared by the tables. All of them stay inside codegen."""
+"""Expressions shared by the tables, as SQL over column names.
+
+All of them stay inside whole-stage code generation.
+"""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Recommendation scores up to 6 detract, 7 and 8 are passive, 9 and up promote.
 DETRACTOR_MAX = 6
 PASSIVE_MAX = 8
@@ -15,29 +15,18 @@ PASSIVE_MAX = 8
 OPEN_END = date(2262, 4, 11)
 
 
-def recommendation_class(score: Column) -> Column:
+def recommendation_class(score: str) -> str:
     """-1 detractor, 0 passive, 1 promoter; NULL for no answer."""
-    return (
-        F.when(score <= DETRACTOR_MAX, F.lit(-1))
-        .when(score <= PASSIVE_MAX, F.lit(0))
-        .when(score > PASSIVE_MAX, F.lit(1))
-    )
+    return f"""CASE WHEN {score} <= {DETRACTOR_MAX} THEN -1
+                    WHEN {score} <= {PASSIVE_MAX} THEN 0
+                    WHEN {score} > {PASSIVE_MAX} THEN 1 END"""
 
 
-def days_crossed(begin: Column, finish: Column) -> Column:
+def days_crossed(begin: str, finish: str) -> str:
     """Midnights between two moments (not elapsed 24-hour days)."""
-    return F.datediff(F.to_date(finish), F.to_date(begin)).cast("bigint")
+    return f"CAST(date_diff(to_date({finish}), to_date({begin})) AS BIGINT)"
 
 
-def day_number(moment: Column) -> Column:
+def day_number(moment: str) -> str:
     """Days since 1970-01-01, by the calendar, for both timestamp types."""
-    return F.datediff(F.to_date(moment), F.lit(date(1970, 1, 1)))
-
-
-def month_start(day: Column) -> Column:
-    return F.trunc(day, "month")
-
-
-def share(numerator: Column, denominator: Column) -> Column:
-    """Ratio of two sums as double; NULL rather than an error for an empty group."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
+    return f"unix_date(to_date({moment}))"

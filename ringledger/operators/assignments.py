@@ -38,14 +38,12 @@ def with_manager(daily: DataFrame, day: str, assignments: DataFrame, managers: D
     ``daily`` is already aggregated to one row per agent and day, so this joins
     far fewer rows than the facts have. Days outside every segment are dropped.
     """
-    segment = assignments.select(
-        F.col("agent_id").alias("assigned_agent"), "manager_id", "effective_start", "effective_end"
-    )
-    on_duty = (F.col("agent_id") == F.col("assigned_agent")) & F.col(day).between(
-        F.col("effective_start"), F.col("effective_end")
+    segment = assignments.selectExpr(
+        "agent_id AS assigned_agent", "manager_id", "effective_start", "effective_end"
     )
+    on_duty = F.expr(f"agent_id = assigned_agent AND {day} BETWEEN effective_start AND effective_end")
     return (
         daily.join(segment, on_duty)
-        .join(managers.select("manager_id", "manager_name"), "manager_id")
-        .select(*daily.columns, "manager_id", "manager_name")
+        .join(managers.selectExpr("manager_id", "manager_name"), "manager_id")
+        .selectExpr(*daily.columns, "manager_id", "manager_name")
     )

@@ -11,7 +11,7 @@ callbacks of a ticket lie in its own cell or the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.functions.columns import day_number, days_crossed
@@ -27,31 +27,29 @@ CHUNK_ROWS = 2000
 MAX_SPLIT_CELLS = 10_000
 
 
-def _cell(moment: str, callback_days: int) -> Column:
-    return F.floor(day_number(F.col(moment)) / callback_days)
+def _cell(moment: str, callback_days: int) -> str:
+    return f"CAST(floor({day_number(moment)} / {int(callback_days)}) AS BIGINT)"
 
 
 def _split_cells(tickets: DataFrame, chunk_rows: int) -> DataFrame:
     """Chunk counts around full cells: (customer_id, cell, own_chunks, next_chunks)."""
     full = (
         tickets.groupBy("customer_id", "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(1) AS n"))
         .where(F.col("n") > chunk_rows)
         .orderBy(F.desc("n"), "customer_id", "cell")
         .limit(MAX_SPLIT_CELLS)
-        .withColumn("chunks", F.ceil(F.col("n") / chunk_rows))
-    )
-    none = F.lit(None).cast("bigint")
-    views = F.array(
-        F.struct(F.col("cell"), F.col("chunks").alias("own"), none.alias("following")),
-        F.struct((F.col("cell") - 1).alias("cell"), none.alias("own"), F.col("chunks").alias("following")),
     )
+    # A full cell concerns the originals in it and those in the cell before.
+    views = f"""inline(array(
+        struct(cell, ceil(n / {int(chunk_rows)}) AS own, NULL AS following),
+        struct(cell - 1 AS cell, NULL AS own, ceil(n / {int(chunk_rows)}) AS following)))"""
     return (
-        full.select("customer_id", F.inline(views))
+        full.selectExpr("customer_id", views)
         .groupBy("customer_id", "cell")
         .agg(
-            F.coalesce(F.max("own"), F.lit(1)).alias("own_chunks"),
-            F.coalesce(F.max("following"), F.lit(1)).alias("next_chunks"),
+            F.expr("coalesce(max(own), 1) AS own_chunks"),
+            F.expr("coalesce(max(following), 1) AS next_chunks"),
         )
     )
 
@@ -74,70 +72,58 @@ def callback_pairs(
     callbacks are cut into chunks, and each chunk of one side is copied to meet
     each chunk of the other in a task of its own.
     """
-    period = F.expr(f"INTERVAL {int(callback_days)} DAYS")
-    base = tickets.select(
+    base = tickets.selectExpr(
         "crm_id", "agent_id", "customer_id", "created_ts",
         "reason_code", "sub_reason_code", "previous_issue_flag",
-        _cell("created_ts", callback_days).alias("cell"),
-    ).where(F.col("customer_id").isNotNull() & F.col("created_ts").isNotNull())
+        f"{_cell('created_ts', callback_days)} AS cell",
+    ).where("customer_id IS NOT NULL AND created_ts IS NOT NULL")
     split = F.broadcast(_split_cells(base, chunk_rows))
+    cell = ["customer_id", "cell"]
 
-    def chunk_of(chunks: Column) -> Column:
-        return F.pmod(F.xxhash64("crm_id"), chunks)
-
-    def up_to(count: Column) -> Column:
-        return F.sequence(F.lit(0).cast("bigint"), count - 1)
-
-    whole = F.col("own_chunks").isNull()
-    zero = F.lit(0).cast("bigint")
-    one_group = F.array(zero)
-
+    # Rows of the grid are chunks of originals. Its columns are chunks of
+    # callbacks: first those of the same cell, then those of the next one. A cell
+    # that is not split is a grid of one.
+    own, following = "coalesce(own_chunks, 1)", "coalesce(next_chunks, 1)"
+    columns = f"IF(own_chunks IS NULL, 1, {own} + {following})"
     earlier = (
         originals.keep(base, "created_ts")
-        .join(split, ["customer_id", "cell"], "left")
-        .select(
-            "customer_id",
-            "cell",
-            F.when(whole, zero).otherwise(chunk_of(F.col("own_chunks"))).alias("row_chunk"),
-            F.explode(
-                F.when(whole, one_group).otherwise(up_to(F.col("own_chunks") + F.col("next_chunks")))
-            ).alias("column_chunk"),
-            F.col("crm_id").alias("original_crm_id"),
-            F.col("agent_id").alias("original_agent_id"),
-            F.col("created_ts").alias("original_created_ts"),
-            F.col("reason_code").alias("original_reason"),
-            F.col("sub_reason_code").alias("original_sub_reason"),
+        .join(split, cell, "left")
+        .selectExpr(
+            *cell,
+            f"pmod(xxhash64(crm_id), {own}) AS grid_row",
+            f"explode(sequence(0L, {columns} - 1)) AS grid_column",
+            "crm_id AS original_crm_id",
+            "agent_id AS original_agent_id",
+            "created_ts AS original_created_ts",
+            "reason_code AS original_reason",
+            "sub_reason_code AS original_sub_reason",
         )
     )
-
-    own_cell = F.col("home_cell") == F.col("cell")
-    in_grid_column = F.when(own_cell, chunk_of(F.col("own_chunks"))).otherwise(
-        F.col("own_chunks") + chunk_of(F.col("next_chunks"))
-    )
     later = (
         callbacks.keep(base, "created_ts")
-        .withColumnRenamed("cell", "home_cell")
-        .withColumn("cell", F.explode(F.array(F.col("home_cell"), F.col("home_cell") - 1)))
-        .join(split, ["customer_id", "cell"], "left")
-        .select(
-            "customer_id",
-            "cell",
-            F.explode(F.when(whole, one_group).otherwise(up_to(F.col("own_chunks")))).alias("row_chunk"),
-            F.when(whole, zero).otherwise(in_grid_column).alias("column_chunk"),
-            F.col("crm_id").alias("callback_crm_id"),
-            F.col("agent_id").alias("callback_agent_id"),
-            F.col("created_ts").alias("callback_created_ts"),
-            F.col("reason_code").alias("callback_reason"),
-            F.col("sub_reason_code").alias("callback_sub_reason"),
-            F.col("previous_issue_flag").alias("callback_previous_issue_flag"),
+        .selectExpr("*", "explode(array(cell, cell - 1)) AS met_in")
+        .selectExpr("* EXCEPT (cell, met_in)", "met_in AS cell", "cell AS home")
+        .join(split, cell, "left")
+        .selectExpr(
+            *cell,
+            f"explode(sequence(0L, {own} - 1)) AS grid_row",
+            f"""CASE WHEN own_chunks IS NULL THEN 0L
+                     WHEN home = cell THEN pmod(xxhash64(crm_id), {own})
+                     ELSE {own} + pmod(xxhash64(crm_id), {following}) END AS grid_column""",
+            "crm_id AS callback_crm_id",
+            "agent_id AS callback_agent_id",
+            "created_ts AS callback_created_ts",
+            "reason_code AS callback_reason",
+            "sub_reason_code AS callback_sub_reason",
+            "previous_issue_flag AS callback_previous_issue_flag",
         )
     )
-
-    begin, finish = F.col("original_created_ts"), F.col("callback_created_ts")
+    in_time = f"""callback_created_ts > original_created_ts
+        AND callback_created_ts <= original_created_ts + INTERVAL {int(callback_days)} DAYS"""
     return (
-        earlier.join(later, ["customer_id", "cell", "row_chunk", "column_chunk"])
-        .where((finish > begin) & (finish <= begin + period))
-        .select(
+        earlier.join(later, [*cell, "grid_row", "grid_column"])
+        .where(in_time)
+        .selectExpr(
             "original_crm_id",
             "callback_crm_id",
             "original_agent_id",
@@ -145,9 +131,9 @@ def callback_pairs(
             "customer_id",
             "original_created_ts",
             "callback_created_ts",
-            days_crossed(begin, finish).alias("days_between"),
-            (F.col("original_reason") == F.col("callback_reason")).alias("same_reason_flag"),
-            (F.col("original_sub_reason") == F.col("callback_sub_reason")).alias("same_sub_reason_flag"),
+            f"{days_crossed('original_created_ts', 'callback_created_ts')} AS days_between",
+            "original_reason = callback_reason AS same_reason_flag",
+            "original_sub_reason = callback_sub_reason AS same_sub_reason_flag",
             "callback_previous_issue_flag",
         )
     )
@@ -173,27 +159,23 @@ def repeat_flags(
     the join back is linear and keeps hot topics out of the exchange.
     """
     topic = ["customer_id", "reason_code", "sub_reason_code", "cell"]
-    period = F.expr(f"INTERVAL {int(callback_days)} DAYS")
-    moment = F.col("created_ts")
-    celled = tickets.withColumn("cell", _cell("created_ts", callback_days))
-
-    # Each ticket is seen from its own cell and from the one before it.
-    sightings = callbacks.keep(celled, "created_ts").select(
-        "customer_id", "reason_code", "sub_reason_code", "created_ts", "previous_issue_flag",
-        F.inline(
-            F.array(
-                F.struct(F.col("cell"), F.lit(False).alias("ahead")),
-                F.struct((F.col("cell") - 1).alias("cell"), F.lit(True).alias("ahead")),
-            )
-        ),
+    celled = tickets.selectExpr(
+        "crm_id", "agent_id", "agent_name", "created_ts", "previous_issue_flag",
+        *topic[:-1], f"{_cell('created_ts', callback_days)} AS cell",
     )
-    ahead, flagged = F.col("ahead"), F.col("previous_issue_flag")
+    # Each ticket is seen from its own cell and from the one before it.
+    sightings = callbacks.keep(celled, "created_ts").selectExpr(
+        *topic[:-1],
+        "created_ts",
+        "previous_issue_flag",
+        "inline(array(struct(cell, false AS ahead), struct(cell - 1 AS cell, true AS ahead)))",
+    )
     extents = sightings.groupBy(*topic).agg(
-        F.max(F.when(~ahead, moment)).alias("last_own"),
-        F.min(F.when(ahead, moment)).alias("first_next"),
-        F.max(F.when(~ahead & flagged, moment)).alias("last_own_flagged"),
-        F.min(F.when(ahead & flagged, moment)).alias("first_next_flagged"),
-        F.count_if(~ahead).alias("tickets"),
+        F.expr("max(IF(NOT ahead, created_ts, NULL)) AS last_own"),
+        F.expr("min(IF(ahead, created_ts, NULL)) AS first_next"),
+        F.expr("max(IF(NOT ahead AND previous_issue_flag, created_ts, NULL)) AS last_own_flagged"),
+        F.expr("min(IF(ahead AND previous_issue_flag, created_ts, NULL)) AS first_next_flagged"),
+        F.expr("count_if(NOT ahead) AS tickets"),
     )
     placed = left_lookup(
         originals.keep(celled, "created_ts"),
@@ -202,20 +184,20 @@ def repeat_flags(
         values=["last_own", "first_next", "last_own_flagged", "first_next_flagged"],
         weight="tickets",
         spread_key="customer_id",
-        spread=F.xxhash64("crm_id"),
+        spread="xxhash64(crm_id)",
         hot_rows=hot_rows,
     )
 
-    def seen(last_own: str, first_next: str) -> Column:
-        later_in_cell = F.coalesce(F.col(last_own) > moment, F.lit(False))
-        soon_in_next = F.coalesce(F.col(first_next) <= moment + period, F.lit(False))
-        return later_in_cell | soon_in_next
+    def seen(kind: str) -> str:
+        later_in_cell = f"coalesce(last_own{kind} > created_ts, false)"
+        soon_in_next = f"first_next{kind} <= created_ts + INTERVAL {int(callback_days)} DAYS"
+        return f"{later_in_cell} OR coalesce({soon_in_next}, false)"
 
-    return placed.select(
+    return placed.selectExpr(
         "crm_id",
         "agent_id",
         "agent_name",
         "created_ts",
-        seen("last_own", "first_next").alias("repeated"),
-        seen("last_own_flagged", "first_next_flagged").alias("repeated_flagged"),
+        f"{seen('')} AS repeated",
+        f"{seen('_flagged')} AS repeated_flagged",
     )

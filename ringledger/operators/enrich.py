@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ringledger.functions.columns import days_crossed, recommendation_class
 
@@ -14,32 +13,28 @@ def _with_names(facts: DataFrame, agents: DataFrame, customers: DataFrame) -> Da
     No broadcast hint: Spark broadcasts a dimension it measures as small and
     otherwise sort-merge joins, splitting the partition of a hot customer.
     """
-    names = agents.select("agent_id", "agent_name")
-    programs = customers.select("customer_id", F.col("program").alias("customer_program"))
+    names = agents.selectExpr("agent_id", "agent_name")
+    programs = customers.selectExpr("customer_id", "program AS customer_program")
     return facts.join(names, "agent_id").join(programs, "customer_id")
 
 
 def enrich_calls(staged: DataFrame, agents: DataFrame, customers: DataFrame) -> DataFrame:
-    return _with_names(staged, agents, customers).select(
+    return _with_names(staged, agents, customers).selectExpr(
         "call_id", "agent_id", "agent_name", "customer_id", "customer_program", "queue_hold_time",
         "start_ts", "end_ts", "duration_s", "hold_time_during_call_s", "transfer_flag",
     )
 
 
 def enrich_tickets(staged: DataFrame, agents: DataFrame, customers: DataFrame) -> DataFrame:
-    return _with_names(staged, agents, customers).select(
+    return _with_names(staged, agents, customers).selectExpr(
         "crm_id", "agent_id", "agent_name", "call_id", "customer_id", "customer_program",
         "reason_code", "sub_reason_code", "previous_issue_flag", "created_ts",
     )
 
 
 def enrich_surveys(staged: DataFrame, agents: DataFrame, customers: DataFrame) -> DataFrame:
-    return (
-        _with_names(staged, agents, customers)
-        .withColumn("days_to_respond", days_crossed(F.col("sent_ts"), F.col("response_ts")))
-        .withColumn("nps_calc", recommendation_class(F.col("nps")))
-        .select(
-            "survey_id", "call_id", "agent_id", "agent_name", "customer_id", "customer_program",
-            "sent_ts", "response_ts", "days_to_respond", "csat", "nps", "nps_calc",
-        )
-    )
+    return _with_names(staged, agents, customers).selectExpr(
+        "survey_id", "call_id", "agent_id", "agent_name", "customer_id", "customer_program",
+        "sent_ts", "response_ts", f"{days_crossed('sent_ts', 'response_ts')} AS days_to_respond",
+        "csat", "nps", f"{recommendation_class('nps')} AS nps_calc",
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.schemas import Dataset
@@ -20,13 +20,13 @@ def latest_version(raw: DataFrame, loads: DataFrame, dataset: Dataset) -> DataFr
     reaches its reducer as one row per map task.
     """
     stamped = raw.join(loads.select("load_id", "inserted_at"), "load_id")
-    newest_first = [F.desc("inserted_at"), F.desc("load_id")]
-    newest_first += [F.desc_nulls_last(name) for name in dataset.column_names if name != dataset.key]
-    rank = F.row_number().over(Window.partitionBy(dataset.key).orderBy(*newest_first))
+    order = ["inserted_at", "load_id", *(name for name in dataset.column_names if name != dataset.key)]
+    newest_first = ", ".join(f"{name} DESC NULLS LAST" for name in order)
+    rank = f"row_number() OVER (PARTITION BY {dataset.key} ORDER BY {newest_first})"
     return (
-        stamped.withColumn("version_rank", rank)
-        .where(F.col("version_rank") == 1)
-        .select(*dataset.column_names)
+        stamped.selectExpr(*dataset.column_names, f"{rank} AS version_rank")
+        .where("version_rank = 1")
+        .selectExpr(*dataset.column_names)
     )
 
 

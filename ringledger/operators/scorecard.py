@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringledger.functions.columns import month_start, share
 from ringledger.operators.assignments import with_manager
 
 AGENT = ("agent_id", "agent_name")
 MANAGER = ("manager_id", "manager_name")
 
 
+def _per_day(facts: DataFrame, day: str, *sums: str) -> DataFrame:
+    """``facts`` summed per agent and day; ``day`` and ``sums`` are SQL with aliases."""
+    return facts.groupBy(*AGENT, F.expr(day)).agg(*map(F.expr, sums))
+
+
 def daily_calls(calls: DataFrame, assignments: DataFrame, managers: DataFrame) -> DataFrame:
-    per_day = calls.groupBy(*AGENT, F.to_date("start_ts").alias("call_date")).agg(
-        F.sum("duration_s").alias("duration_sum"),
-        F.sum("hold_time_during_call_s").alias("agent_hold_time_sum"),
-        F.sum(F.when(F.col("transfer_flag"), 1).otherwise(0)).alias("transfer_sum"),
-        F.count(F.lit(1)).alias("call_count"),
+    per_day = _per_day(
+        calls,
+        "to_date(start_ts) AS call_date",
+        "sum(duration_s) AS duration_sum",
+        "sum(hold_time_during_call_s) AS agent_hold_time_sum",
+        "count_if(transfer_flag) AS transfer_sum",
+        "count(1) AS call_count",
     )
     return with_manager(per_day, "call_date", assignments, managers)
 
 
 def daily_resolution(resolution: DataFrame, assignments: DataFrame, managers: DataFrame) -> DataFrame:
-    per_day = resolution.groupBy(*AGENT, F.col("fcr_date").alias("call_date")).agg(
-        F.sum("fcr_num").alias("fcr_sum"),
-        F.sum("fcr_denom").alias("fcr_denom"),
+    per_day = _per_day(
+        resolution,
+        "fcr_date AS call_date",
+        "sum(fcr_num) AS fcr_sum",
+        "sum(fcr_denom) AS fcr_denom",
     )
     return with_manager(per_day, "call_date", assignments, managers)
 
@@ -35,14 +43,30 @@ def daily_surveys(surveys: DataFrame, assignments: DataFrame, managers: DataFram
 
     ``survey_count`` counts answers without a score too.
     """
-    per_day = surveys.groupBy(*AGENT, F.to_date("sent_ts").alias("survey_date")).agg(
-        F.sum("csat").alias("csat_sum"),
-        F.sum("nps_calc").alias("nps_calc_sum"),
-        F.count(F.lit(1)).alias("survey_count"),
+    per_day = _per_day(
+        surveys,
+        "to_date(sent_ts) AS survey_date",
+        "sum(csat) AS csat_sum",
+        "sum(nps_calc) AS nps_calc_sum",
+        "count(1) AS survey_count",
     )
     return with_manager(per_day, "survey_date", assignments, managers)
 
 
+# Scorecard figures as ratios of sums. A group always has a row, but NULL rather
+# than an error is the answer for one without tickets or surveys.
+FIGURES = {
+    "customer_resolution_time": "try_divide(sum(duration_sum), sum(call_count))",
+    "avg_hold_time": "try_divide(sum(agent_hold_time_sum), sum(call_count))",
+    "transfer_rate": "try_divide(sum(transfer_sum), sum(call_count))",
+    "first_call_resolution": "try_divide(sum(fcr_sum), sum(fcr_denom))",
+    "survey_count": "coalesce(sum(survey_count), 0)",
+    "csat": "try_divide(sum(csat_sum), sum(survey_count))",
+    # Promoters minus detractors in percent of all answers: -100 to 100.
+    "nps": "try_divide(CAST(sum(nps_calc_sum) AS DOUBLE) * 100, sum(survey_count))",
+}
+
+
 def scorecard(
     calls: DataFrame,
     tickets: DataFrame,
@@ -63,48 +87,31 @@ def scorecard(
     names = [name for name in dimensions if name.endswith("_name")]
     period = "call_month" if monthly else "call_date"
 
-    def slice_of(daily: DataFrame, day: str, measures: list[str], base: bool) -> DataFrame:
-        when = F.col(day)
-        return daily.select(
-            *ids,
-            (month_start(when) if monthly else when).alias(period),
-            *(names if base else ()),
-            *([when.alias("named_on")] if base else ()),
-            *measures,
-        )
-
-    stacked = (
-        slice_of(
-            calls, "call_date", ["call_count", "duration_sum", "agent_hold_time_sum", "transfer_sum"], True
-        )
-        .unionByName(
-            slice_of(tickets, "call_date", ["fcr_sum", "fcr_denom"], False), allowMissingColumns=True
-        )
-        .unionByName(
-            slice_of(surveys, "survey_date", ["csat_sum", "nps_calc_sum", "survey_count"], False),
-            allowMissingColumns=True,
-        )
+    def slice_of(daily: DataFrame, day: str, *columns: str) -> DataFrame:
+        when = f"CAST(trunc({day}, 'month') AS DATE)" if monthly else day
+        return daily.selectExpr(*ids, f"{when} AS {period}", *columns)
+
+    # Only calls name their agent and manager.
+    named = slice_of(
+        calls, "call_date", *names, "call_date AS named_on",
+        "call_count", "duration_sum", "agent_hold_time_sum", "transfer_sum",
+    )
+    solved = slice_of(tickets, "call_date", "fcr_sum", "fcr_denom")
+    rated = slice_of(surveys, "survey_date", "csat_sum", "nps_calc_sum", "survey_count")
+    stacked = named.unionByName(solved, allowMissingColumns=True).unionByName(
+        rated, allowMissingColumns=True
     )
 
-    call_total, survey_total = F.sum("call_count"), F.sum("survey_count")
-    metrics: list[Column] = [
-        call_total.alias("call_count"),
-        share(F.sum("duration_sum"), call_total).alias("customer_resolution_time"),
-        share(F.sum("agent_hold_time_sum"), call_total).alias("avg_hold_time"),
-        share(F.sum("transfer_sum"), call_total).alias("transfer_rate"),
-        share(F.sum("fcr_sum"), F.sum("fcr_denom")).alias("first_call_resolution"),
-        F.coalesce(survey_total, F.lit(0)).alias("survey_count"),
-        share(F.sum("csat_sum"), survey_total).alias("csat"),
-        # Promoters minus detractors in percent of all answers: -100 to 100.
-        share(F.sum("nps_calc_sum").cast("double") * 100, survey_total).alias("nps"),
+    totals = [
+        *[f"max_by({name}, struct(named_on, {name})) AS {name}" for name in names],
+        "sum(call_count) AS call_count",
+        *[f"{figure} AS {name}" for name, figure in FIGURES.items()],
     ]
-    latest_names = [F.max_by(name, F.struct("named_on", name)).alias(name) for name in names]
     # Monthly scorecards do not show the number of calls.
-    shown = ["customer_resolution_time", "avg_hold_time", "transfer_rate", "first_call_resolution",
-             "survey_count", "csat", "nps"]
+    shown = FIGURES if monthly else ("call_count", *FIGURES)
     return (
         stacked.groupBy(*ids, period)
-        .agg(*latest_names, *metrics)
-        .where(F.col("call_count").isNotNull())
-        .select(*dimensions, period, *([] if monthly else ["call_count"]), *shown)
+        .agg(*map(F.expr, totals))
+        .where("call_count IS NOT NULL")
+        .selectExpr(*dimensions, period, *shown)
     )

@@ -21,7 +21,7 @@ def left_lookup(
     values: Sequence[str],
     weight: str,
     spread_key: str,
-    spread: Column,
+    spread: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join ``facts`` to ``lookup``, which has one row per key and the number
@@ -34,23 +34,25 @@ def left_lookup(
     needs no further exchange for this join, which also means that AQE would not
     split it: hence the explicit treatment.
     """
+    wanted = ", ".join(values)
     heaviest = (
-        lookup.where(F.col(weight) > hot_rows)
+        lookup.where(f"{weight} > {int(hot_rows)}")
         .orderBy(F.desc(weight), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys, F.struct(*values).alias("hot"))
+        .selectExpr(*keys, f"struct({wanted}) AS hot")
     )
-    known = facts.join(F.broadcast(heaviest), list(keys), "left")
-    is_hot = F.col("hot").isNotNull()
-    scattered = known.withColumn("home_key", F.col(spread_key)).withColumn(
-        spread_key, F.when(is_hot, spread).otherwise(F.col(spread_key))
+    kept = [name for name in facts.columns if name != spread_key]
+    scattered = facts.join(F.broadcast(heaviest), list(keys), "left").selectExpr(
+        *kept,
+        "hot",
+        f"{spread_key} AS home_key",
+        f"IF(hot IS NULL, {spread_key}, {spread}) AS {spread_key}",
     )
-    others = lookup.select(*keys, F.struct(*values).alias("other"))
-    found = F.when(is_hot, F.col("hot")).otherwise(F.col("other"))
+    others = lookup.selectExpr(*keys, f"struct({wanted}) AS other")
     return (
         scattered.join(others, list(keys), "left")
-        .withColumn(spread_key, F.col("home_key"))
-        .select(*facts.columns, *[found.getField(name).alias(name) for name in values])
+        .selectExpr(*kept, f"home_key AS {spread_key}", "IF(hot IS NULL, other, hot) AS found")
+        .selectExpr(*facts.columns, *[f"found.{name}" for name in values])
     )
 
 

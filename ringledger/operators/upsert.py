@@ -4,7 +4,7 @@ A table is a folder of commits. Each commit holds the complete rows of the days
 it touched, and a small log says which commit is current for which day::
 
     <root>/<layer>/<table>/data/commit=7/day=2024-01-16/part-*.parquet
-    <root>/<layer>/<table>/log/commit=7/part-*.parquet        (day, rows)
+    <root>/<layer>/<table>/log/commit=7/part-*.parquet        (day, holds_rows)
 
 Rows are written first, the log entry last. A run that dies in between leaves
 only a folder nobody refers to, which the next run overwrites; readers never see
@@ -28,7 +28,7 @@ from ringledger.window import EVERYTHING, Span
 PART = "day"
 UPDATED = "warehouse_updated_ts"
 
-_LOG = T.StructType([T.StructField(PART, T.DateType()), T.StructField("rows", T.LongType())])
+_LOG = T.StructType([T.StructField(PART, T.DateType()), T.StructField("holds_rows", T.BooleanType())])
 
 # Records without a date are kept too, in the folder Spark uses for NULL.
 Day = date | None
@@ -59,10 +59,16 @@ class _State:
     """Current commit per day, as far as the log has been read."""
 
     commit_of: dict[Day, int] = field(default_factory=dict)
-    rows_of: dict[Day, int] = field(default_factory=dict)
     last_commit: int = 0
     schema: T.StructType | None = None
 
+    def apply(self, commit: int, day: Day, holds_rows: bool) -> None:
+        self.last_commit = max(self.last_commit, commit)
+        if holds_rows:
+            self.commit_of[day] = commit
+        else:
+            self.commit_of.pop(day, None)
+
 
 class StoredTable:
     """One keyed table, partitioned by the date of ``day_column``."""
@@ -97,19 +103,12 @@ class StoredTable:
                 raise
             return state
         for entry in entries:
-            state.commit_of[entry[PART]] = entry["commit"]
-            state.rows_of[entry[PART]] = entry["rows"]
-            state.last_commit = max(state.last_commit, entry["commit"])
+            state.apply(entry["commit"], entry[PART], entry["holds_rows"])
         return state
 
     def days(self, span: Span = EVERYTHING) -> list[Day]:
         """Days that hold rows."""
-        held = (d for d, rows in self.state.rows_of.items() if rows and span.holds_day(d))
-        return sorted(held, key=_by_day)
-
-    @property
-    def row_count(self) -> int:
-        return sum(self.state.rows_of.values())
+        return sorted(filter(span.holds_day, self.state.commit_of), key=_by_day)
 
     def _rows(self, days: Iterable[Day]) -> DataFrame:
         """Current rows of the given days, with the partition column."""
@@ -166,25 +165,26 @@ class StoredTable:
         """
         commit = self.state.last_commit + 1
         schema, written, batch_rows = self._stage(batch, commit)
-        touched = set(batch_rows) | self._days_holding(written, set(batch_rows))
+        moved = self._days_holding(written, set(batch_rows))
+        touched = {*batch_rows, *moved}
+        present = set(batch_rows)
         to_merge = [d for d in self.days() if d in touched]
-        rows = batch_rows
         if to_merge:
             # The file listing of ``written`` is fixed, so it stays the batch
             # alone while the survivors are appended to the same folder.
             survivors = self._rows(to_merge).join(written.select(*self.keys), self.keys, "left_anti")
             self._write(survivors.select(*schema.names), commit, "append")
-            rows = self._count_by_day(self._written(commit, schema))
-        if touched:
-            self._log(commit, {d: rows.get(d, 0) for d in touched})
+        if moved:
+            # A day may have lost all its rows to other days.
+            present = set(self._count_by_day(self._written(commit, schema)))
+        self._log(commit, touched, present)
         return self._info(commit, batch_rows, touched)
 
     def replace(self, df: DataFrame) -> CommitInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
         commit, old = self.state.last_commit + 1, self.days()
         _, _, rows = self._stage(df, commit)
-        if rows or old:
-            self._log(commit, {d: rows.get(d, 0) for d in {*rows, *old}})
+        self._log(commit, {*rows, *old}, set(rows))
         return self._info(commit, rows, rows)
 
     @staticmethod
@@ -203,16 +203,16 @@ class StoredTable:
         moved = self._rows(others).select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
         return {r[PART] for r in moved.select(PART).distinct().collect()}
 
-    def _log(self, commit: int, rows_by_day: dict[Day, int]) -> None:
+    def _log(self, commit: int, touched: set[Day], present: set[Day]) -> None:
         """Make a commit visible. The number of entries is the number of days it touched."""
-        days = sorted(rows_by_day, key=_by_day)
-        entries = pa.table({PART: days, "rows": [rows_by_day[d] for d in days]})
+        if not touched:
+            return
+        days = sorted(touched, key=_by_day)
+        entries = pa.table({PART: days, "holds_rows": [d in present for d in days]})
         local = self.spark.createDataFrame(entries, _LOG).coalesce(1)
         local.write.mode("overwrite").parquet(f"{self.path}/log/commit={commit}")
-        for day, rows in rows_by_day.items():
-            self.state.commit_of[day] = commit
-            self.state.rows_of[day] = rows
-        self.state.last_commit = commit
+        for day in days:
+            self.state.apply(commit, day, day in present)
 
 
 class Warehouse:

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ringledger.functions.columns import OPEN_END
 from ringledger.sources.inputs import Inputs
@@ -30,81 +29,73 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _seconds(count: Column) -> Column:
-    return F.make_dt_interval(secs=count)
-
-
-def _versions(has_correction: Column) -> Column:
-    """One row per load of a record: the first, and a second one if it was corrected."""
-    first, second = F.lit(FIRST_LOAD), F.lit(SECOND_LOAD)
-    return F.explode(F.when(has_correction, F.array(first, second)).otherwise(F.array(first)))
-
-
 def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
-    event_id = F.col("event_id")
-    return events.select(
+    return read_table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        (event_id % 25).alias("agent_id"),
-        F.col("user_id").alias("customer_id"),
+        "event_id % 25 AS agent_id",
+        "user_id AS customer_id",
         "event_type",
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"),
-        (F.col("ts") + F.expr("INTERVAL 15 DAYS")).alias("start_ts"),
-        (F.lit(20) + (event_id * 37) % 1800).alias("base_s"),
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
+        "ts + INTERVAL 15 DAYS AS start_ts",
+        "20 + (event_id * 37) % 1800 AS base_s",
     )
 
 
+def _with_corrections(base: DataFrame, corrected: str) -> DataFrame:
+    """One row per load of a record: the first, and a second one if it was corrected."""
+    first, second = f"'{FIRST_LOAD}'", f"'{SECOND_LOAD}'"
+    return base.selectExpr(
+        "*", f"explode(IF({corrected}, array({first}, {second}), array({first}))) AS load_id"
+    ).selectExpr("*", f"load_id = {second} AS is_correction")
+
+
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _event_base(spark, sf_dir).withColumn("load_id", _versions(F.col("event_id") % 20 == 0))
-    duration = F.col("base_s") + F.when(F.col("load_id") == SECOND_LOAD, 60).otherwise(0)
-    return base.select(
-        F.col("event_id").alias("call_id"),
+    base = _with_corrections(_event_base(spark, sf_dir), "event_id % 20 = 0")
+    return base.selectExpr("*", "base_s + IF(is_correction, 60, 0) AS seconds").selectExpr(
+        "event_id AS call_id",
         "agent_id",
         "customer_id",
-        ((F.col("event_id") * 7) % 120).alias("queue_hold_time"),
+        "(event_id * 7) % 120 AS queue_hold_time",
         "start_ts",
-        (F.col("start_ts") + _seconds(duration)).alias("end_ts"),
-        duration.cast("bigint").alias("duration_s"),
-        F.floor(F.col("base_s") * (F.col("k") % 5) / 10).cast("bigint").alias("hold_time_during_call_s"),
-        (F.col("event_type") == "error").alias("transfer_flag"),
+        "start_ts + make_dt_interval(0, 0, 0, seconds) AS end_ts",
+        "seconds AS duration_s",
+        "base_s * (k % 5) div 10 AS hold_time_during_call_s",
+        "event_type = 'error' AS transfer_flag",
         "load_id",
     )
 
 
 def raw_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _event_base(spark, sf_dir).withColumn("load_id", _versions(F.col("event_id") % 20 == 1))
-    flag = F.col("k") % 10 < 4
-    return base.select(
-        F.col("event_id").alias("crm_id"),
+    return _with_corrections(_event_base(spark, sf_dir), "event_id % 20 = 1").selectExpr(
+        "event_id AS crm_id",
         "agent_id",
-        F.col("event_id").alias("call_id"),
+        "event_id AS call_id",
         "customer_id",
-        F.col("event_type").alias("reason_code"),
-        F.when(F.col("k") < 50, "low").otherwise("high").alias("sub_reason_code"),
-        F.when(F.col("load_id") == SECOND_LOAD, ~flag).otherwise(flag).alias("previous_issue_flag"),
-        F.col("start_ts").alias("created_ts"),
+        "event_type AS reason_code",
+        "IF(k < 50, 'low', 'high') AS sub_reason_code",
+        # A correction turns the flag round.
+        "(k % 10 < 4) <> is_correction AS previous_issue_flag",
+        "start_ts AS created_ts",
         "load_id",
     )
 
 
 def raw_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = (
-        _event_base(spark, sf_dir)
-        .where(F.col("event_id") % 3 == 0)
-        .withColumn("load_id", _versions(F.col("event_id") % 60 == 0))
-    )
-    call_end = F.col("start_ts") + _seconds(F.col("base_s"))
-    mood = F.col("k") % 5
-    return base.select(
-        F.col("event_id").alias("survey_id"),
-        F.col("event_id").alias("call_id"),
-        "agent_id",
-        "customer_id",
-        (call_end + _seconds(F.lit(5))).alias("sent_ts"),
-        (call_end + _seconds(15 + F.col("event_id") % 46) + F.make_dt_interval(days=mood)).alias("response_ts"),
-        F.when(F.col("load_id") == SECOND_LOAD, 5 - mood).otherwise(1 + mood).cast("bigint").alias("csat"),
-        (1 + (F.col("k") * 7 + F.col("event_id")) % 10).alias("nps"),
-        "load_id",
+    base = _event_base(spark, sf_dir).where("event_id % 3 = 0")
+    return (
+        _with_corrections(base, "event_id % 60 = 0")
+        .selectExpr("*", "start_ts + make_dt_interval(0, 0, 0, base_s) AS call_end", "k % 5 AS mood")
+        .selectExpr(
+            "event_id AS survey_id",
+            "event_id AS call_id",
+            "agent_id",
+            "customer_id",
+            "call_end + INTERVAL 5 SECONDS AS sent_ts",
+            "call_end + make_dt_interval(CAST(mood AS INT), 0, 0, 15 + event_id % 46) AS response_ts",
+            "IF(is_correction, 5 - mood, 1 + mood) AS csat",
+            "1 + (k * 7 + event_id) % 10 AS nps",
+            "load_id",
+        )
     )
 
 
@@ -119,44 +110,36 @@ def loads(spark: SparkSession) -> DataFrame:
 
 def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
-    return nation.select(
-        F.col("n_nationkey").cast("bigint").alias("agent_id"), F.col("n_name").alias("agent_name")
-    )
+    return nation.selectExpr("CAST(n_nationkey AS BIGINT) AS agent_id", "n_name AS agent_name")
 
 
 def managers(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region")
-    return region.select(
-        F.col("r_regionkey").cast("bigint").alias("manager_id"), F.col("r_name").alias("manager_name")
-    )
+    return region.selectExpr("CAST(r_regionkey AS BIGINT) AS manager_id", "r_name AS manager_name")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
-    return customer.select(
-        F.col("c_custkey").cast("bigint").alias("customer_id"), F.col("c_mktsegment").alias("program")
-    )
+    return customer.selectExpr("c_custkey AS customer_id", "c_mktsegment AS program")
 
 
 def agent_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agents stay with one manager, or move to the next one late in January."""
-    nation = read_table(spark, sf_dir, "nation")
-    n, home = F.col("n_nationkey"), F.col("n_regionkey")
-    moves = n % 3 != 0
-    move_day = F.date_add(F.lit("2024-01-25").cast("date"), n)
-    open_end = F.lit(OPEN_END)
-    before = F.struct(
-        home.cast("bigint").alias("manager_id"),
-        F.lit("2024-01-01").cast("date").alias("effective_start"),
-        F.when(moves, F.date_sub(move_day, 1)).otherwise(open_end).alias("effective_end"),
+    nation = read_table(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS agent_id",
+        "CAST(n_regionkey AS BIGINT) AS home",
+        "n_nationkey % 3 <> 0 AS moves",
+        "date_add(DATE'2024-01-25', n_nationkey) AS move_day",
+        f"DATE'{OPEN_END}' AS open_end",
     )
-    after = F.struct(
-        ((home + 1) % 5).cast("bigint").alias("manager_id"),
-        move_day.alias("effective_start"),
-        open_end.alias("effective_end"),
+    return nation.selectExpr(
+        "agent_id",
+        """inline(filter(array(
+            struct(home AS manager_id, DATE'2024-01-01' AS effective_start,
+                   IF(moves, date_sub(move_day, 1), open_end) AS effective_end),
+            struct((home + 1) % 5 AS manager_id, move_day AS effective_start, open_end AS effective_end)
+        ), segment -> moves OR segment.effective_start < move_day))""",
     )
-    segments = F.when(moves, F.array(before, after)).otherwise(F.array(before))
-    return nation.select(n.cast("bigint").alias("agent_id"), F.inline(segments))
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:

@@ -41,7 +41,7 @@ def surveys_daily(spark, *entries):
 
 def test_recommendation_class(spark):
     scores = spark.createDataFrame([(n,) for n in (0, 6, 7, 8, 9, 10, None)], "nps bigint")
-    found = {r["nps"]: r["c"] for r in scores.select("nps", recommendation_class(F.col("nps")).alias("c")).collect()}
+    found = {r["nps"]: r["c"] for r in scores.selectExpr("nps", f"{recommendation_class('nps')} AS c").collect()}
     assert found == {0: -1, 6: -1, 7: 0, 8: 0, 9: 1, 10: 1, None: None}
 
 
@@ -51,7 +51,9 @@ def test_days_crossed_counts_midnights(spark):
             [("2024-01-16 23:00:00", "2024-01-17 01:00:00"), ("2024-01-16 00:00:00", "2024-01-16 23:59:00")],
             "a string, b string",
         )
-        gap = df.select(days_crossed(F.col("a").cast(kind), F.col("b").cast(kind)).alias("d"))
+        gap = df.selectExpr(f"CAST(a AS {kind}) AS a", f"CAST(b AS {kind}) AS b").selectExpr(
+            f"{days_crossed('a', 'b')} AS d"
+        )
         assert [r["d"] for r in gap.collect()] == [1, 0]
 
 
