@@ -19,7 +19,7 @@ from datetime import date
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,22 +140,30 @@ class StoredTable:
             .parquet(f"{self.path}/data/commit={commit}")
         )
 
-    def _written(self, commit: int, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/data/commit={commit}")
+    def _written(self, commit: int) -> DataFrame:
+        return self.spark.read.schema(self.state.schema).parquet(f"{self.path}/data/commit={commit}")
 
-    def _stage(self, df: DataFrame, commit: int) -> tuple[T.StructType, DataFrame, dict[Day, int]]:
-        """Write ``df`` into the commit's folder, stamped with the time of the run."""
+    def _stage(self, df: DataFrame, commit: int) -> tuple[DataFrame, dict[Day, Row]]:
+        """Write ``df`` into the commit's folder, stamped with the time of the run.
+
+        Returns the written rows, and per day their number and range of keys.
+        """
         stamped = df.withColumn(UPDATED, F.current_timestamp()).withColumn(PART, F.to_date(self.day_column))
         # Files can hold NULLs whatever the plan says about nullability.
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema.fields])
         self._write(stamped, commit, "overwrite")
-        written = self._written(commit, schema)
         self.state.schema = schema
-        return schema, written, self._count_by_day(written)
+        written = self._written(commit)
+        key = self.keys[0]
+        facts = written.groupBy(PART).agg(
+            F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+        )
+        return written, {row[PART]: row for row in facts.collect()}
 
-    def _info(self, commit: int, rows: dict[Day, int], touched: Iterable[Day]) -> CommitInfo:
+    def _info(self, commit: int, batch: dict[Day, Row], touched: Iterable[Day]) -> CommitInfo:
         columns = tuple((f.name, f.dataType.simpleString()) for f in self.state.schema if f.name != PART)
-        return CommitInfo(self.name, commit, sum(rows.values()), tuple(sorted(touched, key=_by_day)), columns)
+        rows = sum(day["n"] for day in batch.values())
+        return CommitInfo(self.name, commit, rows, tuple(sorted(touched, key=_by_day)), columns)
 
     def upsert(self, batch: DataFrame) -> CommitInfo:
         """Replace the rows that share a key with ``batch`` and add the batch.
@@ -164,44 +172,45 @@ class StoredTable:
         does not replace are then copied next to it.
         """
         commit = self.state.last_commit + 1
-        schema, written, batch_rows = self._stage(batch, commit)
-        moved = self._days_holding(written, set(batch_rows))
-        touched = {*batch_rows, *moved}
-        present = set(batch_rows)
+        written, by_day = self._stage(batch, commit)
+        moved = self._other_days_with_keys_of(written, by_day)
+        touched = {*by_day, *moved}
+        present = set(by_day)
         to_merge = [d for d in self.days() if d in touched]
         if to_merge:
             # The file listing of ``written`` is fixed, so it stays the batch
             # alone while the survivors are appended to the same folder.
             survivors = self._rows(to_merge).join(written.select(*self.keys), self.keys, "left_anti")
-            self._write(survivors.select(*schema.names), commit, "append")
+            self._write(survivors.select(*self.state.schema.names), commit, "append")
         if moved:
             # A day may have lost all its rows to other days.
-            present = set(self._count_by_day(self._written(commit, schema)))
+            present = {row[PART] for row in self._written(commit).select(PART).distinct().collect()}
         self._log(commit, touched, present)
-        return self._info(commit, batch_rows, touched)
+        return self._info(commit, by_day, touched)
 
     def replace(self, df: DataFrame) -> CommitInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
         commit, old = self.state.last_commit + 1, self.days()
-        _, _, rows = self._stage(df, commit)
-        self._log(commit, {*rows, *old}, set(rows))
-        return self._info(commit, rows, rows)
-
-    @staticmethod
-    def _count_by_day(rows: DataFrame) -> dict[Day, int]:
-        return {r[PART]: r["n"] for r in rows.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
+        _, by_day = self._stage(df, commit)
+        self._log(commit, {*by_day, *old}, set(by_day))
+        return self._info(commit, by_day, by_day)
 
-    def _days_holding(self, batch: DataFrame, known: set[Day]) -> set[Day]:
-        """Other days that hold an older version of a key in ``batch``.
+    def _other_days_with_keys_of(self, batch: DataFrame, by_day: dict[Day, Row]) -> set[Day]:
+        """Days outside the batch that hold an older version of one of its keys.
 
         Needed only where the day is not part of the key: a correction may move
-        a record to another day. Reads no more than the key columns.
+        a record to another day. Only key columns are read, and only where file
+        statistics allow a key of the batch's range; with ids that grow over
+        time, that leaves out nearly all of the history.
         """
-        others = [d for d in self.days() if d not in known]
-        if self.day_column in self.keys or not others:
+        others = [d for d in self.days() if d not in by_day]
+        keyed = [day for day in by_day.values() if day["low"] is not None]
+        if self.day_column in self.keys or not others or not keyed:
             return set()
-        moved = self._rows(others).select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
-        return {r[PART] for r in moved.select(PART).distinct().collect()}
+        low, high = min(day["low"] for day in keyed), max(day["high"] for day in keyed)
+        candidates = self._rows(others).where(F.col(self.keys[0]).between(F.lit(low), F.lit(high)))
+        moved = candidates.select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
+        return {row[PART] for row in moved.select(PART).distinct().collect()}
 
     def _log(self, commit: int, touched: set[Day], present: set[Day]) -> None:
         """Make a commit visible. The number of entries is the number of days it touched."""

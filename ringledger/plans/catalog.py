@@ -29,7 +29,7 @@ from ringledger.sources import stand_in
 from ringledger.sources.coverage import dataset_coverage
 from ringledger.sources.landing import append_days, scan_days
 from ringledger.sources.seeds import read_seed, write_seed
-from ringledger.streaming.ingest import EVENT_DAY, ingest_new_files, load_log, raw_table
+from ringledger.streaming.ingest import EVENT_DAY, ingest_all, load_log, raw_table
 from ringledger.window import RunWindow, Span, within_inclusive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,7 +99,7 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for load in (stand_in.FIRST_LOAD, stand_in.SECOND_LOAD):
         for name, feed in DATASETS.items():
             append_days(source.raw(name).where(F.col("load_id") == load), base, feed)
-            ingest_new_files(spark, feed, base, raw)
+        ingest_all(spark, DATASETS.values(), base, raw)
 
     def stacked(name: str) -> DataFrame:
         feed = DATASETS[name]

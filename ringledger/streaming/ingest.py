@@ -8,6 +8,9 @@ the staging tables keep the latest version.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +59,13 @@ def ingest_new_files(spark: SparkSession, dataset: Dataset, base: str, raw: str)
     query.awaitTermination()
 
 
+def ingest_all(spark: SparkSession, datasets: Iterable[Dataset], base: str, raw: str) -> None:
+    """Ingest several feeds side by side; they share neither files nor checkpoints."""
+    feeds = list(datasets)
+    with ThreadPoolExecutor(len(feeds)) as pool:
+        list(pool.map(lambda feed: ingest_new_files(spark, feed, base, raw), feeds))
+
+
 def raw_table(spark: SparkSession, raw: str, dataset: Dataset) -> DataFrame:
     """All loads of a dataset, with ``load_id`` and the ``event_day`` they are filed under."""
     schema = T.StructType(
