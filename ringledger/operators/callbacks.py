@@ -158,14 +158,18 @@ def repeat_flags(
     combine on the map side, so a hot customer arrives as a few rows per map task;
     the join back is linear and keeps hot topics out of the exchange.
     """
-    topic = ["customer_id", "reason_code", "sub_reason_code", "cell"]
+    # Numbers first: sorts then rarely get as far as comparing texts.
+    topic = ["customer_id", "cell", "reason_code", "sub_reason_code"]
     celled = tickets.selectExpr(
         "crm_id", "agent_id", "agent_name", "created_ts", "previous_issue_flag",
-        *topic[:-1], f"{_cell('created_ts', callback_days)} AS cell",
+        "customer_id", "reason_code", "sub_reason_code",
+        f"{_cell('created_ts', callback_days)} AS cell",
     )
     # Each ticket is seen from its own cell and from the one before it.
     sightings = callbacks.keep(celled, "created_ts").selectExpr(
-        *topic[:-1],
+        "customer_id",
+        "reason_code",
+        "sub_reason_code",
         "created_ts",
         "previous_issue_flag",
         "inline(array(struct(cell, false AS ahead), struct(cell - 1 AS cell, true AS ahead)))",

@@ -34,12 +34,15 @@ def left_lookup(
     needs no further exchange for this join, which also means that AQE would not
     split it: hence the explicit treatment.
     """
-    wanted = ", ".join(values)
+    # Both uses of the lookup take the same rows and columns, so that Spark plans
+    # its aggregation once and reuses the exchange. NULL keys never match anyway.
+    lookup = lookup.where(" AND ".join(f"{key} IS NOT NULL" for key in keys))
+    answer = f"struct({', '.join([*values, weight])})"
     heaviest = (
         lookup.where(f"{weight} > {int(hot_rows)}")
         .orderBy(F.desc(weight), *keys)
         .limit(MAX_HOT_KEYS)
-        .selectExpr(*keys, f"struct({wanted}) AS hot")
+        .selectExpr(*keys, f"{answer} AS hot")
     )
     kept = [name for name in facts.columns if name != spread_key]
     scattered = facts.join(F.broadcast(heaviest), list(keys), "left").selectExpr(
@@ -48,7 +51,7 @@ def left_lookup(
         f"{spread_key} AS home_key",
         f"IF(hot IS NULL, {spread_key}, {spread}) AS {spread_key}",
     )
-    others = lookup.selectExpr(*keys, f"struct({wanted}) AS other")
+    others = lookup.selectExpr(*keys, f"{answer} AS other")
     return (
         scattered.join(others, list(keys), "left")
         .selectExpr(*kept, f"home_key AS {spread_key}", "IF(hot IS NULL, other, hot) AS found")

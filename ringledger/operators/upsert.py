@@ -59,11 +59,14 @@ class _State:
     """Current commit per day, as far as the log has been read."""
 
     commit_of: dict[Day, int] = field(default_factory=dict)
+    superseded: set[tuple[int, Day]] = field(default_factory=set)
     last_commit: int = 0
     schema: T.StructType | None = None
 
     def apply(self, commit: int, day: Day, holds_rows: bool) -> None:
         self.last_commit = max(self.last_commit, commit)
+        if day in self.commit_of:
+            self.superseded.add((self.commit_of[day], day))
         if holds_rows:
             self.commit_of[day] = commit
         else:
@@ -223,19 +226,20 @@ class StoredTable:
         for day in days:
             self.state.apply(commit, day, day in present)
 
+    # -- upkeep ----------------------------------------------------------------
 
-class Warehouse:
-    """Stored tables under one root, with one sub-folder per layer."""
+    def drop_superseded(self) -> int:
+        """Delete the folders of days that a later commit has replaced.
 
-    def __init__(self, spark: SparkSession, root: str, layers: dict[str, str] | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        # A layer that is not listed is stored under its own name.
-        self.layers = layers or {}
-        self._tables: dict[str, StoredTable] = {}
-
-    def table(self, name: str, layer: str, keys: Iterable[str], day_column: str) -> StoredTable:
-        if name not in self._tables:
-            path = f"{self.root}/{self.layers.get(layer, layer)}/{name}"
-            self._tables[name] = StoredTable(self.spark, path, keys, day_column, name)
-        return self._tables[name]
+        Not part of a run: readers that started before it may still be using them.
+        """
+        jvm = self.spark.sparkContext._jvm
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        dropped = 0
+        for commit, day in sorted(self.state.superseded, key=str):
+            folder = jvm.org.apache.hadoop.fs.Path(
+                f"{self.path}/data/commit={commit}/{PART}={_folder(day)}"
+            )
+            dropped += folder.getFileSystem(hadoop).delete(folder, True)
+        self.state.superseded.clear()
+        return dropped

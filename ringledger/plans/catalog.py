@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
@@ -13,14 +13,13 @@ from ringledger.operators import insights
 from ringledger.operators.assignments import segments_from_changes
 from ringledger.operators.callbacks import repeat_flags
 from ringledger.operators.latest import latest_version, repeated_records
-from ringledger.operators.quality import UNIQUE, Check, check_report, failing_rows
+from ringledger.operators.quality import UNIQUE, Check, failing_rows
 from ringledger.operators.resolution import (
     compare_definitions,
     resolved_unless_repeated,
     resolved_with_cutover,
 )
 from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
-from ringledger.plans.checks import CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, LazyTables
 from ringledger.plans.runs import StoredTables, lineage
 from ringledger.schemas import DATASETS
@@ -258,10 +257,6 @@ def upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- full builds -----------------------------------------------------------------------
 
 
-def _local_rows(spark: SparkSession, rows: Iterable[tuple], columns: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), columns)
-
-
 def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build and store all tables; rows per table, counted by reading them back."""
     store = _fresh_store(spark, sf_dir, "build")
@@ -288,22 +283,20 @@ def _built_once(spark: SparkSession, sf_dir: str) -> tuple[StoredTables, list[Co
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was stored: rows per table, and its columns in order."""
     _, commits = _built_once(spark, sf_dir)
-    return _local_rows(
-        spark,
-        (
-            (info.table, position, name, kind, info.rows_written)
-            for info in commits
-            for position, (name, kind) in enumerate(info.columns, start=1)
-        ),
-        "table_name string, position int, column_name string, data_type string, row_count bigint",
+    rows = [
+        (info.table, position, name, kind, info.rows_written)
+        for info in commits
+        for position, (name, kind) in enumerate(info.columns, start=1)
+    ]
+    return spark.createDataFrame(
+        rows, "table_name string, position int, column_name string, data_type string, row_count bigint"
     )
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over the seeds and the stored tables."""
     store, _ = _built_once(spark, sf_dir)
-    seeds = store.inputs.seed_names
-    return check_report(CHECKS, lambda name: store.seed(name) if name in seeds else store[name])
+    return store.check()
 
 
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

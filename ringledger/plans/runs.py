@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable, Warehouse
+from ringledger.operators.quality import Check, check_report
+from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
+from ringledger.plans.checks import CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, Model
 from ringledger.schemas import DATASETS
 from ringledger.sources.inputs import Inputs
@@ -18,13 +20,22 @@ from ringledger.window import EVERYTHING, RunWindow, Span
 class StoredTables:
     """Reads raw inputs and stored tables, and writes the latter in dependency order."""
 
-    def __init__(self, spark: SparkSession, root: str, inputs: Inputs):
+    def __init__(
+        self, spark: SparkSession, root: str, inputs: Inputs, layers: Mapping[str, str] | None = None
+    ):
+        self.root = root.rstrip("/")
         self.inputs = inputs
-        self.warehouse = Warehouse(spark, root)
+        # A layer that is not listed is stored under its own name.
+        folders = layers or {}
+        self._stored = {
+            m.name: StoredTable(
+                spark, f"{self.root}/{folders.get(m.layer, m.layer)}/{m.name}", m.keys, m.day
+            )
+            for m in MODELS
+        }
 
     def stored(self, name: str) -> StoredTable:
-        model = BY_NAME[name]
-        return self.warehouse.table(model.name, model.layer, model.keys, model.day)
+        return self._stored[name]
 
     # -- Reader ----------------------------------------------------------------
 
@@ -72,6 +83,11 @@ class StoredTables:
         """Recompute what ``window`` may change and merge it by key."""
         return self._each(only, lambda m: self.stored(m.name).upsert(m.build(self, window)))
 
+    def check(self, checks: Iterable[Check] = CHECKS) -> DataFrame:
+        """The expectations on seeds and tables, counted over what is stored now."""
+        seeds = self.inputs.seed_names
+        return check_report(checks, lambda name: self.seed(name) if name in seeds else self[name])
+
 
 # What each table is computed from.
 _DAILY = (

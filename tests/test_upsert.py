@@ -4,7 +4,9 @@ from datetime import date
 
 import pytest
 
-from ringledger.operators.upsert import UPDATED, StoredTable, Warehouse
+from ringledger.operators.upsert import UPDATED, StoredTable
+from ringledger.plans.runs import StoredTables
+from ringledger.sources.inputs import Inputs
 from ringledger.window import Span
 from tests.conftest import at, rows
 
@@ -115,7 +117,17 @@ def test_never_written_table_cannot_be_read(table):
         table.read()
 
 
+def test_superseded_days_can_be_dropped(spark, table):
+    table.upsert(batch(spark, (1, "01-16 09:00", "a"), (2, "01-17 09:00", "b")))
+    table.upsert(batch(spark, (1, "01-16 09:00", "A")))
+    table.upsert(batch(spark, (2, "01-18 09:00", "B")))
+    fresh = StoredTable(spark, table.path, ["id"], "ts")
+    assert fresh.drop_superseded() == 2
+    assert values(fresh) == values(table) == [(1, "A"), (2, "B")]
+    assert fresh.drop_superseded() == 0
+
+
 def test_layers_map_to_folders(spark, tmp_path):
-    house = Warehouse(spark, str(tmp_path), {"core": "gold"})
-    assert house.table("a", "core", ["id"], "ts").path == f"{tmp_path}/gold/a"
-    assert house.table("b", "mart", ["id"], "ts").path == f"{tmp_path}/mart/b"
+    tables = StoredTables(spark, str(tmp_path), Inputs({}, {}, {}), layers={"core": "gold"})
+    assert tables.stored("daily_agent_metrics").path == f"{tmp_path}/gold/daily_agent_metrics"
+    assert tables.stored("mart_crm").path == f"{tmp_path}/mart/mart_crm"
