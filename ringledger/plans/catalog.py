@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.operators import insights
-from ringledger.operators.assignments import segments_from_changes
+from ringledger.operators.assignments import segments_from_changes, with_manager
 from ringledger.operators.callbacks import repeat_flags
 from ringledger.operators.latest import latest_version, repeated_records
 from ringledger.operators.quality import UNIQUE, Check, failing_rows
@@ -136,15 +136,20 @@ def seed_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manager assignments as CSV and back, with names from two more seeds."""
+    """Three more seeds as CSV and back, used to name the manager in charge of every call."""
     folder = scratch_dir(spark, "seeds")
     source = stand_in.inputs(spark, sf_dir)
     for name in ("agents", "managers", "agent_assignments"):
         write_seed(source.seed(name), folder, name)
-    return (
-        read_seed(spark, folder, "agent_assignments")
-        .join(read_seed(spark, folder, "agents"), "agent_id")
-        .join(read_seed(spark, folder, "managers"), "manager_id")
+    calls = latest_version(source.raw("calls"), source.loads("calls"), DATASETS["calls"])
+    dated = calls.join(read_seed(spark, folder, "agents"), "agent_id").selectExpr(
+        "call_id", "agent_id", "agent_name", "to_date(start_ts) AS call_date"
+    )
+    return with_manager(
+        dated,
+        "call_date",
+        read_seed(spark, folder, "agent_assignments"),
+        read_seed(spark, folder, "managers"),
     )
 
 

@@ -341,7 +341,11 @@ def expected_sql() -> dict[str, str]:
                c_mktsegment AS program
         FROM customer"""
     sql["seed_assignments"] = _query(
-        "SELECT * FROM agent_assignments JOIN agents USING (agent_id) JOIN managers USING (manager_id)"
+        _with_manager(
+            """SELECT call_id, agent_id, agent_name, CAST(start_ts AS DATE) AS call_date
+               FROM stg_calls JOIN agents USING (agent_id)""",
+            "call_date",
+        )
     )
     sql["dataset_coverage"] = _query(
         f"""SELECT day, calls_rows, crm_rows, surveys_rows,

@@ -21,9 +21,14 @@ from ringledger.sources.landing import DAY
 EVENT_DAY = "event_day"
 
 
-def ingest_new_files(spark: SparkSession, dataset: Dataset, base: str, raw: str) -> None:
+def ingest_new_files(
+    spark: SparkSession, dataset: Dataset, base: str, raw: str, files_per_load: int | None = None
+) -> None:
     """Bring every unseen file of ``<base>/<dataset>`` into ``<raw>/<dataset>``, then stop.
 
+    All of them make one load, unless ``files_per_load`` cuts a large backlog
+    into several.
+
     The stream's checkpoint remembers the files. A micro-batch may be handed out
     again after a failure; it then overwrites the folder of its own load, so no
     row is stored twice. Rows are filed by the day of their event time, which
@@ -48,9 +53,11 @@ def ingest_new_files(spark: SparkSession, dataset: Dataset, base: str, raw: str)
         )
         stamp.write.mode("overwrite").parquet(f"{target}/loads/{load}")
 
+    reader = spark.readStream.schema(schema)
+    if files_per_load is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_load)
     query = (
-        spark.readStream.schema(schema)
-        .parquet(f"{base}/{dataset.name}")
+        reader.parquet(f"{base}/{dataset.name}")
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{target}/checkpoint")
         .trigger(availableNow=True)

@@ -4,6 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.operators.callbacks import callback_pairs, repeat_flags
@@ -140,6 +141,15 @@ def test_flags_match_brute_force_with_and_without_hot_topics(spark, seed, hot_ro
     assert found == expected_flags(tickets)
 
 
+def test_zoned_timestamps_give_the_same_result(spark):
+    tickets = random_tickets(6, 200)
+    zoned = mart(spark, tickets).withColumn("created_ts", F.col("created_ts").cast("timestamp"))
+    found = callback_pairs(zoned, chunk_rows=5).select("original_crm_id", "callback_crm_id")
+    assert sorted(tuple(r) for r in found.collect()) == expected_pairs(tickets)
+    flags = repeat_flags(zoned).collect()
+    assert {r["crm_id"]: (r["repeated"], r["repeated_flagged"]) for r in flags} == expected_flags(tickets)
+
+
 def test_null_reason_never_disqualifies(spark):
     tickets = [ticket(1, "01-16 10:00", reason=None), ticket(2, "01-16 11:00", reason=None)]
     assert {r["fcr_num"] for r in resolved_unless_flagged(repeat_flags(mart(spark, tickets))).collect()} == {1}

@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+import subprocess
+import sys
+from types import SimpleNamespace
+
+import pytest
+
+from ringledger.session import RUNTIME_SETTINGS, scratch_dir, tune
+
+
+def session_with(**settings):
+    named = {"spark." + key.replace("_", "."): value for key, value in settings.items()}
+    return SimpleNamespace(conf=named)
+
+
+def test_scratch_goes_to_the_shared_folder():
+    session = session_with(master="yarn", checkpoint_dir="hdfs://shared/folder/")
+    folder = scratch_dir(session, "x")
+    assert folder.startswith("hdfs://shared/folder/ringledger-x-")
+    assert folder != scratch_dir(session, "x")
+
+
+def test_a_local_session_may_use_the_temporary_folder(spark):
+    assert scratch_dir(spark, "x").startswith("/tmp/")
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session_with(master="yarn"), "x")
+
+
+def test_the_folder_a_session_was_started_with_is_found(tmp_path):
+    code = f"""
+from ringledger.session import build_session, scratch_dir
+spark = build_session(master="local[1]", **{{"spark.checkpoint.dir": "{tmp_path}"}})
+assert scratch_dir(spark, "x").startswith("{tmp_path}/ringledger-x-")
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+def test_tune(spark):
+    tune(spark)
+    assert all(spark.conf.get(key) == value for key, value in RUNTIME_SETTINGS.items())

@@ -75,6 +75,26 @@ def test_ingestion_takes_every_new_file_once(spark, tmp_path):
     assert latest_version(raw_table(spark, raw, CALLS), log, CALLS).count() == 2
 
 
+def test_a_backlog_can_be_cut_into_loads(spark, tmp_path):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00"), (2, "01-17 09:00"), (3, "01-18 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw, files_per_load=1)
+    assert [n for n, _ in ingested(spark, raw)] == [1, 2, 3]
+    assert len({load for _, load in ingested(spark, raw)}) == 3 == load_log(spark, raw, CALLS).count()
+
+
+def test_a_load_that_is_repeated_is_stored_once(spark, tmp_path):
+    """The stream's state is lost after the rows were written: the load is written again."""
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw)
+    (Path(raw) / "calls" / "checkpoint" / "commits" / "0").unlink()
+    (Path(raw) / "calls" / "checkpoint" / "commits" / ".0.crc").unlink(missing_ok=True)
+    ingest_new_files(spark, CALLS, base, raw)
+    assert ingested(spark, raw) == [(1, "000000000")]
+    assert load_log(spark, raw, CALLS).count() == 1
+
+
 def test_files_with_zoned_timestamps_are_ingested(spark, tmp_path):
     base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
     append_days(calls(spark, (1, "01-16 23:30"), kind="timestamp"), base, CALLS)
