@@ -4,7 +4,9 @@ A table is a folder of commits. Each commit holds the complete rows of the days
 it touched, and a small log says which commit is current for which day::
 
     <root>/<layer>/<table>/data/commit=7/day=2024-01-16/part-*.parquet
-    <root>/<layer>/<table>/log/commit=7/part-*.parquet        (day, holds_rows)
+    <root>/<layer>/<table>/log/commit=7/part-*.parquet        (day, holds_rows, low, high)
+
+``low`` and ``high`` bound the first key column of the day's rows.
 
 Rows are written first, the log entry last. A run that dies in between leaves
 only a folder nobody refers to, which the next run overwrites; readers never see
@@ -16,20 +18,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
+from typing import Any, NamedTuple
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ringledger.window import EVERYTHING, Span
 
 PART = "day"
 UPDATED = "warehouse_updated_ts"
 
-_LOG = T.StructType([T.StructField(PART, T.DateType()), T.StructField("holds_rows", T.BooleanType())])
-
 # Records without a date are kept too, in the folder Spark uses for NULL.
 Day = date | None
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -54,23 +56,32 @@ class CommitInfo:
     columns: tuple[tuple[str, str], ...]
 
 
+class _Held(NamedTuple):
+    """Where the current rows of a day are, and the range of their first key."""
+
+    commit: int
+    low: Any
+    high: Any
+
+    def may_hold(self, low: Any, high: Any) -> bool:
+        return self.low is not None and self.low <= high and self.high >= low
+
+
 @dataclass
 class _State:
-    """Current commit per day, as far as the log has been read."""
+    """What the log says."""
 
-    commit_of: dict[Day, int] = field(default_factory=dict)
+    held: dict[Day, _Held] = field(default_factory=dict)
     superseded: set[tuple[int, Day]] = field(default_factory=set)
     last_commit: int = 0
     schema: T.StructType | None = None
 
-    def apply(self, commit: int, day: Day, holds_rows: bool) -> None:
+    def apply(self, commit: int, day: Day, held: _Held | None) -> None:
         self.last_commit = max(self.last_commit, commit)
-        if day in self.commit_of:
-            self.superseded.add((self.commit_of[day], day))
-        if holds_rows:
-            self.commit_of[day] = commit
-        else:
-            self.commit_of.pop(day, None)
+        if day in self.held:
+            self.superseded.add((self.held.pop(day).commit, day))
+        if held:
+            self.held[day] = held
 
 
 class StoredTable:
@@ -98,26 +109,26 @@ class StoredTable:
         """Replay the log. It has one row per commit and touched day, so it is as
         small as a partition listing."""
         state = _State()
-        log = T.StructType([*_LOG.fields, T.StructField("commit", T.IntegerType())])
         try:
-            entries = self.spark.read.schema(log).parquet(f"{self.path}/log").orderBy("commit").collect()
+            entries = self.spark.read.parquet(f"{self.path}/log").orderBy("commit").collect()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return state
-        for entry in entries:
-            state.apply(entry["commit"], entry[PART], entry["holds_rows"])
+        for e in entries:
+            held = _Held(e["commit"], e["low"], e["high"]) if e["holds_rows"] else None
+            state.apply(e["commit"], e[PART], held)
         return state
 
     def days(self, span: Span = EVERYTHING) -> list[Day]:
         """Days that hold rows."""
-        return sorted(filter(span.holds_day, self.state.commit_of), key=_by_day)
+        return sorted(filter(span.holds_day, self.state.held), key=_by_day)
 
     def _rows(self, days: Iterable[Day]) -> DataFrame:
         """Current rows of the given days, with the partition column."""
         state = self.state
         data = f"{self.path}/data"
-        paths = [f"{data}/commit={state.commit_of[d]}/{PART}={_folder(d)}" for d in days]
+        paths = [f"{data}/commit={state.held[d].commit}/{PART}={_folder(d)}" for d in days]
         if paths:
             reader = self.spark.read.option("basePath", data)
             if state.schema is not None:
@@ -136,9 +147,12 @@ class StoredTable:
     def _write(self, df: DataFrame, commit: int, mode: str) -> None:
         # Rebalancing by day gives every day a few well-sized files, and AQE
         # splits a day that is too big for one task.
+        # An overwrite must clear the whole folder of a run that died, whatever
+        # the session prefers.
         (
             df.hint("rebalance", PART)
             .write.mode(mode)
+            .option("partitionOverwriteMode", "static")
             .partitionBy(PART)
             .parquet(f"{self.path}/data/commit={commit}")
         )
@@ -177,54 +191,85 @@ class StoredTable:
         commit = self.state.last_commit + 1
         written, by_day = self._stage(batch, commit)
         moved = self._other_days_with_keys_of(written, by_day)
-        touched = {*by_day, *moved}
-        present = set(by_day)
-        to_merge = [d for d in self.days() if d in touched]
+        held = {day: _Held(commit, facts["low"], facts["high"]) for day, facts in by_day.items()}
+        to_merge = [d for d in self.days() if d in held or d in moved]
         if to_merge:
             # The file listing of ``written`` is fixed, so it stays the batch
             # alone while the survivors are appended to the same folder.
             survivors = self._rows(to_merge).join(written.select(*self.keys), self.keys, "left_anti")
             self._write(survivors.select(*self.state.schema.names), commit, "append")
+            for day in to_merge:
+                held[day] = self._widened(commit, self.state.held[day], held.get(day))
         if moved:
             # A day may have lost all its rows to other days.
-            present = {row[PART] for row in self._written(commit).select(PART).distinct().collect()}
-        self._log(commit, touched, present)
-        return self._info(commit, by_day, touched)
+            left = {row[PART] for row in self._written(commit).select(PART).distinct().collect()}
+            held = {day: now if day in left else None for day, now in held.items()}
+        self._log(commit, held)
+        return self._info(commit, by_day, held)
+
+    @staticmethod
+    def _widened(commit: int, before: _Held, batch: _Held | None) -> _Held:
+        """A key range that holds for the survivors of a day and its new rows."""
+        known = [h for h in (before, batch) if h is not None and h.low is not None]
+        if not known:
+            return _Held(commit, None, None)
+        return _Held(commit, min(h.low for h in known), max(h.high for h in known))
 
     def replace(self, df: DataFrame) -> CommitInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
         commit, old = self.state.last_commit + 1, self.days()
         _, by_day = self._stage(df, commit)
-        self._log(commit, {*by_day, *old}, set(by_day))
+        now = {day: _Held(commit, facts["low"], facts["high"]) for day, facts in by_day.items()}
+        self._log(commit, {**dict.fromkeys(old), **now})
         return self._info(commit, by_day, by_day)
 
     def _other_days_with_keys_of(self, batch: DataFrame, by_day: dict[Day, Row]) -> set[Day]:
         """Days outside the batch that hold an older version of one of its keys.
 
         Needed only where the day is not part of the key: a correction may move
-        a record to another day. Only key columns are read, and only where file
-        statistics allow a key of the batch's range; with ids that grow over
-        time, that leaves out nearly all of the history.
+        a record to another day. Days whose key range does not meet the batch's
+        are ruled out by the log; with ids that grow over time that is nearly all
+        of the history. Of the others only key columns are read.
         """
-        others = [d for d in self.days() if d not in by_day]
-        keyed = [day for day in by_day.values() if day["low"] is not None]
-        if self.day_column in self.keys or not others or not keyed:
+        keyed = [facts for facts in by_day.values() if facts["low"] is not None]
+        if self.day_column in self.keys or not keyed:
+            return set()
+        low, high = min(facts["low"] for facts in keyed), max(facts["high"] for facts in keyed)
+        others = [d for d, h in self.state.held.items() if d not in by_day and h.may_hold(low, high)]
+        if not others:
             return set()
-        low, high = min(day["low"] for day in keyed), max(day["high"] for day in keyed)
         candidates = self._rows(others).where(F.col(self.keys[0]).between(F.lit(low), F.lit(high)))
         moved = candidates.select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
         return {row[PART] for row in moved.select(PART).distinct().collect()}
 
-    def _log(self, commit: int, touched: set[Day], present: set[Day]) -> None:
+    def _log(self, commit: int, held: dict[Day, _Held | None]) -> None:
         """Make a commit visible. The number of entries is the number of days it touched."""
-        if not touched:
+        if not held:
             return
-        days = sorted(touched, key=_by_day)
-        entries = pa.table({PART: days, "holds_rows": [d in present for d in days]})
-        local = self.spark.createDataFrame(entries, _LOG).coalesce(1)
+        key_type = self.state.schema[self.keys[0]].dataType
+        schema = T.StructType(
+            [
+                T.StructField(PART, T.DateType()),
+                T.StructField("holds_rows", T.BooleanType()),
+                T.StructField("low", key_type),
+                T.StructField("high", key_type),
+            ]
+        )
+        days = sorted(held, key=_by_day)
+        now = [held[d] for d in days]
+        entries = pa.table(
+            {
+                PART: days,
+                "holds_rows": [h is not None for h in now],
+                "low": [h and h.low for h in now],
+                "high": [h and h.high for h in now],
+            },
+            schema=to_arrow_schema(schema),
+        )
+        local = self.spark.createDataFrame(entries, schema).coalesce(1)
         local.write.mode("overwrite").parquet(f"{self.path}/log/commit={commit}")
         for day in days:
-            self.state.apply(commit, day, day in present)
+            self.state.apply(commit, day, held[day])
 
     # -- upkeep ----------------------------------------------------------------
 

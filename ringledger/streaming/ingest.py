@@ -45,6 +45,7 @@ def ingest_new_files(
         (
             batch.select(*dataset.column_names, F.to_date(dataset.event_ts).alias(EVENT_DAY))
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy(EVENT_DAY)
             .parquet(f"{target}/rows/{load}")
         )

@@ -24,7 +24,7 @@ def table(spark, tmp_path):
 
 def values(table, span=None):
     df = table.read(span) if span else table.read()
-    return sorted((r["id"], r["v"]) for r in df.collect())
+    return sorted(((r["id"], r["v"]) for r in df.collect()), key=repr)
 
 
 def test_rows_are_replaced_by_key_and_others_stay(spark, table):
@@ -39,7 +39,7 @@ def test_rows_are_replaced_by_key_and_others_stay(spark, table):
 def test_untouched_days_are_not_rewritten(spark, table):
     table.upsert(batch(spark, (1, "01-16 09:00", "a"), (3, "01-17 10:00", "c")))
     table.upsert(batch(spark, (1, "01-16 09:00", "A")))
-    assert table.state.commit_of == {date(2024, 1, 16): 2, date(2024, 1, 17): 1}
+    assert {d: h.commit for d, h in table.state.held.items()} == {date(2024, 1, 16): 2, date(2024, 1, 17): 1}
 
 
 def test_key_that_moves_to_another_day(spark, table):
@@ -68,7 +68,25 @@ def test_another_reader_sees_the_same_rows(spark, table):
     assert fresh.state.last_commit == 3 and values(fresh) == [(1, "A"), (2, "B")]
 
 
-def test_a_run_that_died_leaves_no_trace(spark, table):
+def test_key_ranges_rule_out_days(spark, table):
+    table.upsert(batch(spark, (1, "01-16 09:00", "a"), (5, "01-16 10:00", "b"), (8, "01-17 09:00", "c")))
+    table.upsert(batch(spark, (3, "01-16 11:00", "d"), (20, "01-18 09:00", "e")))
+    for reader in (table, StoredTable(spark, table.path, ["id"], "ts")):
+        ranges = {d.day: (h.low, h.high) for d, h in reader.state.held.items()}
+        assert ranges == {16: (1, 5), 17: (8, 8), 18: (20, 20)}
+        assert {d.day for d, h in reader.state.held.items() if h.may_hold(4, 8)} == {16, 17}
+
+
+def test_text_keys(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"), ["v"], "ts")
+    table.upsert(batch(spark, (1, "01-16 09:00", "a"), (2, "01-17 09:00", "b")))
+    table.upsert(batch(spark, (3, "01-18 09:00", "a"), (4, "01-18 09:00", None)))
+    fresh = StoredTable(spark, table.path, ["v"], "ts")
+    assert values(fresh) == [(2, "b"), (3, "a"), (4, None)]
+
+
+def test_a_run_that_died_leaves_no_trace(spark, table, conf):
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
     table.upsert(batch(spark, (1, "01-16 09:00", "a")))
     # Rows of commit 2 were written, its log entry was not.
     orphan = batch(spark, (1, "01-16 09:00", "lost"), (9, "01-17 09:00", "lost"))
@@ -79,6 +97,7 @@ def test_a_run_that_died_leaves_no_trace(spark, table):
     assert values(fresh) == [(1, "a")]
     fresh.upsert(batch(spark, (2, "01-16 10:00", "b")))
     assert values(fresh) == [(1, "a"), (2, "b")]
+    assert fresh.days() == [date(2024, 1, 16)]
     assert values(StoredTable(spark, table.path, ["id"], "ts")) == [(1, "a"), (2, "b")]
 
 
