@@ -13,13 +13,14 @@ from ringledger.operators import insights
 from ringledger.operators.assignments import segments_from_changes, with_manager
 from ringledger.operators.callbacks import repeat_flags
 from ringledger.operators.latest import latest_version, repeated_records
-from ringledger.operators.quality import UNIQUE, Check, failing_rows
+from ringledger.operators.quality import UNIQUE, Check, check_report, failing_rows
 from ringledger.operators.resolution import (
     compare_definitions,
     resolved_unless_repeated,
     resolved_with_cutover,
 )
 from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
+from ringledger.plans.checks import RAW_CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, LazyTables
 from ringledger.plans.runs import StoredTables, lineage
 from ringledger.schemas import DATASETS
@@ -304,6 +305,12 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.check()
 
 
+def dq_raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging checks over the raw feeds, where repeated loads show up."""
+    source = stand_in.inputs(spark, sf_dir)
+    return check_report(RAW_CHECKS, lambda name: source.raw(name.removeprefix("raw_")))
+
+
 def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw calls that were loaded twice: the rows behind a failing uniqueness check."""
     raw = stand_in.raw_calls(spark, sf_dir)
@@ -360,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "full_build": full_build,
     "table_profile": table_profile,
     "dq_report": dq_report,
+    "dq_raw_report": dq_raw_report,
     "dq_failing_rows": dq_failing_rows,
     "agent_fcr_extremes": agent_fcr_extremes,
     "manager_csat_latest_month": manager_csat_latest_month,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ringledger.operators.quality import (
     ACCEPTED_VALUES,
     EXPRESSION,
@@ -116,3 +118,11 @@ CHECKS: tuple[Check, ...] = (
     ),
     *_scorecard("monthly_manager_metrics", ("manager_id", "call_month"), ("survey_count",)),
 )
+
+# The staging expectations asked of the raw feeds: records that were loaded more
+# than once fail uniqueness there, and only there.
+RAW_CHECKS: tuple[Check, ...] = tuple(
+    replace(check, table=check.table.replace("stg_", "raw_", 1))
+    for check in CHECKS
+    if check.table.startswith("stg_")
+)

@@ -12,7 +12,7 @@ from ringledger.operators.quality import (
     UNIQUE,
     Check,
 )
-from ringledger.plans.checks import CHECKS
+from ringledger.plans.checks import CHECKS, RAW_CHECKS
 
 # Named sub-queries. Each may use the ones above it.
 PARTS: dict[str, str] = {}
@@ -245,7 +245,8 @@ def _check_sql(check: Check) -> str:
     column = ", ".join(check.columns)
     failing = {
         NOT_NULL: f"SELECT count(*) FROM {check.table} WHERE {column} IS NULL",
-        UNIQUE: f"SELECT count({column}) - count(DISTINCT {column}) FROM {check.table}",
+        UNIQUE: f"""SELECT count(*) FROM (SELECT {column} FROM {check.table} WHERE {column} IS NOT NULL
+                    GROUP BY ALL HAVING count(*) > 1)""",
     }.get(check.kind)
     if check.kind == ACCEPTED_VALUES:
         allowed = ", ".join(map(str, check.values))
@@ -261,37 +262,54 @@ def _check_sql(check: Check) -> str:
     elif failing is None:
         failing = f"SELECT count(*) FROM (SELECT {column} FROM {check.table} GROUP BY ALL HAVING count(*) > 1)"
     subject = check.subject.replace("'", "''")
-    return f"SELECT '{check.table}' AS table_name, '{check.kind}' AS check_name, '{subject}' AS subject, ({failing}) AS failing_rows"
+    return f"""SELECT '{check.table}' AS table_name, '{check.kind}' AS check_name, '{subject}' AS subject,
+        ({failing}) AS failing_rows"""
 
 
 # Columns of the stored tables, in order, with their Spark types.
-_CALL_FACT = "start_ts timestamp_ntz, end_ts timestamp_ntz, duration_s bigint, hold_time_during_call_s bigint, transfer_flag boolean"
-_FIGURES = "customer_resolution_time double, avg_hold_time double, transfer_rate double, first_call_resolution double, survey_count bigint, csat double, nps double"
-_NAMED = "manager_id bigint, manager_name string"
+_CALL = """start_ts timestamp_ntz, end_ts timestamp_ntz, duration_s bigint,
+    hold_time_during_call_s bigint, transfer_flag boolean"""
+_TOPIC = """reason_code string, sub_reason_code string, previous_issue_flag boolean,
+    created_ts timestamp_ntz"""
+_FIGURES = """customer_resolution_time double, avg_hold_time double, transfer_rate double,
+    first_call_resolution double, survey_count bigint, csat double, nps double"""
+_AGENT_COLUMNS = "agent_id bigint, agent_name string"
+_MANAGER_COLUMNS = "manager_id bigint, manager_name string"
+_CUSTOMER_COLUMNS = "customer_id bigint, customer_program string"
 COLUMNS = {
-    "stg_calls": f"call_id bigint, agent_id bigint, customer_id bigint, queue_hold_time bigint, {_CALL_FACT}",
-    "stg_crm": "crm_id bigint, agent_id bigint, call_id bigint, customer_id bigint, reason_code string, sub_reason_code string, previous_issue_flag boolean, created_ts timestamp_ntz",
-    "stg_surveys": "survey_id bigint, call_id bigint, agent_id bigint, customer_id bigint, sent_ts timestamp_ntz, response_ts timestamp_ntz, csat bigint, nps bigint",
-    "mart_calls": f"call_id bigint, agent_id bigint, agent_name string, customer_id bigint, customer_program string, queue_hold_time bigint, {_CALL_FACT}",
-    "mart_crm": "crm_id bigint, agent_id bigint, agent_name string, call_id bigint, customer_id bigint, customer_program string, reason_code string, sub_reason_code string, previous_issue_flag boolean, created_ts timestamp_ntz",
-    "mart_surveys": "survey_id bigint, call_id bigint, agent_id bigint, agent_name string, customer_id bigint, customer_program string, sent_ts timestamp_ntz, response_ts timestamp_ntz, days_to_respond bigint, csat bigint, nps bigint, nps_calc int",
-    "mart_crm_callbacks": "original_crm_id bigint, callback_crm_id bigint, original_agent_id bigint, callback_agent_id bigint, customer_id bigint, original_created_ts timestamp_ntz, callback_created_ts timestamp_ntz, days_between bigint, same_reason_flag boolean, same_sub_reason_flag boolean, callback_previous_issue_flag boolean",
-    "mart_first_call_resolution": "crm_id bigint, agent_id bigint, agent_name string, fcr_date date, fcr_denom int, fcr_num int",
-    "daily_agent_call_metrics_source": f"agent_id bigint, agent_name string, call_date date, duration_sum bigint, agent_hold_time_sum bigint, transfer_sum bigint, call_count bigint, {_NAMED}",
-    "daily_agent_crm_metrics_source": f"agent_id bigint, agent_name string, call_date date, fcr_sum bigint, fcr_denom bigint, {_NAMED}",
-    "daily_agent_survey_metrics_source": f"agent_id bigint, agent_name string, survey_date date, csat_sum bigint, nps_calc_sum bigint, survey_count bigint, {_NAMED}",
-    "daily_agent_metrics": f"agent_id bigint, agent_name string, call_date date, call_count bigint, {_FIGURES}",
-    "daily_agent_manager_metrics": f"agent_id bigint, agent_name string, {_NAMED}, call_date date, call_count bigint, {_FIGURES}",
-    "monthly_agent_metrics": f"agent_id bigint, agent_name string, call_month date, {_FIGURES}",
-    "monthly_agent_manager_metrics": f"agent_id bigint, agent_name string, {_NAMED}, call_month date, {_FIGURES}",
-    "monthly_manager_metrics": f"{_NAMED}, call_month date, {_FIGURES}",
+    "stg_calls": f"call_id bigint, agent_id bigint, customer_id bigint, queue_hold_time bigint, {_CALL}",
+    "stg_crm": f"crm_id bigint, agent_id bigint, call_id bigint, customer_id bigint, {_TOPIC}",
+    "stg_surveys": """survey_id bigint, call_id bigint, agent_id bigint, customer_id bigint,
+        sent_ts timestamp_ntz, response_ts timestamp_ntz, csat bigint, nps bigint""",
+    "mart_calls": f"call_id bigint, {_AGENT_COLUMNS}, {_CUSTOMER_COLUMNS}, queue_hold_time bigint, {_CALL}",
+    "mart_crm": f"crm_id bigint, {_AGENT_COLUMNS}, call_id bigint, {_CUSTOMER_COLUMNS}, {_TOPIC}",
+    "mart_surveys": f"""survey_id bigint, call_id bigint, {_AGENT_COLUMNS}, {_CUSTOMER_COLUMNS},
+        sent_ts timestamp_ntz, response_ts timestamp_ntz, days_to_respond bigint, csat bigint, nps bigint,
+        nps_calc int""",
+    "mart_crm_callbacks": """original_crm_id bigint, callback_crm_id bigint, original_agent_id bigint,
+        callback_agent_id bigint, customer_id bigint, original_created_ts timestamp_ntz,
+        callback_created_ts timestamp_ntz, days_between bigint, same_reason_flag boolean,
+        same_sub_reason_flag boolean, callback_previous_issue_flag boolean""",
+    "mart_first_call_resolution": f"crm_id bigint, {_AGENT_COLUMNS}, fcr_date date, fcr_denom int, fcr_num int",
+    "daily_agent_call_metrics_source": f"""{_AGENT_COLUMNS}, call_date date, duration_sum bigint,
+        agent_hold_time_sum bigint, transfer_sum bigint, call_count bigint, {_MANAGER_COLUMNS}""",
+    "daily_agent_crm_metrics_source": f"""{_AGENT_COLUMNS}, call_date date, fcr_sum bigint,
+        fcr_denom bigint, {_MANAGER_COLUMNS}""",
+    "daily_agent_survey_metrics_source": f"""{_AGENT_COLUMNS}, survey_date date, csat_sum bigint,
+        nps_calc_sum bigint, survey_count bigint, {_MANAGER_COLUMNS}""",
+    "daily_agent_metrics": f"{_AGENT_COLUMNS}, call_date date, call_count bigint, {_FIGURES}",
+    "daily_agent_manager_metrics": f"""{_AGENT_COLUMNS}, {_MANAGER_COLUMNS}, call_date date,
+        call_count bigint, {_FIGURES}""",
+    "monthly_agent_metrics": f"{_AGENT_COLUMNS}, call_month date, {_FIGURES}",
+    "monthly_agent_manager_metrics": f"{_AGENT_COLUMNS}, {_MANAGER_COLUMNS}, call_month date, {_FIGURES}",
+    "monthly_manager_metrics": f"{_MANAGER_COLUMNS}, call_month date, {_FIGURES}",
 }
 
 
 def _profile_sql() -> str:
     rows = []
     for table, columns in COLUMNS.items():
-        listed = [c.strip().split(" ") for c in f"{columns}, warehouse_updated_ts timestamp".split(",")]
+        listed = [c.split() for c in f"{columns}, warehouse_updated_ts timestamp".split(",")]
         rows += [f"('{table}', {n}, '{name}', '{kind}')" for n, (name, kind) in enumerate(listed, start=1)]
     counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COLUMNS)
     return f"""SELECT table_name, position, column_name, data_type, row_count
@@ -400,6 +418,7 @@ def expected_sql() -> dict[str, str]:
     )
     sql["table_profile"] = _query(_profile_sql())
     sql["dq_report"] = _query(" UNION ALL ".join(_check_sql(check) for check in CHECKS))
+    sql["dq_raw_report"] = _query(" UNION ALL ".join(_check_sql(check) for check in RAW_CHECKS))
     sql["dq_failing_rows"] = _query(
         "SELECT * FROM raw_calls QUALIFY count(*) OVER (PARTITION BY call_id) > 1"
     )
