@@ -33,33 +33,24 @@ def best_manager_of_latest_month(monthly_manager: DataFrame) -> DataFrame:
     )
 
 
-def hold_transfer_correlation(daily_agent: DataFrame) -> DataFrame:
-    """Per agent: do days with longer holds also have more transfers?
+# NULL where one of the two never changes; corr() itself would divide by zero there.
+HOLD_TRANSFER_CORRELATION = f"""
+    IF(min(avg_hold_time) < max(avg_hold_time) AND min(transfer_rate) < max(transfer_rate),
+       round(try_divide(covar_pop(avg_hold_time, transfer_rate),
+                        stddev_pop(avg_hold_time) * stddev_pop(transfer_rate)), {DIGITS}),
+       NULL) AS hold_transfer_correlation"""
 
-    NULL where one of the two never changes.
-    """
-    varies = (F.min("avg_hold_time") < F.max("avg_hold_time")) & (
-        F.min("transfer_rate") < F.max("transfer_rate")
-    )
+
+def hold_transfer_correlation(daily_agent: DataFrame) -> DataFrame:
+    """Per agent: do days with longer holds also have more transfers?"""
     return daily_agent.groupBy("agent_id", "agent_name").agg(
-        F.count(F.lit(1)).alias("days"),
-        F.when(varies, F.round(F.corr("avg_hold_time", "transfer_rate"), DIGITS)).alias(
-            "hold_transfer_correlation"
-        ),
+        F.expr("count(1) AS days"), F.expr(HOLD_TRANSFER_CORRELATION)
     )
 
 
 def hold_transfer_correlation_overall(monthly_agent: DataFrame) -> DataFrame:
     """Across agents and months: do agents with longer holds also transfer more?"""
-    varies = (F.min("avg_hold_time") < F.max("avg_hold_time")) & (
-        F.min("transfer_rate") < F.max("transfer_rate")
-    )
-    return monthly_agent.agg(
-        F.count(F.lit(1)).alias("agent_months"),
-        F.when(varies, F.round(F.corr("avg_hold_time", "transfer_rate"), DIGITS)).alias(
-            "hold_transfer_correlation"
-        ),
-    )
+    return monthly_agent.agg(F.expr("count(1) AS agent_months"), F.expr(HOLD_TRANSFER_CORRELATION))
 
 
 def manager_drilldown(
