@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import ringledger
 from ringledger.session import scratch_dir
 
 #: The columns of the documents table; every filtering stage returns exactly these.
@@ -23,10 +27,22 @@ ARROW_SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session."""
+    """Bound the session's Arrow batches, and send this package to the executors' Python workers once.
+
+    The driver serves the archive to executors itself (``addPyFile``); they need no folder in common with it.
+    """
     for key, value in ARROW_SETTINGS.items():
         spark.conf.set(key, value)
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(ringledger.__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="ringledger-package-")) / "ringledger"
+        spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
+        _shipped.add(application)
     return spark
 
 

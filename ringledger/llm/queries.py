@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.llm.common import prepared, table
+from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
 from ringledger.llm.secrets import BlobLedger
@@ -37,6 +38,19 @@ def _base_digest(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.sha2(_listed(F.filter(spans, lambda s: s["kind"].isin(*kinds))), 256)
 
 
+def _vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 4096 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; each document is a path of the ledger, which starts empty."""
