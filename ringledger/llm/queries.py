@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm.common import prepared, table
+from ringledger.llm import langid
+from ringledger.llm.common import crc32_mod, prepared, table
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
@@ -45,6 +46,17 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc32_mod(F.col("doc_id"), 4) == 2
+    vocabulary = _vocabulary("byte_bpe_multi_50k.tiktoken")
+    langs, p = langid.fit(docs.where(~held_out), vocabulary)
+    found = langid.predict(docs, vocabulary, langs, p)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 4096 tokens."""
