@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import langid
+from ringledger.llm import hmm, langid
 from ringledger.llm.common import crc32_mod, prepared, table
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
@@ -63,6 +63,17 @@ def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+@query
+def op3_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood of every document, learned from six sevenths of them."""
+    held_out = crc32_mod(F.col("doc_id"), 7) == 2
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (~held_out).alias("learn"), F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    )
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return hmm.score(docs).select("doc_id", (~F.col("learn")).alias("held_out"), *names)
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; each document is a path of the ledger, which starts empty."""
