@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringledger.llm import hmm, langid
+from ringledger.llm import hmm, langid, warc
 from ringledger.llm.common import crc32_mod, prepared, table
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
@@ -98,6 +98,40 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*names, "base_failed", "kept", "score")
 
 
+@query
+def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, read back and assembled into captures."""
+    folder = scratch_dir(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    captures = warc.resolved(warc.assemble(warc.read_archives(spark, folder, with_payload=False)))
+    return captures.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
+#: SHA-1 as eight groups of five hex signs, each four base32 signs.
+EXPECTED["op8_warc_captures"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, n, list_aggregate(list_transform(range(8), lambda g: list_aggregate(list_transform(range(4), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(h, CAST(g * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * k AS BIGINT)) & 31 AS INTEGER), 1)
+  ), 'string_agg', '')), 'string_agg', '') AS payload_digest FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
 @query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
