@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ringledger.llm import hmm, langid, warc
 from ringledger.llm.common import crc32_mod, prepared, table
+from ringledger.llm.decontaminate import find_leaks
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
@@ -90,6 +91,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document, with its edit distance."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the trusted-to-raw ratio of every document."""
