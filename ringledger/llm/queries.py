@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringledger.llm import hmm, langid, warc
+from ringledger.llm.bagminhash import near_duplicates
 from ringledger.llm.common import crc32_mod, prepared, table
 from ringledger.llm.decontaminate import find_leaks
 from ringledger.llm.packing import pack_documents
@@ -75,6 +76,12 @@ def op3_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs).select("doc_id", (~F.col("learn")).alias("held_out"), *names)
 
 
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document; each document is a path of the ledger, which starts empty."""
