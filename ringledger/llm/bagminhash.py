@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringledger.llm.banding import linked
 from ringledger.llm.common import stored
-from ringledger.llm.components import components, spread_join
+from ringledger.llm.components import spread_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -201,42 +202,12 @@ def linked_texts(texts: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every text key that is linked to another one; ``texts`` has key and text (binary)."""
     signed = _signed(texts).groupBy("key").agg(*[F.first(c).alias(c) for c in ("weight", "signature", "bands")])
     signed = stored(signed, "signatures")
-    member = signed.select("key", "weight", F.explode("bands").alias("band"))
-    ends = member.groupBy("band").agg(F.min("key").alias("least"), F.max("key").alias("greatest")).where("least != greatest")
-    shared = stored(spread_join(member, ends, "band"), "bands")
-
-    def of_similar_size(a: str, b: str) -> Column:
-        return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
-
-    star = (
-        shared.select(F.explode(F.array("least", "greatest")).alias("end"), "key")
-        .where("end != key")
-        .select(F.least("end", "key").alias("a"), F.greatest("end", "key").alias("b"))
-        .distinct()
-    )
-    tried = stored(star, "star-pairs")
-    edges = stored(_verified(stored(_agreeing(tried, signed), "agreeing"), texts), "links")
-    found = stored(components(edges), "components")
-
-    # Texts of one band that the stars left in different components.
-    known = found.select(F.col("node").alias("key"), "root")
-    placed = shared.select("band", "key", "weight").join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    placed = stored(placed, "placed")
-    split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
-    open_ = stored(spread_join(placed, split, "band"), "open-bands")
-    one = open_.select("band", *[F.col(c).alias(f"{c}_a") for c in ("key", "weight", "root")])
-    two = open_.select("band", *[F.col(c).alias(f"{c}_b") for c in ("key", "weight", "root")])
-    across = (
-        one.join(two, "band")
-        .where((F.col("root_a") != F.col("root_b")) & (F.col("key_a") < F.col("key_b")) & of_similar_size("weight_a", "weight_b"))
-        .select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    more = stored(_verified(stored(_agreeing(across, signed), "agreeing"), texts), "links")
-    if more.isEmpty():
-        return found
-    return stored(components(edges.unionByName(more)), "components")
+    members = signed.select("key", "weight", F.explode("bands").alias("band"))
+
+    def near(pairs: DataFrame) -> DataFrame:
+        return _verified(stored(_agreeing(pairs, signed), "agreeing"), texts)
+
+    return linked(members, near, SIMILARITY)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -251,9 +222,21 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id and class_size."""
-    placed = classes(docs.select("doc_id", docs["text"].cast("string").alias("text")).withColumn("row", F.lit(0)))
+    placed = classes(docs.select("doc_id", docs["text"].cast("string").alias("text"), F.lit(0).alias("row")))
     placed = stored(placed.drop("row"), "classes")
     sizes = placed.where("class_key IS NOT NULL").groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     joined = spread_join(placed.where("class_key IS NOT NULL"), sizes, "class_key").select("doc_id", "class_id", "class_size")
     alone = placed.where("class_key IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return joined.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without near copies, all columns as they were: of each class the row with the least id stays."""
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    rows = docs.select(F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("row"))
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    placed = stored(classes(slim).where("class_key IS NOT NULL"), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
+    first = placed.groupBy("class_key").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    goes = spread_join(placed, first, "class_key").where(F.col("row") != F.col("first.row")).select("row")
+    return rows.join(goes, "row", "left_anti").select(*[F.col(f"_row.`{n}`").alias(n) for n in docs.columns])

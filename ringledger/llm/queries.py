@@ -11,6 +11,7 @@ from ringledger.llm import hmm, langid, warc
 from ringledger.llm.bagminhash import near_duplicates
 from ringledger.llm.common import crc32_mod, prepared, table
 from ringledger.llm.decontaminate import find_leaks
+from ringledger.llm.lines import line_report
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
@@ -41,7 +42,7 @@ def _base_digest(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.sha2(_listed(F.filter(spans, lambda s: s["kind"].isin(*kinds))), 256)
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
 
@@ -53,7 +54,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc32_mod(F.col("doc_id"), 4) == 2
-    vocabulary = _vocabulary("byte_bpe_multi_50k.tiktoken")
+    vocabulary = vocabulary("byte_bpe_multi_50k.tiktoken")
     langs, p = langid.fit(docs.where(~held_out), vocabulary)
     found = langid.predict(docs, vocabulary, langs, p)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
@@ -62,7 +63,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 4096 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 @query
@@ -146,6 +147,12 @@ FROM f
 """
 
 
+@query
+def op9_duplicate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that repeat an earlier line of any document."""
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
