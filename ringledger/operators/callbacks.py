@@ -15,43 +15,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.functions.columns import day_number, days_crossed
-from ringledger.operators.skew import HOT_ROWS, left_lookup
+from ringledger.operators.skew import left_lookup
 from ringledger.window import EVERYTHING, Span
 
 CALLBACK_DAYS = 3
 
 # A cell with more tickets than this is split into chunks of about this size.
 CHUNK_ROWS = 2000
-# Only this many cells, the fullest ones, are split. It bounds the broadcast
-# lookup; any cell left whole holds less than 1/MAX_SPLIT_CELLS of all tickets.
-MAX_SPLIT_CELLS = 10_000
 
 
 def _cell(moment: str, callback_days: int) -> str:
     return f"CAST(floor({day_number(moment)} / {int(callback_days)}) AS BIGINT)"
 
 
-def _split_cells(tickets: DataFrame, chunk_rows: int) -> DataFrame:
-    """Chunk counts around full cells: (customer_id, cell, own_chunks, next_chunks)."""
-    full = (
-        tickets.groupBy("customer_id", "cell")
-        .agg(F.expr("count(1) AS n"))
-        .where(F.col("n") > chunk_rows)
-        .orderBy(F.desc("n"), "customer_id", "cell")
-        .limit(MAX_SPLIT_CELLS)
-    )
-    # A full cell concerns the originals in it and those in the cell before.
+def _chunks_around(tickets: DataFrame, chunk_rows: int) -> DataFrame:
+    """Chunk counts of a cell and its neighbours, wherever one of the three is too full for one chunk:
+    (customer_id, cell, own, following, previous)."""
+    full = tickets.groupBy("customer_id", "cell").agg(F.expr("count(1) AS n")).where(F.col("n") > chunk_rows)
+    chunks = f"ceil(n / {int(chunk_rows)})"
     views = f"""inline(array(
-        struct(cell, ceil(n / {int(chunk_rows)}) AS own, NULL AS following),
-        struct(cell - 1 AS cell, NULL AS own, ceil(n / {int(chunk_rows)}) AS following)))"""
-    return (
-        full.selectExpr("customer_id", views)
-        .groupBy("customer_id", "cell")
-        .agg(
-            F.expr("coalesce(max(own), 1) AS own_chunks"),
-            F.expr("coalesce(max(following), 1) AS next_chunks"),
-        )
-    )
+        struct(cell, {chunks} AS own, NULL AS following, NULL AS previous),
+        struct(cell - 1 AS cell, NULL AS own, {chunks} AS following, NULL AS previous),
+        struct(cell + 1 AS cell, NULL AS own, NULL AS following, {chunks} AS previous)))"""
+    seen = full.selectExpr("customer_id", views).groupBy("customer_id", "cell")
+    return seen.agg(*[F.expr(f"max({name}) AS {name}") for name in ("own", "following", "previous")])
 
 
 def callback_pairs(
@@ -70,46 +57,53 @@ def callback_pairs(
     A customer who owns a large part of all tickets would put a quadratic join
     into one task. Full cells are therefore joined as a grid: originals and
     callbacks are cut into chunks, and each chunk of one side is copied to meet
-    each chunk of the other in a task of its own.
+    each chunk of the other in a task of its own. Every full cell is split,
+    however many there are.
     """
     base = tickets.selectExpr(
         "crm_id", "agent_id", "customer_id", "created_ts",
         "reason_code", "sub_reason_code", "previous_issue_flag",
         f"{_cell('created_ts', callback_days)} AS cell",
     ).where("customer_id IS NOT NULL AND created_ts IS NOT NULL")
-    split = F.broadcast(_split_cells(base, chunk_rows))
-    cell = ["customer_id", "cell"]
+    # Both sides of the pairs start from this relation and use all of its columns,
+    # so that Spark reads and shuffles it once and reuses the exchange.
+    placed = left_lookup(base, _chunks_around(base, chunk_rows), ["customer_id", "cell"])
+    place = "xxhash64(crm_id, agent_id, reason_code, sub_reason_code, previous_issue_flag)"
 
     # Rows of the grid are chunks of originals. Its columns are chunks of
     # callbacks: first those of the same cell, then those of the next one. A cell
-    # that is not split is a grid of one.
-    own, following = "coalesce(own_chunks, 1)", "coalesce(next_chunks, 1)"
-    columns = f"IF(own_chunks IS NULL, 1, {own} + {following})"
-    earlier = (
-        originals.keep(base, "created_ts")
-        .join(split, cell, "left")
-        .selectExpr(
-            *cell,
-            f"pmod(xxhash64(crm_id), {own}) AS grid_row",
-            f"explode(sequence(0L, {columns} - 1)) AS grid_column",
-            "crm_id AS original_crm_id",
-            "agent_id AS original_agent_id",
-            "created_ts AS original_created_ts",
-            "reason_code AS original_reason",
-            "sub_reason_code AS original_sub_reason",
-        )
+    # without a full one around it is a grid of one.
+    def columns(own: str, following: str) -> str:
+        return f"IF({own} IS NULL AND {following} IS NULL, 1L, coalesce({own}, 1L) + coalesce({following}, 1L))"
+
+    def home_column(own: str, following: str) -> str:
+        return f"IF({own} IS NULL AND {following} IS NULL, 0L, pmod({place}, coalesce({own}, 1L)))"
+
+    earlier = originals.keep(placed, "created_ts").selectExpr(
+        "customer_id",
+        "cell",
+        f"pmod({place}, coalesce(own, 1L)) AS grid_row",
+        f"explode(sequence(0L, {columns('own', 'following')} - 1L)) AS grid_column",
+        "crm_id AS original_crm_id",
+        "agent_id AS original_agent_id",
+        "created_ts AS original_created_ts",
+        "reason_code AS original_reason",
+        "sub_reason_code AS original_sub_reason",
     )
+    # A callback meets originals of its own cell, and of the one before as one from the next cell.
+    meets = f"""inline(array(
+        struct(cell AS met_in, coalesce(own, 1L) AS grid_rows, {home_column('own', 'following')} AS grid_column),
+        struct(cell - 1 AS met_in, coalesce(previous, 1L) AS grid_rows,
+               IF(previous IS NULL AND own IS NULL, 0L,
+                  coalesce(previous, 1L) + pmod({place}, coalesce(own, 1L))) AS grid_column)))"""
     later = (
-        callbacks.keep(base, "created_ts")
-        .selectExpr("*", "explode(array(cell, cell - 1)) AS met_in")
-        .selectExpr("* EXCEPT (cell, met_in)", "met_in AS cell", "cell AS home")
-        .join(split, cell, "left")
+        callbacks.keep(placed, "created_ts")
+        .selectExpr("* EXCEPT (own, following, previous, cell)", meets)
         .selectExpr(
-            *cell,
-            f"explode(sequence(0L, {own} - 1)) AS grid_row",
-            f"""CASE WHEN own_chunks IS NULL THEN 0L
-                     WHEN home = cell THEN pmod(xxhash64(crm_id), {own})
-                     ELSE {own} + pmod(xxhash64(crm_id), {following}) END AS grid_column""",
+            "customer_id",
+            "met_in AS cell",
+            "explode(sequence(0L, grid_rows - 1L)) AS grid_row",
+            "grid_column",
             "crm_id AS callback_crm_id",
             "agent_id AS callback_agent_id",
             "created_ts AS callback_created_ts",
@@ -121,7 +115,7 @@ def callback_pairs(
     in_time = f"""callback_created_ts > original_created_ts
         AND callback_created_ts <= original_created_ts + INTERVAL {int(callback_days)} DAYS"""
     return (
-        earlier.join(later, [*cell, "grid_row", "grid_column"])
+        earlier.join(later, ["customer_id", "cell", "grid_row", "grid_column"])
         .where(in_time)
         .selectExpr(
             "original_crm_id",
@@ -144,7 +138,6 @@ def repeat_flags(
     originals: Span = EVERYTHING,
     callbacks: Span = EVERYTHING,
     callback_days: int = CALLBACK_DAYS,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Tickets with ``repeated`` and ``repeated_flagged``.
 
@@ -156,7 +149,7 @@ def repeat_flags(
     cell is always in time: its existence shows in the cell's *last* ticket. In
     the next cell only the *first* ticket matters. Both are plain max/min, which
     combine on the map side, so a hot customer arrives as a few rows per map task;
-    the join back is linear and keeps hot topics out of the exchange.
+    the join back is linear, and AQE splits hot topics in it.
     """
     # Numbers first: sorts then rarely get as far as comparing texts.
     topic = ["customer_id", "cell", "reason_code", "sub_reason_code"]
@@ -179,18 +172,8 @@ def repeat_flags(
         F.expr("min(IF(ahead, created_ts, NULL)) AS first_next"),
         F.expr("max(IF(NOT ahead AND previous_issue_flag, created_ts, NULL)) AS last_own_flagged"),
         F.expr("min(IF(ahead AND previous_issue_flag, created_ts, NULL)) AS first_next_flagged"),
-        F.expr("count_if(NOT ahead) AS tickets"),
-    )
-    placed = left_lookup(
-        originals.keep(celled, "created_ts"),
-        extents,
-        keys=topic,
-        values=["last_own", "first_next", "last_own_flagged", "first_next_flagged"],
-        weight="tickets",
-        spread_key="customer_id",
-        spread="xxhash64(crm_id)",
-        hot_rows=hot_rows,
     )
+    placed = left_lookup(originals.keep(celled, "created_ts"), extents, topic)
 
     def seen(kind: str) -> str:
         later_in_cell = f"coalesce(last_own{kind} > created_ts, false)"

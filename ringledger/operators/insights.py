@@ -5,29 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Averages of doubles are rounded, so equal agents stay equal and ties break by id.
+# Figures are shown with this many digits.
 DIGITS = 6
+# Averages that differ by less are the same number: a double holds no more.
+SAME_DIGITS = 14
 
 
 def resolution_extremes(daily_agent: DataFrame) -> DataFrame:
-    """The agents with the highest and the lowest average daily resolution rate."""
-    average = F.round(F.avg("first_call_resolution"), DIGITS).alias("avg_first_call_resolution")
-    by_agent = daily_agent.groupBy("agent_id", "agent_name").agg(average)
-    rated = by_agent.where(F.col("avg_first_call_resolution").isNotNull())
+    """The agents with the highest and the lowest average daily resolution rate.
+
+    Rates are summed as decimals, so the order of rows does not matter, and ranked
+    before they are rounded for display. Ties break by id.
+    """
+    rate = "CAST(first_call_resolution AS DECIMAL(30, 18))"
+    by_agent = daily_agent.groupBy("agent_id", "agent_name").agg(
+        F.expr(f"round(CAST(sum({rate}) AS DOUBLE) / count(first_call_resolution), {SAME_DIGITS}) AS exact")
+    )
+    rated = by_agent.where("exact IS NOT NULL")
 
     def first(place: str, order: Column) -> DataFrame:
-        return rated.orderBy(order, "agent_id").limit(1).select(F.lit(place).alias("place"), *rated.columns)
+        return (
+            rated.orderBy(order, "agent_id")
+            .limit(1)
+            .select(
+                F.lit(place).alias("place"),
+                "agent_id",
+                "agent_name",
+                F.round("exact", DIGITS).alias("avg_first_call_resolution"),
+            )
+        )
 
-    return first("highest", F.desc("avg_first_call_resolution")).unionByName(
-        first("lowest", F.asc("avg_first_call_resolution"))
-    )
+    return first("highest", F.desc("exact")).unionByName(first("lowest", F.asc("exact")))
 
 
 def best_manager_of_latest_month(monthly_manager: DataFrame) -> DataFrame:
-    """The manager whose team has the highest satisfaction in the most recent month."""
+    """The manager whose team has the highest satisfaction in the most recent month.
+
+    The most recent month is that of all rows; if nobody has a score in it, there is no such manager.
+    """
+    latest = monthly_manager.agg(F.max("call_month").alias("call_month"))
     return (
-        monthly_manager.where(F.col("csat").isNotNull())
-        .orderBy(F.desc("call_month"), F.desc("csat"), "manager_id")
+        monthly_manager.join(latest, "call_month", "left_semi")
+        .where(F.col("csat").isNotNull())
+        .orderBy(F.desc("csat"), "manager_id")
         .limit(1)
         .select("manager_id", "manager_name", "call_month", F.round("csat", DIGITS).alias("csat"))
     )

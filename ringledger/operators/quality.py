@@ -80,7 +80,7 @@ def failing_rows(check: Check, tables: Lookup) -> DataFrame:
     """
     if check.kind not in (UNIQUE, UNIQUE_COMBINATION):
         return _offenders(check, tables)
-    return rows_of_keys(tables(check.table), _repeated_keys(check, tables), check.columns, "copies")
+    return rows_of_keys(tables(check.table), _repeated_keys(check, tables), check.columns)
 
 
 def _line(position: int, failing: Column) -> Column:

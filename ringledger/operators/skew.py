@@ -1,4 +1,10 @@
-"""Joining facts to one value row per key when some keys hold very many facts."""
+"""Joining facts to one value row per key when some keys hold very many facts.
+
+A lookup made by grouping on the keys is already dealt by them, and Spark then neither moves it again for the join
+nor may split a hot key's facts, as that would undo the grouping's layout. With one more join column, a hash of the
+keys, both sides are dealt anew for the join alone, and AQE splits every partition of facts that is too big, for any
+number of hot keys and without a list of them.
+"""
 
 from __future__ import annotations
 
@@ -8,69 +14,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more facts than this is worth taking out of the exchange.
-HOT_ROWS = 100_000
-# Size bound of the broadcast. A key beyond it holds less than 1/MAX_HOT_KEYS of the facts.
-MAX_HOT_KEYS = 10_000
+_MIXED = "_mixed_keys"
 
 
-def left_lookup(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    values: Sequence[str],
-    weight: str,
-    spread_key: str,
-    spread: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join ``facts`` to ``lookup``, which has one row per key and the number
-    of facts of that key in ``weight``.
+def _mixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(_MIXED, F.xxhash64(*keys))
 
-    The values of the heaviest keys are broadcast. Facts of such a key already
-    have their answer; in the exchange for the others they carry ``spread`` in
-    place of ``spread_key``, so they scatter instead of meeting in one task. What
-    they happen to match there is ignored. A lookup built by grouping on the keys
-    needs no further exchange for this join, which also means that AQE would not
-    split it: hence the explicit treatment.
-    """
-    # Both uses of the lookup take the same rows and columns, so that Spark plans
-    # its aggregation once and reuses the exchange. NULL keys never match anyway.
-    lookup = lookup.where(" AND ".join(f"{key} IS NOT NULL" for key in keys))
-    answer = f"struct({', '.join([*values, weight])})"
-    heaviest = (
-        lookup.where(f"{weight} > {int(hot_rows)}")
-        .orderBy(F.desc(weight), *keys)
-        .limit(MAX_HOT_KEYS)
-        .selectExpr(*keys, f"{answer} AS hot")
-    )
-    kept = [name for name in facts.columns if name != spread_key]
-    scattered = facts.join(F.broadcast(heaviest), list(keys), "left").selectExpr(
-        *kept,
-        "hot",
-        f"{spread_key} AS home_key",
-        f"IF(hot IS NULL, {spread_key}, {spread}) AS {spread_key}",
-    )
-    others = lookup.selectExpr(*keys, f"{answer} AS other")
-    return (
-        scattered.join(others, list(keys), "left")
-        .selectExpr(*kept, f"home_key AS {spread_key}", "IF(hot IS NULL, other, hot) AS found")
-        .selectExpr(*facts.columns, *[f"found.{name}" for name in values])
-    )
 
+def left_lookup(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join ``facts`` to ``lookup``, which has one row per key. NULL keys match nothing."""
+    return _mixed(facts, keys).join(_mixed(lookup, keys), [_MIXED, *keys], "left").drop(_MIXED)
 
-def rows_of_keys(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
-    """The facts whose key is in ``lookup``; NULL keys are equal to each other.
 
-    Facts of the heaviest keys are found by a broadcast and never exchanged, the
-    others by an ordinary semi join.
-    """
-    heaviest = F.broadcast(lookup.orderBy(F.desc(weight), *keys).limit(MAX_HOT_KEYS).select(*keys))
+def rows_of_keys(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The facts whose key is in ``lookup``; NULL keys are equal to each other."""
+    left, right = _mixed(facts, keys), _mixed(lookup.select(*keys), keys)
 
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        return reduce(lambda a, b: a & b, [left[key].eqNullSafe(right[key]) for key in keys])
+    def same(key: str) -> Column:
+        return left[key].eqNullSafe(right[key])
 
-    heavy = facts.join(heaviest, same(facts, heaviest), "left_semi")
-    rest = facts.join(heaviest, same(facts, heaviest), "left_anti")
-    light = rest.join(lookup, same(rest, lookup), "left_semi")
-    return heavy.unionByName(light)
+    on = reduce(lambda a, b: a & b, map(same, keys), left[_MIXED] == right[_MIXED])
+    return left.join(right, on, "left_semi").drop(_MIXED)

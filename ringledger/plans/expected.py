@@ -424,16 +424,20 @@ def expected_sql() -> dict[str, str]:
     )
 
     sql["agent_fcr_extremes"] = _query(
-        """WITH rated AS (SELECT agent_id, agent_name, round(avg(first_call_resolution), 6) AS rate
-                          FROM daily_agent_metrics GROUP BY ALL HAVING rate IS NOT NULL)
-           (SELECT 'highest' AS place, agent_id, agent_name, rate AS avg_first_call_resolution
+        """WITH rated AS (SELECT agent_id, agent_name,
+                                 round(CAST(sum(CAST(first_call_resolution AS DECIMAL(30, 18))) AS DOUBLE)
+                                       / count(first_call_resolution), 14) AS rate
+                          FROM daily_agent_metrics GROUP BY agent_id, agent_name
+                          HAVING count(first_call_resolution) > 0)
+           (SELECT 'highest' AS place, agent_id, agent_name, round(rate, 6) AS avg_first_call_resolution
             FROM rated ORDER BY rate DESC, agent_id LIMIT 1)
            UNION ALL
-           (SELECT 'lowest', agent_id, agent_name, rate FROM rated ORDER BY rate, agent_id LIMIT 1)"""
+           (SELECT 'lowest', agent_id, agent_name, round(rate, 6) FROM rated ORDER BY rate, agent_id LIMIT 1)"""
     ).replace("\nWITH rated AS", ",\nrated AS", 1)
     sql["manager_csat_latest_month"] = _query(
         """SELECT manager_id, manager_name, call_month, round(csat, 6) AS csat FROM monthly_manager_metrics
-           WHERE csat IS NOT NULL ORDER BY call_month DESC, monthly_manager_metrics.csat DESC, manager_id LIMIT 1"""
+           WHERE csat IS NOT NULL AND call_month = (SELECT max(call_month) FROM monthly_manager_metrics)
+           ORDER BY monthly_manager_metrics.csat DESC, manager_id LIMIT 1"""
     )
     sql["hold_transfer_correlation"] = _query(
         f"""SELECT agent_id, agent_name, count(*) AS days,

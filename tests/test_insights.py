@@ -18,6 +18,31 @@ def test_extremes_break_ties_by_agent(spark):
     assert rows(insights.resolution_extremes(daily)) == [("highest", 2, "B", 0.9), ("lowest", 1, "A", 0.3)]
 
 
+def test_extremes_are_ranked_before_they_are_rounded(spark):
+    daily = spark.createDataFrame(
+        [(1, "A", 0.5000001), (2, "B", 0.5000004), (3, "C", 0.5000002)],
+        "agent_id bigint, agent_name string, first_call_resolution double",
+    )
+    assert rows(insights.resolution_extremes(daily)) == [("highest", 2, "B", 0.5), ("lowest", 1, "A", 0.5)]
+
+
+def test_extremes_do_not_depend_on_the_order_of_rows(spark):
+    third = [(1, "A", 1 / 3), (1, "A", 1 / 3), (1, "A", 1 / 3)]
+    other = [(2, "B", 0.1), (2, "B", 0.7), (2, "B", 0.2)]
+    layout = "agent_id bigint, agent_name string, first_call_resolution double"
+    for order in (third + other, other[::-1] + third):
+        found = rows(insights.resolution_extremes(spark.createDataFrame(order, layout)))
+        assert [r[1] for r in found] == [1, 1]  # equal averages, so the lower id
+
+
+def test_no_best_manager_in_a_latest_month_without_scores(spark):
+    monthly = spark.createDataFrame(
+        [(1, "Max", JAN, 5.0), (1, "Max", FEB, None)],
+        "manager_id bigint, manager_name string, call_month date, csat double",
+    )
+    assert rows(insights.best_manager_of_latest_month(monthly)) == []
+
+
 def test_best_manager_is_from_the_latest_month_with_answers(spark):
     monthly = spark.createDataFrame(
         [(1, "Max", JAN, 5.0), (1, "Max", FEB, 4.0), (2, "Mia", FEB, 4.5), (3, "Moe", FEB, None)],
