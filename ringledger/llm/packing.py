@@ -31,12 +31,12 @@ from pyspark.sql import types as T
 
 from ringledger.llm.common import stored
 
-SHARD_EXAMPLES = 4000
+SHARD_EXAMPLES = 2000
 #: Words a worker remembers the ids of, at most.
-MAX_KNOWN = 300_000
+MAX_KNOWN = 500_000
 END_ID = 2
-#: UTF-8 of ASCII or Latin-1 letters, then signs.
-_DECORATED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([#*$%&|,.!?;:()]+)")
+#: UTF-8 of ASCII or Latin-1 letters, then signs, if any.
+_DECORATED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([#*$%&|,.!?;:()]*)")
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -79,12 +82,29 @@ class WordTokenizer:
         new.difference_update(known)
         # A run of letters and the signs after it are tokens of their own: decorated words share their letters' ids.
         parted = {w: m.groups() for w in new if (m := _DECORATED.fullmatch(w))}
-        self._learn(new.difference(parted).union(*parted.values()).difference(known))
+        single = set().union(*parted.values())
+        single.discard(b"")
+        self._learn_single(sorted(single.difference(known)))
+        self._learn(sorted(new.difference(parted)))
+        known[b""] = b""
         known.update((w, known[letters] + known[signs]) for w, (letters, signs) in parted.items())
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    def _learn(self, new: set[bytes]) -> None:
-        words = sorted(new)
+    def _learn_single(self, words: list[bytes]) -> None:
+        """Words that are runs of letters or of signs: coded many at a time, as each ends with its only end-of-word id."""
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            lines = [b" ".join(part[k : k + 200]).decode() for k in range(0, len(part), 200)]
+            coded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.concatenate([np.array(c.ids, "<u4") for c in coded])
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(ends) != len(part):
+                self._learn(part)
+                continue
+            flat = ids.tobytes()
+            self.known.update(zip(part, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+
+    def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 20_000):
             part = words[at : at + 20_000]
             coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
