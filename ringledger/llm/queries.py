@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ringledger.llm import hmm, langid, warc
 from ringledger.llm.bagminhash import near_duplicates
-from ringledger.llm.common import crc32_mod, prepared, table
+from ringledger.llm.common import crc32_mod, prepared, stored, table
 from ringledger.llm.decontaminate import find_leaks
 from ringledger.llm.lines import line_report
 from ringledger.llm.packing import pack_documents
@@ -118,7 +118,8 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, read back and assembled into captures."""
     folder = scratch_dir(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    captures = warc.resolved(warc.assemble(warc.read_archives(spark, folder, with_payload=False)))
+    records = stored(warc.read_archives(spark, folder, with_payload=False), "records")
+    captures = warc.resolved(stored(warc.assemble(records), "captures"))
     return captures.select(
         "page_id",
         "payload_bytes",

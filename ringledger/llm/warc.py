@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringledger.llm.components import spread_join
+
 EPOCH = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 #: Records of an archive, at most; three per capture.
@@ -317,12 +319,16 @@ def assemble(found: DataFrame) -> DataFrame:
 
 
 def resolved(captures: DataFrame) -> DataFrame:
-    """The captures with ``payload_bytes`` of the full payload and ``refers_to_page``, for revisits from their response."""
+    """The captures with ``payload_bytes`` of the full payload and ``refers_to_page``, for revisits from their response.
+
+    A capture that refers to nothing is looked up by its own id, so that those do not meet in one task.
+    """
     responses = captures.where("type = 'response'").select(
-        F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"), F.col("page_id").alias("refers_to_page")
+        F.col("record_id").alias("_target"), F.col("payload_bytes").alias("full_bytes"), F.col("page_id").alias("target_page")
     )
+    joined = spread_join(captures.withColumn("_target", F.coalesce("refers_to", "record_id")), responses, "_target", "left")
     return (
-        captures.join(responses, "refers_to", "left")
-        .withColumn("payload_bytes", F.coalesce("payload_bytes", "full_bytes"))
-        .drop("full_bytes")
+        joined.withColumn("payload_bytes", F.coalesce("payload_bytes", "full_bytes"))
+        .withColumn("refers_to_page", F.when(F.col("refers_to").isNotNull(), F.col("target_page")))
+        .drop("full_bytes", "target_page", "_target")
     )
