@@ -8,8 +8,17 @@ from pyspark.sql import functions as F
 from ringledger.schemas import Dataset
 
 
-def latest_version(raw: DataFrame, loads: DataFrame, dataset: Dataset) -> DataFrame:
-    """Keep, per business key, the record of the most recent load.
+# When and with which load a record came in: stored with it, so that versions can be told apart later.
+LOADED = ("_inserted_at", "_load_id")
+
+
+def version_columns(dataset: Dataset) -> list[str]:
+    """What orders the versions of a record, once it has the columns of ``LOADED``."""
+    return [*LOADED, *(name for name in dataset.column_names if name != dataset.key)]
+
+
+def latest_version(raw: DataFrame, loads: DataFrame, dataset: Dataset, loaded: bool = False) -> DataFrame:
+    """Keep, per business key, the record of the most recent load, with its ``LOADED`` columns if wanted.
 
     Two files of one load share their load time, so the order goes on over the
     load id and then over the record's own values: whichever way the rows are
@@ -19,15 +28,13 @@ def latest_version(raw: DataFrame, loads: DataFrame, dataset: Dataset) -> DataFr
     down to one row per key before the exchange, so a key with very many copies
     reaches its reducer as one row per map task.
     """
-    stamped = raw.join(loads.select("load_id", "inserted_at"), "load_id")
-    order = ["inserted_at", "load_id", *(name for name in dataset.column_names if name != dataset.key)]
-    newest_first = ", ".join(f"{name} DESC NULLS LAST" for name in order)
-    rank = f"row_number() OVER (PARTITION BY {dataset.key} ORDER BY {newest_first})"
-    return (
-        stamped.selectExpr(*dataset.column_names, f"{rank} AS version_rank")
-        .where("version_rank = 1")
-        .selectExpr(*dataset.column_names)
+    stamped = raw.join(loads.select("load_id", "inserted_at"), "load_id").withColumnsRenamed(
+        {"inserted_at": LOADED[0], "load_id": LOADED[1]}
     )
+    newest_first = ", ".join(f"{name} DESC NULLS LAST" for name in version_columns(dataset))
+    rank = f"row_number() OVER (PARTITION BY {dataset.key} ORDER BY {newest_first})"
+    columns = [*dataset.column_names, *(LOADED if loaded else ())]
+    return stamped.selectExpr(*columns, f"{rank} AS version_rank").where("version_rank = 1").selectExpr(*columns)
 
 
 def repeated_records(raw: DataFrame, dataset: Dataset) -> DataFrame:

@@ -3,39 +3,50 @@
 A table is a folder of commits. Each commit holds the complete rows of the days
 it touched, and a small log says which commit is current for which day::
 
-    <root>/<layer>/<table>/data/commit=7/day=2024-01-16/part-*.parquet
-    <root>/<layer>/<table>/log/commit=7/part-*.parquet        (day, holds_rows, low, high)
+    <root>/<layer>/<table>/data/commit=000000007-4f2a/day=2024-01-16/part-*.parquet
+    <root>/<layer>/<table>/log/commit=000000007-4f2a/part-*.parquet
 
-``low`` and ``high`` bound the first key column of the day's rows.
+A log entry names the commit's schema, and per touched day where its rows are and
+the range of the first key column. Every ``SNAPSHOT_EVERY`` commits the entry
+names all days, so that readers open no more entries than that.
 
 Rows are written first, the log entry last. A run that dies in between leaves
-only a folder nobody refers to, which the next run overwrites; readers never see
-a day half replaced. There is one writer per table at a time.
+only a folder nobody refers to; readers never see a day half replaced. Writers
+may take turns: each write starts from the log as it is then and refuses to
+commit if another one was logged meanwhile.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 from typing import Any, NamedTuple
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from ringledger.window import EVERYTHING, Span
 
 PART = "day"
 UPDATED = "warehouse_updated_ts"
+SNAPSHOT_EVERY = 50
 
 # Records without a date are kept too, in the folder Spark uses for NULL.
 Day = date | None
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
+# One row per day and one without a day for the commit itself, which carries the schema.
+_LOG = "kind string, day date, folder string, low string, high string, schema string"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another write was committed while this one was under way."""
+
 
 def _folder(day: Day) -> str:
     return _NO_DAY if day is None else day.isoformat()
@@ -59,7 +70,7 @@ class CommitInfo:
 class _Held(NamedTuple):
     """Where the current rows of a day are, and the range of their first key."""
 
-    commit: int
+    folder: str
     low: Any
     high: Any
 
@@ -72,219 +83,303 @@ class _State:
     """What the log says."""
 
     held: dict[Day, _Held] = field(default_factory=dict)
-    superseded: set[tuple[int, Day]] = field(default_factory=set)
+    superseded: set[tuple[str, Day]] = field(default_factory=set)
     last_commit: int = 0
     schema: T.StructType | None = None
 
-    def apply(self, commit: int, day: Day, held: _Held | None) -> None:
-        self.last_commit = max(self.last_commit, commit)
+    def apply(self, day: Day, held: _Held | None) -> None:
         if day in self.held:
-            self.superseded.add((self.held.pop(day).commit, day))
+            before = self.held.pop(day)
+            if held is None or before.folder != held.folder:
+                self.superseded.add((before.folder, day))
         if held:
             self.held[day] = held
 
 
 class StoredTable:
-    """One keyed table, partitioned by the date of ``day_column``."""
+    """One keyed table, partitioned by the date of ``day_column``.
+
+    ``version`` names columns that order the versions of a record: an upsert then
+    leaves rows alone that are newer than the batch's. ``hidden`` columns are
+    stored but not read back.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Iterable[str], day_column: str, name: str | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Iterable[str],
+        day_column: str,
+        name: str | None = None,
+        version: Iterable[str] = (),
+        hidden: Iterable[str] = (),
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.day_column = day_column
         self.name = name or self.path.rsplit("/", 1)[-1]
+        self.version = list(version)
+        self.hidden = list(hidden)
         self._state: _State | None = None
 
     # -- reading ---------------------------------------------------------------
 
     @property
     def state(self) -> _State:
+        """What this object last saw of the log; a write looks again."""
         if self._state is None:
             self._state = self._load_state()
         return self._state
 
-    def _load_state(self) -> _State:
-        """Replay the log. It has one row per commit and touched day, so it is as
-        small as a partition listing."""
-        state = _State()
+    def _log_folders(self) -> list[str]:
+        """Log entries in order of their commits: names only, nothing is opened."""
         try:
-            entries = self.spark.read.parquet(f"{self.path}/log").orderBy("commit").collect()
+            files = self.spark.read.schema(_LOG).parquet(f"{self.path}/log").inputFiles()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
+            return []
+        return sorted({f.rsplit("/", 2)[-2] for f in files})
+
+    @staticmethod
+    def _number(folder: str) -> int:
+        return int(folder.removeprefix("commit=").split("-")[0])
+
+    def _load_state(self) -> _State:
+        """Replay the log from its last snapshot on: a row per commit and touched day."""
+        state, folders = _State(), self._log_folders()
+        if not folders:
             return state
+        state.last_commit = self._number(folders[-1])
+        start = state.last_commit - state.last_commit % SNAPSHOT_EVERY
+        recent = [f for f in folders if self._number(f) >= start]
+        paths = [f"{self.path}/log/{f}" for f in recent]
+        reader = self.spark.read.schema(_LOG + ", commit string").option("basePath", f"{self.path}/log")
+        entries = reader.parquet(*paths).orderBy("commit", "kind", "day").collect()
+        for e in entries:
+            if e["kind"] == "commit":
+                state.schema = T.StructType.fromJson(json.loads(e["schema"]))
         for e in entries:
-            held = _Held(e["commit"], e["low"], e["high"]) if e["holds_rows"] else None
-            state.apply(e["commit"], e[PART], held)
+            if e["kind"] == "day":
+                held = _Held(e["folder"], self._value(state, e["low"]), self._value(state, e["high"])) if e["folder"] else None
+                state.apply(e[PART], held)
         return state
 
+    def _value(self, state: _State, text: str | None) -> Any:
+        """A key bound from the log; keys are whole numbers or texts."""
+        is_number = isinstance(state.schema[self.keys[0]].dataType, T.IntegralType)
+        return text if text is None or not is_number else int(text)
+
     def days(self, span: Span = EVERYTHING) -> list[Day]:
         """Days that hold rows."""
         return sorted(filter(span.holds_day, self.state.held), key=_by_day)
 
     def _rows(self, days: Iterable[Day]) -> DataFrame:
-        """Current rows of the given days, with the partition column."""
+        """Current rows of the given days, with the partition column and hidden ones."""
         state = self.state
-        data = f"{self.path}/data"
-        paths = [f"{data}/commit={state.held[d].commit}/{PART}={_folder(d)}" for d in days]
-        if paths:
-            reader = self.spark.read.option("basePath", data)
-            if state.schema is not None:
-                reader = reader.schema(state.schema)
-            return reader.parquet(*paths).drop("commit")
         if state.schema is None:
             raise LookupError(f"table {self.name} has never been written")
-        return self.spark.createDataFrame([], state.schema)
+        data = f"{self.path}/data"
+        paths = [f"{data}/{state.held[d].folder}/{PART}={_folder(d)}" for d in days]
+        if not paths:
+            return self.spark.createDataFrame([], state.schema)
+        return self.spark.read.option("basePath", data).schema(state.schema).parquet(*paths).select(*state.schema.names)
 
     def read(self, span: Span = EVERYTHING) -> DataFrame:
         """Current rows whose day lies in ``span``; other days are not even listed."""
-        return self._rows(self.days(span)).drop(PART)
+        return self._rows(self.days(span)).drop(PART, *self.hidden)
 
     # -- writing ---------------------------------------------------------------
 
-    def _write(self, df: DataFrame, commit: int, mode: str) -> None:
+    def _begin(self) -> str:
+        """The folder of a new commit on top of the log as it is now."""
+        self._state = self._load_state()
+        return f"commit={self.state.last_commit + 1:09d}-{uuid.uuid4().hex[:8]}"
+
+    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
         # Rebalancing by day gives every day a few well-sized files, and AQE
         # splits a day that is too big for one task.
-        # An overwrite must clear the whole folder of a run that died, whatever
-        # the session prefers.
         (
             df.hint("rebalance", PART)
             .write.mode(mode)
             .option("partitionOverwriteMode", "static")
             .partitionBy(PART)
-            .parquet(f"{self.path}/data/commit={commit}")
+            .parquet(f"{self.path}/data/{folder}")
         )
 
-    def _written(self, commit: int) -> DataFrame:
-        return self.spark.read.schema(self.state.schema).parquet(f"{self.path}/data/commit={commit}")
+    def _written(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.state.schema).parquet(f"{self.path}/data/{folder}")
 
-    def _stage(self, df: DataFrame, commit: int) -> tuple[DataFrame, dict[Day, Row]]:
+    def _stage(self, df: DataFrame, folder: str) -> tuple[DataFrame, dict[Day, Row]]:
         """Write ``df`` into the commit's folder, stamped with the time of the run.
 
         Returns the written rows, and per day their number and range of keys.
         """
         stamped = df.withColumn(UPDATED, F.current_timestamp()).withColumn(PART, F.to_date(self.day_column))
         # Files can hold NULLs whatever the plan says about nullability.
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema.fields])
-        self._write(stamped, commit, "overwrite")
-        self.state.schema = schema
-        written = self._written(commit)
-        key = self.keys[0]
+        self.state.schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema.fields])
+        self._write(stamped, folder, "error")
+        return self._facts(folder)
+
+    def _facts(self, folder: str) -> tuple[DataFrame, dict[Day, Row]]:
+        written, key = self._written(folder), self.keys[0]
         facts = written.groupBy(PART).agg(
             F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
         )
         return written, {row[PART]: row for row in facts.collect()}
 
     def _info(self, commit: int, batch: dict[Day, Row], touched: Iterable[Day]) -> CommitInfo:
-        columns = tuple((f.name, f.dataType.simpleString()) for f in self.state.schema if f.name != PART)
+        shown = [f for f in self.state.schema if f.name != PART and f.name not in self.hidden]
+        columns = tuple((f.name, f.dataType.simpleString()) for f in shown)
         rows = sum(day["n"] for day in batch.values())
         return CommitInfo(self.name, commit, rows, tuple(sorted(touched, key=_by_day)), columns)
 
-    def upsert(self, batch: DataFrame) -> CommitInfo:
+    def upsert(self, batch: DataFrame, gone: DataFrame | None = None) -> CommitInfo:
         """Replace the rows that share a key with ``batch`` and add the batch.
 
         The batch is computed and written once. Rows of the touched days that it
-        does not replace are then copied next to it.
+        does not replace are then copied next to it. ``gone`` lists more keys
+        whose rows go, whether or not the batch has them.
         """
-        commit = self.state.last_commit + 1
-        written, by_day = self._stage(batch, commit)
-        moved = self._other_days_with_keys_of(written, by_day)
-        held = {day: _Held(commit, facts["low"], facts["high"]) for day, facts in by_day.items()}
+        folder = self._begin()
+        written, by_day = self._stage(batch, folder)
+        keys = written.select(*self.keys)
+        bounds = [(facts["low"], facts["high"]) for facts in by_day.values() if facts["low"] is not None]
+        if gone is not None:
+            keys = keys.unionByName(gone.select(*self.keys)).distinct()
+            first = F.col(self.keys[0])
+            low, high = keys.agg(F.min(first), F.max(first)).first()
+            bounds = [] if low is None else [(low, high)]
+        met = self._days_met(written, keys, by_day, bounds)
+        if any(newer for _, newer in met):
+            # Some stored rows are newer. What the batch has of them is left out of a second copy of it.
+            stale = self._newer(written, by_day, bounds).select(*self.keys).distinct()
+            folder = f"{folder}-kept"
+            self._write(written.join(stale, self.keys, "left_anti").select(*self.state.schema.names), folder, "error")
+            keys = keys.join(stale, self.keys, "left_anti")
+            written, by_day = self._facts(folder)
+        moved = {day for day, newer in met if not newer and day not in by_day}
+        held = {day: _Held(folder, facts["low"], facts["high"]) for day, facts in by_day.items()}
         to_merge = [d for d in self.days() if d in held or d in moved]
         if to_merge:
             # The file listing of ``written`` is fixed, so it stays the batch
             # alone while the survivors are appended to the same folder.
-            survivors = self._rows(to_merge).join(written.select(*self.keys), self.keys, "left_anti")
-            self._write(survivors.select(*self.state.schema.names), commit, "append")
+            survivors = self._rows(to_merge).join(keys, self.keys, "left_anti")
+            self._write(survivors.select(*self.state.schema.names), folder, "append")
             for day in to_merge:
-                held[day] = self._widened(commit, self.state.held[day], held.get(day))
+                held[day] = self._widened(folder, self.state.held[day], held.get(day))
         if moved:
             # A day may have lost all its rows to other days.
-            left = {row[PART] for row in self._written(commit).select(PART).distinct().collect()}
+            left = {row[PART] for row in self._written(folder).select(PART).distinct().collect()}
             held = {day: now if day in left else None for day, now in held.items()}
-        self._log(commit, held)
-        return self._info(commit, by_day, held)
+        return self._info(self._log(folder, held), by_day, held)
 
     @staticmethod
-    def _widened(commit: int, before: _Held, batch: _Held | None) -> _Held:
+    def _widened(folder: str, before: _Held, batch: _Held | None) -> _Held:
         """A key range that holds for the survivors of a day and its new rows."""
         known = [h for h in (before, batch) if h is not None and h.low is not None]
         if not known:
-            return _Held(commit, None, None)
-        return _Held(commit, min(h.low for h in known), max(h.high for h in known))
+            return _Held(folder, None, None)
+        return _Held(folder, min(h.low for h in known), max(h.high for h in known))
 
     def replace(self, df: DataFrame) -> CommitInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
-        commit, old = self.state.last_commit + 1, self.days()
-        _, by_day = self._stage(df, commit)
-        now = {day: _Held(commit, facts["low"], facts["high"]) for day, facts in by_day.items()}
-        self._log(commit, {**dict.fromkeys(old), **now})
-        return self._info(commit, by_day, by_day)
+        return self.replace_days(df, EVERYTHING)
 
-    def _other_days_with_keys_of(self, batch: DataFrame, by_day: dict[Day, Row]) -> set[Day]:
-        """Days outside the batch that hold an older version of one of its keys.
+    def replace_days(self, df: DataFrame, span: Span) -> CommitInfo:
+        """Afterwards the days of ``span`` hold exactly the rows of ``df``, which has no others.
+
+        For tables whose rows of a day are always computed together: keys that no
+        longer occur go with the rest, and nothing old is read or copied.
+        """
+        folder = self._begin()
+        old = self.days(span)
+        _, by_day = self._stage(df, folder)
+        if strays := [day for day in by_day if not span.holds_day(day)]:
+            raise ValueError(f"rows of {self.name} outside the replaced days: {strays[:3]}")
+        now = {day: _Held(folder, facts["low"], facts["high"]) for day, facts in by_day.items()}
+        touched = {**dict.fromkeys(old), **now}
+        return self._info(self._log(folder, touched), by_day, touched)
+
+    def _candidates(self, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]) -> DataFrame | None:
+        """Stored rows whose first key lies within the bounds of the keys sought, from days whose range meets them.
+
+        With ids that grow over time the log rules out nearly all of the history;
+        of the other days only key columns are read.
+        """
+        if not bounds:
+            return None
+        low, high = min(low for low, _ in bounds), max(high for _, high in bounds)
+        days = [d for d, h in self.state.held.items() if h.may_hold(low, high)]
+        if not self.version:
+            days = [d for d in days if d not in by_day]
+        return self._rows(days).where(F.col(self.keys[0]).between(F.lit(low), F.lit(high))) if days else None
+
+    def _compared(self, stored: DataFrame, written: DataFrame) -> DataFrame:
+        """Stored rows that share a key with the batch, and whether they are newer."""
+        old = stored.select(*self.keys, PART, F.struct(*self.version).alias("_old"))
+        new = written.select(*self.keys, F.struct(*self.version).alias("_new"))
+        return old.join(new, self.keys).withColumn("newer", F.expr("_old > _new"))
+
+    def _newer(self, written: DataFrame, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]) -> DataFrame:
+        return self._compared(self._candidates(by_day, bounds), written).where("newer")
+
+    def _days_met(
+        self, written: DataFrame, keys: DataFrame, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]
+    ) -> set[tuple[Day, bool]]:
+        """Days that hold older rows of the batch's keys, and those that hold newer ones.
 
         Needed only where the day is not part of the key: a correction may move
-        a record to another day. Days whose key range does not meet the batch's
-        are ruled out by the log; with ids that grow over time that is nearly all
-        of the history. Of the others only key columns are read.
+        a record to another day.
         """
-        keyed = [facts for facts in by_day.values() if facts["low"] is not None]
-        if self.day_column in self.keys or not keyed:
+        if self.day_column in self.keys:
             return set()
-        low, high = min(facts["low"] for facts in keyed), max(facts["high"] for facts in keyed)
-        others = [d for d, h in self.state.held.items() if d not in by_day and h.may_hold(low, high)]
-        if not others:
+        stored = self._candidates(by_day, bounds)
+        if stored is None:
             return set()
-        candidates = self._rows(others).where(F.col(self.keys[0]).between(F.lit(low), F.lit(high)))
-        moved = candidates.select(*self.keys, PART).join(batch.select(*self.keys), self.keys, "left_semi")
-        return {row[PART] for row in moved.select(PART).distinct().collect()}
+        if self.version:
+            found = self._compared(stored, written)
+        else:
+            found = stored.select(*self.keys, PART).join(keys, self.keys, "left_semi").withColumn("newer", F.lit(False))
+        return {(row[PART], bool(row["newer"])) for row in found.select(PART, "newer").distinct().collect()}
 
-    def _log(self, commit: int, held: dict[Day, _Held | None]) -> None:
+    def _log(self, folder: str, held: dict[Day, _Held | None]) -> int:
         """Make a commit visible. The number of entries is the number of days it touched."""
-        if not held:
-            return
-        key_type = self.state.schema[self.keys[0]].dataType
-        schema = T.StructType(
-            [
-                T.StructField(PART, T.DateType()),
-                T.StructField("holds_rows", T.BooleanType()),
-                T.StructField("low", key_type),
-                T.StructField("high", key_type),
-            ]
-        )
-        days = sorted(held, key=_by_day)
-        now = [held[d] for d in days]
-        entries = pa.table(
-            {
-                PART: days,
-                "holds_rows": [h is not None for h in now],
-                "low": [h and h.low for h in now],
-                "high": [h and h.high for h in now],
-            },
-            schema=to_arrow_schema(schema),
-        )
-        local = self.spark.createDataFrame(entries, schema).coalesce(1)
-        local.write.mode("overwrite").parquet(f"{self.path}/log/commit={commit}")
-        for day in days:
-            self.state.apply(commit, day, held[day])
+        commit = self._number(folder)
+        folders = self._log_folders()
+        if folders and self._number(folders[-1]) >= commit:
+            raise ConcurrentWrite(f"table {self.name}: commit {commit} was taken by another writer")
+        for day, now in held.items():
+            self.state.apply(day, now)
+        self.state.last_commit = commit
+        entries = dict(self.state.held) if commit % SNAPSHOT_EVERY == 0 else held
+
+        def text(bound: Any) -> str | None:
+            return None if bound is None else str(bound)
+
+        rows = [("commit", None, None, None, None, self.state.schema.json())]
+        for day in sorted(entries, key=_by_day):
+            h = entries[day]
+            rows.append(("day", day, h and h.folder, h and text(h.low), h and text(h.high), None))
+        local = self.spark.createDataFrame(rows, _LOG).coalesce(1)
+        local.write.mode("error").parquet(f"{self.path}/log/{folder}")
+        return commit
 
     # -- upkeep ----------------------------------------------------------------
 
     def drop_superseded(self) -> int:
         """Delete the folders of days that a later commit has replaced.
 
-        Not part of a run: readers that started before it may still be using them.
+        Covers the commits since the last snapshot of the log, so it is run more
+        often than ``SNAPSHOT_EVERY`` commits. Not part of a run: readers that
+        started before it may still be using the folders. Spark has no call to
+        delete files, so this uses its file system handle.
         """
-        jvm = self.spark.sparkContext._jvm
-        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        context = self.spark.sparkContext
         dropped = 0
-        for commit, day in sorted(self.state.superseded, key=str):
-            folder = jvm.org.apache.hadoop.fs.Path(
-                f"{self.path}/data/commit={commit}/{PART}={_folder(day)}"
-            )
-            dropped += folder.getFileSystem(hadoop).delete(folder, True)
+        for folder, day in sorted(self.state.superseded, key=str):
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{folder}/{PART}={_folder(day)}")
+            dropped += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
         self.state.superseded.clear()
         return dropped

@@ -13,13 +13,23 @@ from ringledger.operators import insights
 from ringledger.operators.assignments import segments_from_changes, with_manager
 from ringledger.operators.callbacks import repeat_flags
 from ringledger.operators.latest import latest_version, repeated_records
-from ringledger.operators.quality import UNIQUE, Check, check_report, failing_rows
+from ringledger.operators.quality import (
+    ACCEPTED_VALUES,
+    EXPRESSION,
+    NOT_NULL,
+    RELATIONSHIPS,
+    UNIQUE,
+    UNIQUE_COMBINATION,
+    Check,
+    check_report,
+    failing_rows,
+)
 from ringledger.operators.resolution import (
     compare_definitions,
     resolved_unless_repeated,
     resolved_with_cutover,
 )
-from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
+from ringledger.operators.upsert import UPDATED, StoredTable
 from ringledger.plans.checks import RAW_CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, LazyTables
 from ringledger.plans.runs import StoredTables, lineage
@@ -34,9 +44,6 @@ from ringledger.window import RunWindow, Span, within_inclusive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The stand-in data covers calls from 16 January to 14 February 2024 and answers
-# up to 19 February. Four windows of ten days take all of it in.
-FIRST_DAY = date(2024, 1, 16)
 WINDOW_DAYS = 10
 CUTOVER = date(2024, 2, 1)
 
@@ -55,11 +62,21 @@ QUERY_NAMES = {
 }
 
 
-def windows(count: int = 4, **options) -> list[RunWindow]:
-    starts = [FIRST_DAY + timedelta(days=WINDOW_DAYS * n) for n in range(count)]
+def windows(first: date, last: date, **options) -> list[RunWindow]:
+    """Windows of ten days that take in all days from first to last."""
+    count = (last - first).days // WINDOW_DAYS + 1
+    starts = [first + timedelta(days=WINDOW_DAYS * n) for n in range(count)]
     return [RunWindow(start, start + timedelta(days=WINDOW_DAYS), **options) for start in starts]
 
 
+def run_windows(spark: SparkSession, sf_dir: str, **options) -> list[RunWindow]:
+    """Windows over every day on which a raw record happened."""
+    source = stand_in.inputs(spark, sf_dir)
+    days = [source.raw(n).select(F.to_date(feed.event_ts).alias("day")) for n, feed in DATASETS.items()]
+    first, last = reduce(DataFrame.unionByName, days).agg(F.min("day"), F.max("day")).first()
+    return windows(first, last, **options) if first else []
+
+
 def _lazy(spark: SparkSession, sf_dir: str) -> LazyTables:
     return LazyTables(stand_in.inputs(spark, sf_dir))
 
@@ -194,36 +211,40 @@ def scd2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- incremental runs ----------------------------------------------------------------
 
 
-def _after_windows(table: str, count: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _after_windows(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _fresh_store(spark, sf_dir, table)
-    for window in windows(count):
+    for window in run_windows(spark, sf_dir):
         store.run(window, only=lineage(table))
     return store[table]
 
 
 def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_windows("stg_calls", 2, spark, sf_dir)
+    return _after_windows("stg_calls", spark, sf_dir)
 
 
 def incremental_rows_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest calls of a closed window: midnight of the end day counts in."""
+    """Latest calls of a closed window: midnight of the end day counts in.
+
+    A correction may move a call out of the window, so the latest version is found first.
+    """
     source = stand_in.inputs(spark, sf_dir)
     closed = within_inclusive(F.col("start_ts"), date(2024, 1, 20), date(2024, 1, 25))
-    return latest_version(source.raw("calls").where(closed), source.loads("calls"), DATASETS["calls"])
+    return latest_version(source.raw("calls"), source.loads("calls"), DATASETS["calls"]).where(closed)
 
 
 def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_windows("daily_agent_metrics", 2, spark, sf_dir)
+    return _after_windows("daily_agent_metrics", spark, sf_dir)
 
 
 def incremental_callbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs one narrow window recomputes: callbacks before its end, originals
     no older than the lookback."""
-    return BY_NAME["mart_crm_callbacks"].build(_lazy(spark, sf_dir), windows(2, narrow=True)[1])
+    window, model = RunWindow(date(2024, 1, 26), date(2024, 2, 5), narrow=True), BY_NAME["mart_crm_callbacks"]
+    return model.build(_lazy(spark, sf_dir), model.span(window, frozenset()), window)
 
 
 def incremental_late_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_windows("daily_agent_survey_metrics_source", 2, spark, sf_dir)
+    return _after_windows("daily_agent_survey_metrics_source", spark, sf_dir)
 
 
 def _stack_scorecards(tables: StoredTables) -> DataFrame:
@@ -238,26 +259,74 @@ def _stack_scorecards(tables: StoredTables) -> DataFrame:
 def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All windows one after another: the scorecards must equal a full build."""
     store = _fresh_store(spark, sf_dir, "replay")
-    for window in windows():
+    for window in run_windows(spark, sf_dir):
         store.run(window, only=lineage(*SCORECARDS))
     return _stack_scorecards(store)
 
 
-def _upserted(table: StoredTable, rows: DataFrame, load_column: str) -> DataFrame:
-    """First load in, second load merged over it, table read back."""
-    for load, write in ((stand_in.FIRST_LOAD, table.replace), (stand_in.SECOND_LOAD, table.upsert)):
-        write(rows.where(F.col(load_column) == load).drop(load_column))
-    return table.read().drop(UPDATED)
+def _content_term(name: str, kind: str) -> str:
+    """A whole number that depends on one value."""
+    value = {
+        "boolean": f"CAST({name} AS INT)",
+        "double": f"CAST(round({name} * 1000000) AS BIGINT)",
+        "date": f"datediff({name}, DATE'1970-01-01')",
+        "timestamp_ntz": f"unix_micros(CAST({name} AS TIMESTAMP))",
+        "string": f"CAST(conv(substr(md5({name}), 1, 8), 16, 10) AS BIGINT)",
+    }.get(kind, name)
+    return f"coalesce(CAST({value} AS DECIMAL(38, 0)), 7)"
+
+
+def _contents(store: StoredTables) -> DataFrame:
+    """Rows of every table and a sum over all their values, each column weighted by its place."""
+
+    def of_table(name: str) -> DataFrame:
+        terms = [f"{n} * {_content_term(*column)}" for n, column in enumerate(store[name].dtypes, start=1)]
+        row = store[name].selectExpr(f"CAST({' + '.join(terms)} AS DECIMAL(38, 0)) AS value")
+        return row.selectExpr(
+            f"'{name}' AS table_name", "count(1) AS rows", "CAST(CAST(sum(value) AS DECIMAL(38, 0)) AS STRING) AS contents"
+        )
+
+    return reduce(DataFrame.unionByName, [of_table(model.name) for model in MODELS])
+
+
+def incremental_replay_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows out of order, and the first ones once more: all sixteen tables must equal a full build."""
+    store, runs = _fresh_store(spark, sf_dir, "shuffled"), run_windows(spark, sf_dir)
+    for window in [*runs[2:], *runs[:2][::-1], *runs[:1]]:
+        store.run(window)
+    return _contents(store)
+
+
+def _upserted(
+    spark: SparkSession, keys: list[str], day: str, rows: DataFrame, load_column: str
+) -> DataFrame:
+    """First load in, second load merged over it, by two writers in turn; read by a third."""
+    path = scratch_dir(spark, "upsert")
+
+    def table() -> StoredTable:
+        return StoredTable(spark, path, keys, day)
+
+    one, two = table(), table()
+    first, second = (
+        rows.where(F.col(load_column) == load).drop(load_column) for load in (stand_in.FIRST_LOAD, stand_in.SECOND_LOAD)
+    )
+    part = F.pmod(F.col(keys[0]), F.lit(2))
+    one.replace(first.where(part == 0))
+    two.upsert(first.where(part == 1))
+    one.upsert(second.where(part == 0))
+    two.upsert(second.where(part == 1))
+    one.upsert(second.where("false"))
+    reader = table()
+    nothing = reader.read(Span(date(1990, 1, 1), date(1990, 1, 2)))
+    return reader.read().unionByName(nothing).drop(UPDATED)
 
 
 def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = StoredTable(spark, scratch_dir(spark, "upsert"), ["call_id"], "start_ts")
-    return _upserted(table, stand_in.raw_calls(spark, sf_dir), "load_id")
+    return _upserted(spark, ["call_id"], "start_ts", stand_in.raw_calls(spark, sf_dir), "load_id")
 
 
 def upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = StoredTable(spark, scratch_dir(spark, "upsert"), ["call_id", "customer_id"], "created_ts")
-    return _upserted(table, stand_in.raw_crm(spark, sf_dir), "load_id")
+    return _upserted(spark, ["call_id", "customer_id"], "created_ts", stand_in.raw_crm(spark, sf_dir), "load_id")
 
 
 # -- full builds -----------------------------------------------------------------------
@@ -274,21 +343,16 @@ def full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-_built: dict[tuple[str, str], tuple[StoredTables, list[CommitInfo]]] = {}
-
-
-def _built_once(spark: SparkSession, sf_dir: str) -> tuple[StoredTables, list[CommitInfo]]:
-    """One stored build per session and input folder, for queries about its tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        store = _fresh_store(spark, sf_dir, "built")
-        _built[key] = (store, store.refresh())
-    return _built[key]
+def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and store all tables in dependency order: rows and contents of each."""
+    store = _fresh_store(spark, sf_dir, "pipeline")
+    store.refresh()
+    return _contents(store)
 
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was stored: rows per table, and its columns in order."""
-    _, commits = _built_once(spark, sf_dir)
+    commits = _fresh_store(spark, sf_dir, "profile").refresh()
     rows = [
         (info.table, position, name, kind, info.rows_written)
         for info in commits
@@ -301,10 +365,37 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over the seeds and the stored tables."""
-    store, _ = _built_once(spark, sf_dir)
+    store = _fresh_store(spark, sf_dir, "checked")
+    store.refresh()
     return store.check()
 
 
+def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One check of every kind over the calls, with a known number of violations planted among them."""
+    lazy = _lazy(spark, sf_dir)
+    sound = lazy["stg_calls"].selectExpr("call_id", "agent_id", "1 AS queue", "duration_s")
+    # Keys below zero are not among the calls. A NULL passes all kinds but not_null and the expression.
+    planted = spark.sql(
+        """SELECT * FROM VALUES
+            (-1L, 1L, 1, 5L), (-1L, 1L, 1, 5L),
+            (-2L, NULL, 1, 5L), (-3L, NULL, NULL, 5L),
+            (-4L, 1L, 8, 5L), (-5L, 1L, 9, 5L), (-6L, 1L, 7, 5L),
+            (-7L, 901L, 1, 5L), (-8L, 902L, 1, 5L), (-9L, 903L, 1, 5L), (-10L, 903L, 1, 5L),
+            (-11L, 1L, 1, -1L), (-12L, 1L, 1, -2L), (-13L, 1L, 1, -3L), (-14L, 1L, 1, -4L), (-15L, 1L, 1, NULL)
+            AS t(call_id, agent_id, queue, duration_s)"""
+    )
+    tables = {"calls": sound.unionByName(planted), "agents": lazy.seed("agents")}
+    checks = [
+        Check("calls", UNIQUE, ("call_id",)),
+        Check("calls", NOT_NULL, ("agent_id",)),
+        Check("calls", ACCEPTED_VALUES, ("queue",), values=(1, 2)),
+        Check("calls", RELATIONSHIPS, ("agent_id",), parent=("agents", "agent_id")),
+        Check("calls", UNIQUE_COMBINATION, ("call_id", "agent_id")),
+        Check("calls", EXPRESSION, expression="duration_s >= 0"),
+    ]
+    return check_report(checks, tables.__getitem__)
+
+
 def dq_raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging checks over the raw feeds, where repeated loads show up."""
     source = stand_in.inputs(spark, sf_dir)
@@ -362,11 +453,14 @@ QUERIES: dict[str, Query] = {
     "incremental_callbacks": incremental_callbacks,
     "incremental_late_surveys": incremental_late_surveys,
     "incremental_replay": incremental_replay,
+    "incremental_replay_shuffled": incremental_replay_shuffled,
     "upsert_rows": upsert_rows,
     "upsert_composite_key": upsert_composite_key,
     "full_build": full_build,
+    "pipeline_full": pipeline_full,
     "table_profile": table_profile,
     "dq_report": dq_report,
+    "dq_violations": dq_violations,
     "dq_raw_report": dq_raw_report,
     "dq_failing_rows": dq_failing_rows,
     "agent_fcr_extremes": agent_fcr_extremes,

@@ -18,7 +18,8 @@ from ringledger.plans.checks import CHECKS, RAW_CHECKS
 PARTS: dict[str, str] = {}
 
 PARTS["occurrence"] = """
-    SELECT event_id, event_id % 25 AS agent_id, user_id AS customer_id, event_type,
+    SELECT event_id, event_id % 25 AS agent_id,
+           CASE WHEN event_id % 100 <> 7 THEN user_id END AS customer_id, event_type,
            CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
            ts + INTERVAL 15 DAY AS began,
            20 + (event_id * 37) % 1800 AS secs
@@ -30,25 +31,29 @@ PARTS["loads"] = """
 
 PARTS["raw_calls"] = """
     SELECT event_id AS call_id, agent_id, customer_id, (event_id * 7) % 120 AS queue_hold_time,
-           began AS start_ts, began + to_seconds(secs + extra) AS end_ts,
+           began + to_days(late) AS start_ts, began + to_days(late) + to_seconds(secs + extra) AS end_ts,
            CAST(secs + extra AS BIGINT) AS duration_s,
            CAST(secs * (k % 5) // 10 AS BIGINT) AS hold_time_during_call_s,
            event_type = 'error' AS transfer_flag, load_id
-    FROM occurrence, (VALUES ('L1', 0), ('L2', 60)) AS version(load_id, extra)
-    WHERE load_id = 'L1' OR event_id % 20 = 0"""
+    FROM (SELECT *, event_id % 25 = 7 AND CAST(began AS DATE) = DATE '2024-01-20' AS emptied FROM occurrence),
+         (VALUES ('L1', 0), ('L2', 60)) AS version(load_id, extra),
+         LATERAL (SELECT CASE WHEN load_id = 'L2' AND (event_id % 60 = 0 OR emptied) THEN 11 ELSE 0 END AS late)
+    WHERE load_id = 'L1' OR event_id % 20 = 0 OR emptied"""
 
 PARTS["raw_crm"] = """
-    SELECT event_id AS crm_id, agent_id, event_id AS call_id, customer_id, event_type AS reason_code,
+    SELECT event_id AS crm_id, agent_id, event_id AS call_id, customer_id,
+           CASE WHEN event_id % 100 <> 3 THEN event_type END AS reason_code,
            CASE WHEN k < 50 THEN 'low' ELSE 'high' END AS sub_reason_code,
            (k % 10 < 4) = (load_id = 'L1') AS previous_issue_flag,
-           began AS created_ts, load_id
+           began + to_days(CASE WHEN load_id = 'L2' AND event_id % 60 = 1 THEN 11 ELSE 0 END) AS created_ts, load_id
     FROM occurrence, (VALUES ('L1'), ('L2')) AS version(load_id)
     WHERE load_id = 'L1' OR event_id % 20 = 1"""
 
 PARTS["raw_surveys"] = """
     SELECT event_id AS survey_id, event_id AS call_id, agent_id, customer_id,
            began + to_seconds(secs + 5) AS sent_ts,
-           began + to_seconds(secs + 15 + event_id % 46) + to_days(CAST(k % 5 AS INTEGER)) AS response_ts,
+           began + to_seconds(secs + 15 + event_id % 46) + to_days(CAST(k % 5 AS INTEGER))
+               + to_days(CASE WHEN load_id = 'L2' AND event_id % 120 = 0 THEN 11 ELSE 0 END) AS response_ts,
            CASE load_id WHEN 'L1' THEN 1 + k % 5 ELSE 5 - k % 5 END AS csat,
            1 + (k * 7 + event_id) % 10 AS nps, load_id
     FROM occurrence, (VALUES ('L1'), ('L2')) AS version(load_id)
@@ -213,14 +218,6 @@ def _query(body: str, **changed: str) -> str:
     return f"WITH {listed}\n{body}" if listed else body
 
 
-def _before(day: str) -> dict[str, str]:
-    """Raw records that windows up to ``day`` have taken in."""
-    ends = {"raw_calls": "start_ts", "raw_crm": "created_ts", "raw_surveys": "response_ts"}
-    return {
-        name: f"SELECT * FROM ({PARTS[name]}) WHERE {moment} < DATE '{day}'" for name, moment in ends.items()
-    }
-
-
 def _stacked_cards() -> str:
     cards = {
         "daily_agent_metrics": ("agent_id, agent_name", "NULL, NULL", "call_date", "call_count"),
@@ -306,6 +303,38 @@ COLUMNS = {
 }
 
 
+def _content_term(column: str, kind: str) -> str:
+    """A whole number that depends on one value; the query uses the same rules."""
+    value = {
+        "boolean": f"CAST({column} AS INTEGER)",
+        "double": f"CAST(round({column} * 1000000) AS BIGINT)",
+        "date": f"date_diff('day', DATE '1970-01-01', {column})",
+        "timestamp_ntz": f"epoch_us({column})",
+        "string": f"CAST('0x' || substr(md5({column}), 1, 8) AS BIGINT)",
+    }.get(kind, column)
+    return f"coalesce(CAST({value} AS HUGEINT), 7)"
+
+
+def _contents_sql(table: str) -> str:
+    columns = [c.split() for c in COLUMNS[table].split(",")]
+    # A factor per column, so that values in the wrong column show.
+    terms = " + ".join(f"{n} * {_content_term(*column)}" for n, column in enumerate(columns, start=1))
+    return f"""SELECT '{table}' AS table_name, count(*) AS rows, CAST(sum({terms}) AS VARCHAR) AS contents
+        FROM {table}"""
+
+
+# Written by hand: what is wrong with the rows the query plants into the calls.
+_VIOLATIONS = """
+    SELECT table_name, check_name, subject, CAST(n AS BIGINT) AS failing_rows FROM (VALUES
+        ('calls', 'unique', 'call_id', 1),
+        ('calls', 'not_null', 'agent_id', 2),
+        ('calls', 'accepted_values', 'queue', 3),
+        ('calls', 'relationships', 'agent_id', 4),
+        ('calls', 'unique_combination_of_columns', 'call_id, agent_id', 1),
+        ('calls', 'expression_is_true', 'duration_s >= 0', 5)
+    ) AS v(table_name, check_name, subject, n)"""
+
+
 def _profile_sql() -> str:
     rows = []
     for table, columns in COLUMNS.items():
@@ -395,20 +424,18 @@ def expected_sql() -> dict[str, str]:
                      arg_max(event_type, (ts, event_type)) AS value
               FROM events GROUP BY 1, 2)"""
 
-    sql["incremental_rows"] = _query("SELECT * FROM stg_calls WHERE start_ts < DATE '2024-02-05'")
+    sql["incremental_rows"] = _query("SELECT * FROM stg_calls")
     sql["incremental_rows_inclusive"] = _query(
         """SELECT * FROM stg_calls WHERE start_ts >= TIMESTAMP '2024-01-20 00:00:00'
            AND start_ts <= TIMESTAMP '2024-01-25 00:00:00'"""
     )
-    sql["incremental_daily"] = _query("SELECT * FROM daily_agent_metrics", **_before("2024-02-05"))
+    sql["incremental_daily"] = _query("SELECT * FROM daily_agent_metrics")
     sql["incremental_callbacks"] = _query(
         """SELECT * FROM mart_crm_callbacks
            WHERE callback_created_ts < DATE '2024-02-05'
              AND CAST(original_created_ts AS DATE) >= DATE '2024-01-26' - INTERVAL 7 DAY"""
     )
-    sql["incremental_late_surveys"] = _query(
-        "SELECT * FROM daily_agent_survey_metrics_source", **_before("2024-02-05")
-    )
+    sql["incremental_late_surveys"] = _query("SELECT * FROM daily_agent_survey_metrics_source")
     sql["incremental_replay"] = _query(_stacked_cards())
     sql["upsert_rows"] = _query("SELECT * FROM stg_calls")
     sql["upsert_composite_key"] = _query("SELECT * FROM stg_crm")
@@ -416,8 +443,11 @@ def expected_sql() -> dict[str, str]:
     sql["full_build"] = _query(
         " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES)
     )
+    sql["pipeline_full"] = _query(" UNION ALL ".join(map(_contents_sql, TABLES)))
+    sql["incremental_replay_shuffled"] = sql["pipeline_full"]
     sql["table_profile"] = _query(_profile_sql())
     sql["dq_report"] = _query(" UNION ALL ".join(_check_sql(check) for check in CHECKS))
+    sql["dq_violations"] = _VIOLATIONS
     sql["dq_raw_report"] = _query(" UNION ALL ".join(_check_sql(check) for check in RAW_CHECKS))
     sql["dq_failing_rows"] = _query(
         "SELECT * FROM raw_calls QUALIFY count(*) OVER (PARTITION BY call_id) > 1"

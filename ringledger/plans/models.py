@@ -1,7 +1,7 @@
 """The sixteen tables: how each is computed, keyed and partitioned.
 
-A model reads its inputs through a ``Reader`` and gets the window of the run, or
-``None`` for everything. The same definition thus serves a lazy plan over the
+A model reads its inputs through a ``Reader`` and gets the days to compute, and the
+window of the run or ``None``. The same definition thus serves a lazy plan over the
 raw data (``LazyTables``) and a run over stored tables (``plans.runs``).
 """
 
@@ -9,21 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 from typing import Protocol
 
 from pyspark.sql import DataFrame
 
 from ringledger.operators import scorecard as cards
-from ringledger.operators.callbacks import callback_pairs, repeat_flags
+from ringledger.operators.callbacks import CALLBACK_DAYS, callback_pairs, repeat_flags
 from ringledger.operators.enrich import enrich_calls, enrich_surveys, enrich_tickets
-from ringledger.operators.latest import latest_version
+from ringledger.operators.latest import LOADED, latest_version, version_columns
 from ringledger.operators.resolution import resolved_unless_flagged
 from ringledger.schemas import DATASETS
 from ringledger.sources.inputs import Inputs
-from ringledger.window import EVERYTHING, RunWindow, Span
+from ringledger.window import EVERYTHING, RunWindow, Span, days_of_month
 
 
 class Reader(Protocol):
+    # The callback period of everything that is computed without a window.
+    callback_days: int
+
     def raw(self, dataset: str, span: Span) -> DataFrame: ...
 
     def loads(self, dataset: str) -> DataFrame: ...
@@ -35,75 +39,100 @@ class Reader(Protocol):
         ...
 
 
-Build = Callable[[Reader, RunWindow | None], DataFrame]
+Days = frozenset[date]
+Build = Callable[[Reader, Span, RunWindow | None], DataFrame]
 
 
 @dataclass(frozen=True)
 class Model:
+    """A table: how it is computed for a span of days, and which span a run recomputes.
+
+    ``span`` gives the days for a window and for the days on which the tables it is computed from have just
+    changed. If ``whole_days``, these days are computed completely and replace what was there; otherwise the rows
+    are merged by key.
+    """
+
     name: str
     layer: str
     keys: tuple[str, ...]
     day: str  # the column whose date partitions the table
     build: Build
+    span: Callable[[RunWindow, Days], Span]
+    whole_days: bool = True
+    hidden: tuple[str, ...] = ()
+    version: tuple[str, ...] = ()
+    # Keys whose rows go before the merge, besides those that are computed anew.
+    gone: Callable[[Reader, Span], DataFrame] | None = None
 
 
-def _staging(dataset_name: str) -> Build:
-    dataset = DATASETS[dataset_name]
+def _window_days(window: RunWindow, changed: Days) -> Span:
+    return window.days if window.narrow else window.days.and_days(changed)
 
-    def build(source: Reader, window: RunWindow | None) -> DataFrame:
-        span = window.days if window else EVERYTHING
-        return latest_version(source.raw(dataset_name, span), source.loads(dataset_name), dataset)
 
-    return build
+def _revisable_days(window: RunWindow, changed: Days) -> Span:
+    return window.revisable if window.narrow else window.revisable.and_days(changed)
+
+
+def _scorecard_days(window: RunWindow, changed: Days) -> Span:
+    return window.scorecard_days if window.narrow else window.scorecard_days.and_days(changed)
+
+
+def _scorecard_months(window: RunWindow, changed: Days) -> Span:
+    if window.narrow:
+        return window.scorecard_months
+    return window.scorecard_months.and_days(day for one in changed if one for day in days_of_month(one))
+
+
+def _staging(dataset_name: str) -> Model:
+    dataset = DATASETS[dataset_name]
+
+    def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
+        return latest_version(source.raw(dataset_name, span), source.loads(dataset_name), dataset, loaded=True)
+
+    return Model(
+        f"stg_{dataset_name}",
+        "staging",
+        (dataset.key,),
+        dataset.event_ts,
+        build,
+        lambda window, changed: window.days,
+        whole_days=False,
+        hidden=LOADED,
+        version=tuple(version_columns(dataset)),
+    )
 
 
 def _mart(staging: str, enrich: Callable[..., DataFrame]) -> Build:
-    def build(source: Reader, window: RunWindow | None) -> DataFrame:
-        span = window.days if window else EVERYTHING
+    def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
         return enrich(source.table(staging, span), source.seed("agents"), source.seed("customers"))
 
     return build
 
 
-def _callbacks(source: Reader, window: RunWindow | None) -> DataFrame:
-    if window is None:
-        return callback_pairs(source.table("mart_crm", EVERYTHING))
-    return callback_pairs(
-        source.table("mart_crm", window.callbacks),
-        originals=window.revisable,
-        callbacks=window.callbacks,
-        callback_days=window.callback_days,
-    )
+def _tickets(operator: Callable[..., DataFrame]) -> Build:
+    """What follows from the callbacks of the tickets in the span."""
 
+    def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
+        days = source.callback_days if window is None else window.callback_days
+        callbacks = EVERYTHING if window is None else window.callbacks_of(span)
+        return operator(source.table("mart_crm", callbacks), originals=span, callbacks=callbacks, callback_days=days)
+
+    return build
 
-def _resolution(source: Reader, window: RunWindow | None) -> DataFrame:
-    if window is None:
-        checked = repeat_flags(source.table("mart_crm", EVERYTHING))
-    else:
-        checked = repeat_flags(
-            source.table("mart_crm", window.callbacks),
-            originals=window.revisable,
-            callbacks=window.callbacks,
-            callback_days=window.callback_days,
-        )
-    return resolved_unless_flagged(checked)
 
+def _resolved(tickets: DataFrame, **spans: Span) -> DataFrame:
+    return resolved_unless_flagged(repeat_flags(tickets, **spans))
 
-def _daily(
-    mart: str, summarise: Callable[..., DataFrame], span_of: Callable[[RunWindow], Span]
-) -> Build:
-    def build(source: Reader, window: RunWindow | None) -> DataFrame:
-        facts = source.table(mart, span_of(window) if window else EVERYTHING)
-        return summarise(facts, source.seed("agent_assignments"), source.seed("managers"))
+
+def _daily(mart: str, summarise: Callable[..., DataFrame]) -> Build:
+    def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
+        return summarise(source.table(mart, span), source.seed("agent_assignments"), source.seed("managers"))
 
     return build
 
 
 def _scorecard(**shape: bool) -> Build:
-    def build(source: Reader, window: RunWindow | None) -> DataFrame:
-        span = EVERYTHING
-        if window is not None:
-            span = window.scorecard_months if shape.get("monthly") else window.scorecard_days
+    def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
         return cards.scorecard(
             source.table("daily_agent_call_metrics_source", span),
             source.table("daily_agent_crm_metrics_source", span),
@@ -114,73 +143,73 @@ def _scorecard(**shape: bool) -> Build:
     return build
 
 
+def _card(name: str, keys: tuple[str, ...], **shape: bool) -> Model:
+    monthly = shape.get("monthly", False)
+    span = _scorecard_months if monthly else _scorecard_days
+    return Model(name, "core", keys, keys[-1], _scorecard(**shape), span)
+
+
+def _survey_ids(source: Reader, span: Span) -> DataFrame:
+    return source.table("stg_surveys", span).select("survey_id")
+
+
 # In dependency order. Surveys are staged by the day of the answer and from the
 # mart on by the day they were sent, which is the day they count for.
 MODELS: tuple[Model, ...] = (
-    Model("stg_calls", "staging", ("call_id",), "start_ts", _staging("calls")),
-    Model("stg_crm", "staging", ("crm_id",), "created_ts", _staging("crm")),
-    Model("stg_surveys", "staging", ("survey_id",), "response_ts", _staging("surveys")),
-    Model("mart_calls", "mart", ("call_id",), "start_ts", _mart("stg_calls", enrich_calls)),
-    Model("mart_crm", "mart", ("crm_id",), "created_ts", _mart("stg_crm", enrich_tickets)),
-    Model("mart_surveys", "mart", ("survey_id",), "sent_ts", _mart("stg_surveys", enrich_surveys)),
+    _staging("calls"),
+    _staging("crm"),
+    _staging("surveys"),
+    Model("mart_calls", "mart", ("call_id",), "start_ts", _mart("stg_calls", enrich_calls), _window_days),
+    Model("mart_crm", "mart", ("crm_id",), "created_ts", _mart("stg_crm", enrich_tickets), _window_days),
+    # Answers of one day belong to surveys of several, so these rows are found by key.
+    Model(
+        "mart_surveys",
+        "mart",
+        ("survey_id",),
+        "sent_ts",
+        _mart("stg_surveys", enrich_surveys),
+        _window_days,
+        whole_days=False,
+        gone=_survey_ids,
+    ),
     Model(
         "mart_crm_callbacks",
         "mart",
         ("original_crm_id", "callback_crm_id"),
         "original_created_ts",
-        _callbacks,
+        _tickets(callback_pairs),
+        RunWindow.originals,
     ),
-    Model("mart_first_call_resolution", "mart", ("crm_id",), "fcr_date", _resolution),
+    Model("mart_first_call_resolution", "mart", ("crm_id",), "fcr_date", _tickets(_resolved), RunWindow.originals),
     Model(
         "daily_agent_call_metrics_source",
         "core",
         ("agent_id", "call_date"),
         "call_date",
-        _daily("mart_calls", cards.daily_calls, lambda w: w.days),
+        _daily("mart_calls", cards.daily_calls),
+        _window_days,
     ),
     Model(
         "daily_agent_crm_metrics_source",
         "core",
         ("agent_id", "call_date"),
         "call_date",
-        _daily("mart_first_call_resolution", cards.daily_resolution, lambda w: w.revisable),
+        _daily("mart_first_call_resolution", cards.daily_resolution),
+        _revisable_days,
     ),
     Model(
         "daily_agent_survey_metrics_source",
         "core",
         ("agent_id", "survey_date"),
         "survey_date",
-        _daily("mart_surveys", cards.daily_surveys, lambda w: w.revisable),
-    ),
-    Model("daily_agent_metrics", "core", ("agent_id", "call_date"), "call_date", _scorecard()),
-    Model(
-        "daily_agent_manager_metrics",
-        "core",
-        ("agent_id", "manager_id", "call_date"),
-        "call_date",
-        _scorecard(by_manager=True),
-    ),
-    Model(
-        "monthly_agent_metrics",
-        "core",
-        ("agent_id", "call_month"),
-        "call_month",
-        _scorecard(monthly=True),
-    ),
-    Model(
-        "monthly_agent_manager_metrics",
-        "core",
-        ("agent_id", "manager_id", "call_month"),
-        "call_month",
-        _scorecard(by_manager=True, monthly=True),
-    ),
-    Model(
-        "monthly_manager_metrics",
-        "core",
-        ("manager_id", "call_month"),
-        "call_month",
-        _scorecard(by_agent=False, by_manager=True, monthly=True),
+        _daily("mart_surveys", cards.daily_surveys),
+        _revisable_days,
     ),
+    _card("daily_agent_metrics", ("agent_id", "call_date")),
+    _card("daily_agent_manager_metrics", ("agent_id", "manager_id", "call_date"), by_manager=True),
+    _card("monthly_agent_metrics", ("agent_id", "call_month"), monthly=True),
+    _card("monthly_agent_manager_metrics", ("agent_id", "manager_id", "call_month"), by_manager=True, monthly=True),
+    _card("monthly_manager_metrics", ("manager_id", "call_month"), by_agent=False, by_manager=True, monthly=True),
 )
 
 BY_NAME = {model.name: model for model in MODELS}
@@ -189,8 +218,9 @@ BY_NAME = {model.name: model for model in MODELS}
 class LazyTables:
     """Every table as one lazy plan over the inputs; nothing is stored."""
 
-    def __init__(self, inputs: Inputs):
+    def __init__(self, inputs: Inputs, callback_days: int = CALLBACK_DAYS):
         self.inputs = inputs
+        self.callback_days = callback_days
         self._built: dict[str, DataFrame] = {}
 
     def raw(self, dataset: str, span: Span = EVERYTHING) -> DataFrame:
@@ -204,7 +234,8 @@ class LazyTables:
 
     def table(self, name: str, span: Span = EVERYTHING) -> DataFrame:
         if name not in self._built:
-            self._built[name] = BY_NAME[name].build(self, None)
+            model = BY_NAME[name]
+            self._built[name] = model.build(self, EVERYTHING, None).drop(*model.hidden)
         return span.keep(self._built[name], BY_NAME[name].day)
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
+from ringledger.operators.callbacks import CALLBACK_DAYS
 from ringledger.operators.quality import Check, check_report
 from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
 from ringledger.plans.checks import CHECKS
@@ -17,30 +21,54 @@ from ringledger.streaming.ingest import EVENT_DAY
 from ringledger.window import EVERYTHING, RunWindow, Span
 
 
+class ChecksFailed(RuntimeError):
+    """Some expectations on the tables just written do not hold."""
+
+    def __init__(self, failures: list[Row]):
+        self.failures = failures
+        listed = "; ".join(f"{r['table_name']}: {r['check_name']} {r['subject']} ({r['failing_rows']})" for r in failures)
+        super().__init__(f"{len(failures)} checks failed: {listed}")
+
+
 class StoredTables:
-    """Reads raw inputs and stored tables, and writes the latter in dependency order."""
+    """Reads raw inputs and stored tables, and writes the latter in dependency order.
+
+    Seeds are stored too, in the layer ``ref``, when they are first read; ``store_seeds`` brings in new ones.
+    """
 
     def __init__(
-        self, spark: SparkSession, root: str, inputs: Inputs, layers: Mapping[str, str] | None = None
+        self,
+        spark: SparkSession,
+        root: str,
+        inputs: Inputs,
+        layers: Mapping[str, str] | None = None,
+        callback_days: int = CALLBACK_DAYS,
     ):
+        self.spark = spark
         self.root = root.rstrip("/")
         self.inputs = inputs
+        self.callback_days = callback_days
         # A layer that is not listed is stored under its own name.
-        folders = layers or {}
+        self._folders = layers or {}
+        self._seeds: dict[str, DataFrame] = {}
+        self._lock = Lock()
         self._stored = {
             m.name: StoredTable(
-                spark, f"{self.root}/{folders.get(m.layer, m.layer)}/{m.name}", m.keys, m.day
+                spark, f"{self._layer(m.layer)}/{m.name}", m.keys, m.day, version=m.version, hidden=m.hidden
             )
             for m in MODELS
         }
 
+    def _layer(self, layer: str) -> str:
+        return f"{self.root}/{self._folders.get(layer, layer)}"
+
     def stored(self, name: str) -> StoredTable:
         return self._stored[name]
 
     # -- Reader ----------------------------------------------------------------
 
     def raw(self, dataset: str, span: Span = EVERYTHING) -> DataFrame:
-        rows = self.inputs.raw(dataset)
+        rows = self.inputs.raw_days(dataset, span)
         # Ingested tables are partitioned by event day; pruning needs that column.
         for column in (DATASETS[dataset].event_ts, EVENT_DAY):
             if column in rows.columns:
@@ -51,7 +79,18 @@ class StoredTables:
         return self.inputs.loads(dataset)
 
     def seed(self, name: str) -> DataFrame:
-        return self.inputs.seed(name)
+        with self._lock:  # the tables of a step are written side by side
+            if name not in self._seeds:
+                self.store_seeds([name])
+            return self._seeds[name]
+
+    def store_seeds(self, names: Iterable[str] | None = None) -> None:
+        """Write seeds as they are now into the layer ``ref``, a folder per version, and read them from there."""
+        for name in self.inputs.seed_names if names is None else names:
+            seed = self.inputs.seed(name)
+            folder = f"{self._layer('ref')}/{name}/version={uuid.uuid4().hex[:12]}"
+            seed.write.parquet(folder)
+            self._seeds[name] = self.spark.read.schema(seed.schema).parquet(folder)
 
     def table(self, name: str, span: Span = EVERYTHING) -> DataFrame:
         return self.stored(name).read(span).drop(UPDATED)
@@ -75,13 +114,54 @@ class StoredTables:
                     done += pool.map(write, models)
         return done
 
-    def refresh(self, only: Iterable[str] | None = None) -> list[CommitInfo]:
+    def _window(self, window: RunWindow) -> RunWindow:
+        if window.callback_days != self.callback_days:
+            raise ValueError(f"the tables have callbacks within {self.callback_days} days, the window {window.callback_days}")
+        return window
+
+    def refresh(self, only: Iterable[str] | None = None, checks: str = "skip") -> list[CommitInfo]:
         """Recompute tables from everything there is."""
-        return self._each(only, lambda m: self.stored(m.name).replace(m.build(self, None)))
+        commits = self._each(only, lambda m: self.stored(m.name).replace(m.build(self, EVERYTHING, None)))
+        self._checked(commits, checks)
+        return commits
 
-    def run(self, window: RunWindow, only: Iterable[str] | None = None) -> list[CommitInfo]:
-        """Recompute what ``window`` may change and merge it by key."""
-        return self._each(only, lambda m: self.stored(m.name).upsert(m.build(self, window)))
+    def run(self, window: RunWindow, only: Iterable[str] | None = None, checks: str = "skip") -> list[CommitInfo]:
+        """Recompute what ``window`` may change, and what follows from records that moved to another day.
+
+        A corrected record may leave a day far outside the window. The tables computed from that day are then
+        recomputed for it too, each of them for the days on which one of its parents has changed in this run.
+        ``checks`` says what to do with the expectations on the written tables: "skip" them, "report" failures as
+        a warning, or "stop" with ``ChecksFailed``.
+        """
+        window = self._window(window)
+        changed: dict[str, frozenset] = {}
+
+        def write(model: Model) -> CommitInfo:
+            dirty = frozenset().union(*(changed.get(parent, ()) for parent in PARENTS[model.name]))
+            span, table = model.span(window, dirty), self.stored(model.name)
+            rows = model.build(self, span, window)
+            if model.whole_days and not window.narrow:
+                info = table.replace_days(rows, span)
+            elif model.gone and not window.narrow:
+                info = table.upsert(rows, model.gone(self, span))
+            else:
+                info = table.upsert(rows)
+            changed[model.name] = frozenset(info.days)
+            return info
+
+        commits = self._each(only, write)
+        self._checked(commits, checks)
+        return commits
+
+    def _checked(self, commits: list[CommitInfo], checks: str) -> None:
+        if checks == "skip":
+            return
+        written = {info.table for info in commits}
+        failing = self.check([c for c in CHECKS if c.table in written]).where("failing_rows > 0").collect()
+        if failing and checks == "stop":
+            raise ChecksFailed(failing)
+        if failing:
+            warnings.warn(str(ChecksFailed(failing)), stacklevel=3)
 
     def check(self, checks: Iterable[Check] = CHECKS) -> DataFrame:
         """The expectations on seeds and tables, counted over what is stored now."""

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -22,7 +26,10 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created.
+
+    They stay set: results are lazy and run under them. The time zone is among them.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -37,15 +44,24 @@ def build_session(app: str = "ringledger", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    """One folder per process, deleted when it ends."""
+    folder = tempfile.mkdtemp(prefix="ringledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local session may go without: there one machine is the whole cluster.
+    A cluster names its shared folder in ``spark.checkpoint.dir``; what is written
+    there is its owner's to delete, as results are read from it lazily. Only a
+    plain local session may go without: there one process is the whole cluster.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.gettempdir()
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/ringledger-{label}-{uuid.uuid4().hex[:12]}"

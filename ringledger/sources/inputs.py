@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from inspect import signature
 
 from pyspark.sql import DataFrame
 
+from ringledger.window import Span
+
 Provider = DataFrame | Callable[[], DataFrame]
 
 
 class Inputs:
-    """Named inputs, each a DataFrame or a function that makes one when first used."""
+    """Named inputs, each a DataFrame or a function that makes one when first used.
+
+    A function for a raw feed may take a ``span``; a run then reads the days it needs only.
+    """
 
     def __init__(
         self,
@@ -30,6 +36,12 @@ class Inputs:
     def raw(self, dataset: str) -> DataFrame:
         return self._get("raw", dataset)
 
+    def raw_days(self, dataset: str, span: Span) -> DataFrame:
+        """The raw feed, read for the days of ``span`` only if its provider can do that."""
+        provider = self._providers["raw"][dataset]
+        takes_span = not isinstance(provider, DataFrame) and "span" in signature(provider).parameters
+        return provider(span) if takes_span else self.raw(dataset)
+
     def loads(self, dataset: str) -> DataFrame:
         return self._get("loads", dataset)
 

@@ -2,7 +2,9 @@
 
 Every event becomes one call and one ticket, every third event also a survey
 answer. A share of the records is loaded a second time with corrected values,
-so that keeping the latest version matters. All arithmetic is on integers.
+so that keeping the latest version matters. Some corrections move a record
+eleven days on, and one agent loses a whole day of calls that way. Some customers
+and reasons are NULL. All arithmetic is on integers.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ def _event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "event_id % 25 AS agent_id",
-        "user_id AS customer_id",
+        "IF(event_id % 100 = 7, NULL, user_id) AS customer_id",
         "event_type",
         "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
         "ts + INTERVAL 15 DAYS AS start_ts",
@@ -49,9 +51,23 @@ def _with_corrections(base: DataFrame, corrected: str) -> DataFrame:
     ).selectExpr("*", f"load_id = {second} AS is_correction")
 
 
+# The day that agent 7 loses.
+_EMPTIED = "event_id % 25 = 7 AND to_date(start_ts) = DATE'2024-01-20'"
+
+
+def _moved(rule: str) -> str:
+    """How far a record of the second load is moved."""
+    return f"IF(is_correction AND ({rule}), INTERVAL 11 DAYS, INTERVAL 0 DAYS)"
+
+
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _with_corrections(_event_base(spark, sf_dir), "event_id % 20 = 0")
-    return base.selectExpr("*", "base_s + IF(is_correction, 60, 0) AS seconds").selectExpr(
+    base = _with_corrections(_event_base(spark, sf_dir), f"event_id % 20 = 0 OR ({_EMPTIED})")
+    base = base.selectExpr(
+        "* EXCEPT (start_ts)",
+        "base_s + IF(is_correction, 60, 0) AS seconds",
+        f"start_ts + {_moved(f'event_id % 60 = 0 OR ({_EMPTIED})')} AS start_ts",
+    )
+    return base.selectExpr(
         "event_id AS call_id",
         "agent_id",
         "customer_id",
@@ -71,11 +87,11 @@ def raw_crm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "agent_id",
         "event_id AS call_id",
         "customer_id",
-        "event_type AS reason_code",
+        "IF(event_id % 100 = 3, NULL, event_type) AS reason_code",
         "IF(k < 50, 'low', 'high') AS sub_reason_code",
         # A correction turns the flag round.
         "(k % 10 < 4) <> is_correction AS previous_issue_flag",
-        "start_ts AS created_ts",
+        f"start_ts + {_moved('event_id % 60 = 1')} AS created_ts",
         "load_id",
     )
 
@@ -91,7 +107,8 @@ def raw_surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
             "agent_id",
             "customer_id",
             "call_end + INTERVAL 5 SECONDS AS sent_ts",
-            "call_end + make_dt_interval(CAST(mood AS INT), 0, 0, 15 + event_id % 46) AS response_ts",
+            "call_end + make_dt_interval(CAST(mood AS INT), 0, 0, 15 + event_id % 46)"
+            f" + {_moved('event_id % 120 = 0')} AS response_ts",
             "IF(is_correction, 5 - mood, 1 + mood) AS csat",
             "1 + (k * 7 + event_id) % 10 AS nps",
             "load_id",

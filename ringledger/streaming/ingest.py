@@ -8,17 +8,20 @@ the staging tables keep the latest version.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringledger.schemas import LOADS, Dataset
 from ringledger.sources.landing import DAY
+from ringledger.window import EVERYTHING, Span
 
 EVENT_DAY = "event_day"
+ANY_AGE = "36500d"
 
 
 def ingest_new_files(
@@ -29,32 +32,35 @@ def ingest_new_files(
     All of them make one load, unless ``files_per_load`` cuts a large backlog
     into several.
 
-    The stream's checkpoint remembers the files. A micro-batch may be handed out
-    again after a failure; it then overwrites the folder of its own load, so no
-    row is stored twice. Rows are filed by the day of their event time, which
-    later windows prune on, and not by the folder they happened to arrive in.
+    The stream's checkpoint remembers the files, whatever their age: a file is new
+    if its path is, and may carry any modification time. A micro-batch may be
+    handed out again after a failure; it then overwrites the folders of its own
+    load, so no row is stored twice. Rows are filed by the day of their event time
+    first, so that a window lists its own days only, and not by the folder they
+    happened to arrive in.
     """
     target = f"{raw}/{dataset.name}"
     schema = T.StructType([*dataset.columns.fields, T.StructField(DAY, T.DateType())])
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        load = f"load_id={batch_id:09d}"
-        # Source files hold few days each: a narrow copy, no exchange.
+        load = f"{batch_id:09d}"
         (
-            batch.select(*dataset.column_names, F.to_date(dataset.event_ts).alias(EVENT_DAY))
+            batch.select(
+                *dataset.column_names, F.to_date(dataset.event_ts).alias(EVENT_DAY), F.lit(load).alias("load_id")
+            )
+            .hint("rebalance", EVENT_DAY)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(EVENT_DAY)
-            .parquet(f"{target}/rows/{load}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(EVENT_DAY, "load_id")
+            .parquet(f"{target}/rows")
         )
         stamp = batch.sparkSession.range(1, numPartitions=1).select(
             F.current_timestamp().cast("timestamp_ntz").alias("inserted_at")
         )
-        stamp.write.mode("overwrite").parquet(f"{target}/loads/{load}")
+        stamp.write.mode("overwrite").parquet(f"{target}/loads/load_id={load}")
 
-    reader = spark.readStream.schema(schema)
+    # By default Spark leaves out files a week older than the newest one it has seen.
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if files_per_load is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_load)
     query = (
@@ -74,8 +80,11 @@ def ingest_all(spark: SparkSession, datasets: Iterable[Dataset], base: str, raw:
         list(pool.map(lambda feed: ingest_new_files(spark, feed, base, raw), feeds))
 
 
-def raw_table(spark: SparkSession, raw: str, dataset: Dataset) -> DataFrame:
-    """All loads of a dataset, with ``load_id`` and the ``event_day`` they are filed under."""
+def raw_table(spark: SparkSession, raw: str, dataset: Dataset, span: Span = EVERYTHING) -> DataFrame:
+    """The loads of a dataset, with ``load_id`` and the ``event_day`` they are filed under.
+
+    Of a bounded span only its own day folders are listed.
+    """
     schema = T.StructType(
         [
             *dataset.columns.fields,
@@ -83,7 +92,26 @@ def raw_table(spark: SparkSession, raw: str, dataset: Dataset) -> DataFrame:
             T.StructField(EVENT_DAY, T.DateType()),
         ]
     )
-    return spark.read.schema(schema).parquet(f"{raw}/{dataset.name}/rows")
+    rows = f"{raw}/{dataset.name}/rows"
+    reader = spark.read.schema(schema).option("basePath", rows)
+    days = span.listed_days()
+    if days is None:
+        return span.keep(reader.parquet(rows), EVENT_DAY)
+    try:
+        return reader.parquet(f"{rows}/{EVENT_DAY}={{{','.join(map(str, days))}}}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def raw_feed(spark: SparkSession, raw: str, dataset: Dataset) -> Callable[..., DataFrame]:
+    """A raw table as an input that is read for the days of a run."""
+
+    def of_days(span: Span = EVERYTHING) -> DataFrame:
+        return raw_table(spark, raw, dataset, span)
+
+    return of_days
 
 
 def load_log(spark: SparkSession, raw: str, dataset: Dataset) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Span:
-    """Days ``start`` (included) to ``end`` (excluded); ``None`` leaves a side open."""
+    """Days ``start`` (included) to ``end`` (excluded), ``None`` leaving a side open, and single ``extra`` days."""
 
     start: date | None = None
     end: date | None = None
+    extra: frozenset[date] = frozenset()
 
     def holds(self, moment: Column) -> Column:
         """Predicate on a date or timestamp column.
@@ -27,6 +29,8 @@ class Span:
             test = test & (moment >= F.lit(self.start))
         if self.end is not None:
             test = test & (moment < F.lit(self.end))
+        for day in sorted(self.extra):
+            test = test | ((moment >= F.lit(day)) & (moment < F.lit(day + timedelta(days=1))))
         return test
 
     def keep(self, df: DataFrame, moment: str) -> DataFrame:
@@ -37,7 +41,20 @@ class Span:
     def holds_day(self, day: date | None) -> bool:
         if day is None:
             return self.start is None and self.end is None
-        return (self.start is None or day >= self.start) and (self.end is None or day < self.end)
+        inside = (self.start is None or day >= self.start) and (self.end is None or day < self.end)
+        return inside or day in self.extra
+
+    def listed_days(self) -> list[date] | None:
+        """The days one by one, or ``None`` where a side is open."""
+        if self.start is None or self.end is None:
+            return None
+        inside = [self.start + timedelta(days=n) for n in range((self.end - self.start).days)]
+        return sorted({*inside, *self.extra})
+
+    def and_days(self, days: Iterable[date | None]) -> Span:
+        """The span and single days more."""
+        more = frozenset(day for day in days if day is not None and not self.holds_day(day))
+        return replace(self, extra=self.extra | more)
 
 
 EVERYTHING = Span()
@@ -98,6 +115,17 @@ class RunWindow:
         reach = 0 if self.narrow else self.callback_days + 1
         return Span(self.revisable.start, self.end + timedelta(days=reach))
 
+    def originals(self, changed: Iterable[date | None] = ()) -> Span:
+        """Tickets whose callbacks may be others than before: the revisable ones, and those up to a
+        callback period before a day on which tickets have changed."""
+        days = [day for day in changed if day is not None and not self.narrow]
+        return self.revisable.and_days(day - timedelta(days=n) for day in days for n in range(self.callback_days + 1))
+
+    def callbacks_of(self, originals: Span) -> Span:
+        """Where the callbacks of these tickets may lie."""
+        reach = range(self.callback_days + 2)
+        return self.callbacks.and_days(day + timedelta(days=n) for day in originals.extra for n in reach)
+
     @property
     def scorecard_days(self) -> Span:
         return self.inclusive_days if self.narrow else self.revisable
@@ -112,6 +140,11 @@ class RunWindow:
         return Span(self.revisable.start.replace(day=1), following)
 
 
+def days_of_month(day: date) -> list[date]:
+    first = day.replace(day=1)
+    return [d for n in range(31) if (d := first + timedelta(days=n)).month == first.month]
+
+
 def within_inclusive(moment: Column, start: date, end: date) -> Column:
     """Closed timestamp window: midnight of ``end`` is in, anything later is out."""
     return moment.between(F.lit(start), F.lit(end))

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 from ringledger.operators.callbacks import callback_pairs
-from ringledger.plans.catalog import windows
+from ringledger.plans.catalog import run_windows
 from ringledger.plans.models import MODELS, LazyTables
-from ringledger.plans.runs import PARENTS, STEPS, StoredTables, lineage
+from ringledger.plans.runs import PARENTS, STEPS, ChecksFailed, StoredTables, lineage
 from ringledger.session import scratch_dir
+from ringledger.sources.inputs import Inputs
 from ringledger.sources.stand_in import inputs
 from ringledger.window import RunWindow
 
@@ -44,16 +45,16 @@ def test_stored_build_equals_the_lazy_plan(spark, sf_dir, full):
 
 
 def test_replaying_windows_equals_the_full_build(spark, sf_dir, full):
-    assert differing(full, replay(spark, sf_dir, windows(), "test-replay"), ALL) == {}
+    assert differing(full, replay(spark, sf_dir, run_windows(spark, sf_dir), "test-replay"), ALL) == {}
 
 
 def test_order_and_repetition_of_windows_do_not_matter(spark, sf_dir, full):
-    a, b, c, d = windows()
-    assert differing(full, replay(spark, sf_dir, [c, a, d, b, a], "test-shuffled"), ALL) == {}
+    a, b, c, *rest = run_windows(spark, sf_dir)
+    assert differing(full, replay(spark, sf_dir, [*rest, c, a, b, a], "test-shuffled"), ALL) == {}
 
 
 def test_narrow_windows_miss_late_records(spark, sf_dir, full):
-    narrow = replay(spark, sf_dir, windows(narrow=True), "test-narrow")
+    narrow = replay(spark, sf_dir, run_windows(spark, sf_dir, narrow=True), "test-narrow")
     wrong = differing(full, narrow, ["daily_agent_metrics", "monthly_manager_metrics"])
     # Every manager-month ends up with the figures of its last window only.
     assert wrong["monthly_manager_metrics"] == 2 * full["monthly_manager_metrics"].count()
@@ -69,6 +70,58 @@ def test_steps_respect_the_dependencies():
     }
 
 
+def test_refresh_and_windows_share_the_callback_period(spark, tmp_path):
+    when = [datetime(2024, 1, 1, 9), datetime(2024, 1, 5, 9)]
+    raw = spark.createDataFrame(
+        [(n, 1, n, 1, "r", "s", True, t, "L") for n, t in enumerate(when, start=1)],
+        "crm_id bigint, agent_id bigint, call_id bigint, customer_id bigint, reason_code string, "
+        "sub_reason_code string, previous_issue_flag boolean, created_ts timestamp_ntz, load_id string",
+    )
+    source = Inputs(
+        raw={"crm": raw},
+        loads={"crm": spark.createDataFrame([("L", when[0])], "load_id string, inserted_at timestamp_ntz")},
+        seeds={
+            "agents": spark.createDataFrame([(1, "Ann")], "agent_id bigint, agent_name string"),
+            "customers": spark.createDataFrame([(1, "gold")], "customer_id bigint, program string"),
+        },
+    )
+    wanted = lineage("mart_first_call_resolution")
+    for days, solved in ((5, [0, 1]), (3, [1, 1])):
+        full = StoredTables(spark, str(tmp_path / f"full-{days}"), source, callback_days=days)
+        full.refresh(only=wanted)
+        stepped = StoredTables(spark, str(tmp_path / f"run-{days}"), source, callback_days=days)
+        stepped.run(RunWindow(date(2024, 1, 1), date(2024, 1, 10), callback_days=days), only=wanted)
+        for store in (full, stepped):
+            rows = store["mart_first_call_resolution"].orderBy("crm_id").collect()
+            assert [r["fcr_num"] for r in rows] == solved
+    with pytest.raises(ValueError, match="callbacks within 3 days"):
+        full.run(RunWindow(date(2024, 1, 1), date(2024, 1, 10), callback_days=5), only=wanted)
+
+
+def test_checks_in_a_run(spark, tmp_path):
+    when = datetime(2024, 1, 1, 9)
+    calls = spark.createDataFrame(
+        [(1, None, 1, 5, when, when, 20, 0, False, "L")],
+        "call_id bigint, agent_id bigint, customer_id bigint, queue_hold_time bigint, start_ts timestamp_ntz, "
+        "end_ts timestamp_ntz, duration_s bigint, hold_time_during_call_s bigint, transfer_flag boolean, load_id string",
+    )
+    loads = spark.createDataFrame([("L", when)], "load_id string, inserted_at timestamp_ntz")
+    store = StoredTables(spark, str(tmp_path), Inputs({"calls": calls}, {"calls": loads}, {}))
+    with pytest.raises(ChecksFailed) as failed:
+        store.run(RunWindow.for_day(date(2024, 1, 1)), only=["stg_calls"], checks="stop")
+    assert {(r["check_name"], r["subject"]) for r in failed.value.failures} == {
+        ("expression_is_true", "end_ts > start_ts")
+    }
+    with pytest.warns(UserWarning, match="end_ts > start_ts"):
+        store.refresh(only=["stg_calls"], checks="report")
+
+
+def test_seeds_are_stored_in_their_layer(spark, sf_dir, tmp_path):
+    store = StoredTables(spark, str(tmp_path), inputs(spark, sf_dir), layers={"ref": "reference"})
+    assert store.seed("agents").count() == 25
+    assert all(f"{tmp_path}/reference/agents/version=" in f for f in store.seed("agents").inputFiles())
+
+
 def test_narrow_callbacks_stop_at_the_window(spark, sf_dir):
     lazy = LazyTables(inputs(spark, sf_dir))
     window = RunWindow(date(2024, 1, 26), date(2024, 2, 5), narrow=True)

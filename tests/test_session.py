@@ -30,6 +30,12 @@ def test_a_cluster_must_name_a_shared_folder():
         scratch_dir(session_with(master="yarn"), "x")
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", ""])
+def test_only_a_plain_local_session_may_go_without(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session_with(master=master), "x")
+
+
 def test_the_folder_a_session_was_started_with_is_found(tmp_path):
     code = f"""
 from ringledger.session import build_session, scratch_dir

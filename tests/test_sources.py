@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import shutil
+import time
 from datetime import date
 from pathlib import Path
 
@@ -15,7 +17,7 @@ from ringledger.sources.coverage import dataset_coverage
 from ringledger.sources.inputs import Inputs
 from ringledger.sources.landing import append_days, scan_days
 from ringledger.sources.seeds import read_seed, write_seed
-from ringledger.streaming.ingest import ingest_new_files, load_log, raw_table
+from ringledger.streaming.ingest import ingest_new_files, load_log, raw_feed, raw_table
 from ringledger.window import RunWindow, Span
 from tests.conftest import at, rows
 
@@ -75,6 +77,21 @@ def test_ingestion_takes_every_new_file_once(spark, tmp_path):
     assert latest_version(raw_table(spark, raw, CALLS), log, CALLS).count() == 2
 
 
+def test_an_old_file_that_arrives_late_is_ingested(spark, tmp_path):
+    """Copied with its old modification time, weeks before files that were seen already."""
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw)
+    append_days(calls(spark, (2, "01-02 09:00")), base, CALLS)
+    (late,) = Path(base, "calls", "day=2024-01-02").glob("part-*.parquet")
+    month_ago = time.time() - 30 * 86_400
+    os.utime(late, (month_ago, month_ago))
+    ingest_new_files(spark, CALLS, base, raw)
+    assert [n for n, _ in ingested(spark, raw)] == [1, 2]
+    ingest_new_files(spark, CALLS, base, raw)
+    assert [n for n, _ in ingested(spark, raw)] == [1, 2]
+
+
 def test_a_backlog_can_be_cut_into_loads(spark, tmp_path):
     base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
     append_days(calls(spark, (1, "01-16 09:00"), (2, "01-17 09:00"), (3, "01-18 09:00")), base, CALLS)
@@ -109,7 +126,7 @@ def test_tables_over_ingested_files(spark, tmp_path):
     append_days(calls(spark, (1, "01-16 09:00"), (2, "01-17 09:00")), base, CALLS)
     ingest_new_files(spark, CALLS, base, raw)
     source = Inputs(
-        raw={"calls": raw_table(spark, raw, CALLS)},
+        raw={"calls": raw_feed(spark, raw, CALLS)},
         loads={"calls": load_log(spark, raw, CALLS)},
         seeds={
             "agents": spark.createDataFrame([(1, "Ann")], "agent_id bigint, agent_name string"),
@@ -120,8 +137,9 @@ def test_tables_over_ingested_files(spark, tmp_path):
     window = RunWindow.for_day(date(2024, 1, 17))
     store.run(window, only=lineage("mart_calls"))
     assert [(r["call_id"], r["agent_name"]) for r in store["mart_calls"].collect()] == [(2, "Ann")]
-    plan = store.raw("calls", window.days)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_day" in plan
+    files = store.raw("calls", window.days).inputFiles()
+    assert files and all("event_day=2024-01-17" in f for f in files)
+    assert store.raw("calls", RunWindow.for_day(date(2023, 1, 1)).days).count() == 0
     assert {model.layer for model in MODELS} == {"staging", "mart", "core"}
 
 
