@@ -21,22 +21,22 @@ SPACE = r"[ \t\n\x0B\f\r]"
 
 #: One Arrow batch holds at most so many rows and so many bytes, so a Python worker's memory is bounded
 #: by this and the longest text, whatever the table's size.
-ARROW_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
-}
+BATCH_ROWS = 500
+BATCH_BYTES = 4 << 20
 
 
 _shipped: set[str] = set()
 
 
-def prepared(spark: SparkSession) -> SparkSession:
+def prepared(spark: SparkSession, times: int = 1) -> SparkSession:
     """Bound the session's Arrow batches, and send this package to the executors' Python workers once.
 
+    ``times`` larger batches suit work that goes through a whole batch step by step.
+
     The driver serves the archive to executors itself (``addPyFile``); they need no folder in common with it.
     """
-    for key, value in ARROW_SETTINGS.items():
-        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(times * BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(times * BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application not in _shipped:
         root = Path(ringledger.__file__).resolve().parent

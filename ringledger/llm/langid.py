@@ -205,7 +205,7 @@ def fit(labelled: DataFrame, vocabulary: str, train_docs: int = TRAIN_DOCS, roun
     sizes = {r["lang"]: r["n"] for r in labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((1, 0))
+        return [], np.zeros((Pieces.at(vocabulary).size + 1, 0))
     steps = 1_000_000
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(steps, max(1, steps * train_docs // n)))])
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < share[F.col("lang")])

@@ -3,8 +3,9 @@
 Everything is DataFrame expressions; the only exchange is that of one row per hash bucket.
 
 Two multinomials over ``BUCKETS`` hash buckets of word unigrams and bigrams are counted: one over trusted
-documents, one over all. A document's score is the mean of log p(trusted) - log p(raw) over its n-grams, so
-length cancels out. Junk makes its n-grams more common in the raw corpus than in trusted text and scores below
+documents, one over all, scaled to the same total. Both have ``PSEUDO`` added to every bucket, so n-grams too rare
+to tell weigh little. A document's score is the mean of log p(trusted) - log p(raw) over its n-grams, so length
+cancels out. Junk makes its n-grams more common in the raw corpus than in trusted text and scores below
 zero; clean text scores near or above it. Every document whose score is at least ``THRESHOLD`` is kept.
 
 Defined results: a null or empty text has no words, scores 0 and fails the rule on words. Without any trusted
@@ -24,7 +25,8 @@ from ringledger.llm.common import SPACE, let
 
 BUCKETS = 1 << 14
 #: Natural-log units per n-gram.
-THRESHOLD = -0.1
+THRESHOLD = -0.2
+PSEUDO = 10.0
 #: Trusted documents the target multinomial is fitted on, at most; the raw one covers every document.
 MAX_TRUSTED = 50_000
 MIN_WORDS = 50
@@ -141,7 +143,7 @@ def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> list[float]:
-    """log p(trusted) - log p(raw) per bucket, both with one added to every count.
+    """log p(trusted) - log p(raw) per bucket.
 
     What comes to the driver is one row per bucket, a fixed number.
     """
@@ -152,14 +154,11 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRUSTED) -> l
         .select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(buckets_of(F.col("_text"))).alias("_bucket"))
     )
     counted = grams.groupBy("_bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("target")).collect()
-    target, raw = [1] * BUCKETS, [1] * BUCKETS
+    scale = sum(row["target"] for row in counted) / max(1, sum(row["raw"] for row in counted))
+    ratio = [0.0] * BUCKETS
     for row in counted:
-        target[row["_bucket"]] += row["target"]
-        raw[row["_bucket"]] += row["raw"]
-    if sum(target) == BUCKETS:
-        return [0.0] * BUCKETS
-    shift = math.log(sum(raw)) - math.log(sum(target))
-    return [math.log(t) - math.log(r) + shift for t, r in zip(target, raw, strict=True)]
+        ratio[row["_bucket"]] = math.log(row["target"] + PSEUDO) - math.log(row["raw"] * scale + PSEUDO)
+    return ratio
 
 
 def scored(docs: DataFrame, ratio: list[float], text: str = "text") -> DataFrame:

@@ -54,9 +54,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc32_mod(F.col("doc_id"), 4) == 2
-    vocabulary = vocabulary("byte_bpe_multi_50k.tiktoken")
-    langs, p = langid.fit(docs.where(~held_out), vocabulary)
-    found = langid.predict(docs, vocabulary, langs, p)
+    pieces = vocabulary("byte_bpe_multi_50k.tiktoken")
+    langs, p = langid.fit(docs.where(~held_out), pieces)
+    found = langid.predict(docs, pieces, langs, p)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -69,6 +69,7 @@ def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Likelihood of every document, learned from six sevenths of them."""
+    prepared(spark, times=4)  # the forward recursion takes as many steps per batch as its longest text has tokens
     held_out = crc32_mod(F.col("doc_id"), 7) == 2
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (~held_out).alias("learn"), F.coalesce("text", F.lit("")).cast("binary").alias("text")

@@ -107,7 +107,8 @@ class BlobLedger:
         """Search what is unseen among the versions, then return every finding of every path.
 
         Result: the other columns of ``versions``, ``blob``, and ``findings``, an array of (kind, start, end)
-        ordered by start and the rules' order, empty where there are none.
+        ordered by start and the rules' order, empty where there are none. Columns of ``versions`` that have these
+        two names are left out.
         """
         rules = list(rules)
         keys = F.array(*[F.lit(r.key) for r in rules])
@@ -136,14 +137,14 @@ class BlobLedger:
             .groupBy(F.col("blob").alias("_blob"))
             .agg(F.array_sort(F.collect_list(F.struct("start", order[F.col("kind")].alias("rank"), "kind", "end"))).alias("_found"))
         )
-        paths = versions.withColumn("_blob", blob).drop(content)
+        others = [n for n in versions.columns if n not in (content, "blob", "findings")]
+        paths = versions.select(F.struct(F.lit(0), *[F.col(f"`{n}`") for n in others]).alias("_path"), blob.alias("_blob"))
         found = F.transform(
             F.coalesce("_found", F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")),
             lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")),
         )
-        others = [F.col(f"`{n}`") for n in versions.columns if n != content]
         return paths.join(per_blob, "_blob", "left").select(
-            *others, F.lower(F.hex("_blob")).alias("blob"), found.alias("findings")
+            *[F.col(f"_path.`{n}`").alias(n) for n in others], F.lower(F.hex("_blob")).alias("blob"), found.alias("findings")
         )
 
     def findings(self, rules: Iterable[Rule] = RULES) -> DataFrame:

@@ -12,7 +12,7 @@ points at may be a response or another record of the transaction, and the link m
 Defined results: a null html is an empty payload; a null page id sorts after all others and is written without
 that field; of rows with equal payload and page id one is the response; a null url is an empty target; repeated
 rows are captures of their own; an empty table gives archives without records. Columns other than page_id, url
-and html are not read.
+and html are not read. Rows are told apart by their place, so pages are read from files, or ``stored``.
 """
 
 from __future__ import annotations

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import base64
+import itertools
+import math
+
+import numpy as np
+import pytest
+
+from ringledger.llm import langid
+from ringledger.llm.langid import Pieces
+
+
+@pytest.fixture(scope="module")
+def vocabulary(tmp_path_factory):
+    path = tmp_path_factory.mktemp("vocabulary") / "pieces"
+    pieces = [b" a", b"ab", b"b", b"a", b" ", b"ba", b"abab", b"\xc3\xa9"]
+    path.write_bytes(b"\n".join(base64.b64encode(p) + b" %d" % n for n, p in enumerate(pieces)))
+    return str(path)
+
+
+def segmentations(pieces: Pieces, word: bytes):
+    for cuts in itertools.chain.from_iterable(itertools.combinations(range(1, len(word)), k) for k in range(len(word))):
+        ends = [0, *cuts, len(word)]
+        parts = [word[a:b] for a, b in itertools.pairwise(ends)]
+        if all(p in pieces.ids for p in parts):
+            yield parts
+
+
+@pytest.fixture(scope="module")
+def model(vocabulary):
+    pieces = Pieces.at(vocabulary)
+    p = np.random.default_rng(1).random((pieces.size + 1, 2))
+    p[-1] = 0
+    p /= p.sum(axis=0)
+    return pieces, p
+
+
+WORDS = [b" abab", b" baab", b" aaaa", b" \xc3\xa9ab"]
+
+
+def test_forward_sums_all_segmentations(model):
+    pieces, p = model
+    found = pieces.log_probabilities(WORDS, p)
+    for row, word in zip(found, WORDS, strict=True):
+        total = sum(np.prod([p[pieces.ids[part]] for part in parts], axis=0) for parts in segmentations(pieces, word))
+        assert row == pytest.approx(np.log(total))
+
+
+def test_long_words_are_scored_the_same_way(model):
+    pieces, p = model
+    for word in WORDS:
+        assert pieces.long_word(word, p) == pytest.approx(pieces.log_probabilities([word], p)[0])
+    # Far below the smallest double; the same sum in exact integers of logs is not at hand, so a lower bound.
+    word = b" " + b"ab" * 4000
+    assert np.isfinite(pieces.long_word(word, p)).all()
+    assert (pieces.long_word(word, p) >= 4000 * np.log(p[pieces.ids[b"ab"]]) + np.log(p[pieces.ids[b" "]])).all()
+
+
+def test_expected_counts(model):
+    pieces, p = model
+    one = p[:, 0]
+    for word in WORDS:
+        weight = {tuple(parts): math.prod(one[pieces.ids[x]] for x in parts) for parts in segmentations(pieces, word)}
+        wanted = np.zeros(pieces.size)
+        for parts, w in weight.items():
+            for part in parts:
+                wanted[pieces.ids[part]] += 3 * w / sum(weight.values())
+        assert pieces.expected([word], np.array([3.0]), one) == pytest.approx(wanted)
+
+
+def test_words():
+    assert langid.words_of("Ça va, l'été 2024_x ²") == ["ça", "va", "l", "été", "x", "²"]
+    assert langid.words_of(None) == [] == langid.words_of("")
+    assert langid.spelled("²") == b"" and langid.spelled("é²") == " é".encode()
+
+
+def public(name):
+    return __import__("public_tokenizers").path(name)
+
+
+def test_odd_rows(spark, documents):
+    french = documents(*[(n, "le chat est dans la maison avec une souris") for n in range(30)], lang="fr")
+    english = documents(*[(n, "the cat is in the house with a mouse") for n in range(40, 70)], lang="en")
+    unknown = documents((80, "das ist nichts"), lang=None)
+    langs, p = langid.fit(french.unionByName(english).unionByName(unknown), public("byte_bpe_multi_50k.tiktoken"))
+    assert langs == ["en", "fr"] and p[:-1].sum(axis=0) == pytest.approx([1, 1])
+    odd = documents((1, None), (1, None), (2, ""), (3, "123 ² --"), (None, "la maison"), (4, "the house " + "x" * 5000), (5, "the " * 40_000))
+    found = {(r["doc_id"], r["lang_pred"]) for r in langid.predict(odd, public("byte_bpe_multi_50k.tiktoken"), langs, p).collect()}
+    assert found == {(1, "und"), (2, "und"), (3, "und"), (None, "fr"), (4, "en"), (5, "en")}
+    scores = [r["score"] for r in langid.predict(odd, public("byte_bpe_multi_50k.tiktoken"), langs, p).collect()]
+    assert len(scores) == 7 and all(0 <= s <= 1 for s in scores)
+
+
+def test_nothing_to_learn_from(documents):
+    docs = documents((1, "a word"), lang=None)
+    vocabulary = public("byte_bpe_multi_50k.tiktoken")
+    for labelled in (docs, docs.where("false")):
+        langs, p = langid.fit(labelled, vocabulary)
+        assert [(r["lang_pred"], r["score"]) for r in langid.predict(docs, vocabulary, langs, p).collect()] == [("und", 0.0)]
+
+
+def test_held_out_accuracy(spark, sf_dir, small):
+    from ringledger.llm.queries import QUERIES
+
+    df, texts = small
+    known = {r["doc_id"]: r["lang"] for r in df.collect()}
+    found = QUERIES["op1_language_id"](spark, sf_dir).collect()
+    held_out = [r["lang_pred"] == known[r["doc_id"]] for r in found if r["held_out"]]
+    assert len(found) == len(texts) and len(held_out) > 30
+    assert sum(held_out) / len(held_out) > 0.97

@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import gzip
+
+import duckdb
+import pytest
+
+from ringledger.llm import warc
+from ringledger.llm.common import stored
+from ringledger.llm.queries import EXPECTED, QUERIES
+from tests.conftest import rows
+
+NASTY = "\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+
+
+@pytest.fixture
+def pages(spark):
+    def make(*entries):
+        df = spark.createDataFrame(list(entries), "page_id bigint, url string, html string").repartition(3)
+        return stored(df.selectExpr("*", "7 AS digest", "8 AS row", "9 AS first_row"), "test-pages")
+
+    return make
+
+
+def captured(spark, pages, folder, min_bytes=0):
+    warc.write_archives(pages, str(folder), min_bytes)
+    return warc.resolved(warc.assemble(warc.read_archives(spark, str(folder))))
+
+
+def test_round_trip(spark, pages, tmp_path):
+    given = [(1, "http://h.x/p?q=1#f", "<p>é𝒳</p>"), (2, "https://h.x", NASTY), (3, None, None), (4, "not a\r\nWARC-Type: url", ""), (5, "u", "z" * 3_000_000)]
+    found = captured(spark, pages(*given), tmp_path / "a").collect()
+    # The empty payload of page 4 is that of page 3.
+    payloads = {r["page_id"]: bytes(r["payload"]).decode() for r in found}
+    assert payloads == {1: given[0][2], 2: NASTY, 3: "", 4: "", 5: given[4][2]}
+    kinds = {r["page_id"]: (r["type"], r["refers_to_page"]) for r in found}
+    assert kinds == {1: ("response", None), 2: ("response", None), 3: ("response", None), 4: ("revisit", 3), 5: ("response", None)}
+    uris = {r["page_id"]: r["target_uri"] for r in found}
+    assert uris[1] == given[0][1] and uris[3] is None and "\r" not in uris[4]
+    assert {r["page_id"]: r["request"]["http_header"].split("\r\n")[:2] for r in found}[1] == ["GET /p?q=1 HTTP/1.1", "Host: h.x"]
+
+
+def test_repeated_rows_and_null_ids(spark, pages, tmp_path):
+    found = captured(spark, pages((2, "u", "same"), (2, "u", "same"), (None, "u", "same"), (9, "u", "same"), (None, "v", "lone")), tmp_path / "a")
+    got = sorted(((r["page_id"], r["type"], r["refers_to_page"], r["payload_bytes"]) for r in found.collect()), key=repr)
+    assert got == sorted(
+        [(2, "response", None, 4), (2, "revisit", 2, 4), (None, "revisit", 2, 4), (9, "revisit", 2, 4), (None, "response", None, 4)], key=repr
+    )
+
+
+def test_small_payloads_are_all_responses(spark, pages, tmp_path):
+    found = captured(spark, pages((1, "u", "aa"), (2, "u", "aa"), (3, "u", "aaaa"), (4, "u", "aaaa")), tmp_path / "a", min_bytes=3)
+    assert rows(found.select("page_id", "type")) == [(1, "response"), (2, "response"), (3, "response"), (4, "revisit")]
+
+
+def test_empty_table(spark, pages, tmp_path):
+    assert captured(spark, pages((1, "u", "x")).where("false"), tmp_path / "a").count() == 0
+
+
+def record(kind, name, block=b"", **fields):
+    lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{name}>", f"Content-Length: {len(block)}"]
+    lines += [f"{key.replace('_', '-')}: {value}" for key, values in fields.items() for value in values]
+    return ("WARC/1.0\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_parser_in_pieces_of_any_size():
+    data = b"".join(record("resource", f"r{n}", NASTY.encode() * n) for n in range(4))
+    wanted = [(f["warc-record-id"], block) for f, block in warc.parse(iter([data]))]
+    assert [block for _, block in wanted] == [NASTY.encode() * n for n in range(4)]
+    for size in (1, 2, 3, 7, 100):
+        pieces = (data[at : at + size] for at in range(0, len(data), size))
+        assert [(f["warc-record-id"], block) for f, block in warc.parse(pieces)] == wanted
+    assert list(warc.parse(iter([]))) == [] == list(warc.parse(iter([b"\r\n\r\n\r\n"])))
+    for broken in (data[:-20], data[:10], b"HTTP/1.1 200 OK\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse(iter([broken])))
+
+
+def test_links_of_foreign_archives(spark, tmp_path):
+    """One gzip member per record; links in either direction, several of them, and over another record."""
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    kind = {"Content_Type": ["application/http; msgtype=response"]}
+    records = [
+        record("warcinfo", "info"),
+        record("response", "a", http, WARC_Concurrent_To=["<urn:a-req>", "<urn:a-meta>"], **kind),
+        record("request", "a-req", b"GET / HTTP/1.1\r\n\r\n", Content_Type=["application/http"]),
+        record("metadata", "a-meta"),
+        record("response", "b", http, **kind),
+        record("request", "b-req", b"GET /b HTTP/1.1\r\n\r\n", Content_Type=["application/http"], WARC_Concurrent_To=["<urn:b>"]),
+        record("metadata", "b-meta", WARC_Concurrent_To=["<urn:b-req>"]),
+        record("metadata", "b-more", WARC_Concurrent_To=["<urn:b>", "<urn:b-req>"]),
+        record("metadata", "lost", WARC_Concurrent_To=["<urn:nowhere>"]),
+    ]
+    (tmp_path / "x.txt.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    found = warc.assemble(warc.read_archives(spark, str(tmp_path))).orderBy("record_id").collect()
+    assert [(r["record_id"], r["payload_bytes"], r["request"]["record_id"]) for r in found] == [
+        ("<urn:a>", 4, "<urn:a-req>"),
+        ("<urn:b>", 4, "<urn:b-req>"),
+    ]
+    assert [[m["record_id"] for m in r["metadata"]] for r in found] == [["<urn:a-meta>"], ["<urn:b-meta>", "<urn:b-more>"]]
+    assert found[0]["payload_digest"] == found[1]["payload_digest"] and len(found[0]["payload_digest"]) == 32
+
+
+def test_query(spark, sf_dir):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
+    wanted = duck.sql(EXPECTED["op8_warc_captures"]).to_arrow_table().sort_by("page_id")
+    found = QUERIES["op8_warc_captures"](spark, sf_dir).toArrow().select(wanted.column_names).sort_by("page_id")
+    assert found.to_pylist() == wanted.to_pylist() and found.schema.types == wanted.schema.types
