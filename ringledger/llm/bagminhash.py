@@ -8,10 +8,9 @@ weighted Jaccard similarity, sum of least over sum of greatest weights. Points a
 only up to the time by which all slots are expected to be filled, which costs one number per shingle and a fixed
 number per signature; a text with slots left empty goes on to twice the time.
 
-Signatures are banded; texts that share a band are candidates. Within a band texts are first compared with its least
-and greatest text, never all with all; only texts of one band that still lie in different components afterwards
-are compared with each other, so that no link is lost. A candidate pair is dropped if signatures agree in so few
-slots that similarity 0.8 is out of the question, and else decided by the exact multisets.
+Signatures are banded; texts that share a band are candidates, and ``banding.linked`` says which of them are compared.
+A candidate pair is dropped if signatures agree in so few slots that similarity 0.8 is out of the question, and
+else decided by the exact multisets.
 
 Defined results: equal texts are one text from the start. A text of fewer than five words is one shingle. A text
 without words (null, empty) is in a class of its own, whatever others there are. The class id is the least id in
@@ -31,15 +30,15 @@ from pyspark.sql import functions as F
 
 from ringledger.llm.banding import linked
 from ringledger.llm.common import stored
-from ringledger.llm.components import spread_join
+from ringledger.llm.components import lookup_join, spread_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
 SLOTS = BANDS * ROWS
-#: Slots that must agree for a pair to be verified; at similarity 0.8 that many do but for one pair in 10^12.
-LEAST_AGREEING = 85
+#: Slots that must agree for a pair to be verified; at similarity 0.8 that many do but for one pair in a million.
+LEAST_AGREEING = 96
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,7 +134,7 @@ def text_key(text: Column) -> Column:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """key, weight, signature and bands of every row (key, text) that has a word."""
+    """key, signature and bands of every row (key, text) that has a word."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,17 +148,16 @@ def _signed(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key").take(pa.array(worded, pa.int64())),
-                        pa.array([int(c.sum()) for _, c in sets], pa.int64()),
                         pa.array([row.tobytes() for row in signs], pa.binary()),
                         pa.array(list(bands), pa.list_(pa.int64())),
                     ],
-                    names=["key", "weight", "signature", "bands"],
+                    names=["key", "signature", "bands"],
                 )
 
-    return texts.mapInArrow(sign, "key binary, weight long, signature binary, bands array<long>")
+    return texts.mapInArrow(sign, "key binary, signature binary, bands array<long>")
 
 
-def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose signatures agree in enough slots."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,44 +168,91 @@ def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             enough = (one == two).sum(axis=1) >= LEAST_AGREEING
             yield batch.select(["a", "b"]).filter(pa.array(enough))
 
-    one = texts.select(F.col("key").alias("a"), F.col("signature").alias("sign_a"))
-    two = texts.select(F.col("key").alias("b"), F.col("signature").alias("sign_b"))
+    one = signed.select(F.col("key").alias("a"), F.col("signature").alias("sign_a"))
+    two = signed.select(F.col("key").alias("b"), F.col("signature").alias("sign_b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "sign_a", "sign_b")
     return both.mapInArrow(keep, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose texts (key, text) have similarity ``SIMILARITY`` or more."""
+def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The pairs (a, b) of keys whose texts have similarity ``SIMILARITY`` or more."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             last, held, near = None, None, []
             for a, one, two in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
-                if a != last:  # a band's least text meets many others in a row
+                if a != last:  # an end or a middle of a band meets many others in a row
                     last, held = a, shingles(one)
                 near.append(weighted_jaccard(held, shingles(two)) >= SIMILARITY)
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    # Equal texts are many rows of one key; only one of them is needed, and it is picked before texts are joined.
-    found = texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    found = stored(found, "candidate-texts")
-    one = found.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    two = found.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    one = contents.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    two = contents.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(keep, "a binary, b binary")
 
 
+def _parts(contents: DataFrame) -> DataFrame:
+    """key, part and weight: the texts' shingles and their counts."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                rows = batch.slice(at, 200)
+                sets = [shingles(t) for t in rows.column("text").to_pylist()]
+                owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("key").take(pa.array(owner)),
+                        pa.array(np.concatenate([h for h, _ in sets]).view(np.int64)),
+                        pa.array(np.concatenate([c for _, c in sets]).astype(np.int64)),
+                    ],
+                    names=["key", "part", "weight"],
+                )
+
+    return contents.select("key", "text").mapInArrow(spell, "key binary, part long, weight long")
+
+
+def _against(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """key, the weight ``shared`` with its centre, and ``rest``, what it has more often; of pairs (key, centre)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last, centre, shared, rest = None, None, [], []
+            for at, one, two in zip(*(batch.column(c).to_pylist() for c in ("centre", "text", "text_centre")), strict=True):
+                if at != last:
+                    last, centre = at, shingles(two)
+                part, count = shingles(one)
+                place = np.minimum(np.searchsorted(centre[0], part), len(centre[0]) - 1)
+                there = np.where(centre[0][place] == part, centre[1][place], 0)
+                shared.append(int(np.minimum(count, there).sum()))
+                more = count > there
+                rest.append([{"part": p, "excess": e} for p, e in zip(part[more].view(np.int64).tolist(), (count - there)[more].tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(shared, pa.int64()), pa.array(rest, rest_type)], names=["key", "shared", "rest"]
+            )
+
+    one = contents.select("key", "text")
+    two = contents.select(F.col("key").alias("centre"), F.col("text").alias("text_centre"))
+    both = pairs.join(one, "key").join(two, "centre").select("key", "centre", "text", "text_centre")
+    rest_type = pa.list_(pa.struct([("part", pa.int64()), ("excess", pa.int64())]))
+    return both.mapInArrow(compare, "key binary, shared long, rest array<struct<part:long,excess:long>>")
+
+
 def linked_texts(texts: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every text key that is linked to another one; ``texts`` has key and text (binary)."""
-    signed = _signed(texts).groupBy("key").agg(*[F.first(c).alias(c) for c in ("weight", "signature", "bands")])
+    signed = _signed(texts).groupBy("key").agg(*[F.first(c).alias(c) for c in ("signature", "bands")])
     signed = stored(signed, "signatures")
-    members = signed.select("key", "weight", F.explode("bands").alias("band"))
 
-    def near(pairs: DataFrame) -> DataFrame:
-        return _verified(stored(_agreeing(pairs, signed), "agreeing"), texts)
+    def fetch(keys: DataFrame) -> DataFrame:
+        wanted = lookup_join(texts, stored(keys, "wanted-texts"), "key", "left_semi")
+        return wanted.groupBy("key").agg(F.first("text").alias("text"))
 
-    return linked(members, near, SIMILARITY)
+    def near(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+        return _verified(stored(_agreeing(pairs, signed), "agreeing"), contents)
+
+    members = signed.select("key", F.explode("bands").alias("band"))
+    return linked(members, fetch, near, _parts, _against, SIMILARITY)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -231,7 +276,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without near copies, all columns as they were: of each class the row with the least id stays."""
+    """The documents without near copies, all columns as they were: of each class the row with the least id stays.
+
+    Rows are told apart by their place, so the table must be read from files, or be ``stored``.
+    """
     names = [F.col(f"`{n}`") for n in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("row"))
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("doc_id"), F.col(text).alias("text"))

@@ -4,25 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringledger.llm.common import stored
-from ringledger.llm.components import components, spread_join
+from ringledger.llm.components import components, lookup_join, spread_join
 
 
-def linked(members: DataFrame, near: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+#: Keys of a band that all others in it are compared with before the exact last step.
+PIVOTS = 1
+
+
+def linked(
+    members: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    near: Callable[[DataFrame, DataFrame], DataFrame],
+    parts: Callable[[DataFrame], DataFrame],
+    against: Callable[[DataFrame, DataFrame], DataFrame],
+    similarity: float,
+) -> DataFrame:
     """``node`` and ``root`` of every key that is near another one.
 
-    ``members`` has key, weight and band, a row per key and band; ``near`` takes pairs (a, b) of keys and returns those
-    that are near. No key can be near one whose weight is smaller by more than ``similarity``.
+    ``members`` has key and band. A key stands for a multiset of parts, and two keys are near if the weight of the parts
+    they share is at least ``similarity`` times that of their union. ``fetch`` gives the contents of keys, a row per
+    key; ``near`` takes pairs (a, b) and contents, and returns the pairs that are near; ``parts`` takes contents and
+    returns key, part, weight; ``against`` takes pairs (key, centre) and contents, and returns key, the ``shared``
+    weight, and ``rest``, an array of (part, excess) with the parts of which the key has more than the centre.
+
+    All pairs of a band would be quadratic in a group of copies. Instead, and always leaving out pairs already
+    in one component:
+
+    1. Every key is compared with the least and the greatest key of its bands.
+    2. In bands that still hold several components, keys leave that cannot be near any other, as less than
+       ``similarity`` of their weight occurs in any other key at all. The others are compared with the centre of
+       their group, the key whose parts occur in most other keys, and then with ``PIVOTS`` keys of each band, every
+       one the foremost of a component that has not had its turn in this band.
+    3. Two keys of one group that have no part of their rests in common share at most what both share with the
+       centre. So the pairs that are left are those for which that is enough, found within bands, and those that
+       have a part of their rests in common, found by that part: one of the rarest, as a few would not be enough.
 
-    Within a band every key is first compared with the least and the greatest key only, in number linear in the
-    band's size. Pairs of one band that lie in different components after that are then all compared, which loses no
-    link; in a band of copies there are hardly any.
+    No link within a band is lost, and in a group of copies hardly a pair is left for the last step.
     """
     ends = members.groupBy("band").agg(F.min("key").alias("least"), F.max("key").alias("greatest")).where("least != greatest")
-    shared = stored(spread_join(members, ends, "band"), "bands")
+    shared = stored(lookup_join(members.select("band", "key"), stored(ends, "band-ends"), "band"), "bands")
+    contents = stored(fetch(shared.select("key").distinct()), "contents")
     star = (
         shared.select(F.explode(F.array("least", "greatest")).alias("end"), "key")
         .where("end != key")
@@ -30,24 +55,125 @@ def linked(members: DataFrame, near: Callable[[DataFrame], DataFrame], similarit
         .distinct()
     )
     tried = stored(star, "star-pairs")
-    edges = stored(near(tried), "links")
+    edges = stored(near(tried, contents), "links")
     found = stored(components(edges), "components")
 
-    known = found.select(F.col("node").alias("key"), "root")
-    placed = shared.select("band", "key", "weight").join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    placed = stored(placed, "placed")
-    split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    # The stars have compared all there is in a band of two.
-    open_ = stored(spread_join(placed, split.where("lo != hi AND n > 2").select("band"), "band"), "open-bands")
-    one = open_.select("band", *[F.col(c).alias(f"{c}_a") for c in ("key", "weight", "root")])
-    two = open_.select("band", *[F.col(c).alias(f"{c}_b") for c in ("key", "weight", "root")])
-    similar = F.least("weight_a", "weight_b") >= similarity * F.greatest("weight_a", "weight_b")
-    across = (
-        one.join(two, "band")
-        .where((F.col("key_a") < F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & similar)
-        .select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    open_ = _open(shared.select("band", "key"), found)
+    if open_.isEmpty():
+        return found
+    open_ = _with_centres(open_, contents, parts, similarity)
+    centred = open_.select("key", "root", "centre").distinct()
+    placed = against(centred.select("key", "centre"), contents)
+    placed = stored(centred.join(placed, "key"), "against-centres")
+    to_centre = centred.join(centred.select(F.col("key").alias("centre"), F.col("root").alias("centre_root")), "centre")
+    to_centre = _new_pairs(to_centre.where("root != centre_root").selectExpr("key AS key_a", "centre AS key_b"), tried)
+    more = stored(near(to_centre, contents), "links")
+    edges, tried = edges.unionByName(more), tried.unionByName(to_centre)
+    found = stored(components(edges), "components")
+
+    open_ = _open(open_.drop("root"), found)
+    pivots = None
+    for _ in range(PIVOTS):
+        fresh = open_
+        if pivots is not None:
+            used = pivots.join(open_.select("band", F.col("key").alias("pivot"), "root"), ["band", "pivot"]).select("band", "root").distinct()
+            fresh = open_.join(used, ["band", "root"], "left_anti")
+        best = F.max_by(F.struct(F.col("key").alias("pivot"), F.col("root").alias("pivot_root")), F.struct("renown", "key"))
+        now = stored(fresh.groupBy("band").agg(best.alias("best")).select("band", "best.*"), "pivots")
+        to_pivot = open_.join(now, "band").where("root != pivot_root").selectExpr("key AS key_a", "pivot AS key_b")
+        to_pivot = _new_pairs(to_pivot, tried)
+        more = stored(near(to_pivot, contents), "links")
+        edges, tried = edges.unionByName(more), tried.unionByName(to_pivot)
+        pivots = now.select("band", "pivot") if pivots is None else pivots.unionByName(now.select("band", "pivot"))
+        if not more.isEmpty():
+            found = stored(components(edges), "components")
+            open_ = _open(open_.drop("root"), found)
+
+    open_ = stored(open_.drop("renown").join(placed.select("key", "shared"), "key"), "open-members")
+    names = ("key", "root", "weight", "common", "centre", "shared")
+    one = open_.select("band", *[F.col(c).alias(f"{c}_a") for c in names])
+    two = open_.select("band", *[F.col(c).alias(f"{c}_b") for c in names])
+    most = F.when(F.col("centre_a") == F.col("centre_b"), F.least("shared_a", "shared_b")).otherwise(F.least("common_a", "common_b"))
+    enough = most * (1 + similarity) >= similarity * (F.col("weight_a") + F.col("weight_b")) - 1e-6
+    apart = (F.col("root_a") != F.col("root_b")) & (F.col("key_a") < F.col("key_b"))
+    within = one.join(two, "band").where(apart & enough).select("key_a", "key_b")
+
+    roots = open_.select("key", "root", "weight").distinct()
+    rest = placed.drop("root").join(roots, "key").selectExpr("centre", "key", "root", "weight", "shared", "inline(rest)")
+    rest = stored(rest, "rests")
+    # What a key must share of its rest with a near one that is no smaller, or with any near one. Of its parts, ordered
+    # from rare to common, the last ones that carry less than this need not be looked at: who shares only those can't
+    # be near.
+    as_smaller = F.greatest(F.lit(1), F.ceil(2 * similarity / (1 + similarity) * F.col("weight") - F.col("shared") - 1e-6))
+    as_larger = F.greatest(F.lit(1), F.ceil(similarity * F.col("weight") - F.col("shared") - 1e-6))
+    rest = rest.withColumn("slot", F.struct("centre", "part"))
+    often = rest.groupBy("slot").agg(F.count("*").alias("n"))
+    from_here = Window.partitionBy("key").orderBy("n", "part").rowsBetween(0, Window.unboundedFollowing)
+    rest = spread_join(rest, often, "slot").withColumn("carried", F.sum("excess").over(from_here)).where(F.col("carried") >= as_larger)
+    names = ("key", "root", "weight", "shared", "carried")
+    rest = stored(rest.select("centre", "part", *names, (F.col("carried") >= as_smaller).alias("small")), "rare-rests")
+    # Parts that the very same keys have show the same pairs, so one of them is enough; keys are told by two sums.
+    holders = [F.count("*"), F.sum(F.xxhash64("key", "small").cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), "key", "small"))]
+    often = rest.groupBy("centre", "part").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), *[h.alias(f"holders_{k}") for k, h in enumerate(holders)]
     )
-    more = stored(near(stored(across, "pairs-across")), "links")
+    often = often.where("lo != hi").groupBy("centre", *[f"holders_{k}" for k in range(3)]).agg(F.min("part").alias("part"))
+    rest = stored(rest.join(often.select("centre", "part"), ["centre", "part"]), "rests-to-compare")
+    one = rest.where("small").select("centre", "part", *[F.col(c).alias(f"{c}_a") for c in names])
+    two = rest.select("centre", "part", *[F.col(c).alias(f"{c}_b") for c in names])
+    no_larger = (F.col("weight_a") < F.col("weight_b")) | ((F.col("weight_a") == F.col("weight_b")) & (F.col("key_a") < F.col("key_b")))
+    alike = (F.col("root_a") != F.col("root_b")) & no_larger & (F.col("weight_a") >= similarity * F.col("weight_b") - 1e-6)
+    # Seen from the rarest part that two keys share, they share no more than what either carries from there on.
+    most = F.least("shared_a", "shared_b") + F.least("carried_a", "carried_b")
+    enough = most * (1 + similarity) >= similarity * (F.col("weight_a") + F.col("weight_b")) - 1e-6
+    by_rest = one.join(two, ["centre", "part"]).where(alike & enough).select("key_a", "key_b")
+
+    last = _new_pairs(within.unionByName(by_rest), tried)
+    more = stored(near(last, contents), "links")
     return found if more.isEmpty() else stored(components(edges.unionByName(more)), "components")
+
+
+def _new_pairs(pairs: DataFrame, before: DataFrame) -> DataFrame:
+    each = pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+    return stored(each.join(before, ["a", "b"], "left_anti"), "pairs")
+
+
+def _with_centres(open_: DataFrame, contents: DataFrame, parts: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """The members of open bands that can be near another one, with weight, ``common`` weight and ``centre``.
+
+    The centre is the key of greatest renown, the mean number of keys that have its parts, among those that are
+    connected over bands in a few steps; so the keys of a group nearly all have the same one.
+    """
+    kept = stored(contents.join(open_.select("key").distinct(), "key", "left_semi"), "open-contents")
+    part = stored(parts(kept), "parts")
+    often = part.groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
+    weights = (
+        spread_join(part, often, "part", "left")
+        .groupBy("key")
+        .agg(
+            F.sum("weight").alias("weight"),
+            F.sum(F.when(F.col("n").isNotNull(), F.col("weight")).otherwise(0)).alias("common"),
+            (F.sum(F.col("weight") * F.coalesce("n", F.lit(1))) / F.sum("weight")).alias("renown"),
+        )
+        .where(F.col("common") >= similarity * F.col("weight") - 1e-6)
+    )
+    open_ = spread_join(open_, stored(weights, "weights"), "key")
+    open_ = stored(open_.withColumn("best", F.struct("renown", F.col("key").alias("centre"))), "open-members")
+    centres = open_.groupBy("key").agg(F.max("best").alias("best"))
+    for _ in range(3):
+        now = open_.select("band", "key").join(stored(centres, "centres"), "key")
+        of_band = now.groupBy("band").agg(F.max("best").alias("best"))
+        centres = spread_join(open_.select("band", "key"), of_band, "band").groupBy("key").agg(F.max("best").alias("best"))
+    return stored(open_.drop("best").join(centres.select("key", "best.centre"), "key"), "centred")
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with ``root``, of bands whose keys lie in different components.
+
+    A band of two keys is not among them, as its ends have been compared.
+    """
+    known = found.select(F.col("node").alias("key"), "root")
+    placed = stored(members.join(known, "key", "left").withColumn("root", F.coalesce("root", "key")), "placed")
+    split = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
+    split = stored(split.where("lo != hi AND n > 2").select("band"), "split-bands")
+    return stored(lookup_join(placed, split, "band"), "open-bands")

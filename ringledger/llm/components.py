@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ringledger.llm.common import stored
 
 
+#: A table of keys with up to so many rows may be broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
+#: A graph with up to so many edges is worked on in one partition: a few megabytes.
+SMALL_GRAPH = 200_000
+
+
 def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """A join on ``key`` whose sides are both dealt anew, so that Spark can split a hot key.
 
@@ -17,31 +23,42 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.withColumn(mixed, F.xxhash64(key)).join(right.withColumn(mixed, F.xxhash64(key)), [mixed, key], how).drop(mixed)
 
 
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join to a stored table: sent to every executor if it has at most ``BROADCAST_ROWS`` rows, else as ``spread_join``."""
+    if right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), key, how)
+    return spread_join(left, right, key, how)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node of the edges (a, b).
 
     Every round is a few linear jobs over the edges and is written to the shared folder; their number grows with
-    the logarithm of the longest chain. A hub's edges are combined before they are shuffled.
+    the logarithm of the longest chain. A hub's edges are combined before they are shuffled. A graph of at most
+    ``SMALL_GRAPH`` edges is kept in one partition, where the same jobs need no shuffle.
     """
     pairs = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi != lo").distinct()
     pairs, before = stored(pairs, "edges"), None
+    small = pairs.count() <= SMALL_GRAPH
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        out = stored(df.distinct(), label)
+        return out.coalesce(1) if small else out
+
+    join = (lambda left, right, key: left.join(right, key)) if small else spread_join
+    pairs = pairs.coalesce(1) if small else pairs
     while True:
         # Every larger neighbour of a node is hung below the least of the node and its neighbours.
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-            pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
+        both = pairs.selectExpr("inline(array(struct(hi AS u, lo AS v), struct(lo AS u, hi AS v)))")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = spread_join(both.where("v > u"), least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        large = stored(large, "large-star")
+        large = join(both.where("v > u"), least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = kept(large, "large-star")
         # Every smaller neighbour of a node, and the node, are hung below the least of them.
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = spread_join(large, least, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        pairs = stored(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
+        star = join(large, least, "hi").selectExpr("inline(array(struct(hi, m AS lo), struct(lo AS hi, m AS lo)))")
+        pairs = kept(star.where("hi != lo"), "small-star")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    roots = pairs.select("lo").distinct()
-    return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
-        roots.select(F.col("lo").alias("node"), F.col("lo").alias("root"))
-    )
+    return pairs.selectExpr("inline(array(struct(hi AS node, lo AS root), struct(lo AS node, lo AS root)))").distinct()
