@@ -33,7 +33,7 @@ from ringledger.llm.common import stored
 
 SHARD_EXAMPLES = 2000
 #: Words a worker remembers the ids of, at most.
-MAX_KNOWN = 500_000
+MAX_KNOWN = 350_000
 END_ID = 2
 #: UTF-8 of ASCII or Latin-1 letters, then signs, if any.
 _DECORATED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([#*$%&|,.!?;:()]*)")
@@ -167,6 +167,8 @@ def conversation_examples(conversations: DataFrame, tokenizer: str, loss_role: s
 
 def fill(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bin and place within the bin (0, 1, ...) of each row of ``demand``, by the dot-product heuristic."""
+    if not len(demand):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     types, kind = np.unique(demand, axis=0, return_inverse=True)
     kind = kind.reshape(-1)
     members = np.split(np.argsort(kind, kind="stable"), np.cumsum(np.bincount(kind))[:-1])
