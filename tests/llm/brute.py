@@ -110,5 +110,5 @@ def edit_distance_to_any_part(pattern: str, text: str) -> int:
 
 def document_lines(text: str | None) -> list[tuple[int, str]]:
     """Numbers and compared forms of the lines that can be copies."""
-    bodies = ((n, line.strip(" \t\x0b\f\r").lower()) for n, line in enumerate((text or "").split("\n")))
+    bodies = ((n, line.strip(" ")) for n, line in enumerate((text or "").split("\n")))
     return [(n, body) for n, body in bodies if len(body) >= 12]

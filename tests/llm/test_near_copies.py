@@ -86,10 +86,10 @@ def test_last_step_finds_links_that_no_centre_shows(spark):
 
     def against(pairs, _):
         rows = [
-            (r["key"], len(set(sets[r["key"]]) & set(sets[r["centre"]])), [ord(c) for c in set(sets[r["key"]]) - set(sets[r["centre"]])])
+            (r["key"], len(set(sets[r["key"]]) & set(sets[r["centre"]])), [(ord(c), 1) for c in set(sets[r["key"]]) - set(sets[r["centre"]])])
             for r in pairs.collect()
         ]
-        return spark.createDataFrame(rows, "key bigint, shared bigint, rest array<bigint>")
+        return spark.createDataFrame(rows, "key bigint, shared bigint, rest array<struct<part:bigint,excess:bigint>>")
 
     found = banding.linked(
         members,
