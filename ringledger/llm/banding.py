@@ -111,13 +111,14 @@ def linked(
     from_here = Window.partitionBy("key").orderBy("n", "part").rowsBetween(0, Window.unboundedFollowing)
     rest = spread_join(rest, often, "slot").withColumn("carried", F.sum("excess").over(from_here)).where(F.col("carried") >= as_larger)
     names = ("key", "root", "weight", "shared", "carried")
-    rest = stored(rest.select("centre", "part", *names, (F.col("carried") >= as_smaller).alias("small")), "rare-rests")
-    # Parts that the very same keys have show the same pairs, so one of them is enough; keys are told by two sums.
+    rest = stored(rest.select("centre", "part", "n", *names, (F.col("carried") >= as_smaller).alias("small")), "rare-rests")
+    # Parts that the very same keys have show the same pairs, so the rarest of them, by the order above, is enough; keys
+    # are told by two sums.
     holders = [F.count("*"), F.sum(F.xxhash64("key", "small").cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), "key", "small"))]
     often = rest.groupBy("centre", "part").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), *[h.alias(f"holders_{k}") for k, h in enumerate(holders)]
+        F.min("n").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), *[h.alias(f"holders_{k}") for k, h in enumerate(holders)]
     )
-    often = often.where("lo != hi").groupBy("centre", *[f"holders_{k}" for k in range(3)]).agg(F.min("part").alias("part"))
+    often = often.where("lo != hi").groupBy("centre", *[f"holders_{k}" for k in range(3)]).agg(F.min_by("part", F.struct("n", "part")).alias("part"))
     rest = stored(rest.join(often.select("centre", "part"), ["centre", "part"]), "rests-to-compare")
     one = rest.where("small").select("centre", "part", *[F.col(c).alias(f"{c}_a") for c in names])
     two = rest.select("centre", "part", *[F.col(c).alias(f"{c}_b") for c in names])

@@ -104,6 +104,51 @@ def test_last_step_finds_links_that_no_centre_shows(spark):
     assert {k: roots.get(k, k) for k in sets} == wanted and wanted[4] == 3
 
 
+def test_last_step_sees_a_pair_from_its_rarest_part(spark):
+    """Parts with the same holders once pruned, of which the one with the least hash is not the rarest."""
+    names = iter(range(1000, 100_000))
+
+    def own(n):
+        return {next(names) for _ in range(n)}
+
+    middle = list(range(500, 585))
+    q, p, r, s, t = {1}, set(range(2, 10)), set(range(20, 28)), set(range(30, 33)), set(range(40, 43))
+    sets = {1: {*middle, *own(10)}}
+    sets[2] = {*middle[:80], *p, *q, *r, *own(3)}
+    sets[3] = {*middle, *p, *q, *s, *own(3)}
+    sets[4] = {*middle[:78], *q, *t, *own(18)}
+    sets[5] = {*middle[:78], *t, *own(19)}
+    sets |= {n: {*middle[:78], *r, *s, *own(11)} for n in (6, 7, 8)}
+    sets |= {n: {*middle, *own(25)} for n in (-3, -2, -1, 0, *range(9, 15))}
+    assert len(sets[2]) == len(sets[3]) == 100 and len(sets[2] & sets[3]) == 89
+
+    contents = spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "key bigint, set array<bigint>")
+    members = spark.createDataFrame([(k, 1) for k in sets], "key bigint, band bigint")
+
+    def near(pairs, _):
+        found = [(r["a"], r["b"]) for r in pairs.collect() if jaccard(sets[r["a"]], sets[r["b"]]) >= 0.8]
+        return spark.createDataFrame(found, "a bigint, b bigint")
+
+    def against(pairs, _):
+        rows = [
+            (r["key"], len(sets[r["key"]] & sets[r["centre"]]), [(part, 1) for part in sets[r["key"]] - sets[r["centre"]]])
+            for r in pairs.collect()
+        ]
+        return spark.createDataFrame(rows, "key bigint, shared bigint, rest array<struct<part:bigint,excess:bigint>>")
+
+    found = banding.linked(
+        members,
+        lambda keys: contents.join(keys, "key"),
+        near,
+        lambda kept: kept.select("key", banding.F.explode("set").alias("part")).withColumn("weight", banding.F.lit(1)),
+        against,
+        0.8,
+    )
+    roots = {r["node"]: r["root"] for r in found.collect()}
+    wanted = brute.classes({k: brute.Counter(v) for k, v in sorted(sets.items())})
+    assert wanted[3] == 2 and {k: roots.get(k, k) for k in sets} == wanted
+
+
 def jaccard(a, b):
     return len(set(a) & set(b)) / len(set(a) | set(b))
 
