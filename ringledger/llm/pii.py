@@ -1,7 +1,8 @@
 """Personal data in texts: expressions propose spans, checksums confirm them, nearby context words adjust the score.
 
 Each kind has a proposing pattern and a validator; a span that fails its validator is dropped and its text is
-not tried again. Base kinds (email, ip, card, phone) are reported whenever valid. Further kinds are less certain by
+not tried again. Only an IBAN, which may run on into other capitals and digits, ends where its country's length says
+(or, for an unknown country, at the last end of a token that is valid), and the search goes on within what failed. Base kinds (email, ip, card, phone) are reported whenever valid. Further kinds are less certain by
 themselves and are reported only at a score of ``REPORT_AT``: an IBAN must pass mod-97, a social security number
 must stand near a context word. The score starts at the kind's own certainty; a context word within
 ``CONTEXT_CHARS`` characters before or after adds ``CONTEXT_BONUS``.
@@ -36,7 +37,20 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_REST = re.compile(r"(?:[ ]?[A-Z0-9]){0,30}+")
+_IBAN_LEAST, _IBAN_MOST = 15, 34
+#: Signs of an IBAN by country, from the registry.
+_IBAN_SIGNS = {
+    country: signs
+    for signs, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 #: Certainty of a valid span without context.
@@ -81,6 +95,25 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", floor)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Valid IBANs from left to right, each ending at the end of a token."""
+    match = _IBAN_START.search(text)
+    while match:
+        start, tail = match.start(), _IBAN_REST.match(text, match.end()).end()
+        # Ends of all leading parts, by their number of signs.
+        ends = [at + 1 for at in range(start, tail) if text[at] != " "]
+        known = _IBAN_SIGNS.get(match[0][:2])
+        sizes = range(_IBAN_MOST, _IBAN_LEAST - 1, -1) if known is None else (known,)
+        end = next((ends[n - 1] for n in sizes if n <= len(ends) and _ends_token(text, ends[n - 1]) and mod97(text[start : ends[n - 1]].replace(" ", ""))), None)
+        if end:
+            yield start, end
+        match = _IBAN_START.search(text, end or match.end())
+
+
+def _ends_token(text: str, at: int) -> bool:
+    return not (text[at : at + 1].isascii() and text[at : at + 1].isalnum())
+
+
 def _valid_ip(span: str) -> bool:
     return all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in span.split("."))
 
@@ -104,7 +137,7 @@ _FINDERS: dict[str, Callable[[str], Iterator[tuple[int, int]]]] = {
     "ip": _matches(_IP, _valid_ip),
     "card": _matches(_CARD, _valid_card),
     "phone": _matches(_PHONE, _valid_phone),
-    "iban": _matches(_IBAN, lambda s: mod97(s.replace(" ", ""))),
+    "iban": _ibans,
     "ssn": _matches(_SSN, lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[4:6] != "00" and s[7:] != "0000"),
 }
 _DIGIT = re.compile("[0-9]")

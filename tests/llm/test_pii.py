@@ -50,6 +50,22 @@ def test_context_raises_the_score():
     assert kinds("to IBAN GB82 WEST 1234 5698 7654 33.") == []
 
 
+def test_an_iban_ends_where_it_ends():
+    def ibans(text):
+        return [text[start:end] for kind, start, end, _ in pii.spans_of(text) if kind == "iban"]
+
+    gb, de = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"
+    for text in (gb, f"{gb} BIC DEUTDEFF", f"{gb} B", f"AB12 {gb}", f"REF 77 {gb} 2024", f"{gb}. BIC", f"{gb} bic", gb.replace(" ", "") + " BIC"):
+        assert ibans(text) in ([gb], [gb.replace(" ", "")])
+    assert ibans(f"{de} 2024") == [de] and ibans(f"{gb} {de} {gb}") == [gb, de, gb]
+    assert ibans(f"{gb}1") == ibans(f"{gb}X BIC") == ibans(f"x{gb}") == ibans(gb[:-3]) == ibans("DE89 3704 0044 0532 0130 01 2024") == []
+    # A country that is not listed: the longest valid one.
+    body = "ZZ{:02} 1234 5678 9012 3456"
+    (zz,) = [t for t in (body.format(n) for n in range(2, 99)) if pii.mod97(t.replace(" ", ""))]
+    assert ibans(f"{zz} SWIFT") == [zz]
+    assert ibans("AB12 " * 50_000) == []
+
+
 def test_masking():
     assert pii.masked("write to a@b.co, ip 1.2.3.4") == "write to <email>, ip <ip>"
     assert pii.masked(None) is None and pii.masked("") == ""
