@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ringledger.llm import hmm, langid, warc
 from ringledger.llm.bagminhash import near_duplicates
+from ringledger.llm.collocations import collocations
 from ringledger.llm.common import crc32_mod, prepared, stored, table
 from ringledger.llm.decontaminate import find_leaks
 from ringledger.llm.lines import line_report
@@ -166,3 +167,54 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         _listed(spans).alias("spans"),
         F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The foremost collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+EXPECTED["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed WHERE len(w) > 0
+), words AS (
+  SELECT lang, w[i] AS phrase, count(*) AS f FROM placed GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM words GROUP BY lang
+), pairs AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS a FROM placed WHERE i < len(w) GROUP BY ALL HAVING count(*) >= 10
+), triples AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS a
+  FROM placed WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10
+), around AS (
+  SELECT lang, w1, w2, max(a) AS longer FROM (
+    SELECT lang, w1, w2, a FROM triples UNION ALL SELECT lang, w2, w3, a FROM triples) GROUP BY ALL
+), cuts AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.a, 1 AS k, x.f AS l, y.f AS r
+  FROM pairs p JOIN words x ON x.lang = p.lang AND x.phrase = p.w1 JOIN words y ON y.lang = p.lang AND y.phrase = p.w2
+  LEFT JOIN around z ON z.lang = p.lang AND z.w1 = p.w1 AND z.w2 = p.w2
+  WHERE z.longer IS NULL OR 100 * z.longer < 50 * p.a
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, 1, x.f, p.a
+  FROM triples t JOIN words x ON x.lang = t.lang AND x.phrase = t.w1
+  JOIN pairs p ON p.lang = t.lang AND p.w1 = t.w2 AND p.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.a, 2, p.a, x.f
+  FROM triples t JOIN words x ON x.lang = t.lang AND x.phrase = t.w3
+  JOIN pairs p ON p.lang = t.lang AND p.w1 = t.w1 AND p.w2 = t.w2
+), scored AS (
+  SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+), cut AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM cut
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
