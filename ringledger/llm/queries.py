@@ -13,6 +13,7 @@ from ringledger.llm.collocations import collocations
 from ringledger.llm.common import crc32_mod, prepared, stored, table
 from ringledger.llm.decontaminate import find_leaks
 from ringledger.llm.lines import line_report
+from ringledger.llm.ngram_join import ngram_components
 from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
@@ -218,3 +219,38 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of documents with nearly the same three-word shingles, for every document."""
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
+EXPECTED["op12_ngram_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2]) END) AS shingles
+  FROM worded
+), shingles AS MATERIALIZED (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND a.n * 10 >= b.n * 9 AND b.n * 10 >= a.n * 9
+  GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+  SELECT x, y FROM common WHERE 100 * k >= 90 * (nx + ny - k)
+), both_ways AS MATERIALIZED (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT e.y, r.root FROM reached r JOIN both_ways e ON e.x = r.doc_id WHERE r.root < e.y
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.root AS component_id
+FROM sets s JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) m USING (doc_id)
+"""
