@@ -18,6 +18,7 @@ from ringledger.llm.packing import pack_documents
 from ringledger.llm.pii import BASE_KINDS, find_pii
 from ringledger.llm.quality import judged
 from ringledger.llm.secrets import BlobLedger
+from ringledger.llm.spelling import spelling_variants
 from ringledger.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,3 +255,52 @@ WITH RECURSIVE worded AS (
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, m.root AS component_id
 FROM sets s JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) m USING (doc_id)
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every longer word with its usual form."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+#: The checksum is taken letter by letter: a bigger letter than ASCII has two bytes.
+EXPECTED["op13_spelling_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS t FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run
+  FROM documents WHERE text IS NOT NULL
+), counted AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named, run, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS MATERIALIZED (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(named, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS h
+  FROM counted, crc_table
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 <> 0 THEN run ELSE substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) END AS word
+    FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM words, unnest(range(1, length(word) + 1)) u(i)
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.less
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.less
+), best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, m FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1
+), formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chains(word, root) AS (
+  SELECT word, form FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT c.word, c.root FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT word, form, coalesce(root, word) AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM formed LEFT JOIN roots USING (word)
+"""

@@ -1,0 +1,157 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from ringledger.llm.queries import EXPECTED, QUERIES
+from ringledger.llm.spelling import gram_prefix, near_words, pivot_keys, pivots, prefix_keys, spelling_forms, spelling_variants, words_of
+
+COLUMNS = ("word", "form", "root", "n", "n_near", "form_n")
+
+
+def brute_words(entries):
+    found = Counter()
+    for doc_id, text in entries:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode()) & 0xFFFFFFFF
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 7 and n >= 2}
+
+
+def one_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute(words, usual=10):
+    near = {w: [] for w in words}
+    for a, b in combinations(words, 2):
+        if one_apart(a, b):
+            near[a].append(b)
+            near[b].append(a)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best and words[best] >= usual * words[w] else None
+    rows = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        rows.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(rows)
+
+
+def result(df):
+    return sorted(tuple(r) for r in df.select(*COLUMNS).collect())
+
+
+def table_of(spark, words):
+    return spark.createDataFrame(list(words.items()), "word string, n bigint").repartition(3)
+
+
+def random_words(rng, letters, count, sizes=(7, 8, 9, 11, 14)):
+    """Words and some of their neighbours; few letters make many of them near, with repeated bigrams."""
+    words = {}
+    while len(words) < count:
+        w = "".join(rng.choices(letters, k=rng.choice(sizes)))
+        for _ in range(4):
+            words[w] = rng.choice([2, 3, 19, 20, 30, 200, 300, 4000])
+            at, c = rng.randrange(len(w) + 1), rng.choice(letters)
+            w = rng.choice([w[:at] + c + w[at:], w[:at] + c + w[at + 1 :], w[:at] + w[at + 1 :]])
+            if len(w) < 7:
+                break
+    return words
+
+
+@pytest.mark.parametrize("letters, count", [("ab", 500), ("abc", 700), ("aàbcdeéÿ", 900), ("abcdefghijklmnopqrstuvwxyz×÷", 900)])
+def test_forms_equal_all_pairs(spark, letters, count):
+    words = random_words(random.Random(count), letters, count)
+    wanted = brute(words)
+    assert result(spelling_forms(table_of(spark, words))) == wanted
+    assert any(r[1] for r in wanted)
+
+
+def test_chains_of_forms_are_followed_to_the_end(spark):
+    words = {"abcdefg" + "xyzuvwst"[:n]: 2 * 10**n for n in range(9)}
+    found = {r["word"]: r["root"] for r in spelling_forms(table_of(spark, words)).collect()}
+    assert set(found.values()) == {"abcdefgxyzuvwst"}
+
+
+def test_ties_and_limits(spark):
+    words = {"abcdefg": 2, "abcdefh": 20, "abcdefi": 20, "zbcdefi": 19, "ccccccc": 5, "ccccccb": 49, "ccccbcc": 50}
+    wanted = brute(words)
+    assert result(spelling_forms(table_of(spark, words))) == wanted
+    forms = {r[0]: r[1] for r in wanted}
+    assert forms["abcdefg"] == "abcdefh" and forms["ccccccc"] == "ccccbcc" and forms["zbcdefi"] is None
+
+
+def test_pivots_are_the_cheapest_two_apart():
+    rng = random.Random(2)
+    for _ in range(2000):
+        places = sorted(rng.sample(range(14), rng.randrange(3, 9)))
+        costs = [rng.randrange(9) for _ in places]
+        apart = [(a + b, p, q) for (p, a), (q, b) in combinations(list(zip(places, costs, strict=True)), 2) if q - p >= 2]
+        p, q = pivots(places, costs)
+        assert q - p >= 2
+        assert min(apart)[0] == costs[places.index(p)] + costs[places.index(q)]
+
+
+def test_near_words_share_a_key():
+    rng = random.Random(4)
+    words = list(random_words(rng, "abc", 600))
+    grams = Counter(g for w in words for g in {w[i : i + 2] for i in range(len(w) - 1)})
+    rank = {g: n for n, g in enumerate(sorted(grams, key=lambda g: (grams[g], g)))}
+
+    def prefix(w):
+        ranks = [rank[w[i : i + 2]] for i in range(len(w) - 1)]
+        return gram_prefix(ranks), sorted(ranks)[2]
+
+    met = 0
+    for a, b in combinations(words, 2):
+        if one_apart(a, b):
+            (in_a, last_a), (in_b, last_b) = prefix(a), prefix(b)
+            if last_a > last_b:
+                a, b, in_a, in_b = b, a, in_b, in_a
+            keys = {k for p in pivots(in_a, [0] * len(in_a)) for k in pivot_keys(a, p)}
+            assert keys & set().union(*(prefix_keys(b, q) for q in in_b)), (a, b)
+            met += 1
+    assert met > 300
+
+
+def test_words_of_documents(spark):
+    rng = random.Random(9)
+    vocabulary = ["Abendrot", "abendrote", "BIBLIOTHEK", "bibliothèque", "ÀÉÎÕÜßÿ", "short", "sevenly", "x" * 40]
+    signs = [" ", "-", "1", "_", "\n", "’", "×"]
+    entries = [(n, "".join(rng.choice(vocabulary) + rng.choice(signs) for _ in range(60))) for n in range(80)]
+    entries += [(None, None), (None, "Abendrot " * 3), (7, entries[7][1]), (901, ""), (902, "1234567 !"), (903, "y" * 500_000)]
+    df = spark.createDataFrame(entries, "doc_id bigint, text string").withColumns({c: F.lit(1) for c in ("word", "n", "key", "r", "s")})
+    assert result(spelling_variants(df)) == brute(brute_words(entries))
+    assert sum(len(list(words_of(str(d), t or ""))) for d, t in entries) > 2000
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert result(spelling_variants(docs)) == []
+    assert near_words(spark.createDataFrame([("abcdefg", 2)], "word string, n bigint")).collect() == []
+
+
+def test_query_equals_its_sql_and_brute_force(spark, small, sf_dir):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    wanted = sorted(tuple(r[c] for c in COLUMNS) for r in duck.sql(EXPECTED["op13_spelling_variants"]).to_arrow_table().to_pylist())
+    found = QUERIES["op13_spelling_variants"](spark, sf_dir)
+    assert result(found) == wanted == brute(brute_words(small[1].items()))
+    assert dict(found.dtypes) == {c: "string" if c in ("word", "form", "root") else "bigint" for c in COLUMNS}
