@@ -1,4 +1,4 @@
-"""Declarative data checks, run as a few aggregations per table."""
+"""Declarative data checks: one scan and one exchange per table, however many checks it has."""
 
 from __future__ import annotations
 
@@ -83,35 +83,66 @@ def failing_rows(check: Check, tables: Lookup) -> DataFrame:
     return rows_of_keys(tables(check.table), _repeated_keys(check, tables), check.columns)
 
 
-def _line(position: int, failing: Column) -> Column:
-    return F.struct(F.lit(position).alias("position"), failing.alias("failing_rows"))
+def _counted(checks: list[tuple[int, Check]], tables: Lookup) -> DataFrame:
+    """Per check of one table, named by position, and per key: how many failures there are.
 
+    A row is turned into the keys it has in every check on keys, and one more entry for every rule it breaks by
+    itself. Equal entries are counted together, first where they are and then after the one exchange. The keys a
+    check refers to come in as entries of their own.
+    """
+    table = tables(checks[0][1].table)
+    kinds = dict(table.dtypes)
+    keyed = [(n, check) for n, check in checks if _violation(check) is None]
+    slots = [f"key_{c}" for c in dict.fromkeys(c for _, check in keyed for c in check.columns)]
+
+    def entry(position: int, columns: tuple[str, ...]) -> Column:
+        values = [F.col(c) if c in columns else F.lit(None).cast(kinds[c]) for c in (s.removeprefix("key_") for s in slots)]
+        return F.struct(F.lit(position).alias("position"), *[v.alias(s) for v, s in zip(values, slots, strict=True)])
+
+    entries = []
+    for n, check in checks:
+        if (violation := _violation(check)) is not None:
+            entries.append(F.when(violation, entry(n, ())))
+        elif check.kind == UNIQUE_COMBINATION:
+            entries.append(entry(n, check.columns))
+        else:
+            entries.append(F.when(F.col(check.columns[0]).isNotNull(), entry(n, check.columns)))
+    listed = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    found = table.select(F.explode(listed).alias("entry")).select("entry.*", F.lit(False).alias("known"))
+    references = [(n, check) for n, check in keyed if check.kind == RELATIONSHIPS]
+    for n, check in references:
+        (column,), (parent, parent_column) = check.columns, check.parent
+        known = tables(parent).select(
+            F.lit(n).alias("position"), F.col(parent_column).alias(f"key_{column}"), F.lit(True).alias("known")
+        )
+        found = found.unionByName(known, allowMissingColumns=True)
+    by_key = found.groupBy("position", *slots).agg(F.count_if(~F.col("known")).alias("n"), F.max("known").alias("known"))
+    repeated = F.col("position").isin([n for n, check in keyed if check.kind != RELATIONSHIPS])
+    orphaned = F.when(F.col("known"), 0).otherwise(F.col("n"))
+    return by_key.select(
+        "position",
+        F.when(repeated, (F.col("n") > 1).cast("long"))
+        .when(F.col("position").isin([n for n, _ in references]), orphaned)
+        .otherwise(F.col("n"))
+        .alias("failing_rows"),
+    )
 
-def check_report(checks: Iterable[Check], tables: Lookup) -> DataFrame:
-    """One row per check with its number of failures.
 
-    All row-level checks of a table share one aggregation over it. Uniqueness
-    and references each need an exchange of their own.
-    """
+def check_report(checks: Iterable[Check], tables: Lookup) -> DataFrame:
+    """One row per check with its number of failures."""
     numbered = list(enumerate(checks))
     counted: list[DataFrame] = []
     for table in dict.fromkeys(check.table for _, check in numbered):
-        local = [(n, c) for n, c in numbered if c.table == table and _violation(c) is not None]
-        if local:
-            totals = tables(table).agg(*[F.count_if(_violation(c)).alias(f"check_{n}") for n, c in local])
-            lines = F.array(*[_line(n, F.col(f"check_{n}")) for n, _ in local])
-            counted.append(totals.select(F.inline(lines)))
-    for n, check in numbered:
-        if _violation(check) is None:
-            total = _offenders(check, tables).agg(F.count(F.lit(1)).alias("failing_rows"))
-            counted.append(total.select(F.lit(n).alias("position"), "failing_rows"))
+        counted.append(_counted([(n, c) for n, c in numbered if c.table == table], tables))
+    none = counted[0].sparkSession.createDataFrame([(n, 0) for n, _ in numbered], "position int, failing_rows bigint")
+    totals = reduce(DataFrame.unionByName, counted, none).groupBy("position").agg(F.sum("failing_rows").alias("failing_rows"))
 
     # The names come from the list of checks: a map literal, not a join.
     def named(value: Callable[[Check], str]) -> Column:
         pairs = [F.lit(part) for n, check in numbered for part in (n, value(check))]
         return F.element_at(F.create_map(*pairs), F.col("position"))
 
-    return reduce(DataFrame.unionByName, counted).select(
+    return totals.select(
         named(lambda c: c.table).alias("table_name"),
         named(lambda c: c.kind).alias("check_name"),
         named(lambda c: c.subject).alias("subject"),

@@ -1,107 +1,51 @@
-"""Stored tables with keyed replacement, on plain Parquet.
+"""Stored tables with keyed replacement: Parquet partitioned by day, whole days rewritten by dynamic partition overwrite.
 
-A table is a folder of commits. Each commit holds the complete rows of the days
-it touched, and a small log says which commit is current for which day::
+An upsert writes its batch once, finds the days that hold rows of the same keys, and overwrites these days and the
+batch's own with the batch and the rows it does not replace. Spark stages such a write and swaps the folders of its
+days when all tasks are done. Nothing else is kept: a run that dies while folders are swapped is run again.
 
-    <root>/<layer>/<table>/data/commit=000000007-4f2a/day=2024-01-16/part-*.parquet
-    <root>/<layer>/<table>/log/commit=000000007-4f2a/part-*.parquet
-
-A log entry names the commit's schema, and per touched day where its rows are and
-the range of the first key column. Every ``SNAPSHOT_EVERY`` commits the entry
-names all days, so that readers open no more entries than that.
-
-Rows are written first, the log entry last. A run that dies in between leaves
-only a folder nobody refers to; readers never see a day half replaced. Writers
-may take turns: each write starts from the log as it is then and refuses to
-commit if another one was logged meanwhile.
+A day that loses all its rows is rewritten with one row of nulls, which has no time of update and is never read.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field
-from datetime import date
-from typing import Any, NamedTuple
+from dataclasses import dataclass
+from datetime import date, datetime, timezone
+from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ringledger.session import scratch_dir
 from ringledger.window import EVERYTHING, Span
 
 PART = "day"
 UPDATED = "warehouse_updated_ts"
-SNAPSHOT_EVERY = 50
 
 # Records without a date are kept too, in the folder Spark uses for NULL.
 Day = date | None
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-
-# One row per day and one without a day for the commit itself, which carries the schema.
-_LOG = "kind string, day date, folder string, low string, high string, schema string"
-
-
-class ConcurrentWrite(RuntimeError):
-    """Another write was committed while this one was under way."""
-
-
-def _folder(day: Day) -> str:
-    return _NO_DAY if day is None else day.isoformat()
-
-
-def _by_day(day: Day) -> date:
-    return day or date.min
 
 
 @dataclass(frozen=True)
-class CommitInfo:
-    """What one write did: metadata for run reports."""
+class WriteInfo:
+    """What one write did, counted by the job that wrote: rows, touched days, and per column its type and NULLs."""
 
     table: str
-    commit: int
     rows_written: int
     days: tuple[Day, ...]
     columns: tuple[tuple[str, str], ...]
-
-
-class _Held(NamedTuple):
-    """Where the current rows of a day are, and the range of their first key."""
-
-    folder: str
-    low: Any
-    high: Any
-
-    def may_hold(self, low: Any, high: Any) -> bool:
-        return self.low is not None and self.low <= high and self.high >= low
-
-
-@dataclass
-class _State:
-    """What the log says."""
-
-    held: dict[Day, _Held] = field(default_factory=dict)
-    superseded: set[tuple[str, Day]] = field(default_factory=set)
-    last_commit: int = 0
-    schema: T.StructType | None = None
-
-    def apply(self, day: Day, held: _Held | None) -> None:
-        if day in self.held:
-            before = self.held.pop(day)
-            if held is None or before.folder != held.folder:
-                self.superseded.add((before.folder, day))
-        if held:
-            self.held[day] = held
+    nulls: dict[str, int]
+    key_ranges: dict[str, tuple[Any, Any]]
 
 
 class StoredTable:
     """One keyed table, partitioned by the date of ``day_column``.
 
-    ``version`` names columns that order the versions of a record: an upsert then
-    leaves rows alone that are newer than the batch's. ``hidden`` columns are
-    stored but not read back.
+    ``version`` names columns that order the versions of a record: an upsert then leaves rows alone that are newer
+    than the batch's. ``hidden`` columns are stored but not read back. One writer at a time.
     """
 
     def __init__(
@@ -121,265 +65,136 @@ class StoredTable:
         self.name = name or self.path.rsplit("/", 1)[-1]
         self.version = list(version)
         self.hidden = list(hidden)
-        self._state: _State | None = None
+        self._schema: T.StructType | None = None
 
     # -- reading ---------------------------------------------------------------
 
-    @property
-    def state(self) -> _State:
-        """What this object last saw of the log; a write looks again."""
-        if self._state is None:
-            self._state = self._load_state()
-        return self._state
-
-    def _log_folders(self) -> list[str]:
-        """Log entries in order of their commits: names only, nothing is opened."""
-        try:
-            files = self.spark.read.schema(_LOG).parquet(f"{self.path}/log").inputFiles()
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def days(self) -> list[Day]:
+        """Days with a folder, by their names alone; some may hold no rows any more."""
+        # Asked of the file system, as a failed read would show up as an error of every run that observes its writes.
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder):
             return []
-        return sorted({f.rsplit("/", 2)[-2] for f in files})
-
-    @staticmethod
-    def _number(folder: str) -> int:
-        return int(folder.removeprefix("commit=").split("-")[0])
-
-    def _load_state(self) -> _State:
-        """Replay the log from its last snapshot on: a row per commit and touched day."""
-        state, folders = _State(), self._log_folders()
-        if not folders:
-            return state
-        state.last_commit = self._number(folders[-1])
-        start = state.last_commit - state.last_commit % SNAPSHOT_EVERY
-        recent = [f for f in folders if self._number(f) >= start]
-        paths = [f"{self.path}/log/{f}" for f in recent]
-        reader = self.spark.read.schema(_LOG + ", commit string").option("basePath", f"{self.path}/log")
-        entries = reader.parquet(*paths).orderBy("commit", "kind", "day").collect()
-        for e in entries:
-            if e["kind"] == "commit":
-                state.schema = T.StructType.fromJson(json.loads(e["schema"]))
-        for e in entries:
-            if e["kind"] == "day":
-                held = _Held(e["folder"], self._value(state, e["low"]), self._value(state, e["high"])) if e["folder"] else None
-                state.apply(e[PART], held)
-        return state
-
-    def _value(self, state: _State, text: str | None) -> Any:
-        """A key bound from the log; keys are whole numbers or texts."""
-        is_number = isinstance(state.schema[self.keys[0]].dataType, T.IntegralType)
-        return text if text is None or not is_number else int(text)
-
-    def days(self, span: Span = EVERYTHING) -> list[Day]:
-        """Days that hold rows."""
-        return sorted(filter(span.holds_day, self.state.held), key=_by_day)
-
-    def _rows(self, days: Iterable[Day]) -> DataFrame:
-        """Current rows of the given days, with the partition column and hidden ones."""
-        state = self.state
-        if state.schema is None:
-            raise LookupError(f"table {self.name} has never been written")
-        data = f"{self.path}/data"
-        paths = [f"{data}/{state.held[d].folder}/{PART}={_folder(d)}" for d in days]
-        if not paths:
-            return self.spark.createDataFrame([], state.schema)
-        return self.spark.read.option("basePath", data).schema(state.schema).parquet(*paths).select(*state.schema.names)
+        files = self.spark.read.schema(f"{PART} date").parquet(self.path).inputFiles()
+        names = {re.search(rf"/{PART}=([^/]+)/[^/]*$", file)[1] for file in files}
+        days = [None if name == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(name) for name in names]
+        return sorted(days, key=lambda day: day or date.min)
+
+    def _rows(self) -> DataFrame:
+        if self._schema is None:
+            if not self.days():
+                raise LookupError(f"table {self.name} has never been written")
+            fields = [f for f in self.spark.read.parquet(self.path).schema if f.name != PART]
+            self._schema = T.StructType([*fields, T.StructField(PART, T.DateType())])
+        return self.spark.read.schema(self._schema).parquet(self.path).where(F.col(UPDATED).isNotNull())
 
     def read(self, span: Span = EVERYTHING) -> DataFrame:
-        """Current rows whose day lies in ``span``; other days are not even listed."""
-        return self._rows(self.days(span)).drop(PART, *self.hidden)
+        """Current rows whose day lies in ``span``; the folders of other days are not opened."""
+        return span.keep(self._rows(), PART).drop(PART, *self.hidden)
 
     # -- writing ---------------------------------------------------------------
 
-    def _begin(self) -> str:
-        """The folder of a new commit on top of the log as it is now."""
-        self._state = self._load_state()
-        return f"commit={self.state.last_commit + 1:09d}-{uuid.uuid4().hex[:8]}"
+    def _stamped(self, df: DataFrame, now: datetime) -> DataFrame:
+        stamped = df.withColumn(UPDATED, F.lit(now)).withColumn(PART, F.to_date(self.day_column))
+        # Files can hold NULLs whatever the plan says about nullability.
+        self._schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema])
+        return stamped
+
+    def _write(self, rows: DataFrame, path: str, now: datetime, also: Iterable[Day] = ()) -> dict[str, Any]:
+        """Overwrite the days of ``rows``, and those of ``also`` whether or not they get any.
 
-    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
-        # Rebalancing by day gives every day a few well-sized files, and AQE
-        # splits a day that is too big for one task.
+        Returns facts on the rows of this run, observed in the tasks that write them. Rebalancing by day gives every
+        day a few well-sized files, and AQE splits a day that is too big for one task.
+        """
+        if also := list(also):
+            none_left = self.spark.createDataFrame([(day,) for day in also], f"{PART} date")
+            rows = rows.unionByName(none_left, allowMissingColumns=True)
+        ours, seen = F.col(UPDATED) == F.lit(now), Observation()
+        facts = [F.count_if(ours).alias("rows"), F.collect_set(F.when(ours, F.col(PART))).alias("days")]
+        facts += [F.count_if(ours & F.col(name).isNull()).alias(f"nulls {name}") for name in rows.columns]
+        for key in self.keys:
+            facts += [F.min(F.when(ours, F.col(key))).alias(f"min {key}"), F.max(F.when(ours, F.col(key))).alias(f"max {key}")]
         (
-            df.hint("rebalance", PART)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "static")
+            rows.hint("rebalance", PART)
+            .observe(seen, *facts)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
-            .parquet(f"{self.path}/data/{folder}")
+            .parquet(path)
         )
-
-    def _written(self, folder: str) -> DataFrame:
-        return self.spark.read.schema(self.state.schema).parquet(f"{self.path}/data/{folder}")
-
-    def _stage(self, df: DataFrame, folder: str) -> tuple[DataFrame, dict[Day, Row]]:
-        """Write ``df`` into the commit's folder, stamped with the time of the run.
-
-        Returns the written rows, and per day their number and range of keys.
-        """
-        stamped = df.withColumn(UPDATED, F.current_timestamp()).withColumn(PART, F.to_date(self.day_column))
-        # Files can hold NULLs whatever the plan says about nullability.
-        self.state.schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema.fields])
-        self._write(stamped, folder, "error")
-        return self._facts(folder)
-
-    def _facts(self, folder: str) -> tuple[DataFrame, dict[Day, Row]]:
-        written, key = self._written(folder), self.keys[0]
-        facts = written.groupBy(PART).agg(
-            F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+        found = seen.get
+        return found | {"days": [*found["days"], *([None] if found[f"nulls {PART}"] else [])]}
+
+    def _info(self, facts: dict[str, Any], days: Iterable[Day]) -> WriteInfo:
+        columns = tuple((f.name, f.dataType.simpleString()) for f in self._schema if f.name not in (PART, *self.hidden))
+        return WriteInfo(
+            self.name,
+            facts["rows"],
+            tuple(sorted(set(days), key=lambda day: day or date.min)),
+            columns,
+            {name: facts[f"nulls {name}"] for name, _ in columns},
+            {key: (facts[f"min {key}"], facts[f"max {key}"]) for key in self.keys},
         )
-        return written, {row[PART]: row for row in facts.collect()}
-
-    def _info(self, commit: int, batch: dict[Day, Row], touched: Iterable[Day]) -> CommitInfo:
-        shown = [f for f in self.state.schema if f.name != PART and f.name not in self.hidden]
-        columns = tuple((f.name, f.dataType.simpleString()) for f in shown)
-        rows = sum(day["n"] for day in batch.values())
-        return CommitInfo(self.name, commit, rows, tuple(sorted(touched, key=_by_day)), columns)
 
-    def upsert(self, batch: DataFrame, gone: DataFrame | None = None) -> CommitInfo:
-        """Replace the rows that share a key with ``batch`` and add the batch.
-
-        The batch is computed and written once. Rows of the touched days that it
-        does not replace are then copied next to it. ``gone`` lists more keys
-        whose rows go, whether or not the batch has them.
-        """
-        folder = self._begin()
-        written, by_day = self._stage(batch, folder)
-        keys = written.select(*self.keys)
-        bounds = [(facts["low"], facts["high"]) for facts in by_day.values() if facts["low"] is not None]
-        if gone is not None:
-            keys = keys.unionByName(gone.select(*self.keys)).distinct()
-            first = F.col(self.keys[0])
-            low, high = keys.agg(F.min(first), F.max(first)).first()
-            bounds = [] if low is None else [(low, high)]
-        met = self._days_met(written, keys, by_day, bounds)
-        if any(newer for _, newer in met):
-            # Some stored rows are newer. What the batch has of them is left out of a second copy of it.
-            stale = self._newer(written, by_day, bounds).select(*self.keys).distinct()
-            folder = f"{folder}-kept"
-            self._write(written.join(stale, self.keys, "left_anti").select(*self.state.schema.names), folder, "error")
-            keys = keys.join(stale, self.keys, "left_anti")
-            written, by_day = self._facts(folder)
-        moved = {day for day, newer in met if not newer and day not in by_day}
-        held = {day: _Held(folder, facts["low"], facts["high"]) for day, facts in by_day.items()}
-        to_merge = [d for d in self.days() if d in held or d in moved]
-        if to_merge:
-            # The file listing of ``written`` is fixed, so it stays the batch
-            # alone while the survivors are appended to the same folder.
-            survivors = self._rows(to_merge).join(keys, self.keys, "left_anti")
-            self._write(survivors.select(*self.state.schema.names), folder, "append")
-            for day in to_merge:
-                held[day] = self._widened(folder, self.state.held[day], held.get(day))
-        if moved:
-            # A day may have lost all its rows to other days.
-            left = {row[PART] for row in self._written(folder).select(PART).distinct().collect()}
-            held = {day: now if day in left else None for day, now in held.items()}
-        return self._info(self._log(folder, held), by_day, held)
-
-    @staticmethod
-    def _widened(folder: str, before: _Held, batch: _Held | None) -> _Held:
-        """A key range that holds for the survivors of a day and its new rows."""
-        known = [h for h in (before, batch) if h is not None and h.low is not None]
-        if not known:
-            return _Held(folder, None, None)
-        return _Held(folder, min(h.low for h in known), max(h.high for h in known))
-
-    def replace(self, df: DataFrame) -> CommitInfo:
+    def replace(self, df: DataFrame) -> WriteInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
         return self.replace_days(df, EVERYTHING)
 
-    def replace_days(self, df: DataFrame, span: Span) -> CommitInfo:
+    def replace_days(self, df: DataFrame, span: Span) -> WriteInfo:
         """Afterwards the days of ``span`` hold exactly the rows of ``df``, which has no others.
 
-        For tables whose rows of a day are always computed together: keys that no
-        longer occur go with the rest, and nothing old is read or copied.
-        """
-        folder = self._begin()
-        old = self.days(span)
-        _, by_day = self._stage(df, folder)
-        if strays := [day for day in by_day if not span.holds_day(day)]:
-            raise ValueError(f"rows of {self.name} outside the replaced days: {strays[:3]}")
-        now = {day: _Held(folder, facts["low"], facts["high"]) for day, facts in by_day.items()}
-        touched = {**dict.fromkeys(old), **now}
-        return self._info(self._log(folder, touched), by_day, touched)
-
-    def _candidates(self, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]) -> DataFrame | None:
-        """Stored rows whose first key lies within the bounds of the keys sought, from days whose range meets them.
-
-        With ids that grow over time the log rules out nearly all of the history;
-        of the other days only key columns are read.
+        For tables whose rows of a day are always computed together: nothing old is read or copied.
         """
-        if not bounds:
-            return None
-        low, high = min(low for low, _ in bounds), max(high for _, high in bounds)
-        days = [d for d, h in self.state.held.items() if h.may_hold(low, high)]
-        if not self.version:
-            days = [d for d in days if d not in by_day]
-        return self._rows(days).where(F.col(self.keys[0]).between(F.lit(low), F.lit(high))) if days else None
-
-    def _compared(self, stored: DataFrame, written: DataFrame) -> DataFrame:
-        """Stored rows that share a key with the batch, and whether they are newer."""
-        old = stored.select(*self.keys, PART, F.struct(*self.version).alias("_old"))
-        new = written.select(*self.keys, F.struct(*self.version).alias("_new"))
-        return old.join(new, self.keys).withColumn("newer", F.expr("_old > _new"))
-
-    def _newer(self, written: DataFrame, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]) -> DataFrame:
-        return self._compared(self._candidates(by_day, bounds), written).where("newer")
-
-    def _days_met(
-        self, written: DataFrame, keys: DataFrame, by_day: dict[Day, Row], bounds: list[tuple[Any, Any]]
-    ) -> set[tuple[Day, bool]]:
-        """Days that hold older rows of the batch's keys, and those that hold newer ones.
-
-        Needed only where the day is not part of the key: a correction may move
-        a record to another day.
-        """
-        if self.day_column in self.keys:
-            return set()
-        stored = self._candidates(by_day, bounds)
-        if stored is None:
-            return set()
-        if self.version:
-            found = self._compared(stored, written)
-        else:
-            found = stored.select(*self.keys, PART).join(keys, self.keys, "left_semi").withColumn("newer", F.lit(False))
-        return {(row[PART], bool(row["newer"])) for row in found.select(PART, "newer").distinct().collect()}
-
-    def _log(self, folder: str, held: dict[Day, _Held | None]) -> int:
-        """Make a commit visible. The number of entries is the number of days it touched."""
-        commit = self._number(folder)
-        folders = self._log_folders()
-        if folders and self._number(folders[-1]) >= commit:
-            raise ConcurrentWrite(f"table {self.name}: commit {commit} was taken by another writer")
-        for day, now in held.items():
-            self.state.apply(day, now)
-        self.state.last_commit = commit
-        entries = dict(self.state.held) if commit % SNAPSHOT_EVERY == 0 else held
-
-        def text(bound: Any) -> str | None:
-            return None if bound is None else str(bound)
-
-        rows = [("commit", None, None, None, None, self.state.schema.json())]
-        for day in sorted(entries, key=_by_day):
-            h = entries[day]
-            rows.append(("day", day, h and h.folder, h and text(h.low), h and text(h.high), None))
-        local = self.spark.createDataFrame(rows, _LOG).coalesce(1)
-        local.write.mode("error").parquet(f"{self.path}/log/{folder}")
-        return commit
-
-    # -- upkeep ----------------------------------------------------------------
-
-    def drop_superseded(self) -> int:
-        """Delete the folders of days that a later commit has replaced.
-
-        Covers the commits since the last snapshot of the log, so it is run more
-        often than ``SNAPSHOT_EVERY`` commits. Not part of a run: readers that
-        started before it may still be using the folders. Spark has no call to
-        delete files, so this uses its file system handle.
+        now, held = datetime.now(timezone.utc), self.days()
+        rows = self._stamped(df, now)
+        if span.start is not None or span.end is not None:
+            stray = F.raise_error(F.concat(F.lit(f"row of {self.name} outside the replaced days: "), F.col(PART).cast("string")))
+            rows = rows.withColumn(PART, F.when(span.holds(F.col(PART)), F.col(PART)).otherwise(stray.cast("date")))
+        old = [day for day in held if span.holds_day(day)]
+        facts = self._write(rows, self.path, now, old if held else [None])
+        return self._info(facts, [*old, *facts["days"]])
+
+    def upsert(self, batch: DataFrame, gone: DataFrame | None = None) -> WriteInfo:
+        """Replace the rows that share a key with ``batch`` and add the batch.
+
+        The batch is computed once. ``gone`` lists more keys whose rows go, whether or not the batch has them.
         """
-        context = self.spark.sparkContext
-        dropped = 0
-        for folder, day in sorted(self.state.superseded, key=str):
-            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{folder}/{PART}={_folder(day)}")
-            dropped += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-        self.state.superseded.clear()
-        return dropped
+        now, held = datetime.now(timezone.utc), self.days()
+        folder = scratch_dir(self.spark, f"batch-of-{self.name}")
+        facts = self._write(self._stamped(batch, now), folder, now, [None])
+        batch = self.spark.read.schema(self._schema).parquet(folder).where(F.col(UPDATED).isNotNull())
+        if not held:
+            return self._info(self._write(batch, self.path, now, [None]), facts["days"])
+
+        keys = batch.select(*self.keys)
+        low, high = facts[f"min {self.keys[0]}"], facts[f"max {self.keys[0]}"]
+        if gone is not None:
+            keys = keys.unionByName(gone.select(*self.keys)).distinct()
+            low, high = keys.agg(F.min(self.keys[0]), F.max(self.keys[0])).first()
+        moved = set()
+        if self.day_column not in self.keys and low is not None:
+            # The range reaches the files' statistics; of what it leaves, only key columns are read.
+            stored = self._rows().where(F.col(self.keys[0]).between(F.lit(low), F.lit(high)))
+            if self.version:
+                old, new = F.struct(*self.version).alias("old"), F.struct(*self.version).alias("new")
+                both = stored.select(*self.keys, PART, old).join(batch.select(*self.keys, new), self.keys)
+                found = both.withColumn("newer", F.expr("old > new"))
+            else:
+                found = stored.select(*self.keys, PART).join(keys, self.keys, "left_semi").withColumn("newer", F.lit(False))
+            met = {(row[PART], row["newer"]) for row in found.select(PART, "newer").distinct().collect()}
+            moved = {day for day, newer in met if not newer}
+            if any(newer for _, newer in met):
+                stale = found.where("newer").select(*self.keys).distinct()
+                batch = batch.join(stale, self.keys, "left_anti").select(*self._schema.names)
+                keys = keys.join(stale, self.keys, "left_anti")
+        days = {*facts["days"], *moved}
+        survivors = self._rows().where(_on(days)).join(keys, self.keys, "left_anti").select(*self._schema.names)
+        # Reading and overwriting the same days is safe: Spark swaps them after the last task.
+        return self._info(self._write(batch.unionByName(survivors), self.path, now, moved.difference(facts["days"])), days)
+
+
+def _on(days: Iterable[Day]) -> Column:
+    """Predicate on the partition column, so that only these folders are opened."""
+    test = F.col(PART).isin([day for day in days if day is not None])
+    return test | F.col(PART).isNull() if None in days else test

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from ringledger.operators.callbacks import CALLBACK_DAYS
 from ringledger.operators.quality import Check, check_report
-from ringledger.operators.upsert import UPDATED, CommitInfo, StoredTable
+from ringledger.operators.upsert import UPDATED, WriteInfo, StoredTable
 from ringledger.plans.checks import CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, Model
 from ringledger.schemas import DATASETS
@@ -100,13 +100,13 @@ class StoredTables:
 
     # -- writing ---------------------------------------------------------------
 
-    def _each(self, only: Iterable[str] | None, write: Callable[[Model], CommitInfo]) -> list[CommitInfo]:
+    def _each(self, only: Iterable[str] | None, write: Callable[[Model], WriteInfo]) -> list[WriteInfo]:
         """Write the wanted tables step by step, the tables of one step side by side.
 
         Small tables would otherwise leave most of a cluster idle in turn.
         """
         wanted = set(BY_NAME if only is None else only)
-        done: list[CommitInfo] = []
+        done: list[WriteInfo] = []
         for step in STEPS:
             models = [BY_NAME[name] for name in step if name in wanted]
             if models:
@@ -119,13 +119,13 @@ class StoredTables:
             raise ValueError(f"the tables have callbacks within {self.callback_days} days, the window {window.callback_days}")
         return window
 
-    def refresh(self, only: Iterable[str] | None = None, checks: str = "skip") -> list[CommitInfo]:
+    def refresh(self, only: Iterable[str] | None = None, checks: str = "skip") -> list[WriteInfo]:
         """Recompute tables from everything there is."""
-        commits = self._each(only, lambda m: self.stored(m.name).replace(m.build(self, EVERYTHING, None)))
-        self._checked(commits, checks)
-        return commits
+        done = self._each(only, lambda m: self.stored(m.name).replace(m.build(self, EVERYTHING, None)))
+        self._checked(done, checks)
+        return done
 
-    def run(self, window: RunWindow, only: Iterable[str] | None = None, checks: str = "skip") -> list[CommitInfo]:
+    def run(self, window: RunWindow, only: Iterable[str] | None = None, checks: str = "skip") -> list[WriteInfo]:
         """Recompute what ``window`` may change, and what follows from records that moved to another day.
 
         A corrected record may leave a day far outside the window. The tables computed from that day are then
@@ -136,7 +136,7 @@ class StoredTables:
         window = self._window(window)
         changed: dict[str, frozenset] = {}
 
-        def write(model: Model) -> CommitInfo:
+        def write(model: Model) -> WriteInfo:
             dirty = frozenset().union(*(changed.get(parent, ()) for parent in PARENTS[model.name]))
             span, table = model.span(window, dirty), self.stored(model.name)
             rows = model.build(self, span, window)
@@ -149,14 +149,14 @@ class StoredTables:
             changed[model.name] = frozenset(info.days)
             return info
 
-        commits = self._each(only, write)
-        self._checked(commits, checks)
-        return commits
+        done = self._each(only, write)
+        self._checked(done, checks)
+        return done
 
-    def _checked(self, commits: list[CommitInfo], checks: str) -> None:
+    def _checked(self, done: list[WriteInfo], checks: str) -> None:
         if checks == "skip":
             return
-        written = {info.table for info in commits}
+        written = {info.table for info in done}
         failing = self.check([c for c in CHECKS if c.table in written]).where("failing_rows > 0").collect()
         if failing and checks == "stop":
             raise ChecksFailed(failing)

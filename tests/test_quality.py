@@ -87,6 +87,34 @@ def test_failing_rows_are_the_counted_ones(spark, kind):
     assert sorted(found, key=repr) == sorted(wanted, key=repr)
 
 
+def test_one_scan_and_one_exchange_for_all_checks_of_a_table(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables(spark, CLEAN)("t").write.parquet(str(tmp_path / "t"))
+    tables(spark, CLEAN)("p").write.parquet(str(tmp_path / "p"))
+    plan = check_report(EXPECTATIONS, lambda name: spark.read.parquet(str(tmp_path / name)))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # the table and the one it refers to
+    assert plan.count("Exchange") == 2  # all keys and violations; the totals of all tables
+    assert "Join" not in plan and "SinglePartition" not in plan
+
+
+def test_references_between_types_and_to_repeated_keys(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "ref int")
+    parent = spark.createDataFrame([(1,), (1,), (5_000_000_000,), (None,)], "id bigint")
+    checks = [Check("c", RELATIONSHIPS, ("ref",), parent=("p", "id")), Check("p", UNIQUE, ("id",)), Check("p", UNIQUE_COMBINATION, ("id",))]
+    found = check_report(checks, {"c": child, "p": parent}.__getitem__).orderBy("table_name", "check_name").collect()
+    assert [r["failing_rows"] for r in found] == [2, 1, 1]
+
+
+def test_a_hot_key_is_combined_before_the_exchange(spark):
+    table = spark.range(0, 30_000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id) AS id", "1L AS ref")
+    checks = [Check("t", UNIQUE, ("id",)), Check("t", RELATIONSHIPS, ("ref",), parent=("p", "id")), Check("t", NOT_NULL, ("id",))]
+    report = check_report(checks, {"t": table, "p": spark.range(5)}.__getitem__)
+    assert [r["failing_rows"] for r in report.orderBy("check_name").collect()] == [0, 0, 1]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning(position") and "partial_count" in plan
+
+
 def test_missing_figures_of_a_scorecard_are_allowed(spark):
     card = spark.createDataFrame(
         [(1.0, 0.0, 0.5, None, None, None)],
