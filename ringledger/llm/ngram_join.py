@@ -10,10 +10,11 @@ Every set has a bitmap, as wide as its band asks for, in which each shingle flip
 bitmaps differ are no more than the shingles only one set holds, which bounds the overlap from above; only what passes
 is intersected.
 
-A group of m near copies fills the same tiles m times. All pairs are not needed to tell its components: first every node
-meets one other of its tiles, then the least of every tile that still holds several components. What is
-left is compared in blocks of fixed size: those of the other components against all of the tile, by bitmaps, in the
-worker; pairs that pass are the only ones that leave it.
+A group of m near copies fills the same tiles m times. All pairs are not needed to tell its components: the node that
+shares tiles with most others is in the middle of its group, and every node first meets the most central one of its
+tiles, then those of all tiles that still hold several components. What is left is compared in blocks of
+fixed size, by bitmaps, in the worker: nodes outside a tile's largest component against all of the tile. At first only the
+closest node of every other component leaves the worker; where that one turns out not to link, all that may.
 
 Rows of every kind: a null, empty or blank text has no shingles, links with nothing and stays alone; rows with the same
 doc_id and different texts count apart; a null doc_id stays null and never names a component unless it has no other.
@@ -38,7 +39,7 @@ WORDS = 3
 PERCENT = 90
 
 #: Words whose hashes a worker remembers.
-MEMORY = 300_000
+MEMORY = 200_000
 #: Bits of a bitmap per shingle, and its width at least and at most.
 BITS_PER_SHINGLE = 2
 LEAST_BITS, MOST_BITS = 256, 1 << 16
@@ -194,23 +195,49 @@ def _linked_pairs(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[p
         yield _record([("a", pa.int64(), a), ("b", pa.int64(), b)])
 
 
-def _block_pairs(block: pa.Table, percent: int) -> pa.Table:
-    """Pairs of an asking and an asked node of different components that may link, by their bitmaps."""
+def _block_pairs(block: pa.Table, percent: int, closest: bool) -> np.ndarray:
+    """Pairs of an asking and an asked node of different components that may link, by their bitmaps.
+
+    With ``closest`` an asking node names only one node of a component, the most similar by the bound.
+    """
     bits = [np.frombuffer(b, np.uint64) for b in block.column("bits").to_pylist()]
     words = min(map(len, bits))
     bits = np.stack([_folded(b, words) for b in bits])
     node, root, n = (block.column(c).to_numpy() for c in ("node", "root", "n"))
-    asks = block.column("asks").to_numpy(zero_copy_only=False)
+    asks = block.column("asks").to_numpy()
     asked = np.flatnonzero(~asks)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    pairs = [np.zeros((0, 2), np.int64)]
     for one in np.flatnonzero(asks):
         others = asked[root[asked] != root[one]]
         differing = np.bitwise_count(bits[others] ^ bits[one]).sum(axis=1, dtype=np.int64)
-        others = others[_may_link(n[one], n[others], differing, percent)]
-        found.append((np.full(len(others), node[one]), node[others]))
-    a = np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)])
-    b = np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)])
-    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        may = _may_link(n[one], n[others], differing, percent)
+        others, differing = others[may], differing[may]
+        if closest and len(others):
+            order = np.argsort(differing / (n[one] + n[others]), kind="stable")
+            others = others[order[np.unique(root[others[order]], return_index=True)[1]]]
+        if len(others):
+            pairs.append(np.stack([np.full(len(others), node[one]), node[others]], axis=1))
+    return np.concatenate(pairs)
+
+
+def _pairs_of_blocks(batches: Iterable[pa.RecordBatch], percent: int, closest: bool) -> Iterator[pa.RecordBatch]:
+    """``_block_pairs`` of the blocks in a partition whose rows are sorted by block; one block is held at a time."""
+    held: pa.Table | None = None
+    for batch in (*batches, None):
+        if batch is not None:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+        if held is None or not len(held):
+            continue
+        block = held.column("block").to_numpy()
+        starts = np.append(0, np.flatnonzero(block[1:] != block[:-1]) + 1)
+        ends = np.append(starts[1:], len(block))
+        whole = len(starts) if batch is None else len(starts) - 1  # the last one may go on in the next batch
+        found = [_block_pairs(held.slice(a, b - a), percent, closest) for a, b in zip(starts[:whole], ends[:whole], strict=True)]
+        held = held.slice(starts[-1])
+        if found:
+            pairs = np.concatenate(found)
+            yield _record([("a", pa.int64(), pairs[:, 0]), ("b", pa.int64(), pairs[:, 1])])
 
 
 # -- the join --------------------------------------------------------------------------------
@@ -226,25 +253,30 @@ def _links(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     return stored(both.mapInArrow(lambda batches: _linked_pairs(batches, percent), "a bigint, b bigint"), "links")
 
 
-def _open(members: DataFrame, found: DataFrame | None) -> DataFrame:
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     """The members, with the ``root`` of their component, of tiles that hold several components."""
-    if found is None:
-        return members.withColumn("root", F.col("node"))
     placed = spread_join(members, found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stored(placed.select("key", "node", "root"), "placed")
+    placed = stored(placed.select(*members.columns, "root"), "placed")
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
     return stored(spread_join(placed, split, "key", "left_semi"), "open-members")
 
 
 def _hub_pairs(open_: DataFrame) -> DataFrame:
-    """(hub, node): the least node of every tile, and those of its nodes that lie in another component."""
-    hubs = open_.groupBy("key").agg(F.min(F.struct("node", "root")).alias("hub"))
-    pairs = spread_join(open_, hubs, "key").where("root != hub.root")
-    return pairs.select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    """(hub, node): the most central node of every tile, and those of its nodes that lie in another component."""
+    hubs = open_.groupBy("key").agg(F.max(F.struct("renown", "node", "root")).alias("hub"))
+    return spread_join(open_, hubs, "key").where("root != hub.root").select("hub", "node")
+
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("hub.node", "node").alias("a"), F.greatest("hub.node", "node").alias("b")).distinct()
 
-def _blocks(open_: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open tiles that may link: all nodes outside a tile's largest component against all of its nodes."""
+
+def _blocks(open_: DataFrame, contents: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """Pairs (a, b) of open tiles that may link: a asks, a node outside its tile's largest component, b is any other.
+
+    Only nodes with ``asks`` do so, if there is such a column. A block has a tile, a part of those who ask and a part
+    of those who are asked.
+    """
     roots = open_.groupBy("key", "root").agg(F.count("*").alias("n"))
     sizes = roots.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("total"))
     sized = spread_join(open_, sizes, "key")
@@ -252,12 +284,16 @@ def _blocks(open_: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     asking, asked = F.expr(f"CAST((total - most) DIV {ASKING} + 1 AS INT)"), F.expr(f"CAST(total DIV {ASKED} + 1 AS INT)")
     i, j = F.pmod(F.xxhash64("node", F.lit(1)), asking).cast("int"), F.pmod(F.xxhash64("node", F.lit(2)), asked).cast("int")
     columns = ("node", "root", "n", "bits")
-    ask = sized.where("root != main").select(
+    may_ask = F.col("root") != F.col("main")
+    if "asks" in open_.columns:
+        may_ask &= F.col("asks")
+    ask = sized.where(may_ask).select(
         "key", i.alias("i"), F.explode(F.sequence(F.lit(0), asked - 1)).alias("j"), F.lit(True).alias("asks"), *columns
     )
     answer = sized.select("key", F.explode(F.sequence(F.lit(0), asking - 1)).alias("i"), j.alias("j"), F.lit(False).alias("asks"), *columns)
-    blocks = ask.unionByName(answer).groupBy("key", "i", "j")
-    return blocks.applyInArrow(lambda block: _block_pairs(block, percent), "a bigint, b bigint").distinct()
+    rows = ask.unionByName(answer).withColumn("block", F.xxhash64("key", "i", "j"))
+    rows = rows.repartition("block").sortWithinPartitions("block").select("block", "asks", *columns)
+    return rows.mapInArrow(lambda batches: _pairs_of_blocks(batches, percent, closest), "a bigint, b bigint").distinct()
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -275,25 +311,35 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("lo"), F.any_value("keys").alias("keys"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     filed = nodes.select("node", F.explode("keys").alias("key"))
-    shared = filed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("key")
-    members = stored(spread_join(filed, stored(shared, "shared-tiles"), "key", "left_semi"), "members")
+    shared = filed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
+    shared = stored(shared.where("lo != hi").select("key", "n"), "shared-tiles")
+    members = stored(spread_join(filed, shared, "key"), "members")
+    renown = members.groupBy("node").agg(F.sum("n").alias("renown"))
+    members = stored(spread_join(members.drop("n"), renown, "node"), "members")
 
     wanted = stored(spread_join(nodes.drop("keys"), members.select("node").distinct(), "node", "left_semi"), "wanted")
     contents = _fetched(texts, wanted)
-    first = _hub_pairs(_open(members, None)).groupBy("b").agg(F.min("a").alias("a"))
-    tried = stored(first.select("a", "b"), "pairs")
+    first = _hub_pairs(members.withColumn("root", F.col("node"))).groupBy("node").agg(F.max("hub").alias("hub"))
+    tried = stored(_ordered(first), "pairs")
     links = _links(tried, contents, percent)
     found = components(links)
     open_ = _open(members, found)
     if not open_.isEmpty():
-        more = stored(_hub_pairs(open_).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(_links(more, contents, percent))
-        found = components(links)
-        open_ = _open(members, found)
-        if not open_.isEmpty():
-            last = _links(stored(_blocks(open_, contents, percent), "pairs"), contents, percent)
-            if not last.isEmpty():
-                found = components(links.unionByName(last))
+        more = _links(stored(_ordered(_hub_pairs(open_)).join(tried, ["a", "b"], "left_anti"), "pairs"), contents, percent)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links)
+            open_ = _open(members, found)
+        nearest = stored(_blocks(open_, contents, percent, closest=True), "pairs")
+        more = _links(nearest, contents, percent)
+        failed = stored(nearest.join(more, ["a", "b"], "left_anti").select(F.col("a").alias("node")).distinct(), "asking-again")
+        if not failed.isEmpty():
+            found = components(links.unionByName(more))
+            open_ = spread_join(_open(members, found), failed.withColumn("asks", F.lit(True)), "node", "left")
+            rest = _blocks(open_.withColumn("asks", F.coalesce("asks", F.lit(False))), contents, percent, closest=False)
+            more = stored(more.unionByName(_links(stored(rest, "pairs"), contents, percent)), "links")
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
 
     placed = spread_join(nodes.select("digest", "node", "lo"), found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("lo").alias("component_id"))

@@ -107,7 +107,7 @@ def test_another_similarity_and_small_blocks(spark, entries, monkeypatch):
 
 def test_only_blocks(spark, entries, monkeypatch):
     """Without the pairs of the first rounds the blocks alone find every link."""
-    monkeypatch.setattr(module, "_hub_pairs", lambda open_: open_.selectExpr("node AS a", "node AS b").where("false"))
+    monkeypatch.setattr(module, "_ordered", lambda pairs: pairs.selectExpr("node AS a", "node AS b").where("false"))
     assert result(ngram_components(frame(spark, entries))) == brute(entries)
 
 
@@ -161,7 +161,32 @@ def test_a_block_compares_only_across_components():
     texts = ["a b c d e f g h i j k l m n", "a b c d e f g h i j k l m n o", "something else altogether is said here"]
     bits = [bitmap(shingle_set(t.encode(), _WordHashes())).tobytes() for t in texts]
     columns = {"node": [1, 2, 3, 1], "root": [1, 2, 3, 1], "n": [12, 13, 4, 12], "bits": [*bits, bits[0]], "asks": [False, False, False, True]}
-    assert _block_pairs(pa.table(columns), 90).to_pylist() == [{"a": 1, "b": 2}]
+    for closest in (True, False):
+        assert _block_pairs(pa.table(columns), 90, closest).tolist() == [[1, 2]]
+
+
+def test_closest_names_one_node_of_each_component():
+    words = [f"w{n}" for n in range(100)]
+    texts = [words, [*words, "x"], [*words, "x", "y"], [*words, "z"], ["far", "away", "from", "here"]]
+    bits = [bitmap(shingle_set(" ".join(t).encode(), _WordHashes())).tobytes() for t in texts]
+    n = [len(t) - 2 for t in texts]
+    columns = {"node": [9, 1, 2, 3, 4, 9], "root": [9, 1, 1, 3, 4, 9], "n": [*n, n[0]], "bits": [*bits, bits[0]], "asks": [False] * 5 + [True]}
+    assert _block_pairs(pa.table(columns), 90, closest=True).tolist() == [[9, 1], [9, 3]]
+    assert len(_block_pairs(pa.table(columns), 90, closest=False)) == 3
+
+
+def test_blocks_may_go_over_several_batches():
+    bits = [bitmap(shingle_set(f"a b c d e f g h i j k l m n o p q r s t u v w x y z {n % 2}".encode(), _WordHashes())).tobytes() for n in range(30)]
+    block = [1] * 4 + [2] * 7 + [3] * 19
+    columns = {"block": block, "node": range(30), "root": range(30), "n": [25] * 30, "bits": bits, "asks": [n % 3 == 0 for n in range(30)]}
+    rows = pa.table({k: pa.array(v) for k, v in columns.items()})
+
+    def found(size):
+        parts = module._pairs_of_blocks(rows.to_batches(max_chunksize=size), 90, False)
+        return sorted((a, b) for part in parts for a, b in zip(*(c.to_pylist() for c in part.columns), strict=True))
+
+    assert found(30) == found(1) == found(5) and len(found(30)) > 50
+    assert list(module._pairs_of_blocks([], 90, True)) == []
 
 
 def test_query_equals_its_sql(spark, sf_dir):
