@@ -101,42 +101,43 @@ class StoredTable:
         self._schema = T.StructType([T.StructField(f.name, f.dataType) for f in stamped.schema])
         return stamped
 
-    def _write(self, rows: DataFrame, path: str, now: datetime, also: Iterable[Day] = ()) -> dict[str, Any]:
+    def _facts(self) -> list[Column]:
+        """What is observed of rows while they are written. Rows of nulls, which only hold a day, do not show."""
+        columns = [f.name for f in self._schema]
+        counts = [F.count(F.col(name)).alias(f"count {name}") for name in columns]
+        bounds = [f(key).alias(f"{f.__name__} {key}") for key in self.keys for f in (F.min, F.max)]
+        undated = F.count_if(F.col(PART).isNull() & F.col(UPDATED).isNotNull()).alias("undated")
+        return [*counts, *bounds, F.collect_set(PART).alias("days"), undated]
+
+    def _write(self, rows: DataFrame, also: Iterable[Day], *facts: Column) -> dict[str, Any]:
         """Overwrite the days of ``rows``, and those of ``also`` whether or not they get any.
 
-        Returns facts on the rows of this run, observed in the tasks that write them. Rebalancing by day gives every
-        day a few well-sized files, and AQE splits a day that is too big for one task.
+        Rebalancing by day gives every day a few well-sized files, and AQE splits a day that is too big for one task.
+        The facts are observed behind it, in the tasks that write.
         """
         if also := list(also):
             none_left = self.spark.createDataFrame([(day,) for day in also], f"{PART} date")
             rows = rows.unionByName(none_left, allowMissingColumns=True)
-        ours, seen = F.col(UPDATED) == F.lit(now), Observation()
-        facts = [F.count_if(ours).alias("rows"), F.collect_set(F.when(ours, F.col(PART))).alias("days")]
-        facts += [F.count_if(ours & F.col(name).isNull()).alias(f"nulls {name}") for name in rows.columns]
-        for key in self.keys:
-            facts += [F.min(F.when(ours, F.col(key))).alias(f"min {key}"), F.max(F.when(ours, F.col(key))).alias(f"max {key}")]
-        (
-            rows.hint("rebalance", PART)
-            .observe(seen, *facts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(path)
-        )
-        found = seen.get
-        return found | {"days": [*found["days"], *([None] if found[f"nulls {PART}"] else [])]}
+        seen = Observation()
+        observed = rows.hint("rebalance", PART).observe(seen, *facts)
+        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self.path)
+        return seen.get
 
-    def _info(self, facts: dict[str, Any], days: Iterable[Day]) -> WriteInfo:
+    def _info(self, facts: dict[str, Any], rows: int, days: Iterable[Day]) -> WriteInfo:
         columns = tuple((f.name, f.dataType.simpleString()) for f in self._schema if f.name not in (PART, *self.hidden))
         return WriteInfo(
             self.name,
-            facts["rows"],
+            rows,
             tuple(sorted(set(days), key=lambda day: day or date.min)),
             columns,
-            {name: facts[f"nulls {name}"] for name, _ in columns},
+            {name: facts[f"count {UPDATED}"] - facts[f"count {name}"] for name, _ in columns},
             {key: (facts[f"min {key}"], facts[f"max {key}"]) for key in self.keys},
         )
 
+    @staticmethod
+    def _days_of(facts: dict[str, Any]) -> list[Day]:
+        return [*facts["days"], *([None] if facts["undated"] else [])]
+
     def replace(self, df: DataFrame) -> WriteInfo:
         """Full refresh: afterwards the table holds exactly the rows of ``df``."""
         return self.replace_days(df, EVERYTHING)
@@ -152,8 +153,8 @@ class StoredTable:
             stray = F.raise_error(F.concat(F.lit(f"row of {self.name} outside the replaced days: "), F.col(PART).cast("string")))
             rows = rows.withColumn(PART, F.when(span.holds(F.col(PART)), F.col(PART)).otherwise(stray.cast("date")))
         old = [day for day in held if span.holds_day(day)]
-        facts = self._write(rows, self.path, now, old if held else [None])
-        return self._info(facts, [*old, *facts["days"]])
+        facts = self._write(rows, old if held else [None], *self._facts())
+        return self._info(facts, facts[f"count {UPDATED}"], [*old, *self._days_of(facts)])
 
     def upsert(self, batch: DataFrame, gone: DataFrame | None = None) -> WriteInfo:
         """Replace the rows that share a key with ``batch`` and add the batch.
@@ -161,11 +162,12 @@ class StoredTable:
         The batch is computed once. ``gone`` lists more keys whose rows go, whether or not the batch has them.
         """
         now, held = datetime.now(timezone.utc), self.days()
-        folder = scratch_dir(self.spark, f"batch-of-{self.name}")
-        facts = self._write(self._stamped(batch, now), folder, now, [None])
-        batch = self.spark.read.schema(self._schema).parquet(folder).where(F.col(UPDATED).isNotNull())
         if not held:
-            return self._info(self._write(batch, self.path, now, [None]), facts["days"])
+            return self.replace(batch)
+        folder = scratch_dir(self.spark, f"batch-of-{self.name}")
+        seen, stamped = Observation(), self._stamped(batch, now)
+        stamped.observe(seen, *self._facts()).write.parquet(folder)
+        facts, batch = seen.get, self.spark.read.schema(self._schema).parquet(folder)
 
         keys = batch.select(*self.keys)
         low, high = facts[f"min {self.keys[0]}"], facts[f"max {self.keys[0]}"]
@@ -188,10 +190,12 @@ class StoredTable:
                 stale = found.where("newer").select(*self.keys).distinct()
                 batch = batch.join(stale, self.keys, "left_anti").select(*self._schema.names)
                 keys = keys.join(stale, self.keys, "left_anti")
-        days = {*facts["days"], *moved}
-        survivors = self._rows().where(_on(days)).join(keys, self.keys, "left_anti").select(*self._schema.names)
+        ours = set(self._days_of(facts))
+        survivors = self._rows().where(_on(ours | moved)).join(keys, self.keys, "left_anti").select(*self._schema.names)
         # Reading and overwriting the same days is safe: Spark swaps them after the last task.
-        return self._info(self._write(batch.unionByName(survivors), self.path, now, moved.difference(facts["days"])), days)
+        added = F.count_if(F.col(UPDATED) == F.lit(now)).alias("rows")
+        rows = self._write(batch.unionByName(survivors), moved - ours, added)["rows"]
+        return self._info(facts, rows, ours | moved)
 
 
 def _on(days: Iterable[Day]) -> Column:

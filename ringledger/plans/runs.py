@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 import warnings
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -79,7 +79,7 @@ class StoredTables:
         return self.inputs.loads(dataset)
 
     def seed(self, name: str) -> DataFrame:
-        with self._lock:  # the tables of a step are written side by side
+        with self._lock:  # tables are written side by side
             if name not in self._seeds:
                 self.store_seeds([name])
             return self._seeds[name]
@@ -101,18 +101,23 @@ class StoredTables:
     # -- writing ---------------------------------------------------------------
 
     def _each(self, only: Iterable[str] | None, write: Callable[[Model], WriteInfo]) -> list[WriteInfo]:
-        """Write the wanted tables step by step, the tables of one step side by side.
+        """Write the wanted tables, each as soon as those it is computed from are written.
 
         Small tables would otherwise leave most of a cluster idle in turn.
         """
-        wanted = set(BY_NAME if only is None else only)
-        done: list[WriteInfo] = []
-        for step in STEPS:
-            models = [BY_NAME[name] for name in step if name in wanted]
-            if models:
-                with ThreadPoolExecutor(len(models)) as pool:
-                    done += pool.map(write, models)
-        return done
+        wanted = [model for model in MODELS if only is None or model.name in set(only)]
+        done: dict[str, Future[WriteInfo]] = {}
+
+        def after(parents: list[Future[WriteInfo]], model: Model) -> WriteInfo:
+            for parent in parents:
+                parent.result()
+            return write(model)
+
+        with ThreadPoolExecutor(max(len(wanted), 1)) as pool:
+            for model in wanted:
+                parents = [done[name] for name in PARENTS[model.name] if name in done]
+                done[model.name] = pool.submit(after, parents, model)
+        return [future.result() for future in done.values()]
 
     def _window(self, window: RunWindow) -> RunWindow:
         if window.callback_days != self.callback_days:
@@ -205,14 +210,3 @@ def lineage(*names: str) -> list[str]:
             needed.append(name)
             pending += PARENTS[name]
     return needed
-
-
-def _depth(name: str) -> int:
-    return 1 + max((_depth(parent) for parent in PARENTS[name]), default=-1)
-
-
-# Tables of one step do not depend on each other.
-STEPS = tuple(
-    tuple(model.name for model in MODELS if _depth(model.name) == depth)
-    for depth in range(1 + max(_depth(model.name) for model in MODELS))
-)

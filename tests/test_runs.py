@@ -7,7 +7,8 @@ import pytest
 from ringledger.operators.callbacks import callback_pairs
 from ringledger.plans.catalog import run_windows
 from ringledger.plans.models import MODELS, LazyTables
-from ringledger.plans.runs import PARENTS, STEPS, ChecksFailed, StoredTables, lineage
+from ringledger.operators.upsert import StoredTable
+from ringledger.plans.runs import PARENTS, ChecksFailed, StoredTables, lineage
 from ringledger.session import scratch_dir
 from ringledger.sources.inputs import Inputs
 from ringledger.sources.stand_in import inputs
@@ -61,10 +62,28 @@ def test_narrow_windows_miss_late_records(spark, sf_dir, full):
     assert wrong["daily_agent_metrics"] > 0
 
 
-def test_steps_respect_the_dependencies():
-    place = {name: n for n, step in enumerate(STEPS) for name in step}
-    assert set(place) == set(ALL) == set(PARENTS)
-    assert all(place[parent] < place[name] for name, parents in PARENTS.items() for parent in parents)
+def test_tables_are_written_after_those_they_come_from(spark, sf_dir, monkeypatch):
+    assert list(PARENTS) == ALL
+    assert all(ALL.index(parent) < ALL.index(name) for name, parents in PARENTS.items() for parent in parents)
+    events = []
+    write = StoredTable.replace
+
+    def watched(self, df):
+        events.append(("begin", self.name))
+        info = write(self, df)
+        events.append(("end", self.name))
+        return info
+
+    monkeypatch.setattr(StoredTable, "replace", watched)
+    wanted = lineage("daily_agent_crm_metrics_source", "mart_surveys")
+    StoredTables(spark, scratch_dir(spark, "test-order"), inputs(spark, sf_dir)).refresh(only=wanted)
+    assert {name for _, name in events} == set(wanted) and len(events) == 2 * len(wanted)
+    for name in wanted:
+        begin = events.index(("begin", name))
+        assert all(events.index(("end", parent)) < begin for parent in PARENTS[name])
+
+
+def test_lineage():
     assert set(lineage("daily_agent_call_metrics_source")) == {
         "stg_calls", "mart_calls", "daily_agent_call_metrics_source",
     }
