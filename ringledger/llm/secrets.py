@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ringledger.llm.common import let
+from ringledger.llm.components import spread_join
 
 
 @dataclass(frozen=True)
@@ -52,11 +53,13 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 18, r"AKIA[A-Z0-9]{14}"),
     Rule("hex", r"[0-9a-f]+", 16, r"[0-9a-f]{16}"),
 )
+_JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.eyJ"
 EXTRA_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40, r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("google", r"AIza[0-9A-Za-z_-]+", 39, r"AIza[0-9A-Za-z_-]{35}"),
     Rule("slack", r"xox[abprs]-[0-9A-Za-z-]+", 24, r"xox[abprs]-[0-9A-Za-z-]{19}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+", 40, r"eyJ[A-Za-z0-9_-]++\.eyJ"),
+    # Not from within a run of its own signs, or a long run would be gone through once per start.
+    Rule("jwt", rf"{_JWT}[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+", 40, _JWT, version=2),
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 27, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + EXTRA_RULES
@@ -143,7 +146,7 @@ class BlobLedger:
             F.coalesce("_found", F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")),
             lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end")),
         )
-        return paths.join(per_blob, "_blob", "left").select(
+        return spread_join(paths, per_blob, "_blob", "left").select(
             *[F.col(f"_path.`{n}`").alias(n) for n in others], F.lower(F.hex("_blob")).alias("blob"), found.alias("findings")
         )
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from dataclasses import replace
 
 import pytest
@@ -36,6 +37,29 @@ def test_more_kinds(documents, ledger):
     assert [[kind for _, kind, _ in found[n]] for n in range(len(texts))] == [["github"], ["pem"], ["slack"], ["google"], ["jwt"], []]
 
 
+@pytest.mark.parametrize("rule", RULES, ids=lambda rule: rule.kind)
+def test_a_megabyte_of_a_rules_first_letters_takes_seconds(documents, ledger, rule):
+    start = {"assign": "password", "access": "AKIA", "hex": "0", "github": "ghp_", "google": "AIza", "slack": "xoxb-", "jwt": "eyJ", "pem": "-----BEGIN "}
+    begin = time.monotonic()
+    found = found_in(ledger, documents((1, start[rule.kind] * (1_000_000 // len(start[rule.kind]))), (2, "no secret")), rules=[rule])
+    assert time.monotonic() - begin < 30 and found[2] == []
+
+
+def test_paths_of_a_common_blob_are_split(spark, documents, ledger, conf):
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    }.items():
+        conf(key, value)
+    docs = spark.range(0, 20_000, 1, 8).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'token = abcdefghijklmnop', concat('text ', id)) AS text")
+    found = ledger.scan(docs)
+    assert found.where("size(findings) = 1").count() == 6667
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "skew=true" in plan
+
+
 def test_only_unseen_blobs_and_rule_versions_are_searched(documents, ledger):
     secret = "token = abcdefghijklmnop"
     first = documents((1, secret), (2, "clean"), (3, secret))
