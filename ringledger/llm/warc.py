@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -76,11 +77,11 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     order = F.struct(F.col("page_id").isNull().alias("late"), "page_id", "row")
     first = (
         rows.where(F.octet_length("html") >= min_bytes)
-        .groupBy(F.col("digest").alias("_digest"))
+        .groupBy("digest")
         .agg(F.min(order).alias("first"), F.count("*").alias("copies"))
         .where("copies > 1")
     )
-    joined = rows.join(first, F.col("digest") == F.col("_digest"), "left")
+    joined = spread_join(rows, first, "digest", "left")
     is_first = F.col("first").isNull() | (F.col("first.row") == F.col("row"))
     return joined.withColumn("first_row", F.when(~is_first, F.col("first.row"))).select(
         "row", "page_id", "url", "html", "digest", "first_row", F.when(~is_first, F.col("first.page_id")).alias("first_page")
@@ -88,12 +89,17 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def records(captures: DataFrame) -> DataFrame:
-    """One column ``value``: the text of every record of every capture."""
+    """One column ``value``: the text of every record of every capture.
+
+    Record ids are drawn from the capture's row and a name that every call makes anew, so that those of other
+    crawls are others.
+    """
+    crawl = F.lit(uuid.uuid4().hex)
 
     def text(column: Column) -> Column:
         return F.regexp_replace(column, r"[\r\n]", " ")
 
-    row = F.col("row").cast("string")
+    row = F.concat_ws("/", crawl, F.col("row").cast("string"))
     response_id = _record_id(F.lit("response"), row)
     uri = F.when(F.col("url") != "", text(F.col("url")))
     host = F.coalesce(F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1), F.lit(""))
@@ -123,7 +129,7 @@ def records(captures: DataFrame) -> DataFrame:
             ("WARC-Record-ID", response_id),
             *common,
             payload_digest,
-            ("WARC-Refers-To", _record_id(F.lit("response"), F.col("first_row").cast("string"))),
+            ("WARC-Refers-To", _record_id(F.lit("response"), F.concat_ws("/", crawl, F.col("first_row").cast("string")))),
             ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         ],
         "application/http; msgtype=response",

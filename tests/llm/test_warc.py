@@ -53,6 +53,30 @@ def test_small_payloads_are_all_responses(spark, pages, tmp_path):
     assert rows(found.select("page_id", "type")) == [(1, "response"), (2, "response"), (3, "response"), (4, "revisit")]
 
 
+def test_two_crawls_read_together(spark, pages, tmp_path):
+    for crawl in range(2):
+        given = [(100 * crawl + n, f"http://h.x/{n}", "same" if n < 2 else f"page {crawl} {n}") for n in range(5)]
+        warc.write_archives(pages(*given), str(tmp_path / f"crawl={crawl}"))
+    found = warc.resolved(warc.assemble(warc.read_archives(spark, str(tmp_path / "crawl=*")))).collect()
+    assert sorted(r["page_id"] for r in found) == [0, 1, 2, 3, 4, 100, 101, 102, 103, 104]
+    assert all(len(r["metadata"]) == 1 and r["request"] for r in found)
+    assert {r["page_id"]: r["refers_to_page"] for r in found if r["type"] == "revisit"} == {1: 0, 101: 100}
+
+
+def test_captures_of_a_common_payload_are_split(spark, tmp_path, conf):
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    }.items():
+        conf(key, value)
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("id AS page_id", "'u' AS url", "IF(id % 3 = 0, 'same', concat('page ', id)) AS html")
+    rows.write.parquet(str(tmp_path / "pages"))
+    found = warc.with_revisits(spark.read.parquet(str(tmp_path / "pages")))
+    assert sum(r["first_page"] == 0 for r in found.collect()) == 6666
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
 def test_empty_table(spark, pages, tmp_path):
     assert captured(spark, pages((1, "u", "x")).where("false"), tmp_path / "a").count() == 0
 
