@@ -43,51 +43,39 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Number of words that lie in a three-word window found twice or more in the text.
 
-    Windows are sorted as one long each, the upper bits a hash and the lower ones the position, so equal
-    windows become neighbours; neighbours count as equal only if their words are.
+    Windows are sorted by a 64-bit hash, so equal windows become neighbours; neighbours count as equal only if their
+    words are.
     """
 
-    def of_sorted(ws: Column, packed: Column, bits: int) -> Column:
-        mask = F.lit((1 << bits) - 1).cast("long")
-
+    def of_sorted(ws: Column, windows: Column) -> Column:
         def same(a: Column, b: Column) -> Column:
-            i, j = a.bitwiseAND(mask).cast("int"), b.bitwiseAND(mask).cast("int")
-            equal = F.shiftrightunsigned(a.bitwiseXOR(b), bits) == 0
+            equal = a["h"] == b["h"]
             for k in range(3):
-                equal = equal & (F.get(ws, i + k) == F.get(ws, j + k))
+                equal = equal & (F.get(ws, a["i"] + k) == F.get(ws, b["i"] + k))
             return F.coalesce(equal, F.lit(False))
 
         hits = F.transform(
-            F.filter(packed, lambda x, i: same(x, F.get(packed, i - 1)) | same(x, F.get(packed, i + 1))),
-            lambda x: x.bitwiseAND(mask),
+            F.filter(windows, lambda x, n: same(x, F.get(windows, n - 1)) | same(x, F.get(windows, n + 1))), lambda x: x["i"]
         )
         return let(
             F.sort_array(hits),
             lambda at: F.aggregate(
-                F.transform(at, lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))),
+                F.transform(at, lambda p, n: F.least(F.lit(3), F.coalesce(F.get(at, n + 1) - p, F.lit(3)))),
                 F.lit(0).cast("long"),
                 lambda total, x: total + x,
             ),
         )
 
-    def of_hashes(ws: Column, hashes: Column, bits: int) -> Column:
-        high = F.lit(-(1 << bits)).cast("long")
-        packed = F.transform(
+    def of_hashes(ws: Column, hashes: Column) -> Column:
+        windows = F.transform(
             F.sequence(F.lit(0), F.size(ws) - 3),
-            lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2))
-            .bitwiseAND(high)
-            .bitwiseOR(i.cast("long")),
+            lambda i: F.struct(F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i")),
         )
-        return let(F.sort_array(packed), lambda p: of_sorted(ws, p, bits))
+        return let(F.sort_array(windows), lambda found: of_sorted(ws, found))
 
     def of_words(ws: Column) -> Column:
         hashes = F.transform(ws, lambda w: F.xxhash64(w))
-        return let(
-            hashes,
-            lambda h: F.when(F.size(ws) < 4, F.lit(0).cast("long"))
-            .when(F.size(ws) < 1 << 20, of_hashes(ws, h, 20))
-            .otherwise(of_hashes(ws, h, 31)),
-        )
+        return let(hashes, lambda h: F.when(F.size(ws) < 4, F.lit(0).cast("long")).otherwise(of_hashes(ws, h)))
 
     return let(words, of_words)
 

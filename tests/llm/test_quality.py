@@ -81,3 +81,13 @@ def test_empty_tables(spark, documents):
     empty = documents((1, "x")).where("false")
     labels = labels_of(spark, (1, 1, 0)).where("false")
     assert quality.judged(empty, labels).count() == 0 and quality.quality_filter(empty, labels).count() == 0
+
+
+def test_words_of_a_text_beyond_a_million(documents):
+    """Numbers that repeat a window only far apart, in a text of 1.2 million words."""
+    words = [str(n) for n in range(1_200_000)]
+    words[700_000:700_003] = words[5:8]
+    words[1_100_000:1_100_004] = words[600_000:600_004]
+    text = " ".join(words)
+    row = quality.rules(documents((1, text))).first()
+    assert (row["n_words"], row["n_repeat_words"]) == (1_200_000, 14)
