@@ -74,7 +74,8 @@ def weighted_jaccard(a: Counter, b: Counter) -> float:
 
 
 def line_shingles(body: str) -> Counter:
-    return Counter({m[1]: 1 for m in re.finditer(r"(?=(\S.{0,15}))\S{1,16}", body)})
+    """Five characters from every character; a shorter line is one shingle."""
+    return Counter({body[i : i + 5]: 1 for i in range(max(1, len(body) - 4))})
 
 
 def classes(sets: dict[Hashable, Counter], least: float = 0.8) -> dict[Hashable, Hashable]:
@@ -110,5 +111,5 @@ def edit_distance_to_any_part(pattern: str, text: str) -> int:
 
 def document_lines(text: str | None) -> list[tuple[int, str]]:
     """Numbers and compared forms of the lines that can be copies."""
-    bodies = ((n, line.strip(" ")) for n, line in enumerate((text or "").split("\n")))
-    return [(n, body) for n, body in bodies if len(body) >= 12]
+    bodies = ((n, line.strip(" \t\x0b\f\r").lower()) for n, line in enumerate((text or "").split("\n")))
+    return [(n, body) for n, body in bodies if body]
