@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.operators.assignments import with_manager
+from ringledger.window import Span
 
+MONTH = "call_month"
+_MONTH_OF = "CAST(trunc(day, 'month') AS DATE)"
 AGENT = ("agent_id", "agent_name")
 MANAGER = ("manager_id", "manager_name")
 
@@ -67,6 +70,39 @@ FIGURES = {
 }
 
 
+def _stacked(calls: DataFrame, tickets: DataFrame, surveys: DataFrame) -> DataFrame:
+    """The rows of the three daily tables one below the other. Only calls name their agent and manager."""
+    named = calls.selectExpr(
+        *AGENT, *MANAGER, "call_date AS day", "call_date AS named_on",
+        "call_count", "duration_sum", "agent_hold_time_sum", "transfer_sum",
+    )
+    solved = tickets.selectExpr("agent_id", "manager_id", "call_date AS day", "fcr_sum", "fcr_denom")
+    rated = surveys.selectExpr(
+        "agent_id", "manager_id", "survey_date AS day", "csat_sum", "nps_calc_sum", "survey_count"
+    )
+    return named.unionByName(solved, allowMissingColumns=True).unionByName(rated, allowMissingColumns=True)
+
+
+def _rates(stacked: DataFrame, period: str, by_agent: bool, by_manager: bool) -> DataFrame:
+    """Ratios of summed parts per agent and/or manager and period. A key without calls has no row."""
+    dimensions = (AGENT if by_agent else ()) + (MANAGER if by_manager else ())
+    ids = [name for name in dimensions if name.endswith("_id")]
+    names = [name for name in dimensions if name.endswith("_name")]
+    totals = [
+        *[f"max_by({name}, struct(named_on, {name})) AS {name}" for name in names],
+        "sum(call_count) AS call_count",
+        *[f"{figure} AS {name}" for name, figure in FIGURES.items()],
+    ]
+    # Monthly scorecards do not show the number of calls.
+    shown = FIGURES if period == MONTH else ("call_count", *FIGURES)
+    return (
+        stacked.groupBy(*ids, period)
+        .agg(*map(F.expr, totals))
+        .where("call_count IS NOT NULL")
+        .selectExpr(*dimensions, period, *shown)
+    )
+
+
 def scorecard(
     calls: DataFrame,
     tickets: DataFrame,
@@ -82,36 +118,33 @@ def scorecard(
     being grouped apart and joined: one exchange on the reporting key rather
     than three plus the joins. Calls are the base: a key without calls has no row.
     """
-    dimensions = (AGENT if by_agent else ()) + (MANAGER if by_manager else ())
-    ids = [name for name in dimensions if name.endswith("_id")]
-    names = [name for name in dimensions if name.endswith("_name")]
-    period = "call_month" if monthly else "call_date"
+    stacked = _stacked(calls, tickets, surveys)
+    period = F.expr(_MONTH_OF).alias(MONTH) if monthly else F.col("day").alias("call_date")
+    return _rates(stacked.select("*", period), MONTH if monthly else "call_date", by_agent, by_manager)
 
-    def slice_of(daily: DataFrame, day: str, *columns: str) -> DataFrame:
-        when = f"CAST(trunc({day}, 'month') AS DATE)" if monthly else day
-        return daily.selectExpr(*ids, f"{when} AS {period}", *columns)
 
-    # Only calls name their agent and manager.
-    named = slice_of(
-        calls, "call_date", *names, "call_date AS named_on",
-        "call_count", "duration_sum", "agent_hold_time_sum", "transfer_sum",
-    )
-    solved = slice_of(tickets, "call_date", "fcr_sum", "fcr_denom")
-    rated = slice_of(surveys, "survey_date", "csat_sum", "nps_calc_sum", "survey_count")
-    stacked = named.unionByName(solved, allowMissingColumns=True).unionByName(
-        rated, allowMissingColumns=True
-    )
+def month_parts(calls: DataFrame, tickets: DataFrame, surveys: DataFrame) -> DataFrame:
+    """What the months of an agent under a manager are made of: the daily sums, listed in one row per month.
 
-    totals = [
-        *[f"max_by({name}, struct(named_on, {name})) AS {name}" for name in names],
-        "sum(call_count) AS call_count",
-        *[f"{figure} AS {name}" for name, figure in FIGURES.items()],
-    ]
-    # Monthly scorecards do not show the number of calls.
-    shown = FIGURES if monthly else ("call_count", *FIGURES)
-    return (
-        stacked.groupBy(*ids, period)
-        .agg(*map(F.expr, totals))
-        .where("call_count IS NOT NULL")
-        .selectExpr(*dimensions, period, *shown)
-    )
+    Three entries a day at most, so a row has a fixed bound.
+    """
+    stacked = _stacked(calls, tickets, surveys)
+    entry = F.struct(*[name for name in stacked.columns if name not in ("agent_id", "manager_id")])
+    month = F.expr(_MONTH_OF).alias(MONTH)
+    return stacked.groupBy("agent_id", "manager_id", month).agg(F.sort_array(F.collect_list(entry)).alias("days"))
+
+
+def with_days_replaced(stored: DataFrame, fresh: DataFrame, touched: Span) -> DataFrame:
+    """``stored`` month parts whose entries of the ``touched`` days are taken out and replaced by ``fresh`` ones.
+
+    What was counted for a touched day is told by its entries, not by a difference, so doing this again changes
+    nothing and days that are not touched need not be read.
+    """
+    rest = stored.withColumn("days", F.filter("days", lambda entry: ~touched.holds(entry["day"])))
+    both = rest.unionByName(fresh).groupBy("agent_id", "manager_id", MONTH)
+    return both.agg(F.sort_array(F.flatten(F.collect_list("days"))).alias("days")).where(F.size("days") > 0)
+
+
+def monthly_scorecard(parts: DataFrame, *, by_agent: bool = True, by_manager: bool = False) -> DataFrame:
+    """``scorecard`` by month, from month parts."""
+    return _rates(parts.selectExpr("agent_id", "manager_id", MONTH, "inline(days)"), MONTH, by_agent, by_manager)

@@ -27,6 +27,8 @@ from ringledger.window import EVERYTHING, RunWindow, Span, days_of_month
 class Reader(Protocol):
     # The callback period of everything that is computed without a window.
     callback_days: int
+    # Whether tables are stored, so that one may be computed from what it was before.
+    stores: bool
 
     def raw(self, dataset: str, span: Span) -> DataFrame: ...
 
@@ -63,6 +65,8 @@ class Model:
     version: tuple[str, ...] = ()
     # Keys whose rows go before the merge, besides those that are computed anew.
     gone: Callable[[Reader, Span], DataFrame] | None = None
+    # Where the days that are computed are not those that are replaced.
+    replaces: Callable[[Span], Span] | None = None
 
 
 def _window_days(window: RunWindow, changed: Days) -> Span:
@@ -131,14 +135,16 @@ def _daily(mart: str, summarise: Callable[..., DataFrame]) -> Build:
     return build
 
 
+DAILY = ("daily_agent_call_metrics_source", "daily_agent_crm_metrics_source", "daily_agent_survey_metrics_source")
+
+
 def _scorecard(**shape: bool) -> Build:
     def build(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
-        return cards.scorecard(
-            source.table("daily_agent_call_metrics_source", span),
-            source.table("daily_agent_crm_metrics_source", span),
-            source.table("daily_agent_survey_metrics_source", span),
-            **shape,
-        )
+        # A narrow run knows no other days than its own.
+        if shape.get("monthly") and source.stores and not (window and window.narrow):
+            levels = {name: value for name, value in shape.items() if name != "monthly"}
+            return cards.monthly_scorecard(source.table("monthly_parts", span), **levels)
+        return cards.scorecard(*[source.table(name, span) for name in DAILY], **shape)
 
     return build
 
@@ -149,6 +155,27 @@ def _card(name: str, keys: tuple[str, ...], **shape: bool) -> Model:
     return Model(name, "core", keys, keys[-1], _scorecard(**shape), span)
 
 
+def _changed_days(window: RunWindow, changed: Days) -> Span:
+    """Exactly the days on which the daily tables have changed in this run."""
+    return Span(window.start, window.start).and_days(changed)
+
+
+def _months_of(days: Span) -> Span:
+    first = {day.replace(day=1) for day in days.listed_days()}
+    return Span(days.start, days.start).and_days(first)
+
+
+def _month_parts(source: Reader, span: Span, window: RunWindow | None) -> DataFrame:
+    fresh = cards.month_parts(*[source.table(name, span) for name in DAILY])
+    if window is None:
+        return fresh
+    try:
+        stored = source.table("monthly_parts", _months_of(span))
+    except LookupError:  # the first run
+        return fresh
+    return cards.with_days_replaced(stored, fresh, span)
+
+
 def _survey_ids(source: Reader, span: Span) -> DataFrame:
     return source.table("stg_surveys", span).select("survey_id")
 
@@ -212,12 +239,25 @@ MODELS: tuple[Model, ...] = (
     _card("monthly_manager_metrics", ("manager_id", "call_month"), by_agent=False, by_manager=True, monthly=True),
 )
 
-BY_NAME = {model.name: model for model in MODELS}
+# Kept beside the sixteen tables, so that a run needs no more than the changed days of a month.
+STATE = Model(
+    "monthly_parts",
+    "state",
+    ("agent_id", "manager_id", "call_month"),
+    "call_month",
+    _month_parts,
+    _changed_days,
+    replaces=_months_of,
+)
+WRITTEN = (*MODELS[:-3], STATE, *MODELS[-3:])
+BY_NAME = {model.name: model for model in WRITTEN}
 
 
 class LazyTables:
     """Every table as one lazy plan over the inputs; nothing is stored."""
 
+    stores = False
+
     def __init__(self, inputs: Inputs, callback_days: int = CALLBACK_DAYS):
         self.inputs = inputs
         self.callback_days = callback_days

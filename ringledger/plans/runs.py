@@ -14,7 +14,7 @@ from ringledger.operators.callbacks import CALLBACK_DAYS
 from ringledger.operators.quality import Check, check_report
 from ringledger.operators.upsert import UPDATED, WriteInfo, StoredTable
 from ringledger.plans.checks import CHECKS
-from ringledger.plans.models import BY_NAME, MODELS, Model
+from ringledger.plans.models import BY_NAME, DAILY, WRITTEN, Model
 from ringledger.schemas import DATASETS
 from ringledger.sources.inputs import Inputs
 from ringledger.streaming.ingest import EVENT_DAY
@@ -36,6 +36,8 @@ class StoredTables:
     Seeds are stored too, in the layer ``ref``, when they are first read; ``store_seeds`` brings in new ones.
     """
 
+    stores = True
+
     def __init__(
         self,
         spark: SparkSession,
@@ -56,7 +58,7 @@ class StoredTables:
             m.name: StoredTable(
                 spark, f"{self._layer(m.layer)}/{m.name}", m.keys, m.day, version=m.version, hidden=m.hidden
             )
-            for m in MODELS
+            for m in WRITTEN
         }
 
     def _layer(self, layer: str) -> str:
@@ -105,7 +107,7 @@ class StoredTables:
 
         Small tables would otherwise leave most of a cluster idle in turn.
         """
-        wanted = [model for model in MODELS if only is None or model.name in set(only)]
+        wanted = [model for model in WRITTEN if only is None or model.name in set(only)]
         done: dict[str, Future[WriteInfo]] = {}
 
         def after(parents: list[Future[WriteInfo]], model: Model) -> WriteInfo:
@@ -145,7 +147,9 @@ class StoredTables:
             dirty = frozenset().union(*(changed.get(parent, ()) for parent in PARENTS[model.name]))
             span, table = model.span(window, dirty), self.stored(model.name)
             rows = model.build(self, span, window)
-            if model.whole_days and not window.narrow:
+            if model.replaces:
+                info = table.replace_days(rows, model.replaces(span))
+            elif model.whole_days and not window.narrow:
                 info = table.replace_days(rows, span)
             elif model.gone and not window.narrow:
                 info = table.upsert(rows, model.gone(self, span))
@@ -175,11 +179,6 @@ class StoredTables:
 
 
 # What each table is computed from.
-_DAILY = (
-    "daily_agent_call_metrics_source",
-    "daily_agent_crm_metrics_source",
-    "daily_agent_survey_metrics_source",
-)
 PARENTS: dict[str, tuple[str, ...]] = {
     "stg_calls": (),
     "stg_crm": (),
@@ -192,11 +191,12 @@ PARENTS: dict[str, tuple[str, ...]] = {
     "daily_agent_call_metrics_source": ("mart_calls",),
     "daily_agent_crm_metrics_source": ("mart_first_call_resolution",),
     "daily_agent_survey_metrics_source": ("mart_surveys",),
-    "daily_agent_metrics": _DAILY,
-    "daily_agent_manager_metrics": _DAILY,
-    "monthly_agent_metrics": _DAILY,
-    "monthly_agent_manager_metrics": _DAILY,
-    "monthly_manager_metrics": _DAILY,
+    "daily_agent_metrics": DAILY,
+    "daily_agent_manager_metrics": DAILY,
+    "monthly_parts": DAILY,
+    "monthly_agent_metrics": ("monthly_parts",),
+    "monthly_agent_manager_metrics": ("monthly_parts",),
+    "monthly_manager_metrics": ("monthly_parts",),
 }
 
 

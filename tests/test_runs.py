@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import shutil
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
 from ringledger.operators.callbacks import callback_pairs
 from ringledger.plans.catalog import run_windows
-from ringledger.plans.models import MODELS, LazyTables
+from ringledger.plans.models import BY_NAME, DAILY, MODELS, LazyTables
 from ringledger.operators.upsert import StoredTable
 from ringledger.plans.runs import PARENTS, ChecksFailed, StoredTables, lineage
 from ringledger.session import scratch_dir
@@ -54,6 +56,30 @@ def test_order_and_repetition_of_windows_do_not_matter(spark, sf_dir, full):
     assert differing(full, replay(spark, sf_dir, [*rest, c, a, b, a], "test-shuffled"), ALL) == {}
 
 
+def test_months_are_kept_without_the_days_that_did_not_change(spark, sf_dir, full, tmp_path):
+    """Daily rows of untouched days are taken away before the last window: months still equal the full build."""
+    store = StoredTables(spark, str(tmp_path), inputs(spark, sf_dir))
+    *runs, last = run_windows(spark, sf_dir)
+    for window in runs:
+        store.run(window)
+    # Which days the last window touches is known from a run of it on a copy.
+    copy = StoredTables(spark, str(tmp_path) + "-copy", inputs(spark, sf_dir))
+    shutil.copytree(tmp_path, str(tmp_path) + "-copy", dirs_exist_ok=True)
+    touched = {day for info in copy.run(last) if info.table in DAILY for day in info.days}
+    taken = 0
+    for name in DAILY:
+        for folder in Path(store.stored(name).path).glob("day=2024-*"):
+            if date.fromisoformat(folder.name.removeprefix("day=")) not in touched:
+                shutil.rmtree(folder)
+                taken += 1
+    assert taken > 10
+    store.run(last)
+    monthly = [name for name in ALL if name.startswith("monthly_")]
+    assert differing(full, store, monthly) == {}
+    store.run(last)  # a run that is repeated counts nothing twice
+    assert differing(full, store, monthly) == {}
+
+
 def test_narrow_windows_miss_late_records(spark, sf_dir, full):
     narrow = replay(spark, sf_dir, run_windows(spark, sf_dir, narrow=True), "test-narrow")
     wrong = differing(full, narrow, ["daily_agent_metrics", "monthly_manager_metrics"])
@@ -63,8 +89,9 @@ def test_narrow_windows_miss_late_records(spark, sf_dir, full):
 
 
 def test_tables_are_written_after_those_they_come_from(spark, sf_dir, monkeypatch):
-    assert list(PARENTS) == ALL
-    assert all(ALL.index(parent) < ALL.index(name) for name, parents in PARENTS.items() for parent in parents)
+    order = list(BY_NAME)
+    assert list(PARENTS) == order and set(order) == {*ALL, "monthly_parts"}
+    assert all(order.index(parent) < order.index(name) for name, parents in PARENTS.items() for parent in parents)
     events = []
     write = StoredTable.replace
 
