@@ -352,7 +352,8 @@ def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was stored: rows per table, and its columns in order."""
-    written = _fresh_store(spark, sf_dir, "profile").refresh(only=[model.name for model in MODELS])
+    tables = {model.name for model in MODELS}
+    written = [info for info in _fresh_store(spark, sf_dir, "profile").refresh() if info.table in tables]
     rows = [
         (info.table, position, name, kind, info.rows_written)
         for info in written
