@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 from ringledger.functions.columns import OPEN_END
 
 
-def segments_from_changes(changes: DataFrame, entity: str, value: str, changed_at: str) -> DataFrame:
-    """Turn change events into segments that end the day before the next change.
-
-    Segments are whole days, so of several changes on one day the last one
-    counts. That first step also leaves at most one row per entity and day for
-    the ordered window, however many events an entity has.
-    """
+def last_of_each_day(changes: DataFrame, entity: str, value: str, changed_at: str) -> DataFrame:
+    """The change that counts of every entity and day: entity, value, changed_at, effective_start."""
     last_of_day = F.row_number().over(
         Window.partitionBy(entity, "effective_start").orderBy(F.desc(changed_at), F.desc(value))
     )
-    daily = (
+    return (
         changes.select(entity, value, changed_at, F.to_date(changed_at).alias("effective_start"))
         .withColumn("place", last_of_day)
         .where(F.col("place") == 1)
+        .drop("place")
     )
+
+
+def segments_from_changes(changes: DataFrame, entity: str, value: str, changed_at: str) -> DataFrame:
+    """Turn change events into segments that end the day before the next change.
+
+    Segments are whole days, so of several changes on one day the last one
+    counts. That first step also leaves at most one row per entity and day for
+    the ordered window, however many events an entity has.
+    """
+    daily = last_of_each_day(changes, entity, value, changed_at)
     next_start = F.lead("effective_start").over(Window.partitionBy(entity).orderBy("effective_start"))
     return daily.select(
         entity,
@@ -32,18 +38,43 @@ def segments_from_changes(changes: DataFrame, entity: str, value: str, changed_a
     )
 
 
+def in_force(facts: DataFrame, segments: DataFrame, entity: str, day: str) -> DataFrame:
+    """Every fact with ``segment``, a struct of all columns of each segment of its entity that holds its day.
+
+    Both ends of a segment belong to it. Segments that overlap no earlier one are merged with the facts in order of
+    days, so a fact meets the last one that has begun, and not all of its entity. The others are compared one by one.
+    Facts that no segment holds are left out, and those without an entity.
+    """
+    held = F.struct(*[F.col(f"`{c}`") for c in segments.columns])
+    sound = segments.select(F.col(entity).alias("_entity"), F.col("effective_start").alias("_at"), F.col("effective_end").alias("_until"), held.alias("segment"))
+    sound = sound.where("_at <= _until AND _entity IS NOT NULL")
+    so_far = Window.partitionBy("_entity").orderBy("_at", "_until").rowsBetween(Window.unboundedPreceding, -1)
+    sound = sound.withColumn("_apart", F.coalesce(F.max("_until").over(so_far) < F.col("_at"), F.lit(True)))
+
+    names = [f"`{c}`" for c in facts.columns]
+    fact = facts.where(F.col(entity).isNotNull()).select(
+        F.col(entity).alias("_entity"), F.col(day).alias("_at"), F.struct(*names).alias("_fact")
+    )
+    both = sound.where("_apart").drop("_apart").unionByName(fact, allowMissingColumns=True)
+    order = Window.partitionBy("_entity").orderBy("_at", F.col("_fact").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    begun = F.last(F.when(F.col("_fact").isNull(), F.struct("_until", "segment")), ignorenulls=True).over(order)
+    met = both.withColumn("_begun", begun).where("_fact IS NOT NULL AND _at <= _begun._until")
+    met = met.select("_fact", F.col("_begun.segment").alias("segment"))
+
+    other = sound.where("NOT _apart").select(F.col("_entity").alias("_of"), F.col("_at").alias("_from"), "_until", "segment")
+    more = fact.join(other, F.expr("_entity = _of AND _at BETWEEN _from AND _until")).select("_fact", "segment")
+    return met.unionByName(more).select(*[F.col(f"_fact.{n}") for n in names], "segment")
+
+
 def with_manager(daily: DataFrame, day: str, assignments: DataFrame, managers: DataFrame) -> DataFrame:
     """Add the manager an agent had on ``day`` (segment ends included on both sides).
 
-    ``daily`` is already aggregated to one row per agent and day, so this joins
-    far fewer rows than the facts have. Days outside every segment are dropped.
+    ``daily`` is already aggregated to one row per agent and day. Days outside every segment are dropped.
     """
-    segment = assignments.selectExpr(
-        "agent_id AS assigned_agent", "manager_id", "effective_start", "effective_end"
-    )
-    on_duty = F.expr(f"agent_id = assigned_agent AND {day} BETWEEN effective_start AND effective_end")
+    segment = assignments.select("agent_id", "manager_id", "effective_start", "effective_end")
     return (
-        daily.join(segment, on_duty)
+        in_force(daily, segment, "agent_id", day)
+        .withColumn("manager_id", F.col("segment.manager_id"))
         .join(managers.selectExpr("manager_id", "manager_name"), "manager_id")
         .selectExpr(*daily.columns, "manager_id", "manager_name")
     )

@@ -173,9 +173,14 @@ class StoredTable:
         low, high = facts[f"min {self.keys[0]}"], facts[f"max {self.keys[0]}"]
         if gone is not None:
             keys = keys.unionByName(gone.select(*self.keys)).distinct()
-            low, high = keys.agg(F.min(self.keys[0]), F.max(self.keys[0])).first()
+            if self.day_column not in self.keys:
+                low, high = keys.agg(F.min(self.keys[0]), F.max(self.keys[0])).first()
         moved = set()
-        if self.day_column not in self.keys and low is not None:
+        if self.day_column in self.keys:
+            if gone is not None:
+                moved = {row[PART] for row in gone.select(F.to_date(self.day_column).alias(PART)).distinct().collect()}
+                moved &= set(held)
+        elif low is not None:
             # The range reaches the files' statistics; of what it leaves, only key columns are read.
             stored = self._rows().where(F.col(self.keys[0]).between(F.lit(low), F.lit(high)))
             if self.version:

@@ -29,6 +29,7 @@ from ringledger.operators.resolution import (
     resolved_unless_repeated,
     resolved_with_cutover,
 )
+from ringledger.operators.segments import SegmentStore
 from ringledger.operators.upsert import UPDATED, StoredTable
 from ringledger.plans.checks import RAW_CHECKS
 from ringledger.plans.models import BY_NAME, MODELS, LazyTables
@@ -208,6 +209,23 @@ def scd2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments_from_changes(changes, "entity_id", "value", "changed_at")
 
 
+def segments_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same segments, from two batches: the first has changes that never were and lacks some that come late."""
+    events = stand_in.read_table(spark, sf_dir, "events")
+    changes = events.selectExpr("event_id", "user_id AS entity_id", "event_type AS value", "ts AS changed_at")
+    mistaken = changes.where("event_id % 11 = 0").selectExpr(
+        "event_id", "entity_id", "'mistaken' AS value", "changed_at + INTERVAL '20' HOUR * (1 + event_id % 5) AS changed_at"
+    )
+    late = F.col("event_id") % 7 == 0
+    columns = ("entity_id", "value", "changed_at")
+    store = SegmentStore(spark, scratch_dir(spark, "segments"), *columns)
+    first = changes.where(~late).unionByName(mistaken).select(*columns, F.lit(False).alias("withdrawn"))
+    second = changes.where(late).withColumn("withdrawn", F.lit(False)).unionByName(mistaken.withColumn("withdrawn", F.lit(True)))
+    store.merge(first)
+    store.merge(second.select(*columns, "withdrawn"))
+    return store.read()
+
+
 # -- incremental runs ----------------------------------------------------------------
 
 
@@ -448,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "fcr_definition_compare": fcr_definition_compare,
     "fcr_cutover": fcr_cutover,
     "scd2_segments": scd2_segments,
+    "segments_after_changes": segments_after_changes,
     "incremental_rows": incremental_rows,
     "incremental_rows_inclusive": incremental_rows_inclusive,
     "incremental_daily": incremental_daily,

@@ -423,6 +423,7 @@ def expected_sql() -> dict[str, str]:
         FROM (SELECT user_id AS entity_id, CAST(ts AS DATE) AS effective_start,
                      arg_max(event_type, (ts, event_type)) AS value
               FROM events GROUP BY 1, 2)"""
+    sql["segments_after_changes"] = sql["scd2_segments"]
 
     sql["incremental_rows"] = _query("SELECT * FROM stg_calls")
     sql["incremental_rows_inclusive"] = _query(
