@@ -45,3 +45,25 @@ def repeated_records(raw: DataFrame, dataset: Dataset) -> DataFrame:
         .where(F.col("copies") > 1)
         .select(F.lit(dataset.name).alias("dataset"), "record_id", "copies")
     )
+
+
+def repeated_origins(raw: DataFrame, dataset: Dataset) -> DataFrame:
+    """Business keys that were loaded more than once, with the loads, files and day folders that hold them.
+
+    ``raw`` has ``load_id`` and ``source_file``. What is listed for a key is distinct before it is shuffled, so a key
+    of very many copies arrives as its files.
+    """
+    folder = F.regexp_extract("source_file", "/day=([^/]+)/", 1)
+    return (
+        raw.groupBy(F.col(dataset.key).alias("record_id"), "load_id", "source_file")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("record_id")
+        .agg(
+            F.sum("n").alias("copies"),
+            F.array_sort(F.collect_set("load_id")).alias("loads"),
+            F.array_sort(F.collect_set("source_file")).alias("files"),
+            F.array_sort(F.collect_set(folder)).alias("folders"),
+        )
+        .where(F.col("copies") > 1)
+        .select(F.lit(dataset.name).alias("dataset"), "record_id", "copies", "loads", "files", "folders")
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ringledger.operators import insights
 from ringledger.operators.assignments import segments_from_changes, with_manager
 from ringledger.operators.callbacks import repeat_flags
-from ringledger.operators.latest import latest_version, repeated_records
+from ringledger.operators.latest import latest_version, repeated_origins, repeated_records
 from ringledger.operators.quality import (
     ACCEPTED_VALUES,
     EXPRESSION,
@@ -40,7 +40,7 @@ from ringledger.sources import stand_in
 from ringledger.sources.coverage import dataset_coverage
 from ringledger.sources.landing import append_days, scan_days
 from ringledger.sources.seeds import read_seed, write_seed
-from ringledger.streaming.ingest import EVENT_DAY, ingest_all, load_log, raw_table
+from ringledger.streaming.ingest import EVENT_DAY, ingest_all, ingest_new_files, load_details, load_log, raw_table
 from ringledger.window import RunWindow, Span, within_inclusive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,15 +109,20 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_days(spark, base, feed)
 
 
-def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files arrive, are ingested, more files arrive, are ingested: every raw row
-    with its load and whether that load was logged."""
+def _ingested(spark: SparkSession, sf_dir: str) -> str:
+    """Files arrive, are ingested, more files arrive, are ingested."""
     base, raw = scratch_dir(spark, "files"), scratch_dir(spark, "raw")
     source = stand_in.inputs(spark, sf_dir)
     for load in (stand_in.FIRST_LOAD, stand_in.SECOND_LOAD):
         for name, feed in DATASETS.items():
             append_days(source.raw(name).where(F.col("load_id") == load), base, feed)
         ingest_all(spark, DATASETS.values(), base, raw)
+    return raw
+
+
+def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw row that was ingested, with its load and whether that load was logged."""
+    raw = _ingested(spark, sf_dir)
 
     def stacked(name: str) -> DataFrame:
         feed = DATASETS[name]
@@ -133,6 +138,42 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [stacked(name) for name in DATASETS])
 
 
+def duplicate_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that were loaded more than once, and how many files of which loads and day folders hold them."""
+    raw = _ingested(spark, sf_dir)
+    found = [repeated_origins(raw_table(spark, raw, feed, origin=True), feed) for feed in DATASETS.values()]
+    return reduce(DataFrame.unionByName, found).select(
+        "dataset",
+        "record_id",
+        "copies",
+        F.array_join("loads", ",").alias("loads"),
+        F.size("files").alias("files"),
+        F.array_join("folders", ",").alias("folders"),
+    )
+
+
+def ingest_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a second load have two columns more and lack one: every raw row, and what the log says of its load."""
+    base, raw, feed = scratch_dir(spark, "files"), scratch_dir(spark, "raw"), DATASETS["calls"]
+    calls = stand_in.raw_calls(spark, sf_dir)
+    append_days(calls.where(F.col("load_id") == stand_in.FIRST_LOAD), base, feed)
+    ingest_new_files(spark, feed, base, raw)
+    later = calls.where(F.col("load_id") == stand_in.SECOND_LOAD).drop("load_id", "hold_time_during_call_s")
+    later = later.selectExpr(
+        "*", "IF(call_id % 3 = 0, NULL, concat('channel ', call_id % 3)) AS channel", "call_id % 7 AS desk", "to_date(start_ts) AS day"
+    )
+    later.write.mode("append").partitionBy("day").parquet(f"{base}/{feed.name}")
+    ingest_new_files(spark, feed, base, raw)
+    log = load_details(spark, raw, feed).select(
+        "load_id", F.array_join("added", ",").alias("added"), F.array_join("missing", ",").alias("missing")
+    )
+    rows = raw_table(spark, raw, feed, origin=True).join(log, "load_id")
+    return rows.select(
+        "call_id", "load_id", "duration_s", "hold_time_during_call_s",
+        F.col("extra")["channel"].alias("channel"), F.col("extra")["desk"].alias("desk"), "added", "missing",
+    )
+
+
 def _customer_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = stand_in.read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
@@ -458,6 +499,8 @@ QUERIES: dict[str, Query] = {
     "scan_day_range": scan_day_range,
     "partitioned_sink": partitioned_sink,
     "ingest_files": ingest_files,
+    "duplicate_origins": duplicate_origins,
+    "ingest_schema_drift": ingest_schema_drift,
     "seed_dimensions": seed_dimensions,
     "seed_assignments": seed_assignments,
     "dataset_coverage": coverage,

@@ -351,6 +351,14 @@ def _copies(dataset: str, key: str) -> str:
         FROM raw_{dataset} GROUP BY {key} HAVING count(*) > 1"""
 
 
+def _origins(dataset: str, key: str, moment: str) -> str:
+    load = "CASE load_id WHEN 'L1' THEN '000000000' ELSE '000000001' END"
+    return f"""SELECT '{dataset}' AS dataset, {key} AS record_id, count(*) AS copies,
+               string_agg(DISTINCT {load}, ',' ORDER BY {load}) AS loads, CAST(count(*) AS INTEGER) AS files,
+               string_agg(DISTINCT CAST(CAST({moment} AS DATE) AS VARCHAR), ',' ORDER BY CAST(CAST({moment} AS DATE) AS VARCHAR)) AS folders
+        FROM raw_{dataset} GROUP BY {key} HAVING count(*) > 1"""
+
+
 def _ingested(dataset: str, key: str, moment: str) -> str:
     return f"""SELECT '{dataset}' AS dataset, {key} AS record_id, CAST({moment} AS DATE) AS event_day,
         CASE load_id WHEN 'L1' THEN '000000000' ELSE '000000001' END AS load_id, true AS logged
@@ -379,6 +387,16 @@ def expected_sql() -> dict[str, str]:
     sql["partitioned_sink"] = _query(
         "SELECT * EXCLUDE (load_id), CAST(created_ts AS DATE) AS day FROM raw_crm"
     )
+    sql["duplicate_origins"] = _query(" UNION ALL ".join(_origins(*feed) for feed in _FEEDS))
+    sql["ingest_schema_drift"] = _query(
+        """SELECT call_id, CASE load_id WHEN 'L1' THEN '000000000' ELSE '000000001' END AS load_id, duration_s,
+                  CASE load_id WHEN 'L1' THEN hold_time_during_call_s END AS hold_time_during_call_s,
+                  CASE WHEN load_id = 'L2' AND call_id % 3 <> 0 THEN 'channel ' || call_id % 3 END AS channel,
+                  CASE load_id WHEN 'L2' THEN CAST(call_id % 7 AS VARCHAR) END AS desk,
+                  CASE load_id WHEN 'L1' THEN '' ELSE 'channel,desk' END AS added,
+                  CASE load_id WHEN 'L1' THEN '' ELSE 'hold_time_during_call_s' END AS missing
+           FROM raw_calls"""
+    )
     sql["ingest_files"] = _query(" UNION ALL ".join(_ingested(*feed) for feed in _FEEDS))
     sql["seed_dimensions"] = """
         SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,

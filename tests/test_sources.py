@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ringledger.operators.latest import latest_version
+from ringledger.operators.latest import latest_version, repeated_origins
 from ringledger.plans.models import MODELS
 from ringledger.plans.runs import StoredTables, lineage
 from ringledger.schemas import DATASETS
@@ -17,7 +17,7 @@ from ringledger.sources.coverage import dataset_coverage
 from ringledger.sources.inputs import Inputs
 from ringledger.sources.landing import append_days, scan_days
 from ringledger.sources.seeds import read_seed, write_seed
-from ringledger.streaming.ingest import ingest_new_files, load_log, raw_feed, raw_table
+from ringledger.streaming.ingest import ingest_new_files, load_details, load_log, raw_feed, raw_table
 from ringledger.window import RunWindow, Span
 from tests.conftest import at, rows
 
@@ -120,6 +120,78 @@ def test_files_with_zoned_timestamps_are_ingested(spark, tmp_path):
     assert row["start_ts"] == at("01-16 23:30") and row["event_day"] == date(2024, 1, 16)
 
 
+def drifted(spark, base, *expressions, number=2, drop=()):
+    """One more file of calls, with other columns."""
+    df = calls(spark, (number, f"01-{15 + number} 09:00")).drop(*drop).selectExpr("*", *expressions)
+    names = [name for name in df.columns if df.columns.count(name) == 1]
+    df.select(*names, F.to_date("start_ts").alias("day")).write.mode("append").partitionBy("day").parquet(f"{base}/calls")
+
+
+def test_added_and_missing_columns_are_noticed(spark, tmp_path):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw)
+    drifted(spark, base, "'web' AS channel", "named_struct('a', 1, 'b', array(2.5D)) AS more", "CAST(NULL AS INT) AS none", drop=["transfer_flag", "agent_id"])
+    drifted(spark, base, "7L AS `odd name`", "'x' AS load_id", "'y' AS extra", number=3)
+    ingest_new_files(spark, CALLS, base, raw)
+    found = {r["call_id"]: r for r in raw_table(spark, raw, CALLS, origin=True).collect()}
+    assert found[1]["extra"] is None and found[1]["agent_id"] is not None
+    assert found[2]["extra"] == {"channel": "web", "more": "{1, [2.5]}"}
+    assert found[2]["agent_id"] is None and found[2]["transfer_flag"] is None
+    assert found[3]["extra"] == {"odd name": "7", "load_id": "x", "extra": "y"} and found[3]["agent_id"] is not None
+    assert {n: r["load_id"] for n, r in found.items()} == {1: "000000000", 2: "000000001", 3: "000000001"}
+    details = {r["load_id"]: r for r in load_details(spark, raw, CALLS).collect()}
+    assert (details["000000000"]["files"], details["000000000"]["added"], details["000000000"]["missing"]) == (1, [], [])
+    # Both files make one load: a column is missing if no file of it has one.
+    assert details["000000001"]["files"] == 2 and details["000000001"]["missing"] == []
+    assert sorted(details["000000001"]["added"]) == ["channel", "extra", "load_id", "more", "none", "odd name"]
+    assert set(raw_table(spark, raw, CALLS).columns) == {*CALLS.column_names, "load_id", "event_day"}
+
+
+def test_a_load_without_a_column(spark, tmp_path):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    drifted(spark, base, drop=["transfer_flag", "agent_id"])
+    ingest_new_files(spark, CALLS, base, raw)
+    (load,) = load_details(spark, raw, CALLS).collect()
+    assert load["missing"] == ["agent_id", "transfer_flag"]
+
+
+@pytest.mark.parametrize("changed", ["CAST(duration_s AS STRING) AS duration_s", "CAST(start_ts AS STRING) AS start_ts", "CAST(agent_id AS DOUBLE) AS agent_id"])
+def test_a_changed_type_is_refused_before_anything_is_written(spark, tmp_path, changed):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw)
+    name = changed.rsplit(" ", 1)[1]
+    other = calls(spark, (2, "01-17 09:00")).withColumn("day", F.to_date("start_ts")).withColumn(name, F.expr(changed))
+    other.write.mode("append").partitionBy("day").parquet(f"{base}/calls")
+    append_days(calls(spark, (3, "01-18 09:00")), base, CALLS)
+    with pytest.raises(Exception, match="ChangedType|different types"):
+        ingest_new_files(spark, CALLS, base, raw)
+    assert ingested(spark, raw) == [(1, "000000000")] and load_log(spark, raw, CALLS).count() == 1
+
+
+def test_narrower_whole_numbers_are_read(spark, tmp_path):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    narrow = calls(spark, (2, "01-17 09:00")).withColumn("duration_s", F.expr("CAST(duration_s AS INT)"))
+    narrow.withColumn("day", F.to_date("start_ts")).write.partitionBy("day").parquet(f"{base}/calls")
+    ingest_new_files(spark, CALLS, base, raw)
+    wanted = calls(spark, (2, "01-17 09:00")).first()["duration_s"]
+    assert [r["duration_s"] for r in raw_table(spark, raw, CALLS).collect()] == [wanted]
+
+
+def test_a_repeated_key_is_told_with_its_files(spark, tmp_path):
+    base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
+    append_days(calls(spark, (1, "01-16 09:00"), (2, "01-17 09:00")), base, CALLS)
+    ingest_new_files(spark, CALLS, base, raw)
+    (source,) = Path(base, "calls", "day=2024-01-17").glob("part-*.parquet")
+    shutil.copy(source, Path(base, "calls", "day=2024-01-16", "part-9999-dup.parquet"))
+    ingest_new_files(spark, CALLS, base, raw)
+    (row,) = repeated_origins(raw_table(spark, raw, CALLS, origin=True), CALLS).collect()
+    assert (row["record_id"], row["copies"], row["loads"]) == (2, 2, ["000000000", "000000001"])
+    assert [Path(f).name for f in row["files"]] == ["part-9999-dup.parquet", source.name]
+    assert row["folders"] == ["2024-01-16", "2024-01-17"]
+
+
 def test_tables_over_ingested_files(spark, tmp_path):
     """Files to staging to mart, with the scan pruned to the days of the window."""
     base, raw = str(tmp_path / "files"), str(tmp_path / "raw")
