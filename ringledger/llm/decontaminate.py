@@ -8,17 +8,18 @@ compared in lower case with runs of anything but letters and digits as one space
 
 Items are a query set: they are dealt over blocks of about ``BLOCK_CHARS`` characters, one block at a time is sent
 to the executors, and every document is read against every block. So what is broadcast is bounded whatever the
-benchmark's size, and there is no shuffle.
+benchmark's size, and so is the automaton, which a worker process builds once per block. There is no shuffle.
 
-Defined results: null or empty texts and items match nothing, and neither do items of fewer than ``MIN_CHARS``
-normalised characters, which common phrases would hit. Equal items each match; an item is reported once per
-document, at its best match, ties to the first. Repeated rows and null ids get results of their own. Only id and
+Defined results: null or empty texts and items match nothing. An item of fewer than ``WORDWISE_CHARS`` normalised
+characters matches from the beginning of a word to the end of one only, as it might lie within longer words by
+chance. Equal items each match; an item is reported once per document, at its best match, ties to the first. Repeated rows and null ids get results of their own. Only id and
 text are read on both sides. Texts are searched whole.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -29,19 +30,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHARS_PER_EDIT = 20
-MIN_CHARS = 24
-BLOCK_CHARS = 8_000_000
+WORDWISE_CHARS = 24
+#: An automaton takes about 60 bytes per character of its items.
+BLOCK_CHARS = 1_000_000
 
 _GAP = re.compile(r"[\W_]+")
 
+Block = tuple[str, list[tuple[object, str]]]
+
 
 def normalised(text: str | None) -> str:
     return _GAP.sub(" ", text.lower()).strip() if text else ""
 
 
+def budget_of(item: str) -> int:
+    """Edits allowed; the spaces that ``Searcher`` puts around a short item don't count."""
+    return len(item.strip()) // CHARS_PER_EDIT
+
+
 def pieces(item: str) -> list[tuple[int, str]]:
     """(position, piece) of the item's budget-plus-one pieces, of equal length but for one character."""
-    parts = len(item) // CHARS_PER_EDIT + 1
+    parts = budget_of(item) + 1
     cuts = [len(item) * i // parts for i in range(parts + 1)]
     return [(a, item[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
@@ -78,7 +87,19 @@ def bits_of(pattern: str) -> dict[str, int]:
 class Searcher:
     """Automaton over the pieces of a block of items."""
 
+    _last: tuple[str, Searcher] | None = None
+
+    @classmethod
+    def of(cls, block: Block) -> Searcher:
+        """The searcher of the block this process had last, or a new one."""
+        if cls._last is None or cls._last[0] != block[0]:
+            cls._last = None  # before the next one is built
+            cls._last = block[0], cls(block[1])
+        return cls._last[1]
+
     def __init__(self, items: list[tuple[int, str]]):
+        # A short item begins and ends with the space around its words.
+        items = [(i, f" {text} " if len(text) < WORDWISE_CHARS else text) for i, text in items]
         self.items = items
         self.bits = [bits_of(item) for _, item in items]
         owners: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -92,9 +113,10 @@ class Searcher:
             self.automaton.make_automaton()
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item number, distance, start of the searched window, end of the match) of every item in the text."""
+        """(item number, distance, start of the searched window, end of the match) of every item in the normalised text."""
         if not len(self.automaton):
             return []
+        text = f" {text} "
         places: dict[int, set[int]] = defaultdict(set)
         for last, (size, found) in self.automaton.iter(text):
             for number, at in found:
@@ -102,7 +124,7 @@ class Searcher:
         out = []
         for number, starts in places.items():
             item = self.items[number][1]
-            budget, best = len(item) // CHARS_PER_EDIT, None
+            budget, best = budget_of(item), None
             done = -1
             for start in sorted(starts):
                 # Windows of places within the budget of each other overlap: one search covers a run of them.
@@ -114,19 +136,20 @@ class Searcher:
                 if found and (best is None or found[0] < best[0]):
                     best = (found[0], low, low + found[1])
             if best:
-                out.append((number, *best))
+                # Places are told without the space in front of the text, and the text's end without the one behind it.
+                out.append((number, best[0], max(0, best[1] - 1), min(best[2] - 1, len(text) - 2)))
         return out
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[object, str]]]:
-    """The items, normalised, in blocks of bounded size."""
+def _blocks(items: DataFrame) -> Iterator[Block]:
+    """The items, normalised, in blocks of bounded size, each with a name of its own."""
     slim = items.select("item_id", F.col("text").cast("string").alias("text"))
     size = slim.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // BLOCK_CHARS))
     for block in range(n):
         part = slim if n == 1 else slim.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block)
         found = [(r["item_id"], normalised(r["text"])) for r in part.collect()]
-        yield [(i, text) for i, text in found if len(text) >= MIN_CHARS]
+        yield uuid.uuid4().hex, [(i, text) for i, text in found if text]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -143,7 +166,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(shared.value)
+            searcher = Searcher.of(shared.value)
             for batch in batches:
                 owner, rows = [], []
                 for at, text in enumerate(batch.column(1).to_pylist()):
@@ -172,7 +195,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(shared.value)
+            searcher = Searcher.of(shared.value)
             for batch in batches:
                 stays = [not searcher.matches(normalised(value)) for value in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(stays, pa.bool_()))

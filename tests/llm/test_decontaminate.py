@@ -34,7 +34,7 @@ def word(rng):
 
 def test_edited_passages_match_brute_force(spark, documents, monkeypatch):
     rng = random.Random(5)
-    items = [" ".join(word(rng) for _ in range(rng.randint(5, 40))) for _ in range(12)]
+    items = [" ".join(word(rng) for _ in range(rng.randint(6, 40))) for _ in range(12)]
     texts = []
     for _ in range(60):
         passage = list(rng.choice(items))
@@ -47,7 +47,7 @@ def test_edited_passages_match_brute_force(spark, documents, monkeypatch):
     for n, text in enumerate(texts):
         for k, item in enumerate(items):
             distance = brute.edit_distance_to_any_part(normalised(item), normalised(text))
-            if len(normalised(item)) >= 24 and distance <= len(normalised(item)) // 20:
+            if distance <= len(normalised(item)) // 20:
                 wanted[n, k] = distance
     docs, bench = documents(*enumerate(texts)), items_of(spark, *enumerate(items))
     assert {(r["doc_id"], r["item_id"]): r["distance"] for r in find_leaks(docs, bench).collect()} == wanted
@@ -62,11 +62,38 @@ def test_rows_of_all_kinds(spark, documents):
     docs = documents((1, f"x {item} y {item}"), (1, item), (None, item.upper()), (2, None), (3, ""), (4, "clean words"), (5, "w " * 100_000 + item))
     bench = items_of(spark, (1, item), (1, item), (2, None), (3, ""), (4, "lazy dog"), (None, item + "!"))
     found = sorted(((r["doc_id"], r["item_id"], r["distance"]) for r in find_leaks(docs, bench).collect()), key=repr)
-    assert found == sorted([(d, i, 0) for d in (1, 1, None, 5) for i in (1, 1, None)], key=repr)
+    assert found == sorted([(d, i, 0) for d in (1, 1, None, 5) for i in (1, 1, 4, None)], key=repr)
     kept = without_leaks(docs, bench)
     assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
 
 
+def test_short_items_match_whole_words(spark, documents):
+    texts = ["The cat.", "concatenate", "cat", "a cats", "wildcat", "the cat-flap", "scat cat", "one two three four fivX", "one two three four five", "xone two three four five"]
+    docs = documents(*enumerate(texts))
+    bench = items_of(spark, (1, "cat"), (2, "Cat flap!"), (3, "one two three four five"), (4, "é"), (5, "!?"))
+    found = {(r["doc_id"], r["item_id"]): r["distance"] for r in find_leaks(docs, bench).collect()}
+    # 23 characters may have one edit, also one that takes a space away.
+    assert found == {(0, 1): 0, (2, 1): 0, (5, 1): 0, (5, 2): 0, (6, 1): 0, (7, 3): 1, (8, 3): 0, (9, 3): 1}
+    places = {(r["doc_id"], r["item_id"]): (r["near"], r["end"]) for r in find_leaks(docs, bench).collect()}
+    assert places[0, 1] == (3, 7) and places[2, 1] == (0, 3) and places[8, 3][1] == 23
+    assert {r["doc_id"] for r in without_leaks(docs, bench.where("item_id = 1")).collect()} == {1, 3, 4, 7, 8, 9}
+
+
+def test_rules_are_the_same_on_both_sides_of_the_word_limit(spark, documents):
+    """Items of 23 and 24 characters within longer words: only the longer one is a passage of its own."""
+    short, long = "abcdefghij klmnopqrst uv", "abcdefghij klmnopqrst uvw"
+    assert len(short) == 24 and len(long) == 25
+    docs = documents((1, f"xx{short}yy"), (2, f"xx{short[:-1]}yy"), (3, short[:-1]))
+    found = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, items_of(spark, (1, short), (2, short[:-1]))).collect()}
+    assert (1, 1) in found and (2, 2) not in found and (3, 2) in found
+
+
+def test_a_worker_builds_an_automaton_once():
+    block = ("name", [(1, "the quick brown fox jumps over it")])
+    first = decontaminate.Searcher.of(block)
+    assert decontaminate.Searcher.of(("name", [])) is first and decontaminate.Searcher.of(("other", [])) is not first
+
+
 def test_empty_tables(spark, documents):
     docs, bench = documents((1, "some words that are long enough to count")), items_of(spark, (1, "x" * 50))
     assert find_leaks(docs.where("false"), bench).count() == 0 and find_leaks(docs, bench.where("false")).count() == 0
