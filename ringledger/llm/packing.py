@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +34,12 @@ from ringledger.llm.common import stored
 
 SHARD_EXAMPLES = 2000
 #: Words a worker remembers the ids of, at most.
-MAX_KNOWN = 350_000
+MAX_KNOWN = 700_000
 END_ID = 2
-#: UTF-8 of ASCII or Latin-1 letters, then signs, if any.
-_DECORATED = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([#*$%&|,.!?;:()]*)")
+#: ASCII and Latin-1 letters, and signs that no token joins with them.
+_LETTERS, _MARKS = "a-zÀ-ÖØ-öø-ÿ", "#*$%&|,.!?;:()"
+_SIGNS = rf"([{_LETTERS}])([{_MARKS}]+)([ \t\n\x0b\x0c\r]|$)"
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[#*$%&|,.!?;:()]+")
 
 
 @dataclass(frozen=True)
@@ -62,8 +65,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self._keep(pa.array([""]), np.zeros(0, "<u4"), np.zeros(1, np.int64))
 
     @classmethod
     def at(cls, path: str) -> WordTokenizer:
@@ -72,43 +74,62 @@ class WordTokenizer:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > MAX_KNOWN:
-            self.known, self.older = {}, self.known
-        known = self.known
-        split = [text.lower().split() for text in texts]
-        new = set().union(*split).difference(known)
-        known.update((w, self.older[w]) for w in new.intersection(self.older))
-        new.difference_update(known)
-        # A run of letters and the signs after it are tokens of their own: decorated words share their letters' ids.
-        parted = {w: m.groups() for w in new if (m := _DECORATED.fullmatch(w))}
-        single = set().union(*parted.values())
-        single.discard(b"")
-        self._learn_single(sorted(single.difference(known)))
-        self._learn(sorted(new.difference(parted)))
-        known[b""] = b""
-        known.update((w, known[letters] + known[signs]) for w, (letters, signs) in parted.items())
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    def _learn_single(self, words: list[bytes]) -> None:
-        """Words that are runs of letters or of signs: coded many at a time, as each ends with its only end-of-word id."""
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+    def _keep(self, words: pa.Array, ids: np.ndarray, count: np.ndarray) -> None:
+        """What is known: words, the ids of all of them one after another, and how many ids each has."""
+        self.words, self.ids, self.count, self.begin = words, ids, count, np.cumsum(count) - count
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin; the last bound is the end.
+
+        Words are told apart once per batch, so of each different one the ids are looked up once and then gathered.
+        """
+        if len(self.words) > MAX_KNOWN:
+            some = self.recent
+            ids, _ = _gathered(self.ids, self.begin[some], self.count[some])
+            self._keep(self.words.take(pa.array(some)), ids, self.count[some])
+        # A run of letters and the signs after it are tokens of their own: words then differ by their letters alone.
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts.view(pa.string())), _SIGNS, r"\1 \2\3")
+        words = pc.ascii_split_whitespace(spaced)
+        different = words.flatten().dictionary_encode()
+        place = pc.index_in(different.dictionary, value_set=self.words)
+        if place.null_count:
+            new = different.dictionary.filter(place.is_null())
+            learned = self._learned(new.view(pa.binary()).to_pylist())
+            place = np.where(place.is_valid(), place.fill_null(0), len(self.words) + np.cumsum(place.is_null()) - 1)
+            count = np.fromiter(map(len, learned), np.int64, len(learned)) // 4
+            ids = np.concatenate([self.ids, np.frombuffer(b"".join(learned), "<u4")])
+            self._keep(pa.concat_arrays([self.words, new]), ids, np.concatenate([self.count, count]))
+        self.recent = np.append(0, place)
+        which = np.asarray(place)[different.indices.to_numpy()]
+        ids, bounds = _gathered(self.ids, self.begin[which], self.count[which])
+        return ids, bounds[words.offsets.to_numpy() - words.offsets[0].as_py()]
+
+    def _learned(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words, as bytes. Runs of letters or of signs are coded many at a time, as each ends with its only
+        end-of-word id."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        found: dict[bytes, bytes] = {}
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
             lines = [b" ".join(part[k : k + 200]).decode() for k in range(0, len(part), 200)]
             coded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
             ids = np.concatenate([np.array(c.ids, "<u4") for c in coded])
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-            if len(ends) != len(part):
-                self._learn(part)
-                continue
-            flat = ids.tobytes()
-            self.known.update(zip(part, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+            if len(ends) == len(part):
+                flat = ids.tobytes()
+                found.update(zip(part, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        rest = [w for w in words if w not in found]
+        for at in range(0, len(rest), 20_000):
+            part = rest[at : at + 20_000]
             coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded, strict=True))
+            found.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, coded, strict=True))
+        return [found[w] for w in words]
+
+
+def _gathered(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat`` one after another, and their bounds."""
+    bounds = np.append(0, np.cumsum(count))
+    return flat[np.repeat(begin - bounds[:-1], count) + np.arange(bounds[-1])], bounds
 
 
 def document_pieces(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -> DataFrame:
@@ -126,8 +147,9 @@ def document_pieces(docs: DataFrame, tokenizer: str, limits: Limits = Limits())
         coder, piece = WordTokenizer.at(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
             owner, rows = [], []
-            for at, ids in enumerate(coder.encode(batch.column(1).to_pylist())):
-                ids = memoryview(ids + end)
+            flat, bounds = coder.encode(batch.column(1))
+            for at in range(len(batch)):
+                ids = memoryview(flat[bounds[at] : bounds[at + 1]].tobytes() + end)
                 for start in range(0, len(ids), size):
                     part = ids[start : start + size]
                     n = len(part) // 4
@@ -151,7 +173,7 @@ def conversation_examples(conversations: DataFrame, tokenizer: str, loss_role: s
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordTokenizer.at(tokenizer)
         for batch in batches:
-            n = pa.array([len(ids) // 4 + 1 for ids in coder.encode(batch.column(1).to_pylist())], pa.int64())
+            n = pa.array(np.diff(coder.encode(batch.column(1))[1]) + 1, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, batch.column(2)], names=schema.names)
 
     return (

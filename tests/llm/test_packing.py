@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from ringledger.llm import packing
 from ringledger.llm.packing import Limits, WordTokenizer, conversation_examples, fill, pack_documents
 
 PATH = __import__("public_tokenizers").path("word_bpe_49k.json")
@@ -22,13 +25,32 @@ ODD = [
 ]
 
 
+def encoded(coder, texts):
+    column = pa.array([b"skipped", *((t or "").encode() for t in texts)], pa.binary()).slice(1)
+    ids, bounds = coder.encode(column)
+    return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def test_words_code_like_texts():
     coder = WordTokenizer(PATH)
     wanted = [ids[:-1].tobytes() for ids in ids_of(ODD)]
     for _ in range(2):
-        assert coder.encode([(t or "").encode() for t in ODD]) == wanted
-    coder.known, coder.older = {}, coder.known
-    assert coder.encode([(t or "").encode() for t in ODD]) == wanted
+        assert encoded(coder, ODD) == wanted
+    assert encoded(coder, ODD[::-1]) == wanted[::-1]
+
+
+def test_a_small_memory_of_words_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_KNOWN", 10)
+    coder, wanted = WordTokenizer(PATH), [ids[:-1].tobytes() for ids in ids_of(ODD)]
+    for n in range(len(ODD)):
+        assert encoded(coder, ODD[n : n + 3]) == wanted[n : n + 3]
+
+
+def test_random_texts_code_like_the_tokenizer():
+    rng = random.Random(6)
+    parts = ["a", "b", "don't", "'s", "É", "é", "ß", "×", "÷", "e\u0301", ",", ".", "!?", "#", "*", "(", ")", "-", "'", "|", "<|endoftext|>", "7", "٣", " ", " ", "\t", "\x0b", "\x1c", "\u00a0", "\u2003", "漢", "🙂", "\ufeff"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(4000)]
+    assert encoded(WordTokenizer(PATH), texts) == [ids[:-1].tobytes() for ids in ids_of(texts)]
 
 
 def check(rows, ids, limits):
