@@ -13,7 +13,7 @@ the id. Its words are counted by Spark and stay distributed; the driver sees one
 
 Defined results: a text that is null, empty or without a letter is ``und`` with score 0; so is every text if
 nothing could be learned. Ties go to the language that sorts first. Repeated rows and null ids get results of
-their own. Very long words are scored whole, with rescaling. Only the id, text and lang columns are read, and lang
+their own. More than ``MAX_LANGUAGES`` different languages are an error. Very long words are scored whole, with rescaling. Only the id, text and lang columns are read, and lang
 only in training.
 """
 
@@ -36,6 +36,8 @@ from ringledger.llm.common import stored
 
 TRAIN_DOCS = 20_000
 ROUNDS = 3
+#: A model has a number per piece and language, so its size is bounded by this; more are refused.
+MAX_LANGUAGES = 200
 #: Added to every expected count.
 PRIOR = 0.1
 #: Pieces of more bytes are not used.
@@ -46,6 +48,9 @@ MAX_WORD = 40
 MAX_KNOWN = 1_600_000
 UNKNOWN = "und"
 
+#: A rolling hash of bytes: where it starts, what it is multiplied by per byte and at the end, and the bits it is looked up by.
+HASH_START, HASH_STEP, HASH_LAST, HASH_BITS = 0xCBF29CE484222325, 0x100000001B3, 0x9E3779B97F4A7C15, 18
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -69,6 +74,35 @@ class Pieces:
         # Bytes that are no pieces of the file (there are none in a byte-level one) would leave words without a cut.
         self.ids = {p: i for i, p in enumerate(dict.fromkeys([*known, *(bytes([b]) for b in range(256))]))}
         self.size = len(self.ids)
+        # Pieces by a 64-bit hash, and for its first bits where those that begin with them are.
+        hashes = np.array([self._hash(p) for p in self.ids], np.uint64)
+        self.order = np.argsort(hashes).astype(np.int32)
+        self.hashes = hashes[self.order]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two pieces have the same hash")
+        first_bits = self.hashes >> np.uint64(64 - HASH_BITS)
+        self.starts = np.searchsorted(first_bits, np.arange((1 << HASH_BITS) + 1, dtype=np.uint64)).astype(np.int32)
+
+    @staticmethod
+    def _hash(piece: bytes) -> int:
+        h = HASH_START
+        for byte in piece:
+            h = ((h ^ byte) * HASH_STEP) & 0xFFFFFFFFFFFFFFFF
+        return (h * HASH_LAST) & 0xFFFFFFFFFFFFFFFF
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of pieces by their hashes, ``size`` where there is none."""
+        first_bits = (hashes >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+        at, end = self.starts[first_bits], self.starts[first_bits + 1]
+        found = np.full(len(hashes), self.size, np.int32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            hit = self.hashes[here] == hashes[left]
+            found[left[hit]] = self.order[here[hit]]
+            at[left] += 1
+            left = left[~hit & (at[left] < end[left])]
+        return found
 
     @staticmethod
     @cache
@@ -82,9 +116,15 @@ class Pieces:
 
     def edges(self, words: list[bytes]) -> np.ndarray:
         """Piece id of each span of equally long words; ``size`` where the span is no piece."""
-        slices, get, none = [slice(i, j) for i, j in self.spans(len(words[0]))], self.ids.get, self.size
-        flat = [get(word[s], none) for word in words for s in slices]
-        return np.array(flat, np.int32).reshape(len(words), len(slices))
+        n = len(words[0])
+        letters = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n).T.astype(np.uint64)
+        hashes = np.empty((len(self.spans(n)), len(words)), np.uint64)
+        for s, (i, j) in enumerate(self.spans(n)):
+            h = (h if j > i + 1 else np.uint64(HASH_START)) ^ letters[j - 1]
+            h *= np.uint64(HASH_STEP)
+            hashes[s] = h
+        hashes *= np.uint64(HASH_LAST)
+        return self._find(hashes.ravel()).reshape(hashes.shape).T
 
     def forward(self, edges: np.ndarray, n: int, p: np.ndarray) -> list[np.ndarray]:
         """alpha[j]: sum over segmentations of the first j bytes, per word and language; p has a last row of zeros."""
@@ -202,8 +242,11 @@ def _expected_counts(words: DataFrame, vocabulary: str, langs: list[str], p: np.
 
 def fit(labelled: DataFrame, vocabulary: str, train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages, and piece probabilities per language with a last row of zeros, from rows of (doc_id, lang, text)."""
-    sizes = {r["lang"]: r["n"] for r in labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = labelled.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1)
+    sizes = {r["lang"]: r["n"] for r in counted.collect()}
     langs = sorted(sizes)
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: a model would not fit into the workers")
     if not langs:
         return [], np.zeros((Pieces.at(vocabulary).size + 1, 0))
     steps = 1_000_000

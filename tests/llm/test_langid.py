@@ -5,6 +5,7 @@ import itertools
 import math
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from ringledger.llm import langid
@@ -109,3 +110,19 @@ def test_held_out_accuracy(spark, sf_dir, small):
     held_out = [r["lang_pred"] == known[r["doc_id"]] for r in found if r["held_out"]]
     assert len(found) == len(texts) and len(held_out) > 30
     assert sum(held_out) / len(held_out) > 0.97
+
+
+def test_spans_are_found_like_in_a_dictionary():
+    pieces = Pieces.at(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    words = [b" the", b" int", b"\xc3\xa9t\xff", b"\x00\x00\x00\x00", b"zqxj"]
+    wanted = [[pieces.ids.get(w[i:j], pieces.size) for i, j in pieces.spans(4)] for w in words]
+    assert pieces.edges(words).tolist() == wanted and pieces.edges([b"a"]).tolist() == [[pieces.ids[b"a"]]]
+    known = sorted(pieces.ids, key=len)[-300:]
+    for word in known:
+        assert pieces.edges([word])[0, pieces.spans(len(word)).index((0, len(word)))] == pieces.ids[word]
+
+
+def test_too_many_languages_are_refused(spark, vocabulary):
+    labelled = spark.range(langid.MAX_LANGUAGES + 5).selectExpr("id AS doc_id", "concat('l', id) AS lang", "'ab' AS text")
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(labelled, vocabulary)
