@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -101,31 +102,31 @@ def _classes(docs: DataFrame, model: Model) -> DataFrame:
     schema = "row long, doc_id {}, learn boolean, classes array<int>, rare array<struct<token:binary,n:long>>".format(
         docs.schema["doc_id"].dataType.simpleString()
     )
-    rare_type = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared.value
-        top, get = len(classes), classes.get
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            flat, sizes, rares = [], [], []
-            for text in batch.column("text").to_pylist():
-                tokens = tokens_of(text)
-                found = np.fromiter((get(t, -1) for t in tokens), np.int32, len(tokens))
-                rare = [tokens[at] for at in np.flatnonzero(found < 0)]
-                found[found < 0] = [top + shared_class(t) for t in rare]
-                flat.append(found)
-                sizes.append(len(found))
-                rares.append([{"token": t, "n": n} for t, n in Counter(rare).items()])
-            n = len(sizes)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            each = [tokens_of(text) for text in batch.column("text").to_pylist()]
+            tokens, sizes, n = list(chain.from_iterable(each)), np.array([len(t) for t in each], np.int64), len(each)
+            found = np.fromiter(map(classes.get, tokens, repeat(-1)), np.int32, len(tokens))
+            # Rare tokens are told apart once per batch, then counted per document.
+            unknown = np.flatnonzero(found < 0)
+            rare = pa.array([tokens[at] for at in unknown], pa.binary()).dictionary_encode()
+            different = rare.dictionary.to_pylist()
+            code = rare.indices.to_numpy().astype(np.int64)
+            found[unknown] = len(classes) + np.array([shared_class(t) for t in different], np.int32)[code] if len(code) else 0
+            owner = np.repeat(np.arange(n), sizes)[unknown]
+            pairs, times = np.unique(owner * max(1, len(different)) + code, return_counts=True)
+            which = pa.array(pairs % max(1, len(different)))
+            counted = pa.StructArray.from_arrays([rare.dictionary.take(which), pa.array(times, pa.int64())], ["token", "n"])
+            begins = np.searchsorted(pairs, np.arange(n + 1) * max(1, len(different)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(row, row + n), pa.int64()),
                     batch.column("doc_id"),
                     batch.column("learn"),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*flat, np.zeros(0, np.int32)]))),
-                    pa.array(rares, rare_type),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(found)),
+                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), counted),
                 ],
                 names=["row", "doc_id", "learn", "classes", "rare"],
             )
@@ -267,11 +268,11 @@ def clusters(pairs: np.ndarray, k: int) -> np.ndarray:
     return label
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, int, int]:
+def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, int, int, list[int]]:
     """Train on the rows of ``docs`` (doc_id, learn, text as binary) that have ``learn``.
 
-    Returns the model, the counts of all training tokens, all documents as classes, and the numbers of training
-    tokens and of distinct ones.
+    Returns the model, the counts of all training tokens, all documents as classes, the numbers of training tokens and
+    of distinct ones, and the counts of the frequent tokens in the order of their classes.
     """
     counts = stored(count_tokens(docs.where("learn")), "token-counts")
     n_tokens, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -311,7 +312,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame, DataFrame, int, int]:
     model.emit = emit / emit.sum(axis=0)
     for _ in range(ROUNDS):
         model, _ = _round(sequences, model)
-    return model, counts, sequences, n_tokens, n_distinct
+    return model, counts, sequences, n_tokens, n_distinct, [n for _, n in top]
 
 
 def forward(lists: list[np.ndarray], model: Model) -> np.ndarray:
@@ -341,9 +342,9 @@ def forward(lists: list[np.ndarray], model: Model) -> np.ndarray:
 
 def score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, learn, n_tokens, n_known, train_tokens, base_score, score."""
-    model, counts, sequences, total, distinct = fit(docs)
+    model, counts, sequences, total, distinct, frequent = fit(docs)
     spark = docs.sparkSession
-    n_of = np.concatenate([np.array([r for r in _class_counts(counts, model)], float), np.zeros(SHARED)])
+    n_of = np.concatenate([np.array(frequent, float), np.zeros(SHARED)])
     shared = spark.sparkContext.broadcast((model, n_of))
     floor = float(np.log10(1.0 / (total + distinct + 1)))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
@@ -356,7 +357,7 @@ def score(docs: DataFrame) -> DataFrame:
             lists = batch.column("classes")
             flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
             parts = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            chain = forward(parts, model)
+            whole = forward(parts, model)
             own = [p[p < top] for p in parts]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -366,7 +367,7 @@ def score(docs: DataFrame) -> DataFrame:
                     pa.array([len(p) for p in parts], pa.int64()),
                     pa.array([len(p) for p in own], pa.int64()),
                     pa.array([float(base_of[p].sum()) for p in own], pa.float64()),
-                    pa.array([float(c + model.log_within[p].sum()) for c, p in zip(chain, parts, strict=True)], pa.float64()),
+                    pa.array([float(c + model.log_within[p].sum()) for c, p in zip(whole, parts, strict=True)], pa.float64()),
                 ],
                 names=["row", "doc_id", "learn", "n_tokens", "n_own", "base_own", "chain"],
             )
@@ -400,8 +401,3 @@ def score(docs: DataFrame) -> DataFrame:
         base.alias("base_score"),
         (base if not total else exact).alias("score"),
     )
-
-
-def _class_counts(counts: DataFrame, model: Model) -> list[int]:
-    """Counts of the frequent tokens, in the order of their classes; at most ``CLASSES`` rows."""
-    return [r["n"] for r in counts.orderBy(F.desc("n"), "token").limit(len(model.classes)).collect()] if model.classes else []

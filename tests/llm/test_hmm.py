@@ -127,10 +127,10 @@ def test_rare_tokens_have_a_distribution_within_their_class(documents, monkeypat
     texts = {n: f"the cat sat on word{n} word{n % 3} zz{n}" for n in range(1, 20)}
     docs = documents(*texts.items())
     slim = docs.select("doc_id", F.expr("doc_id % 5 != 0").alias("learn"), F.col("text").cast("binary").alias("text"))
-    model, counts, _, _, _ = hmm.fit(slim)
+    model, counts, _, _, _, frequent = hmm.fit(slim)
     n_of = {bytes(r["token"]): r["n"] for r in counts.collect()}
     top = len(model.classes)
-    monkeypatch.setattr(hmm, "fit", lambda _: (model, counts, _sequences(slim, model), sum(n_of.values()), len(n_of)))
+    monkeypatch.setattr(hmm, "fit", lambda _: (model, counts, _sequences(slim, model), sum(n_of.values()), len(n_of), frequent))
     for r in hmm.score(slim).collect():
         tokens = hmm.tokens_of(texts[r["doc_id"]].encode())
         classes = [model.classes.get(t, top + hmm.shared_class(t)) for t in tokens]
