@@ -42,7 +42,8 @@ def in_force(facts: DataFrame, segments: DataFrame, entity: str, day: str) -> Da
     """Every fact with ``segment``, a struct of all columns of each segment of its entity that holds its day.
 
     Both ends of a segment belong to it. Segments that overlap no earlier one are merged with the facts in order of
-    days, so a fact meets the last one that has begun, and not all of its entity. The others are compared one by one.
+    days, so a fact meets the last one that has begun, and not all of its entity. The others are carried along and
+    compared one by one.
     Facts that no segment holds are left out, and those without an entity.
     """
     held = F.struct(*[F.col(f"`{c}`") for c in segments.columns])
@@ -55,15 +56,14 @@ def in_force(facts: DataFrame, segments: DataFrame, entity: str, day: str) -> Da
     fact = facts.where(F.col(entity).isNotNull()).select(
         F.col(entity).alias("_entity"), F.col(day).alias("_at"), F.struct(*names).alias("_fact")
     )
-    both = sound.where("_apart").drop("_apart").unionByName(fact, allowMissingColumns=True)
+    both = sound.unionByName(fact, allowMissingColumns=True)
     order = Window.partitionBy("_entity").orderBy("_at", F.col("_fact").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    begun = F.last(F.when(F.col("_fact").isNull(), F.struct("_until", "segment")), ignorenulls=True).over(order)
-    met = both.withColumn("_begun", begun).where("_fact IS NOT NULL AND _at <= _begun._until")
-    met = met.select("_fact", F.col("_begun.segment").alias("segment"))
-
-    other = sound.where("NOT _apart").select(F.col("_entity").alias("_of"), F.col("_at").alias("_from"), "_until", "segment")
-    more = fact.join(other, F.expr("_entity = _of AND _at BETWEEN _from AND _until")).select("_fact", "segment")
-    return met.unionByName(more).select(*[F.col(f"_fact.{n}") for n in names], "segment")
+    one = F.struct("_until", "segment")
+    begun = F.last(F.when(F.col("_apart"), one), ignorenulls=True).over(order)
+    others = F.collect_list(F.when(~F.col("_apart"), one)).over(order)
+    met = both.withColumns({"_begun": begun, "_others": others}).where("_fact IS NOT NULL")
+    held = F.filter(F.concat(F.array("_begun"), "_others"), lambda s: s.isNotNull() & (F.col("_at") <= s["_until"]))
+    return met.select("_fact", F.explode(held).alias("_held")).select(*[F.col(f"_fact.{n}") for n in names], "_held.segment")
 
 
 def with_manager(daily: DataFrame, day: str, assignments: DataFrame, managers: DataFrame) -> DataFrame:
