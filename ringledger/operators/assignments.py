@@ -66,15 +66,22 @@ def in_force(facts: DataFrame, segments: DataFrame, entity: str, day: str) -> Da
     return met.select("_fact", F.explode(held).alias("_held")).select(*[F.col(f"_fact.{n}") for n in names], "_held.segment")
 
 
-def with_manager(daily: DataFrame, day: str, assignments: DataFrame, managers: DataFrame) -> DataFrame:
+def with_manager(
+    daily: DataFrame, day: str, assignments: DataFrame, managers: DataFrame, many: bool = False
+) -> DataFrame:
     """Add the manager an agent had on ``day`` (segment ends included on both sides).
 
-    ``daily`` is already aggregated to one row per agent and day. Days outside every segment are dropped.
+    ``daily`` is already aggregated to one row per agent and day, so this joins
+    far fewer rows than the facts have. Days outside every segment are dropped.
+    With few segments per agent a join on the agent is cheapest; ``many`` merges
+    rows and segments in order of days instead. The rows are the same.
     """
     segment = assignments.select("agent_id", "manager_id", "effective_start", "effective_end")
-    return (
-        in_force(daily, segment, "agent_id", day)
-        .withColumn("manager_id", F.col("segment.manager_id"))
-        .join(managers.selectExpr("manager_id", "manager_name"), "manager_id")
-        .selectExpr(*daily.columns, "manager_id", "manager_name")
+    if many:
+        placed = in_force(daily, segment, "agent_id", day).withColumn("manager_id", F.col("segment.manager_id"))
+    else:
+        on_duty = F.expr(f"agent_id = assigned_agent AND {day} BETWEEN effective_start AND effective_end")
+        placed = daily.join(segment.withColumnRenamed("agent_id", "assigned_agent"), on_duty)
+    return placed.join(managers.selectExpr("manager_id", "manager_name"), "manager_id").selectExpr(
+        *daily.columns, "manager_id", "manager_name"
     )

@@ -133,13 +133,24 @@ def test_a_hundred_thousand_segments_of_one_agent(spark):
     )
     daily = spark.range(0, 100_000, 3).selectExpr("IF(id < 0, 2, 1) AS agent_id", "date_add(DATE'1990-01-01', CAST(id AS INT)) AS d", "id AS n")
     managers = spark.range(7).selectExpr("id AS manager_id", "concat('m', id) AS manager_name")
-    managed = with_manager(daily, "d", segments, managers)
+    managed = with_manager(daily, "d", segments, managers, many=True)
     right, n = managed.select(F.count_if(F.expr("manager_id = n % 7 AND manager_name = concat('m', n % 7)")), F.count("*")).first()
     assert (right, n) == (33_334, 33_334)
     plan = managed._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_managers_are_the_same_either_way(spark):
+    segments = spark.createDataFrame(
+        [(1, 1, day(1), day(9)), (1, 2, day(10), OPEN), (2, 1, day(3), OPEN), (2, 3, day(5), day(6)), (3, 9, day(1), OPEN)],
+        "agent_id bigint, manager_id bigint, effective_start date, effective_end date",
+    )
+    daily = spark.range(60).selectExpr("id % 4 AS agent_id", "date_add(DATE'2024-01-01', CAST(id % 15 AS INT)) AS d", "id AS n")
+    managers = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "manager_id bigint, manager_name string")
+    one, other = (rows(with_manager(daily, "d", segments, managers, many=many)) for many in (False, True))
+    assert one == other and len(one) > 20
+
+
 def test_segment_ends_belong_to_it(spark):
     segments = spark.createDataFrame([(1, "a", day(5), day(9)), (1, "b", day(11), OPEN)], "who bigint, what string, effective_start date, effective_end date")
     facts = spark.createDataFrame([(1, day(n), n) for n in (4, 5, 9, 10, 11)], "who bigint, day date, n int")
