@@ -43,8 +43,9 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Number of words that lie in a three-word window found twice or more in the text.
 
-    Windows are sorted by a 64-bit hash, so equal windows become neighbours; neighbours count as equal only if their
-    words are.
+    Where no two windows have the same 64-bit hash, there is none. Else windows are sorted by half of it, packed with their
+    place into one number, and those with an equal neighbour by all of it. So equal windows become neighbours, and
+    neighbours count as equal only if their words are.
     """
 
     def of_sorted(ws: Column, windows: Column) -> Column:
@@ -66,12 +67,21 @@ def repeated_words(words: Column) -> Column:
             ),
         )
 
+    def alike(x: Column, y: Column) -> Column:
+        return F.coalesce(F.shiftright(x, 31) == F.shiftright(y, 31), F.lit(False))
+
+    def of_windows(ws: Column, hashes: Column) -> Column:
+        marked = F.transform(hashes, lambda h, i: F.shiftleft(h, 31).bitwiseOR(i.cast("long")))
+        often = let(F.sort_array(marked), lambda m: F.filter(m, lambda x, n: alike(x, F.get(m, n - 1)) | alike(x, F.get(m, n + 1))))
+        places = F.transform(often, lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+        placed = F.transform(places, lambda i: F.struct(F.get(hashes, i).alias("h"), i.alias("i")))
+        found = let(F.sort_array(placed), lambda windows: of_sorted(ws, windows))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(found)
+
     def of_hashes(ws: Column, hashes: Column) -> Column:
-        windows = F.transform(
-            F.sequence(F.lit(0), F.size(ws) - 3),
-            lambda i: F.struct(F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("i")),
-        )
-        return let(F.sort_array(windows), lambda found: of_sorted(ws, found))
+        first = F.slice(hashes, F.lit(1), F.size(hashes) - 2)
+        windows = F.transform(first, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2)))
+        return let(windows, lambda found: of_windows(ws, found))
 
     def of_words(ws: Column) -> Column:
         hashes = F.transform(ws, lambda w: F.xxhash64(w))
@@ -95,7 +105,7 @@ def rules(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     ).withColumns(
         {
-            "n_symbols": (F.length(body) - F.length(F.regexp_replace(body, r"[#*$%&|<>]", ""))).cast("long"),
+            "n_symbols": F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long"),
             "n_dup_lines": let(
                 F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]")),
                 lambda lines: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
@@ -116,9 +126,8 @@ def buckets_of(text: Column) -> Column:
 
     def grams(h: Column) -> Column:
         ones = F.transform(h, bucket)
-        twos = F.transform(
-            F.sequence(F.lit(0), F.size(h) - 2), lambda i: bucket(F.xxhash64(F.get(h, i), F.get(h, i + 1)))
-        )
+        first = F.slice(h, F.lit(1), F.size(h) - 1)
+        twos = F.transform(first, lambda x, i: bucket(F.xxhash64(x, F.get(h, i + 1))))
         return F.when(F.size(h) < 2, ones).otherwise(F.concat(ones, twos))
 
     return let(F.transform(units, lambda u: F.xxhash64(u)), grams)

@@ -91,3 +91,14 @@ def test_words_of_a_text_beyond_a_million(documents):
     text = " ".join(words)
     row = quality.rules(documents((1, text))).first()
     assert (row["n_words"], row["n_repeat_words"]) == (1_200_000, 14)
+
+
+def test_windows_that_share_half_a_hash_are_told_apart(spark):
+    """Texts with few, many and no repeated windows, among them two windows of equal half hashes, are counted by their words."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{n}" for n in range(size)], k=400)) for size in (3, 10, 20, 60, 10_000) for _ in range(4)]
+    # Of some 300,000 windows a few pairs agree in the 33 bits that are sorted by first.
+    texts.append(" ".join(str(n) for n in range(300_000)) + " 7 8 9")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = {r["id"]: r["n"] for r in df.select("id", quality.repeated_words(quality.words_of(df["text"])).alias("n")).collect()}
+    assert found == {n: brute.rules(text)[4] for n, text in enumerate(texts)}
