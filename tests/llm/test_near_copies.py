@@ -7,6 +7,7 @@ import pytest
 
 from ringledger.llm import bagminhash, banding
 from ringledger.llm.bagminhash import near_duplicates, one_of_each
+from ringledger.llm.common import stored
 from ringledger.llm.components import components
 from tests.llm import brute
 
@@ -197,3 +198,19 @@ def test_components(spark):
         parent[b] = a
     alone = {n for n in parent if all(a == b for a, b in edges if n in (a, b))}
     assert found == {n: root(n) for n in parent if n not in alone}
+
+
+def test_components_thin_the_edges_of_a_group(spark, monkeypatch):
+    """A group whose members are all linked to the same sixty has an edge or two per member, not sixty, in every round."""
+    rows = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        rows.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr("ringledger.llm.components.stored", counted)
+    edges = [(end, 1000 + key) for end in range(60) for key in range(500)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == dict.fromkeys([*range(60), *range(1000, 1500)], 0)
+    assert rows["edges"] == [30_000] and all(n <= 1200 for label, ns in rows.items() if label != "edges" for n in ns)
