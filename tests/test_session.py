@@ -48,3 +48,22 @@ assert scratch_dir(spark, "x").startswith("{tmp_path}/ringledger-x-")
 def test_tune(spark):
     tune(spark)
     assert all(spark.conf.get(key) == value for key, value in RUNTIME_SETTINGS.items())
+
+
+def test_a_written_step_leaves_no_shuffle_files(tmp_path):
+    code = f"""
+import time
+from pathlib import Path
+from ringledger.session import build_session
+spark = build_session(master="local[2]", **{{"spark.local.dir": "{tmp_path}/local"}})
+for n in range(3):
+    spark.range(100_000).selectExpr("id % 1000 AS k").groupBy("k").count().write.parquet(f"{tmp_path}/out-{{n}}")
+kept = 1
+for _ in range(50):  # files go in the background
+    kept = sum(f.stat().st_size for f in Path("{tmp_path}/local").rglob("shuffle_*.data"))
+    if not kept:
+        break
+    time.sleep(0.2)
+assert not kept, kept
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
