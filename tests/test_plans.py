@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from ringledger.operators.callbacks import repeat_flags
+from ringledger.operators.callbacks import callback_pairs, repeat_flags
 from ringledger.operators.skew import rows_of_keys
 from ringledger.plans.models import MODELS, LazyTables
 from ringledger.sources.stand_in import inputs
@@ -85,3 +85,12 @@ def test_rows_of_a_hot_key_are_split(spark, small_partitions):
     found = rows_of_keys(facts, repeated, ["key"])
     assert "skew=true" in final_plan(found)
     assert found.count() == facts.where("key = 0").count()
+
+
+def test_tickets_are_not_shuffled_to_find_full_cells(lazy, conf):
+    """Pairs are dealt once for their join; what is known of full cells, mostly nothing, comes to the tickets."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    plan = planned(callback_pairs(lazy["mart_crm"]))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" not in [line.split()[-1] for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert plan.count("_mixed_keys") == 0

@@ -248,3 +248,32 @@ def test_layers_map_to_folders(spark, tmp_path):
     tables = StoredTables(spark, str(tmp_path), Inputs({}, {}, {}), layers={"core": "gold"})
     assert tables.stored("daily_agent_metrics").path == f"{tmp_path}/gold/daily_agent_metrics"
     assert tables.stored("mart_crm").path == f"{tmp_path}/mart/mart_crm"
+
+
+def versioned(spark, tmp_path, *versions):
+    """Batches of (id, ts, a, b, c), ordered by a, b, c, merged one after another."""
+    table = StoredTable(spark, str(tmp_path / "v"), ["id"], "ts", version=["a", "b", "c"])
+    for entries in versions:
+        table.upsert(spark.createDataFrame([(n, at(t), *v) for n, t, *v in entries], "id bigint, ts timestamp_ntz, a int, b int, c string"))
+    return [(r["id"], r["ts"].day, r["c"]) for r in sorted(table.read().collect(), key=lambda r: r["id"])]
+
+
+def test_versions_that_only_differ_in_later_columns(spark, tmp_path):
+    first = [(1, "01-16 09:00", 1, None, "b"), (2, "01-16 09:00", 1, None, "b"), (3, "01-16 09:00", 1, 2, None), (4, "01-16 09:00", 1, 2, "x")]
+    second = [(1, "01-17 09:00", 1, None, "a"), (2, "01-17 09:00", 1, None, "c"), (3, "01-17 09:00", 1, 2, "a"), (4, "01-18 09:00", 1, 2, "x")]
+    assert versioned(spark, tmp_path, first, second) == [(1, 16, "b"), (2, 17, "c"), (3, 17, "a"), (4, 18, "x")]
+
+
+def test_rows_of_a_day_that_only_loses_some_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """They are neither shuffled to find those that go nor to be written again."""
+    in_place, write = [], StoredTable._write
+
+    def spy(self, rows, also, *facts, **more):
+        kept = more.get("placed")
+        in_place.append([] if kept is None else sorted(r["id"] for r in kept.collect()))
+        return write(self, rows, also, *facts, **more)
+
+    monkeypatch.setattr(StoredTable, "_write", spy)
+    first = [(n, "01-16 09:00", 1, n, "a") for n in range(4)]
+    assert versioned(spark, tmp_path, first, [(2, "01-20 09:00", 2, 0, "b")]) == [(0, 16, "a"), (1, 16, "a"), (2, 20, "b"), (3, 16, "a")]
+    assert in_place == [[], [0, 1, 3]]
