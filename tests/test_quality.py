@@ -139,3 +139,15 @@ def test_catalogue():
         UNIQUE_COMBINATION: 9,
         EXPRESSION: 37,
     }
+
+
+def test_rows_are_checked_by_compiled_code_only(spark):
+    """Lambdas are not compiled: over callback pairs they took longer than the counting itself."""
+    plan = check_report(EXPECTATIONS, tables(spark, CLEAN))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+
+
+def test_a_row_that_breaks_several_rules(spark):
+    entries = [(None, 9, 7, -1), (None, 9, 7, -1), (2, None, None, None), (2, 2, 5, 1)]
+    kinds = {"unique": 1, "not_null": 2, "accepted_values": 2, "relationships": 2, "unique_combination_of_columns": 1}
+    assert failures(spark, entries) == {**kinds, "expression_is_true": 3}
