@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringledger.llm.common import stored
-from ringledger.llm.components import spread_join
+from ringledger.llm.components import merged, spread_join
 
 #: Fixed values of the contract: letters, the least length and count of a word, every how many-th run loses a letter.
 RUN = re.compile("[A-Za-zÀ-ÿ]{7,}")
@@ -184,7 +184,7 @@ def near_words(words: DataFrame) -> DataFrame:
         rows = words.mapInArrow(lambda b: _filed(b, sent.value, by_pivots), "key bigint, word string, n bigint")
         return rows.select("key", F.col("word").alias(name), F.col("n").alias(f"n_{name}"))
 
-    met = filed("r", True).join(filed("s", False), "key").where("r != s AND abs(length(r) - length(s)) <= 1")
+    met = filed("r", True).join(merged(filed("s", False)), "key").where("r != s AND abs(length(r) - length(s)) <= 1")
     near = met.where(F.levenshtein("r", "s", 1) == 1)
     first = F.least(F.struct(F.col("r").alias("w"), F.col("n_r").alias("n")), F.struct(F.col("s").alias("w"), F.col("n_s").alias("n")))
     last = F.greatest(F.struct(F.col("r").alias("w"), F.col("n_r").alias("n")), F.struct(F.col("s").alias("w"), F.col("n_s").alias("n")))
@@ -201,7 +201,7 @@ def spelling_forms(words: DataFrame, usual: int = USUAL) -> DataFrame:
     pairs = stored(near_words(words), "near-words")
     both = pairs.selectExpr("inline(array(struct(a AS word, b AS other, n_b AS m), struct(b AS word, a AS other, n_a AS m)))")
     best = both.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("best"))
-    known = words.join(best, "word", "left")
+    known = words.join(merged(best), "word", "left")
     has_form = -F.col("best.m") >= usual * F.col("n")
     formed = stored(
         known.select(
@@ -217,12 +217,12 @@ def spelling_forms(words: DataFrame, usual: int = USUAL) -> DataFrame:
     roots = formed.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     while True:
         onward = roots.select(F.col("word").alias("root"), F.col("root").alias("onward"))
-        followed = spread_join(roots, onward, "root", "left")
+        followed = spread_join(roots, merged(onward), "root", "left")
         followed = stored(followed.select("word", F.coalesce("onward", "root").alias("root"), "onward"), "roots")
         roots = followed.drop("onward")
         if followed.where("onward IS NOT NULL").isEmpty():
             break
-    named = formed.join(roots, "word", "left")
+    named = formed.join(merged(roots), "word", "left")
     return named.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

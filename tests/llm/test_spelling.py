@@ -10,6 +10,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from ringledger.llm.common import stored
 from ringledger.llm.queries import EXPECTED, QUERIES
 from ringledger.llm.spelling import gram_prefix, near_words, pivot_keys, pivots, prefix_keys, spelling_forms, spelling_variants, words_of
 
@@ -54,6 +55,17 @@ def brute(words, usual=10):
     return sorted(rows)
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """However small their files are: a word is filed under many keys, and few bytes of a file can be many words."""
+    words = stored(spark.range(2000).selectExpr("concat('abcdefgh', lpad(conv(id, 10, 26), 4, 'k')) AS word", "1 + id % 40 AS n"), "test-words")
+    written = []
+    monkeypatch.setattr("ringledger.llm.spelling.stored", lambda df, label: written.append(df) or stored(df, label))
+    written.append(spelling_forms(words))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in written]
+    assert sum("SortMergeJoin" in plan for plan in plans) >= 3
+    assert not any("BroadcastHashJoin" in plan for plan in plans)
+
+
 def result(df):
     return sorted(tuple(r) for r in df.select(*COLUMNS).collect())
 
