@@ -36,6 +36,15 @@ def test_scan_reads_only_the_columns_needed(lazy):
     assert "value" not in events.split("ReadSchema:")[1]
 
 
+def test_tickets_are_merged_however_small_their_files(spark, sf_dir, tmp_path):
+    """Only the chunks of full cells are sent to the tickets."""
+    LazyTables(inputs(spark, sf_dir))["mart_crm"].write.parquet(str(tmp_path / "tickets"))
+    tickets = spark.read.parquet(str(tmp_path / "tickets"))
+    pairs, flags = planned(callback_pairs(tickets)), planned(repeat_flags(tickets))
+    assert "SortMergeJoin" in pairs and pairs.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" in flags and "BroadcastHashJoin" not in flags
+
+
 def test_pair_join_has_both_bounds_and_no_gathering(lazy):
     plan = planned(lazy["mart_crm_callbacks"])
     assert "grid_row" in plan and "grid_column" in plan

@@ -168,6 +168,25 @@ def test_seeds_are_stored_in_their_layer(spark, sf_dir, tmp_path):
     assert all(f"{tmp_path}/reference/agents/version=" in f for f in store.seed("agents").inputFiles())
 
 
+def test_seeds_are_broadcast_by_their_rows_and_not_by_their_files(spark, tmp_path):
+    """Many rows may be few bytes of a file: 400,000 customers, and 4,000."""
+    facts = spark.range(50).selectExpr("id AS call_id", "id AS customer_id")
+    for n, how in ((400_000, "SortMergeJoin"), (4_000, "BroadcastHashJoin")):
+        customers = spark.range(n).selectExpr("id AS customer_id", "IF(id % 9 = 0, NULL, 'plain') AS program")
+        store = StoredTables(spark, f"{tmp_path}/{n}", Inputs(raw={}, loads={}, seeds={"customers": customers}))
+        joined = facts.join(store.seed("customers").selectExpr("customer_id", "program AS p"), "customer_id")
+        assert how in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 50
+    files = [f for f in (tmp_path / "400000").rglob("*.parquet")]
+    assert sum(f.stat().st_size for f in files) < 4 << 20
+
+
+def test_an_empty_seed_is_stored(spark, tmp_path):
+    customers = spark.createDataFrame([], "customer_id bigint, program string")
+    store = StoredTables(spark, str(tmp_path), Inputs(raw={}, loads={}, seeds={"customers": customers}))
+    assert store.seed("customers").collect() == []
+
+
 def test_narrow_callbacks_stop_at_the_window(spark, sf_dir):
     lazy = LazyTables(inputs(spark, sf_dir))
     window = RunWindow(date(2024, 1, 26), date(2024, 2, 5), narrow=True)
